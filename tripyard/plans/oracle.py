@@ -386,3 +386,44 @@ WHERE rank <= 10"""
   tolls_amount, improvement_surcharge, total_amount, congestion_surcharge, Airport_fee AS airport_fee
 FROM raw"""
     raise KeyError(key)
+
+
+def _load_counts_sql(source: str) -> str:
+    gold_keys = {
+        "trips_by_day": "CAST(pickup_datetime AS DATE)",
+        "trips_by_zone": "pu_location_id",
+        "payment_summary": "payment_type",
+        "hourly_demand": "hour(pickup_datetime)",
+        "zone_avg_fare": "pu_location_id",
+    }
+    parts = [
+        f"""SELECT {PERIOD}, m.metric, m.value FROM (
+  SELECT {PERIOD}, count(*) AS total,
+         count(*) FILTER (WHERE rejection_reason IS NULL) AS total_valid,
+         count(*) FILTER (WHERE rejection_reason IS NOT NULL) AS total_rejected
+  FROM flagged GROUP BY {PERIOD}) s,
+  LATERAL (VALUES ('total', CAST(total AS DOUBLE)), ('total_valid', CAST(total_valid AS DOUBLE)),
+                  ('total_rejected', CAST(total_rejected AS DOUBLE)),
+                  ('pct_rejected', {_pct('total_rejected', 'total')})) m(metric, value)""",
+        f"SELECT {PERIOD}, 'silver_clean_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM silver GROUP BY {PERIOD}",
+        f"SELECT {PERIOD}, 'silver_rejected_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM rejected GROUP BY {PERIOD}",
+    ]
+    for name, key in gold_keys.items():
+        parts.append(
+            f"SELECT {PERIOD}, '{name}_rows' AS metric, CAST(count(DISTINCT {key}) AS DOUBLE) AS value "
+            f"FROM silver GROUP BY {PERIOD}"
+        )
+    return _with(source, "rejected") + "\nUNION ALL\n".join(parts)
+
+
+def write_sql(key: str, source: str) -> str | None:
+    """Oracle SQL of the write-and-read-back keys (None: no SQL equivalent)."""
+    if key == "staging_roundtrip":
+        return stage_sql("flagged_trips", source)
+    if key == "period_replace":
+        return stage_sql("silver_clean", source)
+    if key == "load_counts":
+        return _load_counts_sql(source)
+    if key == "raw_file_scan":
+        return _with(source, "raw") + f"SELECT {_RAW_OUT}, source_path AS source_file FROM raw"
+    return None

@@ -22,6 +22,7 @@ from tripyard.operators import gold as G
 from tripyard.operators import stats as S
 from tripyard.operators import validate as V
 from tripyard.plans import oracle as O
+from tripyard.plans.writes import WRITE_QUERIES
 from tripyard.sources.fixtures import fixture_raw_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,11 +88,24 @@ def _stage_query(stage: str, source: str) -> Query:
     return run
 
 
+def _write_query(name: str, source: str) -> Query:
+    fn = WRITE_QUERIES[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return decimals_as_double(fn(spark, sf_dir, source))
+
+    run.__name__ = f"{name}_{source}"
+    return run
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for suffix, source in SOURCES.items():
         for stage in STAGES:
             out[stage + suffix] = _stage_query(stage, source)
+    for name in WRITE_QUERIES:
+        out[name] = _write_query(name, "lineitem")
+    out["load_counts_events"] = _write_query("load_counts", "events")
     return out
 
 
@@ -100,4 +114,9 @@ def oracle_sql() -> dict[str, str]:
     for suffix, source in SOURCES.items():
         for stage in STAGES:
             out[stage + suffix] = O.stage_sql(stage, source)
+    for name in WRITE_QUERIES:
+        sql = O.write_sql(name, "lineitem")
+        if sql is not None:
+            out[name] = sql
+    out["load_counts_events"] = O.write_sql("load_counts", "events")
     return out

@@ -120,3 +120,12 @@ def fixture_raw_trips(spark: SparkSession, sf_dir: str, source: str = "lineitem"
     else:
         raise ValueError(f"unknown fixture source {source!r}; expected one of {SOURCES}")
     return _raw_from_base(base)
+
+
+def fixture_periods(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> list[tuple[int, int]]:
+    """The reference months a fixture covers (at most a few hundred pairs)."""
+    if source == "events":
+        return [(2024, 1)]
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    rows = li.select(F.year("l_shipdate").alias("y"), F.month("l_shipdate").alias("m")).distinct().collect()
+    return sorted((r.y, r.m) for r in rows)

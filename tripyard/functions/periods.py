@@ -26,7 +26,10 @@ def days_in_month(year: Column, month: Column) -> Column:
 
 def raw_file_name(year: Column, month: Column) -> Column:
     """Monthly raw file name for a period, e.g. yellow_tripdata_2024-01.parquet."""
-    return F.format_string("yellow_tripdata_%04d-%02d.parquet", year, month)
+    return F.concat(
+        F.lit("yellow_tripdata_"), F.lpad(year.cast("string"), 4, "0"), F.lit("-"),
+        F.lpad(month.cast("string"), 2, "0"), F.lit(".parquet"),
+    )
 
 
 def file_name_from_path(path: Column) -> Column:

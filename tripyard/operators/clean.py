@@ -13,6 +13,7 @@ from tripyard.functions.numeric import round2, short_code
 from tripyard.functions.periods import file_name_from_path, month_from_path, year_from_path
 from tripyard.schema import (
     CLEAN_COLUMNS,
+    LINEAGE_COLUMNS,
     NULL_DEFAULTS,
     RAW_SCHEMA,
     RENAMES,
@@ -23,7 +24,7 @@ from tripyard.schema import (
 
 def normalize_columns(raw: DataFrame) -> DataFrame:
     """The 19 raw columns in file order, snake_case names; lineage kept."""
-    keep = [c for c in ("source_path",) if c in raw.columns]
+    keep = [c for c in (*LINEAGE_COLUMNS, "source_path") if c in raw.columns]
     return raw.select(
         *[F.col(f.name).alias(RENAMES.get(f.name, f.name)) for f in RAW_SCHEMA], *keep
     )
@@ -55,16 +56,28 @@ def derive_fields(df: DataFrame) -> DataFrame:
 
 
 def add_lineage(df: DataFrame) -> DataFrame:
-    """Reference period and source file name, taken per row from the path
-    of the monthly file the row came from (so many months share one plan)."""
-    path = F.col("source_path")
+    """Reference period (SMALLINT) and source file name of every row.
+
+    Sources attach them where the file is known (constants per scanned
+    month, so no per-row work); a frame that only has the path of its file
+    (``source_path``) gets them parsed from that path.
+    """
+    if "source_path" in df.columns:
+        path = F.col("source_path")
+        df = df.withColumns(
+            {
+                "reference_year": year_from_path(path),
+                "reference_month": month_from_path(path),
+                "source_file": file_name_from_path(path),
+            }
+        ).drop("source_path")
     return df.withColumns(
         {
-            "reference_year": year_from_path(path),
-            "reference_month": month_from_path(path),
-            "source_file": file_name_from_path(path),
+            "reference_year": F.col("reference_year").cast("smallint"),
+            "reference_month": F.col("reference_month").cast("smallint"),
+            "source_file": F.col("source_file").cast("string"),
         }
-    ).drop("source_path")
+    )
 
 
 def clean_trips(raw: DataFrame) -> DataFrame:
@@ -82,12 +95,10 @@ def clean_trips(raw: DataFrame) -> DataFrame:
 def bronze_layout(raw: DataFrame) -> DataFrame:
     """raw.yellow_taxi: lineage plus the raw values, untouched, under the
     warehouse column names (the load time is added by the sink)."""
-    path = F.col("source_path")
-    renames = {**RENAMES, "tpep_pickup_datetime": "tpep_pickup_datetime",
-               "tpep_dropoff_datetime": "tpep_dropoff_datetime"}
-    return raw.select(
-        file_name_from_path(path).alias("source_file"),
-        year_from_path(path).alias("reference_year"),
-        month_from_path(path).alias("reference_month"),
-        *[F.col(f.name).alias(renames.get(f.name, f.name)) for f in RAW_SCHEMA],
+    bronze_names = {**RENAMES, "tpep_pickup_datetime": "tpep_pickup_datetime",
+                    "tpep_dropoff_datetime": "tpep_dropoff_datetime"}
+    tagged = add_lineage(raw)
+    return tagged.select(
+        *LINEAGE_COLUMNS,
+        *[F.col(f.name).alias(bronze_names.get(f.name, f.name)) for f in RAW_SCHEMA],
     )

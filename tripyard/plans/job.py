@@ -127,7 +127,7 @@ def run_frame(
     rebalance: bool = False,
     load_bronze: bool = False,
 ) -> RunResult:
-    """The run over an already scanned raw frame (RAW_SCHEMA + source_path).
+    """The run over an already scanned raw frame (RAW_SCHEMA + lineage columns).
 
     ``rebalance`` is for inputs whose tasks mix months (see write_staging).
     """

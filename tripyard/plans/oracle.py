@@ -20,7 +20,6 @@ from tripyard.schema import (
     PAYMENT_LABELS,
     RATE_CODE_MAX,
     RATE_CODE_MIN,
-    RAW_FILE_PATTERN,
     REASON_DISTANCE,
     REASON_DO,
     REASON_DROPOFF_BEFORE,
@@ -133,7 +132,8 @@ _RAW = f"""
     CASE WHEN k % 149 = 0 THEN NULL ELSE v + {_TIP} + 3 END AS total_amount,
     CASE WHEN k % 29 = 0 THEN NULL ELSE {_dbl(1)} END AS congestion_surcharge,
     CASE WHEN k % 23 = 0 THEN {_dbl(1.75)} ELSE CAST(NULL AS DOUBLE) END AS Airport_fee,
-    printf('yellow_tripdata_%04d-%02d.parquet', ry, rm) AS source_path
+    printf('yellow_tripdata_%04d-%02d.parquet', ry, rm) AS source_file,
+    CAST(ry AS SMALLINT) AS reference_year, CAST(rm AS SMALLINT) AS reference_month
   FROM base"""
 
 _NORMALIZED = """
@@ -142,7 +142,8 @@ _NORMALIZED = """
          RatecodeID AS rate_code_id, store_and_fwd_flag, PULocationID AS pu_location_id,
          DOLocationID AS do_location_id, payment_type, fare_amount, extra, mta_tax,
          tip_amount, tolls_amount, improvement_surcharge, total_amount,
-         congestion_surcharge, Airport_fee AS airport_fee, source_path
+         congestion_surcharge, Airport_fee AS airport_fee,
+         source_file, reference_year, reference_month
   FROM raw"""
 
 _TYPED = f"""
@@ -153,7 +154,7 @@ _TYPED = f"""
          {_code('payment_type')} AS payment_type, {_round2('fare_amount')} AS fare_amount,
          extra, mta_tax, {_round2('tip_amount')} AS tip_amount, tolls_amount,
          improvement_surcharge, {_round2('total_amount')} AS total_amount,
-         congestion_surcharge, airport_fee, source_path
+         congestion_surcharge, airport_fee, source_file, reference_year, reference_month
   FROM normalized"""
 
 _FILLED = f"""
@@ -165,7 +166,7 @@ _FILLED = f"""
          {_fill('tip_amount', '0.0')} AS tip_amount, {_fill('tolls_amount', '0.0')} AS tolls_amount,
          {_fill('improvement_surcharge', '0.0')} AS improvement_surcharge, total_amount,
          {_fill('congestion_surcharge', '0.0')} AS congestion_surcharge,
-         {_fill('airport_fee', '0.0')} AS airport_fee, source_path
+         {_fill('airport_fee', '0.0')} AS airport_fee, source_file, reference_year, reference_month
   FROM typed"""
 
 _DURATION = f"""
@@ -179,14 +180,8 @@ _DERIVED = f"""
             AS trip_speed_mph
   FROM duration"""
 
-_TAGGED = f"""
-  SELECT * EXCLUDE (source_path),
-         TRY_CAST(regexp_extract(source_path, '{RAW_FILE_PATTERN}', 1) AS SMALLINT) AS reference_year,
-         TRY_CAST(regexp_extract(source_path, '{RAW_FILE_PATTERN}', 2) AS SMALLINT) AS reference_month,
-         CASE WHEN regexp_extract(source_path, '{RAW_FILE_PATTERN}', 0) <> ''
-              THEN regexp_extract(source_path, '{RAW_FILE_PATTERN}', 0)
-              ELSE string_split(source_path, '/')[-1] END AS source_file
-  FROM derived"""
+_TAGGED = """
+  SELECT * FROM derived"""
 
 CLEAN_COLS = (
     "vendor_id, pickup_datetime, dropoff_datetime, passenger_count, trip_distance, "
@@ -321,16 +316,12 @@ FROM silver GROUP BY {PERIOD}, pu_location_id"""
 
 GOLD_NAMES = ["trips_by_day", "trips_by_zone", "payment_summary", "hourly_demand", "zone_avg_fare"]
 
-_RAW_OUT = (
-    "VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance, "
-    "RatecodeID, store_and_fwd_flag, PULocationID, DOLocationID, payment_type, fare_amount, "
-    "extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount, "
-    "congestion_surcharge, Airport_fee"
-)
 
 
 def stage_sql(key: str, source: str) -> str:
     """Oracle SQL of one registry key (without the source suffix)."""
+    if key in _EXTRA_STAGE_SQL:
+        return _EXTRA_STAGE_SQL[key](source)
     if key == "raw_trips":
         return _with(source, "raw") + "SELECT * FROM raw"
     if key == "normalized_trips":
@@ -376,10 +367,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY {PERIOD}, side ORDER BY total_tr
             FROM silver GROUP BY ALL) z) r
 WHERE rank <= 10"""
     if key == "bronze_trips":
-        return _with(source, "raw") + f"""SELECT
-  regexp_extract(source_path, '{RAW_FILE_PATTERN}', 0) AS source_file,
-  TRY_CAST(regexp_extract(source_path, '{RAW_FILE_PATTERN}', 1) AS SMALLINT) AS reference_year,
-  TRY_CAST(regexp_extract(source_path, '{RAW_FILE_PATTERN}', 2) AS SMALLINT) AS reference_month,
+        return _with(source, "raw") + """SELECT source_file, reference_year, reference_month,
   VendorID AS vendor_id, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count,
   trip_distance, RatecodeID AS rate_code_id, store_and_fwd_flag, PULocationID AS pu_location_id,
   DOLocationID AS do_location_id, payment_type, fare_amount, extra, mta_tax, tip_amount,
@@ -425,5 +413,72 @@ def write_sql(key: str, source: str) -> str | None:
     if key == "load_counts":
         return _load_counts_sql(source)
     if key == "raw_file_scan":
-        return _with(source, "raw") + f"SELECT {_RAW_OUT}, source_path AS source_file FROM raw"
+        return _with(source, "raw") + "SELECT * FROM raw"
     return None
+
+
+def _check_row(table: str, check: str, column: str, count_expr: str, source: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{check}' AS check_name, '{column}' AS column_name, "
+            f"CAST({count_expr} AS BIGINT) AS violations FROM {source}")
+
+
+def _constraints_sql(source: str) -> str:
+    from tripyard.schema import (
+        GOLD_KEYS,
+        GOLD_SCHEMAS,
+        LENGTH_LIMITS,
+        SILVER_CLEAN_SCHEMA,
+        SILVER_MONEY_COLUMNS,
+        SILVER_REJECTED_SCHEMA,
+    )
+
+    rows = []
+    t = "silver.yellow_taxi_clean"
+    valid = "(SELECT * FROM flagged WHERE rejection_reason IS NULL) v"
+    for f in SILVER_CLEAN_SCHEMA:
+        if not f.nullable:
+            stored = _money(f.name) if f.name in SILVER_MONEY_COLUMNS else f.name
+            rows.append(_check_row(t, "not_null", f.name, f"count(*) FILTER (WHERE {stored} IS NULL)", valid))
+    for c in SILVER_MONEY_COLUMNS:
+        rows.append(_check_row(t, "numeric_10_2", c,
+                               f"count(*) FILTER (WHERE {c} IS NOT NULL AND {_money(c)} IS NULL)", valid))
+    for c, n in LENGTH_LIMITS["silver_clean"].items():
+        rows.append(_check_row(t, "max_length", c, f"count(*) FILTER (WHERE length({c}) > {n})", valid))
+    t = "silver.rejected_records"
+    for f in SILVER_REJECTED_SCHEMA:
+        if not f.nullable:
+            rows.append(_check_row(t, "not_null", f.name, f"count(*) FILTER (WHERE {f.name} IS NULL)", "rejected"))
+    for c, n in LENGTH_LIMITS["silver_rejected"].items():
+        rows.append(_check_row(t, "max_length", c, f"count(*) FILTER (WHERE length({c}) > {n})", "rejected"))
+    for name in GOLD_NAMES:
+        t = f"gold.{name}"
+        g = f"({_gold_sql(name)}) g"
+        for f in GOLD_SCHEMAS[name]:
+            if not f.nullable:
+                rows.append(_check_row(t, "not_null", f.name, f"count(*) FILTER (WHERE {f.name} IS NULL)", g))
+        if name == "hourly_demand":
+            rows.append(_check_row(t, "hour_0_23", "hour_of_day",
+                                   "count(*) FILTER (WHERE hour_of_day NOT BETWEEN 0 AND 23)", g))
+        for c, n in LENGTH_LIMITS.get(name, {}).items():
+            rows.append(_check_row(t, "max_length", c, f"count(*) FILTER (WHERE length({c}) > {n})", g))
+        keys = ", ".join(["reference_year", "reference_month"] + GOLD_KEYS[name])
+        per_key = f"(SELECT {keys}, count(*) AS n FROM {g} GROUP BY {keys}) k"
+        rows.append(_check_row(t, "unique", keys.replace(", ", ","),
+                               "count(*) FILTER (WHERE n > 1)", per_key))
+    return _with(source, "rejected") + "\nUNION ALL\n".join(rows)
+
+
+def _documented_sql(source: str) -> str:
+    parts = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+             "improvement_surcharge", "congestion_surcharge", "airport_fee"]
+    comp = " + ".join(f"coalesce({p}, CAST(0 AS DOUBLE))" for p in parts)
+    return _with(source, "typed") + f"""SELECT {PERIOD}, m.check_name, m.violations, checked FROM (
+  SELECT reference_year, reference_month,
+         count(*) FILTER (WHERE total_amount IS NOT NULL AND abs(total_amount - ({comp})) > 0.01) AS tm,
+         count(*) FILTER (WHERE payment_type IS NULL OR payment_type NOT BETWEEN 1 AND 6) AS pi,
+         count(*) AS checked
+  FROM typed GROUP BY ALL) s,
+  LATERAL (VALUES ('total_amount_mismatch', tm), ('payment_type_invalid', pi)) m(check_name, violations)"""
+
+
+_EXTRA_STAGE_SQL = {"constraint_violations": _constraints_sql, "documented_checks": _documented_sql}

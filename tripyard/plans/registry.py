@@ -19,6 +19,7 @@ from pyspark.sql.types import DecimalType
 
 from tripyard.operators import clean as C
 from tripyard.operators import gold as G
+from tripyard.operators import quality as Q
 from tripyard.operators import stats as S
 from tripyard.operators import validate as V
 from tripyard.plans import oracle as O
@@ -42,8 +43,22 @@ def _flagged(raw: DataFrame) -> DataFrame:
     return V.flag_trips(C.clean_trips(raw))
 
 
+def _staged(raw: DataFrame) -> DataFrame:
+    """Flagged trips materialised once (reliable checkpoint in the shared
+    checkpoint folder), as the run does with its staging write. Without it
+    the valid/rejected filter is pushed below every projection and the rule
+    chain is evaluated twice, in the scan stage."""
+    return _flagged(raw).checkpoint(eager=True)
+
+
 def _silver(raw: DataFrame) -> DataFrame:
-    return V.silver_layout(V.valid_trips(_flagged(raw)))
+    return V.silver_layout(V.valid_trips(_staged(raw)))
+
+
+def _constraints(raw: DataFrame) -> DataFrame:
+    valid, rejected = V.split_valid_rejected(_staged(raw))
+    gold = G.gold_tables(G.gold_partials(V.silver_layout(valid)))
+    return Q.constraint_violations(valid, V.rejected_layout(rejected), gold)
 
 
 # stage name -> function of the raw fixture frame
@@ -61,18 +76,20 @@ STAGES: dict[str, Callable[[DataFrame], DataFrame]] = {
     ),
     "clean_trips": C.clean_trips,
     "flagged_trips": _flagged,
-    "valid_trips": lambda raw: V.valid_trips(_flagged(raw)),
-    "rejected_trips": lambda raw: V.rejected_trips(_flagged(raw)),
+    "valid_trips": lambda raw: V.valid_trips(_staged(raw)),
+    "rejected_trips": lambda raw: V.rejected_trips(_staged(raw)),
     "silver_clean": _silver,
-    "silver_rejected": lambda raw: V.rejected_layout(V.rejected_trips(_flagged(raw))),
+    "silver_rejected": lambda raw: V.rejected_layout(V.rejected_trips(_staged(raw))),
     "validation_stats": lambda raw: S.validation_stats(_flagged(raw)),
-    "rejection_reasons": lambda raw: S.rejection_reasons(_flagged(raw)),
+    "rejection_reasons": lambda raw: S.rejection_reasons(_staged(raw)),
     "trips_by_day": lambda raw: G.trips_by_day(_silver(raw)),
     "trips_by_zone": lambda raw: G.trips_by_zone(_silver(raw)),
     "payment_summary": lambda raw: G.payment_summary(_silver(raw)),
     "hourly_demand": lambda raw: G.hourly_demand(_silver(raw)),
     "zone_avg_fare": lambda raw: G.zone_avg_fare(_silver(raw)),
     "top_zones": lambda raw: G.top_zones(_silver(raw), 10),
+    "constraint_violations": _constraints,
+    "documented_checks": Q.documented_checks,
 }
 
 SOURCES = {"": "lineitem", "_events": "events"}

@@ -9,11 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripyard.functions.periods import file_name_from_path
 from tripyard.operators.clean import clean_trips
 from tripyard.operators.validate import flag_trips, silver_layout, valid_trips
 from tripyard.plans.job import run_frame
-from tripyard.schema import PERIOD_COLUMNS, RAW_SCHEMA, SILVER_CLEAN_SCHEMA
+from tripyard.schema import PERIOD_COLUMNS, SILVER_CLEAN_SCHEMA
 from tripyard.session import scratch_dir
 from tripyard.sinks.warehouse import Warehouse, read_staging, write_staging
 from tripyard.sources.fixtures import fixture_periods, fixture_raw_trips
@@ -43,7 +42,7 @@ def period_replace(spark: SparkSession, sf_dir: str, source: str = "lineitem") -
     periods = fixture_periods(spark, sf_dir, source)
     wh = Warehouse(spark, scratch_dir(spark, "warehouse"), prefix=_prefix("pr"))
     wh.create_tables()
-    silver = silver_layout(valid_trips(flag_trips(clean_trips(raw))))
+    silver = silver_layout(valid_trips(flag_trips(clean_trips(raw)).checkpoint(eager=True)))
     wh.replace_periods("silver_clean", silver, periods)
     wh.replace_periods("silver_clean", silver, periods)
     return wh.read("silver_clean").select(*[F.col(f.name) for f in SILVER_CLEAN_SCHEMA])
@@ -66,10 +65,7 @@ def raw_file_scan(spark: SparkSession, sf_dir: str, source: str = "lineitem") ->
     root = scratch_dir(spark, "landing")
     land_raw_files(fixture_raw_trips(spark, sf_dir, source), root)
     paths = [raw_file_path(root, y, m, SPARK_LAYOUT) for y, m in fixture_periods(spark, sf_dir, source)]
-    back = read_raw_trips(spark, paths)
-    return back.select(
-        *[f.name for f in RAW_SCHEMA], file_name_from_path(F.col("source_path")).alias("source_file")
-    )
+    return read_raw_trips(spark, paths)
 
 
 def raw_file_inventory(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:

@@ -7,8 +7,9 @@ single projection over the scanned table: no shuffle, and the work grows with
 the table. ``events`` gives one reference month (2024-01); ``lineitem`` gives a
 month per ship date (83 months in one plan).
 
-Output: the 19 raw columns (RAW_SCHEMA) plus ``source_path``, the name of the
-monthly raw file the row stands for.
+Output: the 19 raw columns (RAW_SCHEMA) plus the lineage columns
+(source_file, reference_year, reference_month): the monthly raw file the row
+stands for and its period.
 """
 
 from __future__ import annotations
@@ -107,19 +108,32 @@ def _raw_from_base(base: DataFrame) -> DataFrame:
     }
     return base.select(
         *[cols[f.name].cast(f.dataType).alias(f.name) for f in RAW_SCHEMA],
-        raw_file_name(F.col("ry"), F.col("rm")).alias("source_path"),
+        raw_file_name(F.col("ry"), F.col("rm")).alias("source_file"),
+        F.col("ry").cast("smallint").alias("reference_year"),
+        F.col("rm").cast("smallint").alias("reference_month"),
     )
 
 
+def _spread(spark: SparkSession, base: DataFrame) -> DataFrame:
+    """Hash-partition an input that has fewer scan splits than the cluster has
+    cores (a test file stored as one row group is read by one task), on its
+    key. Only the six narrow base columns move; inputs split at least as finely
+    as the cluster's parallelism - any large input - are left alone."""
+    cores = spark.sparkContext.defaultParallelism
+    if base.rdd.getNumPartitions() < cores:
+        return base.repartition(cores, "k")
+    return base
+
+
 def fixture_raw_trips(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
-    """Raw trips (RAW_SCHEMA + source_path) mapped from a test table."""
+    """Raw trips (RAW_SCHEMA + lineage columns) mapped from a test table."""
     if source == "events":
         base = _base_events(spark, sf_dir)
     elif source == "lineitem":
         base = _base_lineitem(spark, sf_dir)
     else:
         raise ValueError(f"unknown fixture source {source!r}; expected one of {SOURCES}")
-    return _raw_from_base(base)
+    return _raw_from_base(_spread(spark, base))
 
 
 def fixture_periods(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> list[tuple[int, int]]:

@@ -5,13 +5,21 @@ inventory check (S3) and the explicit-schema scan of many months (S1).
 from __future__ import annotations
 
 import datetime as _dt
-from collections import defaultdict
+import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripyard.functions.periods import file_name_from_path
-from tripyard.schema import FIRST_YEAR, MIN_RAW_FILE_BYTES, RAW_FILE_NAME, RAW_SCHEMA
+from tripyard.schema import (
+    FIRST_YEAR,
+    LINEAGE_COLUMNS,
+    MIN_RAW_FILE_BYTES,
+    RAW_FILE_NAME,
+    RAW_FILE_PATTERN,
+    RAW_SCHEMA,
+)
 
 # Where a month's raw file lives under a landing root. The flat layout is the
 # published one; the second is what a Spark writer makes when the raw rows are
@@ -112,49 +120,56 @@ def require_valid_files(inventory: DataFrame) -> None:
         raise ValueError(f"invalid raw files: {listed}")
 
 
-def _footer_groups(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Group paths by the schema stored in their Parquet footers (one footer
-    read per month: metadata only)."""
-    groups: dict[str, list[str]] = defaultdict(list)
-    for p in paths:
-        groups[spark.read.parquet(p).schema.json()].append(p)
-    return groups
+def period_of_path(path: str) -> tuple[str, int, int]:
+    """(file name, year, month) of a monthly raw file path (S2 naming)."""
+    found = re.search(RAW_FILE_PATTERN, path)
+    if not found:
+        raise ValueError(f"not a monthly raw file path: {path}")
+    return found.group(0), int(found.group(1)), int(found.group(2))
+
+
+def _read_month(spark: SparkSession, path: str) -> DataFrame:
+    name, year, month = period_of_path(path)
+    df = spark.read.parquet(path)  # schema from this file's own footer
+    present = {c.lower(): c for c in df.columns}
+    cols = []
+    for f in RAW_SCHEMA:
+        found = present.get(f.name.lower())
+        col = F.col(found).try_cast(f.dataType) if found else F.lit(None).cast(f.dataType)
+        cols.append(col.alias(f.name))
+    return df.select(
+        *cols,
+        F.lit(name).alias("source_file"),
+        F.lit(year).cast("smallint").alias("reference_year"),
+        F.lit(month).cast("smallint").alias("reference_month"),
+    )
 
 
 def read_raw_trips(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Scan many monthly files under the fixed 19-column raw schema.
 
-    Monthly files differ in physical types (e.g. INT64 vs DOUBLE for a count)
-    and in name case; one explicit-schema read fails on such a mix. Files are
-    therefore read per footer schema, each column matched case-insensitively,
-    cast to the raw type (null when absent), and the groups are combined with
-    unionByName. ``source_path`` is the file each row came from.
+    Monthly files differ in physical types (e.g. INT64 vs DOUBLE for a count),
+    in name case and in which columns exist; one explicit-schema read fails
+    on such a mix. Each month is therefore scanned under its own footer
+    schema (a metadata read per month), every column matched
+    case-insensitively and cast to the raw type (null when absent; a value
+    that does not fit becomes null instead of failing the job), with the
+    month's lineage as constant columns. The months are combined with
+    unionByName: one plan, every file split scanned in parallel.
     """
     if not paths:
         raise ValueError("no raw files given")
-    frames = []
-    for _, group in sorted(_footer_groups(spark, paths).items()):
-        df = spark.read.parquet(*group)
-        present = {c.lower(): c for c in df.columns}
-        cols = []
-        for f in RAW_SCHEMA:
-            name = present.get(f.name.lower())
-            col = F.col(name).try_cast(f.dataType) if name else F.lit(None).cast(f.dataType)
-            cols.append(col.alias(f.name))
-        frames.append(df.select(*cols, F.col("_metadata.file_path").alias("source_path")))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    frames = [_read_month(spark, p) for p in paths]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def land_raw_files(raw: DataFrame, root: str) -> None:
-    """Write raw trips (with ``source_path``) as monthly raw files under
-    ``root`` in SPARK_LAYOUT, in one job. The rebalance hint lets AQE split a
-    month holding most rows over many tasks instead of one."""
+    """Write raw trips (with lineage) as monthly raw files under ``root`` in
+    SPARK_LAYOUT, in one job; the files hold the 19 raw columns only. The
+    rebalance hint lets AQE split a month holding most rows over many tasks."""
     (
-        raw.withColumn("file", F.col("source_path"))
-        .drop("source_path")
+        raw.withColumn("file", F.col("source_file"))
+        .drop(*LINEAGE_COLUMNS)
         .hint("rebalance", "file")
         .write.mode("overwrite")
         .partitionBy("file")

@@ -1,0 +1,93 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import TESTDATA, trip
+from tripyard.operators import clean as C
+from tripyard.operators import validate as V
+from tripyard.session import scratch_dir
+from tripyard.sinks.warehouse import Warehouse, read_staging, write_staging
+from tripyard.sources import raw_files as R
+from tripyard.sources.fixtures import fixture_raw_trips
+
+
+def test_check_period_and_ranges():
+    R.check_period(2024, 1)
+    with pytest.raises(ValueError):
+        R.check_period(2018, 5)
+    with pytest.raises(ValueError):
+        R.check_period(2024, 13)
+    R.check_period(1995, 1, first_year=1990)
+    assert R.month_range((2023, 11), (2024, 2)) == [(2023, 11), (2023, 12), (2024, 1), (2024, 2)]
+    assert R.resolve_periods([(2024, 2), (2024, 1), (2024, 2)]) == [(2024, 1), (2024, 2)]
+    assert R.raw_file_path("/d/", 2024, 3) == "/d/yellow_tripdata_2024-03.parquet"
+
+
+def test_scan_months_with_different_footers(spark):
+    root = scratch_dir(spark, "mixed")
+    a = spark.createDataFrame(
+        [(1, dt.datetime(2024, 1, 2, 3, 4), 2, 1.5)],
+        "VendorID int, tpep_pickup_datetime timestamp_ntz, passenger_count bigint, airport_fee double")
+    b = spark.createDataFrame(
+        [(2, dt.datetime(2024, 2, 2, 3, 4), 3.0, 7.5, 2.5)],
+        "VendorID bigint, tpep_pickup_datetime timestamp_ntz, passenger_count double, Airport_fee double, congestion_surcharge double")
+    a.write.parquet(R.raw_file_path(root, 2024, 1))
+    b.write.parquet(R.raw_file_path(root, 2024, 2))
+    raw = R.read_raw_trips(spark, [R.raw_file_path(root, 2024, m) for m in (1, 2)])
+    rows = {r.reference_month: r for r in raw.collect()}
+    assert rows[1].passenger_count == 2.0 and rows[1].Airport_fee == 1.5
+    assert rows[1].congestion_surcharge is None
+    assert rows[2].VendorID == 2 and rows[2].Airport_fee == 7.5
+    assert rows[2].source_file == "yellow_tripdata_2024-02.parquet"
+    inv = {r.reference_month: r for r in R.file_inventory(spark, root, [(2024, 1), (2024, 2), (2024, 3)], 0).collect()}
+    assert inv[1].is_valid and inv[2].is_valid and not inv[3].is_valid
+    assert not R.file_inventory(spark, root, [(2024, 1)]).first().is_valid  # under 10 MiB
+    with pytest.raises(ValueError):
+        R.require_valid_files(R.file_inventory(spark, root, [(2024, 3)], 0))
+
+
+def test_staging_partitions_by_validity(spark, raw_frame):
+    flagged = V.flag_trips(C.clean_trips(raw_frame(trip(), trip(PULocationID=0))))
+    root = scratch_dir(spark, "staging")
+    write_staging(flagged, root)
+    valid = read_staging(spark, root, [(2024, 1)], valid=True)
+    assert valid.count() == 1 and valid.schema["reference_year"].dataType.simpleString() == "smallint"
+    assert read_staging(spark, root, [(2024, 1)], valid=False).first().rejection_reason == "invalid pu_location_id"
+
+
+def test_period_replace_is_idempotent_and_empty_reload_clears(spark, raw_frame):
+    wh = Warehouse(spark, scratch_dir(spark, "wh"), prefix="t_replace_")
+    wh.create_tables()
+    wh.create_tables()  # only when absent
+    rows = [trip(), trip(), trip(period=(2024, 2), tpep_pickup_datetime=dt.datetime(2024, 2, 3),
+                                 tpep_dropoff_datetime=dt.datetime(2024, 2, 3, 0, 30))]
+    silver = V.silver_layout(V.valid_trips(V.flag_trips(C.clean_trips(raw_frame(*rows)))))
+    periods = [(2024, 1), (2024, 2)]
+    assert wh.replace_periods("silver_clean", silver, periods) == {(2024, 1): 2, (2024, 2): 1}
+    assert wh.replace_periods("silver_clean", silver, periods) == {(2024, 1): 2, (2024, 2): 1}
+    assert wh.read("silver_clean").count() == 3
+    only_feb = silver.filter(F.col("reference_month") == 2)
+    assert wh.replace_periods("silver_clean", only_feb, periods) == {(2024, 1): 0, (2024, 2): 1}
+    counts = {r.reference_month: r["count"] for r in wh.read("silver_clean").groupBy("reference_month").count().collect()}
+    assert counts == {2: 1}
+    # a period not requested is left alone
+    wh.replace_periods("silver_clean", silver, [(2024, 1)])
+    assert wh.read("silver_clean").count() == 3
+
+
+def test_whole_run_over_landed_files(spark):
+    from tripyard.plans.job import run
+
+    root = scratch_dir(spark, "run")
+    raw = fixture_raw_trips(spark, TESTDATA, "events")
+    R.land_raw_files(raw, f"{root}/landing")
+    result = run(spark, [(2024, 1)], f"{root}/landing", f"{root}/wh", f"{root}/work",
+                 layout=R.SPARK_LAYOUT, min_file_bytes=0, load_bronze=True)
+    m = {r.metric: r.value for r in result.summary.collect()}
+    assert m["total"] == 1000 and m["total_valid"] == 817
+    assert m["total_valid"] + m["total_rejected"] == m["total"]
+    assert m["silver_clean_rows"] == 817 and m["silver_rejected_rows"] == 183
+    assert m["trips_by_day_rows"] == 30 and m["hourly_demand_rows"] == 24
+    assert result.loaded["bronze"] == {(2024, 1): 1000}
+    assert result.loaded["silver_clean"] == {(2024, 1): 817}

@@ -87,7 +87,13 @@ class Warehouse:
         return f"{self.prefix}{ns}.{name}"
 
     def create_tables(self) -> None:
-        """Namespaces and tables, created only when absent."""
+        """Namespaces and tables, created only when absent.
+
+        The tables carry dynamic partition overwrite as their own option (a
+        writer option is not applied by insertInto, and the session setting
+        belongs to the user): an overwrite replaces only the periods it
+        writes, while a fully specified PARTITION clause still replaces
+        exactly that period."""
         for ns in sorted({ns for ns, _ in TABLES.values()}):
             self.spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS {self.prefix}{ns} LOCATION '{self.root}/{ns}'"
@@ -98,7 +104,8 @@ class Warehouse:
             ns, name = TABLES[key]
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.table(key)} ({', '.join(cols)}) "
-                f"USING parquet PARTITIONED BY ({', '.join(PERIOD_COLUMNS)}) "
+                f"USING parquet OPTIONS ('partitionOverwriteMode' 'dynamic') "
+                f"PARTITIONED BY ({', '.join(PERIOD_COLUMNS)}) "
                 f"LOCATION '{self.root}/{ns}/{name}'"
             )
 

@@ -42,7 +42,18 @@ def in_periods(periods: list[tuple[int, int]] | None) -> Column:
     return period_key(F.col("reference_year"), F.col("reference_month")).isin(keys)
 
 
-def write_staging(flagged: DataFrame, root: str, rebalance: bool = False) -> None:
+def period_counts(periods: list[tuple[int, int]], condition: Column | None = None) -> list[Column]:
+    """One count per requested period (optionally of rows meeting ``condition``),
+    for ``observe``: the list is bounded by the number of periods asked for."""
+    period = period_key(F.col("reference_year"), F.col("reference_month"))
+    tag = "" if condition is None else "_if"
+    cond = F.lit(True) if condition is None else condition
+    return [F.count_if((period == y * 100 + m) & cond).alias(f"p{y}_{m}{tag}") for y, m in periods]
+
+
+def write_staging(
+    flagged: DataFrame, root: str, rebalance: bool = False, periods: list[tuple[int, int]] | None = None
+) -> dict[tuple[int, int], tuple[int, int]]:
     """Cleaned and flagged trips, partitioned by period and validity, in
     one pass (the valid and rejected sets are partitions, not extra writes).
 
@@ -50,16 +61,24 @@ def write_staging(flagged: DataFrame, root: str, rebalance: bool = False) -> Non
     monthly files every task holds one month, so no shuffle is needed. With
     it, AQE rebalances by period (splitting a month that holds most rows)
     for inputs whose tasks mix months.
+
+    Returns (rows, valid rows) per requested period, observed on the write.
     """
     out = flagged.withColumn("is_valid", F.col("rejection_reason").isNull())
     if rebalance:
         out = out.hint("rebalance", *PERIOD_COLUMNS)
+    obs = Observation("staging")
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    metrics += period_counts(periods or []) + period_counts(periods or [], F.col("is_valid"))
     (
-        out.write.mode("overwrite")
+        out.observe(obs, *metrics)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PERIOD_COLUMNS, "is_valid")
         .parquet(root)
     )
+    seen = obs.get
+    return {(y, m): (int(seen[f"p{y}_{m}"]), int(seen[f"p{y}_{m}_if"])) for y, m in periods or []}
 
 
 def read_staging(
@@ -124,14 +143,13 @@ class Warehouse:
         replaced and the total count is returned under key (0, 0).
         """
         table = self.table(key)
-        columns = self.spark.table(table).columns
+        schema = self.spark.table(table).schema
+        columns = schema.fieldNames()
         audit = AUDIT_COLUMNS.get(key, _GOLD_AUDIT)
         rows = df.filter(in_periods(periods)).withColumn(audit, F.current_timestamp())
-        rows = rows.select(*[F.col(c).cast(self.spark.table(table).schema[c].dataType) for c in columns])
+        rows = rows.select(*[F.col(c).cast(schema[c].dataType) for c in columns])
         obs = Observation(f"load_{key}")
-        period = period_key(F.col("reference_year"), F.col("reference_month"))
-        metrics = [F.count(F.lit(1)).alias("rows")]
-        metrics += [F.count_if(period == y * 100 + m).alias(f"p{y}_{m}") for y, m in periods or []]
+        metrics = [F.count(F.lit(1)).alias("rows")] + period_counts(periods or [])
         (
             rows.observe(obs, *metrics)
             .write.mode("overwrite")
@@ -142,7 +160,6 @@ class Warehouse:
         if periods is None:
             return {(0, 0): int(seen.get("rows", 0))}
         counts = {(y, m): int(seen.get(f"p{y}_{m}", 0)) for y, m in periods}
-        schema = self.spark.table(table).schema
         nothing = ", ".join(
             f"CAST(NULL AS {schema[c].dataType.simpleString()}) AS {c}"
             for c in columns if c not in PERIOD_COLUMNS

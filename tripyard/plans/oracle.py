@@ -4,7 +4,8 @@ The SQL re-derives each result from the test tables (views ``events`` and
 ``lineitem``) without any Spark code. Rules that keep both engines equal:
 
 * Spark rounds a double through its shortest decimal text (1.005 -> 1.01);
-  here the same is done with ``CAST(CAST(x AS VARCHAR) AS DECIMAL(38,17))``.
+  here the same is done through ``CAST(x AS VARCHAR)`` read back as a DECIMAL
+  with 28 fraction digits (17 would drop the last digit of 0.034999999999999996).
 * DuckDB rounds when casting to SMALLINT, Spark truncates: ``trunc`` first.
 * Means are exact: HALF_UP of (sum in cents) / n with integer arithmetic.
 * Money leaves both engines as DOUBLE (the nearest double to the decimal).
@@ -36,10 +37,17 @@ from tripyard.schema import (
 PERIOD = "reference_year, reference_month"
 
 
+def _exact_text(x: str) -> str:
+    """The shortest decimal text of a double as a DECIMAL with enough fraction
+    digits to keep every digit of it (a double's text can have 18+ of them)."""
+    return f"TRY_CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,28))"
+
+
 def _round2(x: str) -> str:
     return (
-        f"CASE WHEN isnan({x}) OR isinf({x}) THEN {x} ELSE "
-        f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE) END"
+        f"CASE WHEN isnan({x}) OR isinf({x}) THEN {x} "
+        f"WHEN abs({x}) >= 1e9 THEN round({x}, 2) ELSE "
+        f"CAST(round({_exact_text(x)}, 2) AS DOUBLE) END"
     )
 
 
@@ -53,7 +61,7 @@ def _code(x: str) -> str:
 def _money(x: str, t: str = "DECIMAL(10,2)") -> str:
     return (
         f"CASE WHEN isnan({x}) OR isinf({x}) THEN NULL ELSE "
-        f"TRY_CAST(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,17)) AS {t}) END"
+        f"TRY_CAST(coalesce({_exact_text(x)}, CAST({x} AS DECIMAL(38,2))) AS {t}) END"
     )
 
 

@@ -57,7 +57,7 @@ def _silver(raw: DataFrame) -> DataFrame:
 
 def _constraints(raw: DataFrame) -> DataFrame:
     valid, rejected = V.split_valid_rejected(_staged(raw))
-    gold = G.gold_tables(G.gold_partials(V.silver_layout(valid)))
+    gold = G.gold_tables(G.gold_partials(V.silver_layout(valid)).checkpoint(eager=True))
     return Q.constraint_violations(valid, V.rejected_layout(rejected), gold)
 
 

@@ -6,13 +6,15 @@ directory, then returns the read-back result as a DataFrame.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripyard.operators.clean import clean_trips
 from tripyard.operators.validate import flag_trips, silver_layout, valid_trips
 from tripyard.plans.job import run_frame
-from tripyard.schema import PERIOD_COLUMNS, SILVER_CLEAN_SCHEMA
+from tripyard.schema import SILVER_CLEAN_SCHEMA
 from tripyard.session import scratch_dir
 from tripyard.sinks.warehouse import Warehouse, read_staging, write_staging
 from tripyard.sources.fixtures import fixture_periods, fixture_raw_trips
@@ -77,8 +79,6 @@ def raw_file_inventory(spark: SparkSession, sf_dir: str, source: str = "lineitem
 
 
 def _prefix(tag: str) -> str:
-    import uuid
-
     return f"ty_{tag}_{uuid.uuid4().hex[:8]}_"
 
 
@@ -89,4 +89,3 @@ WRITE_QUERIES = {
     "raw_file_scan": raw_file_scan,
     "file_inventory": raw_file_inventory,
 }
-__all__ = ["WRITE_QUERIES", "PERIOD_COLUMNS"]

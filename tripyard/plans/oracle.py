@@ -418,6 +418,8 @@ def write_sql(key: str, source: str) -> str | None:
         return stage_sql("flagged_trips", source)
     if key == "period_replace":
         return stage_sql("silver_clean", source)
+    if key == "bronze_table":
+        return stage_sql("bronze_trips", source)
     if key == "load_counts":
         return _load_counts_sql(source)
     if key == "raw_file_scan":

@@ -11,10 +11,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripyard.operators.clean import clean_trips
+from tripyard.operators.clean import bronze_layout, clean_trips
 from tripyard.operators.validate import flag_trips, silver_layout, valid_trips
 from tripyard.plans.job import run_frame
-from tripyard.schema import SILVER_CLEAN_SCHEMA
+from tripyard.schema import BRONZE_SCHEMA, SILVER_CLEAN_SCHEMA
 from tripyard.session import scratch_dir
 from tripyard.sinks.warehouse import Warehouse, read_staging, write_staging
 from tripyard.sources.fixtures import fixture_periods, fixture_raw_trips
@@ -50,6 +50,17 @@ def period_replace(spark: SparkSession, sf_dir: str, source: str = "lineitem") -
     return wh.read("silver_clean").select(*[F.col(f.name) for f in SILVER_CLEAN_SCHEMA])
 
 
+def bronze_table(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
+    """S15 raw.yellow_taxi: raw trips loaded with lineage (period replace),
+    read back without the load time."""
+    raw = fixture_raw_trips(spark, sf_dir, source)
+    periods = fixture_periods(spark, sf_dir, source)
+    wh = Warehouse(spark, scratch_dir(spark, "warehouse"), prefix=_prefix("bz"))
+    wh.create_tables()
+    wh.replace_periods("bronze", bronze_layout(raw), periods)
+    return wh.read("bronze").select(*[f.name for f in BRONZE_SCHEMA])
+
+
 def load_counts(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
     """The whole run; its summary (period, metric, value)."""
     raw = fixture_raw_trips(spark, sf_dir, source)
@@ -85,6 +96,7 @@ def _prefix(tag: str) -> str:
 WRITE_QUERIES = {
     "staging_roundtrip": staging_roundtrip,
     "period_replace": period_replace,
+    "bronze_table": bronze_table,
     "load_counts": load_counts,
     "raw_file_scan": raw_file_scan,
     "file_inventory": raw_file_inventory,

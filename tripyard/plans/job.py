@@ -53,10 +53,17 @@ def load_silver_and_gold(
     valid = read_staging(spark, staging_root, periods, valid=True)
     loaded["silver_clean"] = warehouse.replace_periods("silver_clean", silver_layout(valid), periods)
     rejected = read_staging(spark, staging_root, periods, valid=False)
-    # The gold groupings are small; a reliable checkpoint (shared folder) cuts
-    # the lineage so the five table writes reuse them without re-reading silver,
-    # and survives the loss of executors.
-    partials = gold_partials(warehouse.read("silver_clean", periods)).checkpoint(eager=True)
+    # The gold groupings are small (bounded by months x keys, not by trips).
+    # Clustering them by period makes each month's rows one task, so every
+    # gold table gets one file per month instead of one per task and month,
+    # and the payment share window needs no further shuffle. A reliable
+    # checkpoint (shared folder) then cuts the lineage: the five table writes
+    # reuse it without re-reading silver, and it survives executor loss.
+    partials = (
+        gold_partials(warehouse.read("silver_clean", periods))
+        .repartition(*PERIOD_COLUMNS)
+        .checkpoint(eager=True)
+    )
     writes = {name: table for name, table in gold_tables(partials).items()}
     writes["silver_rejected"] = rejected_layout(rejected)
     # Independent small writes run as concurrent jobs (each has few tasks).
@@ -161,7 +168,9 @@ def run_frame(
     warehouse.create_tables()
     loaded = {}
     if load_bronze:
-        loaded["bronze"] = warehouse.replace_periods("bronze", bronze_layout(raw), periods)
+        loaded["bronze"] = warehouse.replace_periods(
+            "bronze", bronze_layout(raw), periods, rebalance=rebalance
+        )
     staging_root = f"{work_root.rstrip('/')}/staging"
     flagged = flag_trips(clean_trips(raw)).filter(in_periods(periods))
     staged = write_staging(flagged, staging_root, rebalance=rebalance, periods=periods)

@@ -45,8 +45,8 @@ def period_replace(spark: SparkSession, sf_dir: str, source: str = "lineitem") -
     wh = Warehouse(spark, scratch_dir(spark, "warehouse"), prefix=_prefix("pr"))
     wh.create_tables()
     silver = silver_layout(valid_trips(flag_trips(clean_trips(raw)).checkpoint(eager=True)))
-    wh.replace_periods("silver_clean", silver, periods)
-    wh.replace_periods("silver_clean", silver, periods)
+    wh.replace_periods("silver_clean", silver, periods, rebalance=True)
+    wh.replace_periods("silver_clean", silver, periods, rebalance=True)
     return wh.read("silver_clean").select(*[F.col(f.name) for f in SILVER_CLEAN_SCHEMA])
 
 
@@ -57,7 +57,7 @@ def bronze_table(spark: SparkSession, sf_dir: str, source: str = "lineitem") ->
     periods = fixture_periods(spark, sf_dir, source)
     wh = Warehouse(spark, scratch_dir(spark, "warehouse"), prefix=_prefix("bz"))
     wh.create_tables()
-    wh.replace_periods("bronze", bronze_layout(raw), periods)
+    wh.replace_periods("bronze", bronze_layout(raw), periods, rebalance=True)
     return wh.read("bronze").select(*[f.name for f in BRONZE_SCHEMA])
 
 

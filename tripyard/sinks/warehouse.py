@@ -134,13 +134,20 @@ class Warehouse:
         return self.spark.table(self.table(key)).filter(in_periods(periods)).drop(audit)
 
     def replace_periods(
-        self, key: str, df: DataFrame, periods: list[tuple[int, int]] | None = None
+        self,
+        key: str,
+        df: DataFrame,
+        periods: list[tuple[int, int]] | None = None,
+        rebalance: bool = False,
     ) -> dict[tuple[int, int], int]:
         """Replace the given periods of a table with ``df``'s rows.
 
         Returns the loaded row count per requested period (observed on the
         write). With ``periods=None`` the periods present in ``df`` are
         replaced and the total count is returned under key (0, 0).
+        ``rebalance`` is for inputs whose tasks mix months: AQE then clusters
+        rows by period (splitting a dominant month) so each task writes few
+        files; inputs read from period partitions need no shuffle.
         """
         table = self.table(key)
         schema = self.spark.table(table).schema
@@ -148,6 +155,8 @@ class Warehouse:
         audit = AUDIT_COLUMNS.get(key, _GOLD_AUDIT)
         rows = df.filter(in_periods(periods)).withColumn(audit, F.current_timestamp())
         rows = rows.select(*[F.col(c).cast(schema[c].dataType) for c in columns])
+        if rebalance:
+            rows = rows.hint("rebalance", *PERIOD_COLUMNS)
         obs = Observation(f"load_{key}")
         metrics = [F.count(F.lit(1)).alias("rows")] + period_counts(periods or [])
         (

@@ -4,11 +4,13 @@ Every query runs to completion through Spark's no-op sink (the whole plan
 executes, nothing is collected). Prints ONE JSON line:
 {"metric": "total_query_seconds", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
-Two extra entries compare gold loading strategies on the same silver rows:
-``gold_one_pass`` (GROUPING SETS once, checkpointed, five tables from it) and
-``gold_per_table_recount`` (one aggregate per table, each counted twice before
-being written, plus a separate total count: the pass structure of a
-per-table loader). They are reported, not added to the total.
+Extra entries, reported but not added to the total, compare strategies on
+the same rows: ``gold_one_pass`` (GROUPING SETS once, checkpointed, five
+tables from it) against ``gold_per_table_recount`` (one aggregate per table,
+each counted twice before being written, plus a total count); and
+``month_run`` (the run for one month) against
+``month_reference_pass_structure`` (the same month with the pass structure of
+a per-month pipeline that re-counts at every step).
 """
 
 from __future__ import annotations
@@ -21,11 +23,16 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import uuid  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
 from tripyard.operators import gold as G  # noqa: E402
 from tripyard.operators import validate as V  # noqa: E402
 from tripyard.operators.clean import clean_trips  # noqa: E402
 from tripyard.plans.registry import queries  # noqa: E402
-from tripyard.session import local_session  # noqa: E402
+from tripyard.plans.job import run_frame  # noqa: E402
+from tripyard.session import local_session, scratch_dir  # noqa: E402
 from tripyard.sources.fixtures import fixture_raw_trips  # noqa: E402
 
 HEADLINE = [
@@ -81,6 +88,51 @@ def gold_per_table_recount(silver):
         run_noop(table)
 
 
+def reference_pass_structure_month(spark, sf_dir):
+    """One month (events) with the pass structure of a per-month pipeline
+    that re-counts at every step: clean (count raw, count clean, write
+    staging in 4 files), validate (read staging, count valid, count rejected,
+    reason histogram, write valid in 4 and rejected in 2 files), silver
+    (read, count, write; read, count, write), gold (five tables, each
+    counted twice then written, plus a separate total count). Same operators,
+    same rows; bench-only comparison, not part of the library."""
+    root = scratch_dir(spark, "refstyle")
+    raw = fixture_raw_trips(spark, sf_dir, "events")
+    raw.count()
+    clean = clean_trips(raw)
+    clean.count()
+    clean.coalesce(4).write.mode("overwrite").parquet(f"{root}/staging")
+    staged = spark.read.parquet(f"{root}/staging")
+    valid, rejected = V.split_valid_rejected(V.flag_trips(staged))
+    valid.count()
+    rejected.count()
+    rejected.groupBy("rejection_reason").count().orderBy(F.desc("count")).collect()
+    valid.coalesce(4).write.mode("overwrite").parquet(f"{root}/valid")
+    V.rejected_layout(rejected).coalesce(2).write.mode("overwrite").parquet(f"{root}/rejected")
+    silver = V.silver_layout(spark.read.parquet(f"{root}/valid"))
+    silver.count()
+    silver.count()
+    silver.write.mode("overwrite").parquet(f"{root}/silver")
+    rej = spark.read.parquet(f"{root}/rejected")
+    rej.count()
+    rej.write.mode("overwrite").parquet(f"{root}/silver_rejected")
+    gold_in = V.silver_layout(spark.read.parquet(f"{root}/valid"))
+    gold_in.count()
+    for name in G.GOLD_KEYS:
+        table = G.gold_table(gold_in, name)
+        table.count()
+        table.count()
+        table.write.mode("overwrite").parquet(f"{root}/gold_{name}")
+
+
+def our_run_month(spark, sf_dir):
+    """The same month through the run (one raw pass, staging partitions,
+    one-pass gold), including its warehouse tables and summary."""
+    root = scratch_dir(spark, "ourrun")
+    raw = fixture_raw_trips(spark, sf_dir, "events")
+    run_frame(spark, raw, [(2024, 1)], f"{root}/wh", f"{root}/work", prefix=f"b{uuid.uuid4().hex[:6]}_")
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -94,6 +146,8 @@ def main() -> None:
     extra = {
         "gold_one_pass": timed(lambda: gold_one_pass(silver)),
         "gold_per_table_recount": timed(lambda: gold_per_table_recount(silver)),
+        "month_reference_pass_structure": timed(lambda: reference_pass_structure_month(spark, sf_dir)),
+        "month_run": timed(lambda: our_run_month(spark, sf_dir)),
     }
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({

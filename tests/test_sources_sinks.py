@@ -91,3 +91,18 @@ def test_whole_run_over_landed_files(spark):
     assert m["trips_by_day_rows"] == 30 and m["hourly_demand_rows"] == 24
     assert result.loaded["bronze"] == {(2024, 1): 1000}
     assert result.loaded["silver_clean"] == {(2024, 1): 817}
+
+
+def test_empty_reload_through_the_run_clears_the_month(spark):
+    from tripyard.plans.job import run_frame
+
+    root = scratch_dir(spark, "empty")
+    raw = fixture_raw_trips(spark, TESTDATA, "events")
+    first = run_frame(spark, raw, [(2024, 1)], f"{root}/wh", f"{root}/w1", prefix="t_empty_")
+    assert first.loaded["trips_by_day"] == {(2024, 1): 30}
+    again = run_frame(spark, raw.limit(0), [(2024, 1)], f"{root}/wh", f"{root}/w2", prefix="t_empty_")
+    m = {r.metric: r.value for r in again.summary.collect()}
+    assert m == {"total": 0.0, "total_valid": 0.0, "total_rejected": 0.0, "pct_rejected": 0.0}
+    wh = Warehouse(spark, f"{root}/wh", prefix="t_empty_")
+    for key in ("silver_clean", "silver_rejected", "trips_by_day", "payment_summary"):
+        assert wh.read(key).count() == 0, key

@@ -19,13 +19,20 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripyard.functions.numeric import rounded_percent
 from tripyard.operators.clean import bronze_layout, clean_trips
 from tripyard.operators.gold import gold_partials, gold_tables
 from tripyard.operators.validate import flag_trips, rejected_layout, silver_layout
 from tripyard.schema import GOLD_SCHEMAS, MIN_RAW_FILE_BYTES, PERIOD_COLUMNS
-from tripyard.sinks.warehouse import Warehouse, in_periods, read_staging, write_staging
+from tripyard.sinks.warehouse import (
+    Warehouse,
+    in_periods,
+    read_staging,
+    staging_schema,
+    write_staging,
+)
 from tripyard.sources.raw_files import (
     FLAT_LAYOUT,
     file_inventory,
@@ -47,12 +54,13 @@ def load_silver_and_gold(
     staging_root: str,
     warehouse: Warehouse,
     periods: list[tuple[int, int]],
+    schema: StructType | None = None,
 ) -> dict[str, dict[tuple[int, int], int]]:
     """S11-S13 for the given periods, reading the staging partitions."""
     loaded = {}
-    valid = read_staging(spark, staging_root, periods, valid=True)
+    valid = read_staging(spark, staging_root, periods, valid=True, schema=schema)
     loaded["silver_clean"] = warehouse.replace_periods("silver_clean", silver_layout(valid), periods)
-    rejected = read_staging(spark, staging_root, periods, valid=False)
+    rejected = read_staging(spark, staging_root, periods, valid=False, schema=schema)
     # The gold groupings are small (bounded by months x keys, not by trips).
     # Clustering them by period makes each month's rows one task, so every
     # gold table gets one file per month instead of one per task and month,
@@ -82,14 +90,15 @@ def observed_summary(
     loaded: dict[str, dict[tuple[int, int], int]],
 ) -> DataFrame:
     """(reference_year, reference_month, metric, value) of the run, from
-    the counts observed on the writes (one row per period and metric; periods
-    without rows in a table have no row for it)."""
+    the counts observed on the writes. Every requested period reports its
+    totals (0 and pct_rejected 0 when it had no rows); a table reports a
+    period only when it loaded rows for it."""
     rows = []
     for (y, m), (total, valid) in sorted(staged.items()):
-        if total == 0:
-            continue
         rejected = total - valid
-        pct = float((Decimal(rejected * 100) / Decimal(total)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+        pct = 0.0 if total == 0 else float(
+            (Decimal(rejected * 100) / Decimal(total)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        )
         rows += [(y, m, "total", float(total)), (y, m, "total_valid", float(valid)),
                  (y, m, "total_rejected", float(rejected)), (y, m, "pct_rejected", pct)]
     for key, counts in loaded.items():
@@ -174,6 +183,8 @@ def run_frame(
     staging_root = f"{work_root.rstrip('/')}/staging"
     flagged = flag_trips(clean_trips(raw)).filter(in_periods(periods))
     staged = write_staging(flagged, staging_root, rebalance=rebalance, periods=periods)
-    loaded.update(load_silver_and_gold(spark, staging_root, warehouse, periods))
+    loaded.update(
+        load_silver_and_gold(spark, staging_root, warehouse, periods, staging_schema(flagged))
+    )
     summary_loads = {k: v for k, v in loaded.items() if k != "bronze"}
     return RunResult(observed_summary(spark, staged, summary_loads), loaded, staging_root)

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tripyard.schema import PERIOD_COLUMNS, TABLE_SCHEMAS, TABLES
 
@@ -81,12 +82,21 @@ def write_staging(
     return {(y, m): (int(seen[f"p{y}_{m}"]), int(seen[f"p{y}_{m}_if"])) for y, m in periods or []}
 
 
+def staging_schema(flagged: DataFrame) -> StructType:
+    """Schema of the staging table written from ``flagged``."""
+    return StructType(flagged.schema.fields + [StructField("is_valid", BooleanType())])
+
+
 def read_staging(
-    spark: SparkSession, root: str, periods=None, valid: bool | None = None
+    spark: SparkSession, root: str, periods=None, valid: bool | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """Staging read back; period and validity filters prune partitions.
-    Partition columns come back as int from paths, so they are narrowed again."""
-    df = spark.read.parquet(root).filter(in_periods(periods))
+    Partition columns come back as int from paths, so they are narrowed again.
+    With ``schema`` (see staging_schema) a run whose months were all empty
+    reads back as empty instead of failing schema inference."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(root).filter(in_periods(periods))
     if valid is not None:
         df = df.filter(F.col("is_valid") == F.lit(valid))
     return df.withColumns({c: F.col(c).cast("smallint") for c in PERIOD_COLUMNS})

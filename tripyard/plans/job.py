@@ -2,9 +2,11 @@
 
 raw files --(1 pass)--> staging (cleaned + flagged, partitioned by period and
 validity) --> silver clean (valid partitions) and silver rejected (rejected
-partitions) --> gold: one GROUPING SETS pass over silver clean, checkpointed
-(it is small: days + zones + payment codes + hours per month), then five
-tables from it. The run summary is computed from the written tables.
+partitions) --> gold: one GROUPING SETS pass over silver clean, clustered by
+month and checkpointed (it is small: days + zones + payment codes + hours per
+month), then five tables from it. The rejected load and the five gold writes
+run as concurrent jobs. The run summary comes from row counts observed on
+the writes themselves.
 
 Compared with one job per month that re-counts at every step, the raw data
 is read once, the valid trips twice (silver write, gold read) and the
@@ -74,7 +76,7 @@ def load_silver_and_gold(
     )
     writes = {name: table for name, table in gold_tables(partials).items()}
     writes["silver_rejected"] = rejected_layout(rejected)
-    # Independent small writes run as concurrent jobs (each has few tasks).
+    # Independent writes run as concurrent jobs (the gold ones have few tasks).
     with ThreadPoolExecutor(max_workers=len(writes)) as pool:
         futures = {k: pool.submit(warehouse.replace_periods, k, df, periods) for k, df in writes.items()}
         loaded.update({k: f.result() for k, f in futures.items()})

@@ -132,6 +132,7 @@ CLEAN_COLUMNS = [
     "trip_speed_mph", "reference_year", "reference_month", "source_file",
 ]
 
+# --- fixed values: warehouse table layouts (names, order, types, keys, limits) ---
 MONEY = DecimalType(10, 2)   # NUMERIC(10,2)
 TOTAL = DecimalType(14, 2)   # NUMERIC(14,2)
 PERCENT = DecimalType(5, 2)  # NUMERIC(5,2)
@@ -302,3 +303,4 @@ LENGTH_LIMITS = {
     "bronze": {"source_file": 255, "store_and_fwd_flag": 3},
     "payment_summary": {"payment_type_desc": 50},
 }
+# --- end of fixed values ---

@@ -24,6 +24,7 @@ from tripyard.operators import stats as S
 from tripyard.operators import validate as V
 from tripyard.plans import oracle as O
 from tripyard.plans.writes import WRITE_QUERIES
+from tripyard.session import scratch_dir
 from tripyard.sources.fixtures import fixture_raw_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,11 +45,16 @@ def _flagged(raw: DataFrame) -> DataFrame:
 
 
 def _staged(raw: DataFrame) -> DataFrame:
-    """Flagged trips materialised once (reliable checkpoint in the shared
-    checkpoint folder), as the run does with its staging write. Without it
+    """Flagged trips written once as a Parquet table in the shared scratch
+    folder and read back, as the run does with its staging write. Without it
     the valid/rejected filter is pushed below every projection and the rule
-    chain is evaluated twice, in the scan stage."""
-    return _flagged(raw).checkpoint(eager=True)
+    chain is evaluated twice, in the scan stage; read back, later steps scan
+    only the columns they use."""
+    flagged = _flagged(raw)
+    spark = flagged.sparkSession
+    path = scratch_dir(spark, "flagged")
+    flagged.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _silver(raw: DataFrame) -> DataFrame:

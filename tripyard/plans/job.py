@@ -27,7 +27,7 @@ from tripyard.functions.numeric import rounded_percent
 from tripyard.operators.clean import bronze_layout, clean_trips
 from tripyard.operators.gold import gold_partials, gold_tables
 from tripyard.operators.validate import flag_trips, rejected_layout, silver_layout
-from tripyard.schema import GOLD_SCHEMAS, MIN_RAW_FILE_BYTES, PERIOD_COLUMNS
+from tripyard.schema import FIRST_YEAR, GOLD_SCHEMAS, MIN_RAW_FILE_BYTES, PERIOD_COLUMNS
 from tripyard.sinks.warehouse import (
     Warehouse,
     in_periods,
@@ -41,6 +41,7 @@ from tripyard.sources.raw_files import (
     raw_file_path,
     read_raw_trips,
     require_valid_files,
+    resolve_periods,
 )
 
 
@@ -153,8 +154,11 @@ def run(
     layout: str = FLAT_LAYOUT,
     min_file_bytes: int = MIN_RAW_FILE_BYTES,
     load_bronze: bool = False,
+    first_year: int = FIRST_YEAR,
 ) -> RunResult:
-    """The whole run over raw monthly files for the given periods."""
+    """The whole run over raw monthly files for the given periods: period
+    arguments checked (S4), raw files checked (S3), then scanned (S1)."""
+    periods = resolve_periods(periods, first_year=first_year)
     inventory = file_inventory(spark, raw_root, periods, min_file_bytes, layout)
     require_valid_files(inventory)
     raw = read_raw_trips(spark, [raw_file_path(raw_root, y, m, layout) for y, m in periods])

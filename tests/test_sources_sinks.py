@@ -24,6 +24,11 @@ def test_check_period_and_ranges():
     assert R.raw_file_path("/d/", 2024, 3) == "/d/yellow_tripdata_2024-03.parquet"
 
 
+def test_period_range_frame_matches_list(spark):
+    got = [(r.reference_year, r.reference_month) for r in R.period_range_frame(spark, (2023, 11), (2024, 2)).collect()]
+    assert got == R.month_range((2023, 11), (2024, 2))
+
+
 def test_scan_months_with_different_footers(spark):
     root = scratch_dir(spark, "mixed")
     a = spark.createDataFrame(

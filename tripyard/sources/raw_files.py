@@ -68,6 +68,22 @@ def periods_frame(spark: SparkSession, periods: list[tuple[int, int]]) -> DataFr
     )
 
 
+def period_range_frame(spark: SparkSession, start: tuple[int, int], end: tuple[int, int]) -> DataFrame:
+    """S5 as a DataFrame: every month from start to end inclusive, built by
+    Spark (``sequence`` of month starts, exploded)."""
+    months = F.explode(
+        F.sequence(
+            F.make_date(F.lit(start[0]), F.lit(start[1]), F.lit(1)),
+            F.make_date(F.lit(end[0]), F.lit(end[1]), F.lit(1)),
+            F.expr("INTERVAL 1 MONTH"),
+        )
+    ).alias("month_start")
+    return spark.range(1).select(months).select(
+        F.year("month_start").cast("smallint").alias("reference_year"),
+        F.month("month_start").cast("smallint").alias("reference_month"),
+    )
+
+
 def raw_file_path(root: str, year: int, month: int, layout: str = FLAT_LAYOUT) -> str:
     """The path of a month's raw file."""
     return layout.format(root=root.rstrip("/"), year=year, month=month)

@@ -60,3 +60,14 @@ def test_top_zones_limits_before_the_window_shuffle(landed, capsys):
     text = plan(G.top_zones(landed[2].read("silver_clean", PERIODS), 10), capsys)
     assert "WindowGroupLimit" in text
     assert re.search(r"ReadSchema: struct<pu_location_id:smallint,do_location_id:smallint>", text)
+
+
+def test_valid_read_from_raw_pushes_month_bounds_to_parquet(spark, capsys):
+    root = scratch_dir(spark, "pushdown")
+    R.land_raw_files(fixture_raw_trips(spark, TESTDATA, "events"), root)
+    raw = R.read_raw_trips(spark, [R.raw_file_path(root, 2024, 1, R.SPARK_LAYOUT)])
+    valid = V.valid_trips(V.flag_trips(C.clean_trips(raw)))
+    pushed = re.search(r"PushedFilters: \[(.*)\]", plan(valid, capsys)).group(1)
+    assert "GreaterThanOrEqual(tpep_pickup_datetime,2024-01-01T00:00)" in pushed
+    assert "LessThan(tpep_pickup_datetime,2024-02-01T00:00)" in pushed
+    assert valid.count() == 817

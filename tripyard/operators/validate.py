@@ -75,9 +75,24 @@ def flag_trips(clean: DataFrame) -> DataFrame:
 
 
 def split_valid_rejected(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows without the reason column; rejected rows with it."""
+    """Valid rows without the reason column; rejected rows with it.
+
+    The valid filter also states what every valid row satisfies anyway (both
+    times present, pickup inside its month) as plain conjuncts: over a raw
+    month scan the bounds are literals, so they reach the Parquet reader as
+    pushed filters and row groups outside the month are skipped.
+    """
     reason = F.col("rejection_reason")
-    return flagged.filter(reason.isNull()).drop("rejection_reason"), flagged.filter(reason.isNotNull())
+    pickup = F.col("pickup_datetime")
+    year, month = F.col("reference_year"), F.col("reference_month")
+    implied = (
+        pickup.isNotNull()
+        & F.col("dropoff_datetime").isNotNull()
+        & (pickup >= period_start(year, month))
+        & (pickup < period_end(year, month))
+    )
+    valid = flagged.filter(reason.isNull() & implied).drop("rejection_reason")
+    return valid, flagged.filter(reason.isNotNull())
 
 
 def valid_trips(flagged: DataFrame) -> DataFrame:

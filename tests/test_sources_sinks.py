@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import TESTDATA, trip
 from tripyard.operators import clean as C
 from tripyard.operators import validate as V
+from tripyard.schema import SILVER_CLEAN_SCHEMA
 from tripyard.session import scratch_dir
 from tripyard.sinks.warehouse import Warehouse, read_staging, write_staging
 from tripyard.sources import raw_files as R
@@ -113,3 +114,15 @@ def test_empty_reload_through_the_run_clears_the_month(spark):
     wh = Warehouse(spark, f"{root}/wh", prefix="t_empty_")
     for key in ("silver_clean", "silver_rejected", "trips_by_day", "payment_summary"):
         assert wh.read(key).count() == 0, key
+
+
+def test_refuses_to_load_a_table_without_dynamic_overwrite(spark, raw_frame):
+    wh = Warehouse(spark, scratch_dir(spark, "guard"), prefix="t_guard_")
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_guard_silver")
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SILVER_CLEAN_SCHEMA)
+    spark.sql(f"CREATE TABLE t_guard_silver.yellow_taxi_clean ({cols}, processed_at timestamp) "
+              f"USING parquet PARTITIONED BY (reference_year, reference_month) LOCATION '{wh.root}/plain'")
+    wh.create_tables()  # keeps the existing table
+    silver = V.silver_layout(V.valid_trips(V.flag_trips(C.clean_trips(raw_frame(trip())))))
+    with pytest.raises(ValueError, match="dynamically"):
+        wh.replace_periods("silver_clean", silver, [(2024, 1)])

@@ -110,6 +110,24 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
+        self._replaceable: set[str] = set()
+
+    def _require_dynamic_overwrite(self, table: str) -> None:
+        """Refuse to load a table that lacks the dynamic-overwrite option (one
+        made elsewhere, kept by IF NOT EXISTS): an overwrite would replace
+        every period of it, not just the loaded ones."""
+        if table in self._replaceable:
+            return
+        props = [
+            r.data_type for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+            if r.col_name == "Storage Properties"
+        ]
+        if not any("partitionOverwriteMode=dynamic" in p for p in props):
+            raise ValueError(
+                f"{table} does not replace partitions dynamically; recreate it with "
+                "OPTIONS ('partitionOverwriteMode' 'dynamic') before loading"
+            )
+        self._replaceable.add(table)
 
     def table(self, key: str) -> str:
         ns, name = TABLES[key]
@@ -160,6 +178,7 @@ class Warehouse:
         files; inputs read from period partitions need no shuffle.
         """
         table = self.table(key)
+        self._require_dynamic_overwrite(table)
         schema = self.spark.table(table).schema
         columns = schema.fieldNames()
         audit = AUDIT_COLUMNS.get(key, _GOLD_AUDIT)

@@ -126,3 +126,20 @@ def test_refuses_to_load_a_table_without_dynamic_overwrite(spark, raw_frame):
     silver = V.silver_layout(V.valid_trips(V.flag_trips(C.clean_trips(raw_frame(trip())))))
     with pytest.raises(ValueError, match="dynamically"):
         wh.replace_periods("silver_clean", silver, [(2024, 1)])
+
+
+def test_run_observes_constraint_violations_while_loading(spark, raw_frame):
+    from tripyard.plans.job import run_frame
+
+    root = scratch_dir(spark, "violations")
+    raw = raw_frame(trip(), trip(fare_amount=1e9), trip(PULocationID=0))
+    result = run_frame(spark, raw, [(2024, 1)], f"{root}/wh", f"{root}/work", prefix="t_viol_")
+    v = result.violations
+    assert v[("silver.yellow_taxi_clean", "not_null", "fare_amount")] == 1
+    assert v[("silver.yellow_taxi_clean", "numeric_10_2", "fare_amount")] == 1
+    assert v[("silver.rejected_records", "not_null", "rejection_reason")] == 0
+    assert v[("gold.hourly_demand", "hour_0_23", "hour_of_day")] == 0
+    assert v[("gold.trips_by_day", "unique", "reference_year,reference_month,trip_date")] == 0
+    others = {k: n for k, n in v.items() if k[2] != "fare_amount" and n}
+    assert others == {}
+    assert result.loaded["silver_clean"] == {(2024, 1): 2}

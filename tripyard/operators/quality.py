@@ -7,7 +7,7 @@ result is long-form: (table_name, check_name, column_name, violations).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tripyard.functions.numeric import money
@@ -46,8 +46,9 @@ def _length_checks(key: str) -> list[tuple[str, str, Column]]:
     ]
 
 
-def silver_clean_checks(valid: DataFrame) -> DataFrame:
-    """C1, C4, C5 on the valid trips as they would be stored in silver."""
+def silver_clean_check_exprs() -> list[tuple[str, str, Column]]:
+    """C1, C4, C5 of silver.yellow_taxi_clean as aggregates over the valid
+    trips before they are cast to the warehouse types."""
     checks = []
     for f in SILVER_CLEAN_SCHEMA:
         if not f.nullable:
@@ -55,18 +56,40 @@ def silver_clean_checks(valid: DataFrame) -> DataFrame:
             checks.append(("not_null", f.name, F.count_if(stored.isNull())))
     for c in SILVER_MONEY_COLUMNS:
         checks.append(("numeric_10_2", c, F.count_if(F.col(c).isNotNull() & money(F.col(c)).isNull())))
-    checks += _length_checks("silver_clean")
-    return _long("silver.yellow_taxi_clean", valid, checks)
+    return checks + _length_checks("silver_clean")
 
 
-def silver_rejected_checks(rejected: DataFrame) -> DataFrame:
-    """C1 and C5 on the rejected layout."""
+def silver_rejected_check_exprs() -> list[tuple[str, str, Column]]:
+    """C1 and C5 of silver.rejected_records as aggregates over its layout."""
     checks = [
         ("not_null", f.name, F.count_if(F.col(f.name).isNull()))
         for f in SILVER_REJECTED_SCHEMA if not f.nullable
     ]
-    checks += _length_checks("silver_rejected")
-    return _long("silver.rejected_records", rejected, checks)
+    return checks + _length_checks("silver_rejected")
+
+
+def observe_checks(df: DataFrame, name: str, checks: list[tuple[str, str, Column]]):
+    """Attach checks to ``df`` as observed metrics: they are computed by
+    whatever action runs on ``df`` (e.g. its load), with no pass of their own.
+    Returns (observed frame, function giving {(check, column): count})."""
+    obs = Observation(name)
+    observed = df.observe(obs, *[expr.alias(f"c{i}") for i, (_, _, expr) in enumerate(checks)])
+
+    def result() -> dict[tuple[str, str], int]:
+        seen = obs.get
+        return {(check, col): int(seen[f"c{i}"]) for i, (check, col, _) in enumerate(checks)}
+
+    return observed, result
+
+
+def silver_clean_checks(valid: DataFrame) -> DataFrame:
+    """C1, C4, C5 on the valid trips as they would be stored in silver."""
+    return _long("silver.yellow_taxi_clean", valid, silver_clean_check_exprs())
+
+
+def silver_rejected_checks(rejected: DataFrame) -> DataFrame:
+    """C1 and C5 on the rejected layout."""
+    return _long("silver.rejected_records", rejected, silver_rejected_check_exprs())
 
 
 def gold_checks(name: str, table: DataFrame) -> DataFrame:

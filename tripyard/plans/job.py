@@ -16,6 +16,7 @@ rejected trips once, whatever the number of months.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from dataclasses import dataclass, field
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -26,6 +27,12 @@ from pyspark.sql.types import StructType
 from tripyard.functions.numeric import rounded_percent
 from tripyard.operators.clean import bronze_layout, clean_trips
 from tripyard.operators.gold import gold_partials, gold_tables
+from tripyard.operators.quality import (
+    gold_checks,
+    observe_checks,
+    silver_clean_check_exprs,
+    silver_rejected_check_exprs,
+)
 from tripyard.operators.validate import flag_trips, rejected_layout, silver_layout
 from tripyard.schema import FIRST_YEAR, GOLD_SCHEMAS, MIN_RAW_FILE_BYTES, PERIOD_COLUMNS
 from tripyard.sinks.warehouse import (
@@ -50,6 +57,8 @@ class RunResult:
     summary: DataFrame
     loaded: dict[str, dict[tuple[int, int], int]] = field(default_factory=dict)
     staging_root: str = ""
+    # (table, check, column) -> rows breaking a warehouse constraint
+    violations: dict[tuple[str, str, str], int] = field(default_factory=dict)
 
 
 def load_silver_and_gold(
@@ -58,12 +67,19 @@ def load_silver_and_gold(
     warehouse: Warehouse,
     periods: list[tuple[int, int]],
     schema: StructType | None = None,
-) -> dict[str, dict[tuple[int, int], int]]:
-    """S11-S13 for the given periods, reading the staging partitions."""
+) -> tuple[dict[str, dict[tuple[int, int], int]], dict[tuple[str, str, str], int]]:
+    """S11-S13 for the given periods, reading the staging partitions.
+    Returns the loaded rows per table and period, and the constraint
+    violations (C1-C5) found while loading."""
     loaded = {}
     valid = read_staging(spark, staging_root, periods, valid=True, schema=schema)
+    # Warehouse constraints (C1, C4, C5) are observed on the loads themselves.
+    valid, silver_checks = observe_checks(valid, "silver_checks", silver_clean_check_exprs())
     loaded["silver_clean"] = warehouse.replace_periods("silver_clean", silver_layout(valid), periods)
     rejected = read_staging(spark, staging_root, periods, valid=False, schema=schema)
+    rejected, rejected_checks = observe_checks(
+        rejected_layout(rejected), "rejected_checks", silver_rejected_check_exprs()
+    )
     # The gold groupings are small (bounded by months x keys, not by trips).
     # Clustering them by period makes each month's rows one task, so every
     # gold table gets one file per month instead of one per task and month,
@@ -75,13 +91,21 @@ def load_silver_and_gold(
         .repartition(*PERIOD_COLUMNS)
         .checkpoint(eager=True)
     )
-    writes = {name: table for name, table in gold_tables(partials).items()}
-    writes["silver_rejected"] = rejected_layout(rejected)
-    # Independent writes run as concurrent jobs (the gold ones have few tasks).
-    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+    gold = gold_tables(partials)
+    writes = dict(gold)
+    writes["silver_rejected"] = rejected
+    # Gold checks read the small checkpointed groupings only (bounded rows).
+    gold_check_rows = reduce(DataFrame.unionByName, [gold_checks(n, t) for n, t in gold.items()])
+    # Independent jobs run concurrently (the gold ones have few tasks).
+    with ThreadPoolExecutor(max_workers=len(writes) + 1) as pool:
         futures = {k: pool.submit(warehouse.replace_periods, k, df, periods) for k, df in writes.items()}
+        checked = pool.submit(gold_check_rows.collect)
         loaded.update({k: f.result() for k, f in futures.items()})
-    return loaded
+        gold_violations = checked.result()
+    violations = {("silver.yellow_taxi_clean", *k): n for k, n in silver_checks().items()}
+    violations.update({("silver.rejected_records", *k): n for k, n in rejected_checks().items()})
+    violations.update({(r.table_name, r.check_name, r.column_name): r.violations for r in gold_violations})
+    return loaded, violations
 
 
 SUMMARY_SCHEMA = "reference_year smallint, reference_month smallint, metric string, value double"
@@ -189,8 +213,9 @@ def run_frame(
     staging_root = f"{work_root.rstrip('/')}/staging"
     flagged = flag_trips(clean_trips(raw)).filter(in_periods(periods))
     staged = write_staging(flagged, staging_root, rebalance=rebalance, periods=periods)
-    loaded.update(
-        load_silver_and_gold(spark, staging_root, warehouse, periods, staging_schema(flagged))
+    loads, violations = load_silver_and_gold(
+        spark, staging_root, warehouse, periods, staging_schema(flagged)
     )
+    loaded.update(loads)
     summary_loads = {k: v for k, v in loaded.items() if k != "bronze"}
-    return RunResult(observed_summary(spark, staged, summary_loads), loaded, staging_root)
+    return RunResult(observed_summary(spark, staged, summary_loads), loaded, staging_root, violations)

@@ -97,6 +97,8 @@ def test_whole_run_over_landed_files(spark):
     assert m["trips_by_day_rows"] == 30 and m["hourly_demand_rows"] == 24
     assert result.loaded["bronze"] == {(2024, 1): 1000}
     assert result.loaded["silver_clean"] == {(2024, 1): 817}
+    reasons = {r.rejection_reason: r["count"] for r in result.reasons.collect()}
+    assert sum(reasons.values()) == 183 and reasons["invalid passenger_count"] == 46
     with pytest.raises(ValueError):  # period arguments are checked first
         run(spark, [(2024, 13)], f"{root}/landing", f"{root}/wh", f"{root}/work2", layout=R.SPARK_LAYOUT)
 

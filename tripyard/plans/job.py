@@ -33,6 +33,7 @@ from tripyard.operators.quality import (
     silver_clean_check_exprs,
     silver_rejected_check_exprs,
 )
+from tripyard.operators.stats import rejection_reasons
 from tripyard.operators.validate import flag_trips, rejected_layout, silver_layout
 from tripyard.schema import FIRST_YEAR, GOLD_SCHEMAS, MIN_RAW_FILE_BYTES, PERIOD_COLUMNS
 from tripyard.sinks.warehouse import (
@@ -59,6 +60,8 @@ class RunResult:
     staging_root: str = ""
     # (table, check, column) -> rows breaking a warehouse constraint
     violations: dict[tuple[str, str, str], int] = field(default_factory=dict)
+    # A7 per month: (reference_year, reference_month, rejection_reason, count)
+    reasons: DataFrame | None = None
 
 
 def load_silver_and_gold(
@@ -218,4 +221,10 @@ def run_frame(
     )
     loaded.update(loads)
     summary_loads = {k: v for k, v in loaded.items() if k != "bronze"}
-    return RunResult(observed_summary(spark, staged, summary_loads), loaded, staging_root, violations)
+    # A7 from the rejected staging partitions: only the reason column is read.
+    reasons = rejection_reasons(
+        read_staging(spark, staging_root, periods, valid=False, schema=staging_schema(flagged))
+    )
+    return RunResult(
+        observed_summary(spark, staged, summary_loads), loaded, staging_root, violations, reasons
+    )

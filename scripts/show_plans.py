@@ -36,7 +36,7 @@ def main():
     flagged = V.flag_trips(C.clean_trips(raw))
     print("=== 1. raw monthly file -> clean + rules")
     flagged.explain("formatted")
-    write_staging(flagged, f"{root}/staging", periods=periods)
+    write_staging(flagged, f"{root}/staging")
     valid = read_staging(spark, f"{root}/staging", periods, valid=True)
     print("=== 2. staging: valid partitions of 2024-01")
     V.silver_layout(valid).explain("formatted")

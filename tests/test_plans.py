@@ -27,7 +27,7 @@ def landed(spark):
     R.land_raw_files(fixture_raw_trips(spark, TESTDATA, "events"), f"{root}/landing")
     raw = R.read_raw_trips(spark, [R.raw_file_path(f"{root}/landing", 2024, 1, R.SPARK_LAYOUT)])
     flagged = V.flag_trips(C.clean_trips(raw))
-    write_staging(flagged, f"{root}/staging", periods=PERIODS)
+    write_staging(flagged, f"{root}/staging")
     wh = Warehouse(spark, f"{root}/wh", prefix="plantest_")
     wh.create_tables()
     wh.replace_periods("silver_clean", V.silver_layout(read_staging(spark, f"{root}/staging", PERIODS, True)), PERIODS)

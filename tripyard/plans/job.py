@@ -5,8 +5,8 @@ validity) --> silver clean (valid partitions) and silver rejected (rejected
 partitions) --> gold: one GROUPING SETS pass over silver clean, clustered by
 month and checkpointed (it is small: days + zones + payment codes + hours per
 month), then five tables from it. The rejected load and the five gold writes
-run as concurrent jobs. The run summary comes from row counts observed on
-the writes themselves.
+run as concurrent jobs. The run summary comes from row counts of the written
+partitions (partition values and Parquet row counts, no data columns).
 
 Compared with one job per month that re-counts at every step, the raw data
 is read once, the valid trips twice (silver write, gold read) and the
@@ -15,6 +15,7 @@ rejected trips once, whatever the number of months.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from dataclasses import dataclass, field
@@ -40,6 +41,7 @@ from tripyard.sinks.warehouse import (
     Warehouse,
     in_periods,
     read_staging,
+    staged_counts,
     staging_schema,
     write_staging,
 )
@@ -120,7 +122,7 @@ def observed_summary(
     loaded: dict[str, dict[tuple[int, int], int]],
 ) -> DataFrame:
     """(reference_year, reference_month, metric, value) of the run, from
-    the counts observed on the writes. Every requested period reports its
+    the row counts of the written partitions. Every requested period reports its
     totals (0 and pct_rejected 0 when it had no rows); a table reports a
     period only when it loaded rows for it."""
     rows = []
@@ -213,9 +215,10 @@ def run_frame(
         loaded["bronze"] = warehouse.replace_periods(
             "bronze", bronze_layout(raw), periods, rebalance=rebalance
         )
-    staging_root = f"{work_root.rstrip('/')}/staging"
+    staging_root = f"{work_root.rstrip('/')}/staging-{uuid.uuid4().hex[:12]}"
     flagged = flag_trips(clean_trips(raw)).filter(in_periods(periods))
-    staged = write_staging(flagged, staging_root, rebalance=rebalance, periods=periods)
+    write_staging(flagged, staging_root, rebalance=rebalance)
+    staged = staged_counts(spark, staging_root, periods, staging_schema(flagged))
     loads, violations = load_silver_and_gold(
         spark, staging_root, warehouse, periods, staging_schema(flagged)
     )

@@ -10,8 +10,9 @@ Every warehouse table is a Parquet table partitioned by
 * requested periods that produced no rows are cleared with a static
   ``INSERT OVERWRITE ... PARTITION`` of nothing - an empty reload empties the
   period, as a delete-then-append would;
-* row counts per period come from ``observe`` on the write itself, not from
-  extra count jobs.
+* which requested periods got rows is ``observe``d on the write (one bounded
+  set); rows per period are then counted from partition values and Parquet
+  row counts, without reading data columns.
 """
 
 from __future__ import annotations
@@ -43,43 +44,54 @@ def in_periods(periods: list[tuple[int, int]] | None) -> Column:
     return period_key(F.col("reference_year"), F.col("reference_month")).isin(keys)
 
 
-def period_counts(periods: list[tuple[int, int]], condition: Column | None = None) -> list[Column]:
-    """One count per requested period (optionally of rows meeting ``condition``),
-    for ``observe``: the list is bounded by the number of periods asked for."""
-    period = period_key(F.col("reference_year"), F.col("reference_month"))
-    tag = "" if condition is None else "_if"
-    cond = F.lit(True) if condition is None else condition
-    return [F.count_if((period == y * 100 + m) & cond).alias(f"p{y}_{m}{tag}") for y, m in periods]
+def months_present() -> Column:
+    """The set of months in the rows, as one aggregate for ``observe``. Rows
+    are filtered to the requested months first, so the set is bounded by
+    them (a constant per-row cost, unlike one counter per month)."""
+    return F.collect_set(period_key(F.col("reference_year"), F.col("reference_month")))
 
 
-def write_staging(
-    flagged: DataFrame, root: str, rebalance: bool = False, periods: list[tuple[int, int]] | None = None
-) -> dict[tuple[int, int], tuple[int, int]]:
+def month_counts(df: DataFrame, periods: list[tuple[int, int]], *extra: Column) -> dict:
+    """Rows per requested month of a period-partitioned table: grouping on
+    partition columns only, so Parquet data columns are not read. Months
+    without rows count 0; ``extra`` adds more aggregates (a tuple per month)."""
+    aggs = [F.count(F.lit(1)).alias("n"), *[e.alias(f"x{i}") for i, e in enumerate(extra)]]
+    got = {
+        (r.reference_year, r.reference_month): tuple(r[2:]) if extra else r.n
+        for r in df.groupBy(*PERIOD_COLUMNS).agg(*aggs).collect()
+    }
+    zero = tuple(0 for _ in range(len(extra) + 1)) if extra else 0
+    return {p: got.get(p, zero) for p in periods}
+
+
+def write_staging(flagged: DataFrame, root: str, rebalance: bool = False) -> None:
     """Cleaned and flagged trips, partitioned by period and validity, in
     one pass (the valid and rejected sets are partitions, not extra writes).
+    Write each run to a fresh ``root`` so every partition in it is this run's.
 
     Without ``rebalance`` rows go straight to the writer: when the input is
     monthly files every task holds one month, so no shuffle is needed. With
     it, AQE rebalances by period (splitting a month that holds most rows)
     for inputs whose tasks mix months.
-
-    Returns (rows, valid rows) per requested period, observed on the write.
     """
     out = flagged.withColumn("is_valid", F.col("rejection_reason").isNull())
     if rebalance:
         out = out.hint("rebalance", *PERIOD_COLUMNS)
-    obs = Observation("staging")
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    metrics += period_counts(periods or []) + period_counts(periods or [], F.col("is_valid"))
     (
-        out.observe(obs, *metrics)
-        .write.mode("overwrite")
+        out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PERIOD_COLUMNS, "is_valid")
         .parquet(root)
     )
-    seen = obs.get
-    return {(y, m): (int(seen[f"p{y}_{m}"]), int(seen[f"p{y}_{m}_if"])) for y, m in periods or []}
+
+
+def staged_counts(
+    spark: SparkSession, root: str, periods: list[tuple[int, int]], schema: StructType | None = None
+) -> dict[tuple[int, int], tuple[int, int]]:
+    """(rows, valid rows) per requested month of a staging folder, from
+    partition values and Parquet row counts only."""
+    staged = read_staging(spark, root, periods, schema=schema)
+    return month_counts(staged, periods, F.count_if("is_valid"))
 
 
 def staging_schema(flagged: DataFrame) -> StructType:
@@ -187,9 +199,8 @@ class Warehouse:
         if rebalance:
             rows = rows.hint("rebalance", *PERIOD_COLUMNS)
         obs = Observation(f"load_{key}")
-        metrics = [F.count(F.lit(1)).alias("rows")] + period_counts(periods or [])
         (
-            rows.observe(obs, *metrics)
+            rows.observe(obs, F.count(F.lit(1)).alias("rows"), months_present().alias("present"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .insertInto(table)
@@ -197,15 +208,16 @@ class Warehouse:
         seen = obs.get
         if periods is None:
             return {(0, 0): int(seen.get("rows", 0))}
-        counts = {(y, m): int(seen.get(f"p{y}_{m}", 0)) for y, m in periods}
+        present = set(seen.get("present") or [])
         nothing = ", ".join(
             f"CAST(NULL AS {schema[c].dataType.simpleString()}) AS {c}"
             for c in columns if c not in PERIOD_COLUMNS
         )
-        for (y, m), n in counts.items():
-            if n == 0:
+        for y, m in periods:
+            if y * 100 + m not in present:
                 self.spark.sql(
                     f"INSERT OVERWRITE TABLE {table} PARTITION (reference_year={y}, reference_month={m}) "
                     f"SELECT {nothing} WHERE false"
                 )
-        return counts
+        # Every requested month now holds exactly this load's rows.
+        return month_counts(self.read(key, periods), periods)

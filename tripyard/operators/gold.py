@@ -209,6 +209,19 @@ def gold_tables(partials: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
+def gold_row_counts(partials: DataFrame, periods: list[tuple[int, int]]) -> dict[str, dict]:
+    """Rows per month of each gold table, from :func:`gold_partials` (one
+    small job over the groupings; the zone tables share theirs)."""
+    counted = {
+        (r.reference_year, r.reference_month, r.gid): r.n
+        for r in partials.groupBy(*PERIOD_COLUMNS, "gid").agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    return {
+        name: {(y, m): counted.get((y, m, _grouping_id(PERIOD_COLUMNS + keys)), 0) for y, m in periods}
+        for name, keys in GOLD_KEYS.items()
+    }
+
+
 def top_zones(silver: DataFrame, k: int = 10) -> DataFrame:
     """Documented report: the k busiest pickup and dropoff zones per period.
 

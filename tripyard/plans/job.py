@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 
 from tripyard.functions.numeric import rounded_percent
 from tripyard.operators.clean import bronze_layout, clean_trips
-from tripyard.operators.gold import gold_partials, gold_tables
+from tripyard.operators.gold import gold_partials, gold_row_counts, gold_tables
 from tripyard.operators.quality import (
     gold_checks,
     observe_checks,
@@ -72,6 +72,7 @@ def load_silver_and_gold(
     warehouse: Warehouse,
     periods: list[tuple[int, int]],
     schema: StructType | None = None,
+    staged: dict[tuple[int, int], tuple[int, int]] | None = None,
 ) -> tuple[dict[str, dict[tuple[int, int], int]], dict[tuple[str, str, str], int]]:
     """S11-S13 for the given periods, reading the staging partitions.
     Returns the loaded rows per table and period, and the constraint
@@ -80,7 +81,13 @@ def load_silver_and_gold(
     valid = read_staging(spark, staging_root, periods, valid=True, schema=schema)
     # Warehouse constraints (C1, C4, C5) are observed on the loads themselves.
     valid, silver_checks = observe_checks(valid, "silver_checks", silver_clean_check_exprs())
-    loaded["silver_clean"] = warehouse.replace_periods("silver_clean", silver_layout(valid), periods)
+    # Rows per month are known from the staging counts (and from the small
+    # gold groupings); each load only verifies them against what it wrote.
+    valid_rows = {p: v for p, (_, v) in (staged or {}).items()} if staged else None
+    rejected_rows = {p: t - v for p, (t, v) in staged.items()} if staged else None
+    loaded["silver_clean"] = warehouse.replace_periods(
+        "silver_clean", silver_layout(valid), periods, expected=valid_rows
+    )
     rejected = read_staging(spark, staging_root, periods, valid=False, schema=schema)
     rejected, rejected_checks = observe_checks(
         rejected_layout(rejected), "rejected_checks", silver_rejected_check_exprs()
@@ -97,13 +104,18 @@ def load_silver_and_gold(
         .checkpoint(eager=True)
     )
     gold = gold_tables(partials)
+    gold_rows = gold_row_counts(partials, periods)
     writes = dict(gold)
     writes["silver_rejected"] = rejected
+    expected = {**gold_rows, "silver_rejected": rejected_rows}
     # Gold checks read the small checkpointed groupings only (bounded rows).
     gold_check_rows = reduce(DataFrame.unionByName, [gold_checks(n, t) for n, t in gold.items()])
     # Independent jobs run concurrently (the gold ones have few tasks).
     with ThreadPoolExecutor(max_workers=len(writes) + 1) as pool:
-        futures = {k: pool.submit(warehouse.replace_periods, k, df, periods) for k, df in writes.items()}
+        futures = {
+            k: pool.submit(warehouse.replace_periods, k, df, periods, False, expected.get(k))
+            for k, df in writes.items()
+        }
         checked = pool.submit(gold_check_rows.collect)
         loaded.update({k: f.result() for k, f in futures.items()})
         gold_violations = checked.result()
@@ -220,7 +232,7 @@ def run_frame(
     write_staging(flagged, staging_root, rebalance=rebalance)
     staged = staged_counts(spark, staging_root, periods, staging_schema(flagged))
     loads, violations = load_silver_and_gold(
-        spark, staging_root, warehouse, periods, staging_schema(flagged)
+        spark, staging_root, warehouse, periods, staging_schema(flagged), staged
     )
     loaded.update(loads)
     summary_loads = {k: v for k, v in loaded.items() if k != "bronze"}

@@ -179,6 +179,7 @@ class Warehouse:
         df: DataFrame,
         periods: list[tuple[int, int]] | None = None,
         rebalance: bool = False,
+        expected: dict[tuple[int, int], int] | None = None,
     ) -> dict[tuple[int, int], int]:
         """Replace the given periods of a table with ``df``'s rows.
 
@@ -188,6 +189,9 @@ class Warehouse:
         ``rebalance`` is for inputs whose tasks mix months: AQE then clusters
         rows by period (splitting a dominant month) so each task writes few
         files; inputs read from period partitions need no shuffle.
+        ``expected`` (rows per month known from an earlier count) is checked
+        against the rows and months observed on the write instead of counting
+        the table again.
         """
         table = self.table(key)
         self._require_dynamic_overwrite(table)
@@ -219,5 +223,12 @@ class Warehouse:
                     f"INSERT OVERWRITE TABLE {table} PARTITION (reference_year={y}, reference_month={m}) "
                     f"SELECT {nothing} WHERE false"
                 )
+        if expected is not None:
+            full = {p: expected.get(p, 0) for p in periods}
+            if sum(full.values()) != int(seen["rows"]) or {
+                y * 100 + m for (y, m), n in full.items() if n
+            } != present:
+                raise RuntimeError(f"{table}: loaded rows differ from the expected counts")
+            return full
         # Every requested month now holds exactly this load's rows.
         return month_counts(self.read(key, periods), periods)

@@ -145,3 +145,12 @@ def test_run_observes_constraint_violations_while_loading(spark, raw_frame):
     others = {k: n for k, n in v.items() if k[2] != "fare_amount" and n}
     assert others == {}
     assert result.loaded["silver_clean"] == {(2024, 1): 2}
+
+
+def test_expected_counts_are_checked_against_the_write(spark, raw_frame):
+    wh = Warehouse(spark, scratch_dir(spark, "expected"), prefix="t_expected_")
+    wh.create_tables()
+    silver = V.silver_layout(V.valid_trips(V.flag_trips(C.clean_trips(raw_frame(trip(), trip())))))
+    assert wh.replace_periods("silver_clean", silver, [(2024, 1)], expected={(2024, 1): 2}) == {(2024, 1): 2}
+    with pytest.raises(RuntimeError, match="expected"):
+        wh.replace_periods("silver_clean", silver, [(2024, 1)], expected={(2024, 1): 3})

@@ -12,7 +12,8 @@ Every warehouse table is a Parquet table partitioned by
   period, as a delete-then-append would;
 * which requested periods got rows is ``observe``d on the write (one bounded
   set); rows per period are then counted from partition values and Parquet
-  row counts, without reading data columns.
+  row counts, without reading data columns - or, when the caller already
+  knows them, checked against the rows and periods the write observed.
 """
 
 from __future__ import annotations

@@ -154,3 +154,18 @@ def test_expected_counts_are_checked_against_the_write(spark, raw_frame):
     assert wh.replace_periods("silver_clean", silver, [(2024, 1)], expected={(2024, 1): 2}) == {(2024, 1): 2}
     with pytest.raises(RuntimeError, match="expected"):
         wh.replace_periods("silver_clean", silver, [(2024, 1)], expected={(2024, 1): 3})
+
+
+def test_rerunning_a_month_leaves_every_table_unchanged(spark):
+    from tripyard.plans.job import run_frame
+    from tripyard.schema import TABLES
+
+    root = scratch_dir(spark, "rerun")
+    raw = fixture_raw_trips(spark, TESTDATA, "events")
+    first = run_frame(spark, raw, [(2024, 1)], f"{root}/wh", f"{root}/w1", prefix="t_rerun_", load_bronze=True)
+    wh = Warehouse(spark, f"{root}/wh", prefix="t_rerun_")
+    before = {k: wh.read(k).count() for k in TABLES}
+    second = run_frame(spark, raw, [(2024, 1)], f"{root}/wh", f"{root}/w2", prefix="t_rerun_", load_bronze=True)
+    assert {k: wh.read(k).count() for k in TABLES} == before
+    assert sorted(first.summary.collect()) == sorted(second.summary.collect())
+    assert before["silver_clean"] + before["silver_rejected"] == before["bronze"] == 1000

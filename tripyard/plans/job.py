@@ -83,7 +83,7 @@ def load_silver_and_gold(
     valid, silver_checks = observe_checks(valid, "silver_checks", silver_clean_check_exprs())
     # Rows per month are known from the staging counts (and from the small
     # gold groupings); each load only verifies them against what it wrote.
-    valid_rows = {p: v for p, (_, v) in (staged or {}).items()} if staged else None
+    valid_rows = {p: v for p, (_, v) in staged.items()} if staged else None
     rejected_rows = {p: t - v for p, (t, v) in staged.items()} if staged else None
     loaded["silver_clean"] = warehouse.replace_periods(
         "silver_clean", silver_layout(valid), periods, expected=valid_rows

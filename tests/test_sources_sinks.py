@@ -169,3 +169,15 @@ def test_rerunning_a_month_leaves_every_table_unchanged(spark):
     assert {k: wh.read(k).count() for k in TABLES} == before
     assert sorted(first.summary.collect()) == sorted(second.summary.collect())
     assert before["silver_clean"] + before["silver_rejected"] == before["bronze"] == 1000
+
+
+def test_scan_zone_aware_timestamps_and_oversized_codes(spark):
+    root = scratch_dir(spark, "ltz")
+    spark.createDataFrame(
+        [(5_000_000_000, dt.datetime(2024, 3, 9, 17, 30), 1.0)],
+        "VendorID bigint, tpep_pickup_datetime timestamp, passenger_count double",
+    ).write.parquet(R.raw_file_path(root, 2024, 3))
+    r = R.read_raw_trips(spark, [R.raw_file_path(root, 2024, 3)]).first()
+    assert r.VendorID is None  # does not fit INT: null, the job does not fail
+    assert r.tpep_pickup_datetime == dt.datetime(2024, 3, 9, 17, 30)  # wall clock in the session zone (UTC)
+    assert r.reference_month == 3

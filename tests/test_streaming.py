@@ -33,3 +33,17 @@ def test_new_months_are_loaded_once(spark):
     q.awaitTermination()
     counts = {r.reference_month: r["count"] for r in wh.read("silver_clean").groupBy("reference_month").count().collect()}
     assert counts == {1: 817, 2: 1}
+
+
+def test_parts_of_one_month_across_batches_load_once(spark):
+    root = scratch_dir(spark, "stream-parts")
+    month_dir = R.raw_file_path(f"{root}/landing", 2024, 1, R.SPARK_LAYOUT)
+    raw = fixture_raw_trips(spark, TESTDATA, "events")
+    raw.drop("source_file", "reference_year", "reference_month").repartition(3).write.parquet(month_dir)
+    q = start_monthly_loads(spark, f"{root}/landing", f"{root}/wh", f"{root}/work", f"{root}/ckpt",
+                            min_file_bytes=0, max_files_per_trigger=1, prefix="stp_")
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
+    wh = Warehouse(spark, f"{root}/wh", prefix="stp_")
+    assert wh.read("silver_clean").count() == 817
+    assert wh.read("silver_rejected").count() == 183

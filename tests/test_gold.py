@@ -75,3 +75,19 @@ def test_top_zones_ranks_ties_by_zone(raw_frame):
     rows = rows_at(9, 2, PULocationID=5) + rows_at(9, 2, PULocationID=3) + rows_at(9, 1, PULocationID=9)
     top = G.top_zones(silver_of(raw_frame, *rows), 2).filter("side = 'pickup'").orderBy("rank").collect()
     assert [(r.rank, r.location_id, r.total_trips) for r in top] == [(1, 3, 2), (2, 5, 2)]
+
+
+def test_documented_checks_on_hand_rows(raw_frame):
+    from tripyard.operators.quality import documented_checks
+
+    # components of the default trip: 15 + 0.5 + 0.5 + 3 + 0 + 1 + 2.5 + 0 = 22.5;
+    # its total of 20 is the one mismatch
+    rows = [
+        trip(total_amount=22.5),
+        trip(total_amount=22.505),   # rounds to 22.51: one cent off, within the 0.01 tolerance
+        trip(),
+        trip(total_amount=None, payment_type=None),
+        trip(total_amount=22.5, payment_type=7.0),
+    ]
+    got = {r.check_name: r.violations for r in documented_checks(raw_frame(*rows)).collect()}
+    assert got == {"total_amount_mismatch": 1, "payment_type_invalid": 2}

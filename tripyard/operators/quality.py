@@ -122,7 +122,8 @@ def documented_checks(raw: DataFrame, tolerance: float = 0.01) -> DataFrame:
     * total_amount_mismatch - total differs from the sum of its components
       (fare, extra, mta tax, tip, tolls, improvement and congestion
       surcharges, airport fee; missing parts count as 0) by more than
-      ``tolerance``;
+      ``tolerance``, the difference rounded to cents first (so one cent
+      is one cent, not 0.010000000000001563);
     * payment_type_invalid - payment code missing or outside 1..6.
     """
     typed = add_lineage(cast_types(normalize_columns(raw)))
@@ -134,7 +135,8 @@ def documented_checks(raw: DataFrame, tolerance: float = 0.01) -> DataFrame:
     total = F.col("total_amount")
     pay = F.col("payment_type")
     counts = typed.groupBy(*PERIOD_COLUMNS).agg(
-        F.count_if(total.isNotNull() & (F.abs(total - components) > tolerance)).alias("total_amount_mismatch"),
+        F.count_if(total.isNotNull() & (F.round(F.abs(total - components), 2) > tolerance))
+        .alias("total_amount_mismatch"),
         F.count_if(pay.isNull() | ~pay.between(1, 6)).alias("payment_type_invalid"),
         F.count(F.lit(1)).alias("checked"),
     )

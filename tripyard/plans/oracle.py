@@ -484,7 +484,7 @@ def _documented_sql(source: str) -> str:
     comp = " + ".join(f"coalesce({p}, CAST(0 AS DOUBLE))" for p in parts)
     return _with(source, "typed") + f"""SELECT {PERIOD}, m.check_name, m.violations, checked FROM (
   SELECT reference_year, reference_month,
-         count(*) FILTER (WHERE total_amount IS NOT NULL AND abs(total_amount - ({comp})) > 0.01) AS tm,
+         count(*) FILTER (WHERE total_amount IS NOT NULL AND {_round2(f"abs(total_amount - ({comp}))")} > 0.01) AS tm,
          count(*) FILTER (WHERE payment_type IS NULL OR payment_type NOT BETWEEN 1 AND 6) AS pi,
          count(*) AS checked
   FROM typed GROUP BY ALL) s,

@@ -2,27 +2,32 @@
 
 On a cluster the session is given; nothing here changes its settings. The
 only folder the engine writes to on its own is under the shared checkpoint
-directory the cluster names (``spark.checkpoint.dir``); a local temporary
-folder is set only where that setting is absent, as in tests.
+directory the cluster names (``spark.checkpoint.dir``). Where that setting is
+absent, the session's own table storage (``spark.sql.warehouse.dir``) holds
+it: both are storage that the driver and every executor reach. No temporary
+folder of a machine is used.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session (set one only if unset)."""
+    """The shared checkpoint folder of the session; set from the warehouse
+    folder only where neither the context nor the session names one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tripyard-ckpt-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = f"{warehouse.rstrip('/')}/_scratch"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 

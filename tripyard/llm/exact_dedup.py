@@ -51,7 +51,7 @@ def winners(rows: DataFrame) -> DataFrame:
 
 def frequent_digests(rows: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
     """At most ``heavy`` candidate digests from the Misra-Gries summary."""
-    top = rows.agg(F.expr(f"approx_top_k(text_sha256, {heavy}, {tracked})").alias("top"))
+    top = rows.agg(F.expr(f"approx_top_k(text_sha256, {heavy}, {max(heavy, tracked)})").alias("top"))
     return top.select(F.explode("top").alias("t")).where("t.count > 1").select(F.col("t.item").alias("text_sha256"))
 
 

@@ -226,7 +226,7 @@ class LineIndex:
         """Without the documents whose ids are given."""
         gone = ids.select(F.coalesce(ids[id_col].cast("long"), F.lit(NO_ID)).alias("doc_id")).distinct()
         keys = self.postings.join(gone, "doc_id", "left_semi").select("k1", "k2").distinct()
-        postings = staged(self.postings.join(gone, "doc_id", "left_anti"), "line-postings")
+        postings = staged(self.postings.join(gone, "doc_id", "left_anti").select("k1", "k2", "doc_id"), "line-postings")
         left = _counted(postings.join(keys, ["k1", "k2"], "left_semi")).withColumnsRenamed({"refs": "n_refs", "last": "n_last"})
         touched = keys.join(left, ["k1", "k2"], "left").select("k1", "k2", F.coalesce("n_refs", F.lit(0)).alias("n_refs"), "n_last")
         joined = self.refs.join(touched, ["k1", "k2"], "left").select(

@@ -181,14 +181,14 @@ def train(labelled: DataFrame) -> ByteNet | None:
     return net
 
 
-def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score; all its columns are kept."""
+def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text", out=("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the columns ``out`` (language, score); all others are kept."""
     spark = docs.sparkSession
     ship(spark)
     if net is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return docs.withColumns({out[0]: F.lit(UNKNOWN), out[1]: F.lit(0.0)})
     shared = spark.sparkContext.broadcast(net)
-    clean = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")])
+    clean = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in out])
     text = clean.schema.names.index(text_col)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,10 +207,10 @@ def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> Dat
             none = ~batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
             best[none], score[none] = len(own.languages), 0.0
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names[best].tolist(), pa.string()), pa.array(score)],
-                                             [*batch.schema.names[:-1], "lang_pred", "score"])
+                                             [*batch.schema.names[:-1], *out])
 
     has_letter = F.coalesce(clean[text_col].rlike(r"\p{L}"), F.lit(False)).alias("_has_letter")
-    schema = StructType([*clean.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*clean.schema.fields, StructField(out[0], StringType()), StructField(out[1], DoubleType())])
     return clean.select(*[F.col(f"`{c}`") for c in clean.columns], has_letter).mapInArrow(rows, schema)
 
 

@@ -15,6 +15,11 @@ order of tokens. Three orders are used:
 2. and 3. by two other hashes: a candidate pair must share a prefix token under
    both, too, before its sets are compared.
 
+Only the texts of candidate classes are shingled again, first for the prefixes
+of orders 2 and 3, then for whole sets. Which rows those are, and which prefix
+tokens occur twice, is first tested on bit tables of fixed size; they have no
+false negatives, and exact joins follow.
+
 Links are wanted for components, so a group of near copies isn't paired
 through: in each token's list every class is first compared with one hub, the
 member with the token furthest forward; verified links merge. Afterwards pairs
@@ -42,7 +47,7 @@ from tripyard.llm._graph import components
 from tripyard.llm._tables import ship, staged, text_column
 
 RUN, LOCAL_LEAST, FREQUENT = 4_000_000, 2, 200_000
-FILTER_BITS = 1 << 23
+ROW_BITS, TOKEN_BITS = 1 << 22, 1 << 24
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -138,42 +143,52 @@ def _prefixes(k: int, num: int, den: int, frequent):
     return rows
 
 
-def _full_sets(k: int, num: int, den: int, wanted):
-    """Map function: sets and the prefixes under the other two orders, of the
-    texts whose id may be wanted (a bit table without false negatives)."""
+def _other_prefixes(k: int, num: int, den: int):
+    """Map function: the prefixes under the second and the third order."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(wanted.value, np.uint8)
-        seen: set[int] = set()
         for batch in batches:
-            place = batch.column("place").to_numpy()
-            batch = batch.filter(pa.array((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
             for _, tokens, starts in _sets(batch, k):
                 d1, _ = _digests(tokens, starts)
                 orders = [_words.mix(tokens, salt) for salt in (2, 3)]
-                columns: list[list] = [[], [], [], [], []]
-                for i, c in enumerate(d1.tolist()):
-                    if c in seen:
-                        continue
-                    seen.add(c)
-                    lo, hi = starts[i], starts[i + 1]
-                    own, most = tokens[lo:hi], _prefix_size(hi - lo, num, den)
-                    firsts = [own[np.argpartition(o[lo:hi], most - 1)[:most]] if most < hi - lo else own for o in orders]
-                    for column, value in zip(columns, (c, hi - lo, *(x.view(np.int64) for x in (*firsts, own))), strict=True):
-                        column.append(value)
-                kinds = (pa.int64(), pa.int32(), *[pa.list_(pa.int64())] * 3)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["cls", "n", "second", "third", "tokens"])
+                firsts: list[list] = [[], []]
+                for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+                    most = _prefix_size(hi - lo, num, den)
+                    for kept, order in zip(firsts, orders, strict=True):
+                        chosen = np.argpartition(order[lo:hi], most - 1)[:most]
+                        kept.append(tokens[lo:hi][chosen].view(np.int64))
+                lists = [pa.array(x, pa.list_(pa.int64())) for x in firsts]
+                yield pa.RecordBatch.from_arrays([pa.array(d1), *lists], ["cls", "second", "third"])
+
+    return rows
+
+
+def _whole_sets(k: int):
+    """Map function: the sets."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, tokens, starts in _sets(batch, k):
+                d1, _ = _digests(tokens, starts)
+                lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(tokens.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(d1), pa.array(np.diff(starts), pa.int32()), lists], ["cls", "n", "tokens"])
 
     return rows
 
 
-def _bit_table(places: DataFrame) -> bytes:
-    """FILTER_BITS bits with those at ``place`` set; its size is fixed."""
-    words = places.groupBy((F.col("place") / 64).cast("long").alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits")).toArrow()
-    table = np.zeros(FILTER_BITS // 64, np.int64)
-    table[words.column("at").to_numpy()] = words.column("bits").to_numpy()
-    return table.tobytes()
+def _place(column, bits: int):
+    return F.pmod(F.xxhash64(column), F.lit(bits))
+
+
+def _maybe_in(rows: DataFrame, column: str, keys: DataFrame, bits: int) -> DataFrame:
+    """``rows`` whose ``column`` may be among ``keys`` (one column): those with
+    their bit set in a table of ``bits`` bits, at most bits / 64 rows."""
+    word, bit = F.floor(F.col("_place") / 64), (F.col("_place") % 64).cast("int")
+    table = keys.select(_place(F.col(keys.columns[0]), bits).alias("_place")).groupBy(word.alias("_word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    marked = rows.withColumn("_place", _place(F.col(column), bits)).withColumn("_word", word)
+    on = F.call_function("shiftright", F.col("_bits"), bit).bitwiseAND(F.lit(1)) == 1
+    return marked.join(F.broadcast(table), "_word").where(on).drop("_place", "_word", "_bits")
 
 
 class JaccardJoin:
@@ -206,7 +221,9 @@ class JaccardJoin:
         prefixes = self.source.select("text").mapInArrow(
             _prefixes(self.k, self.num, self.den, frequent), "cls long, n int, prefix array<long>")
         once = staged(prefixes.dropDuplicates(["cls"]), "join-prefixes")
+        twice = once.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token")
         posted = once.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
+        posted = staged(_maybe_in(posted, "token", twice, TOKEN_BITS), "join-postings")
         key = F.col("pos") * F.lit(1 << 32) + F.pmod("cls", F.lit(1 << 32))
         shared = posted.groupBy("token").agg(
             F.count(F.lit(1)).alias("members"), F.min("n").alias("least"), F.min(key).alias("hub_key"),
@@ -216,35 +233,36 @@ class JaccardJoin:
         smallest = F.greatest("least", F.ceil(self.num * n / self.den))
         return staged(posted.join(shared, "token").where(n - p >= self._needed(n, smallest)), "join-lists")
 
-    def _set_table(self, classes: DataFrame) -> DataFrame:
-        """Sets of the classes' texts (and of a few others)."""
-        place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-        ids = self.profiles.where("n > 0").groupBy(F.col("d1").alias("cls")).agg(F.min("doc_id").alias("doc_id")).join(classes, "cls", "left_semi")
-        wanted = self.spark.sparkContext.broadcast(_bit_table(ids.select(place.alias("place"))))
-        return staged(self.source.select(place.alias("place"), "text").mapInArrow(
-            _full_sets(self.k, self.num, self.den, wanted),
-            "cls long, n int, second array<long>, third array<long>, tokens array<long>"), "join-sets")
-
-    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The pairs that share prefix tokens under the other orders, too, and
-        whose sets are similar."""
-        side = lambda c, *cols: sets.select(F.col("cls").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in cols])
-        filtered = pairs.join(side("a", "n", "second", "third"), "a").join(side("b", "n", "second", "third"), "b").where(
-            F.arrays_overlap("a_second", "b_second") & F.arrays_overlap("a_third", "b_third")).select("a", "b", "a_n", "b_n")
+    def _reshingled(self, pairs: DataFrame, function, schema: str, name: str) -> DataFrame:
+        """A row for each class of ``pairs`` (and for a few others), from the
+        text with the smallest id."""
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        ids = self.profiles.where("n > 0").groupBy(F.col("d1").alias("cls")).agg(F.min("doc_id").alias("doc_id")).join(wanted, "cls", "left_semi")
+        texts = _maybe_in(self.source, "doc_id", ids.select("doc_id"), ROW_BITS)
+        return staged(texts.select("text").mapInArrow(function, schema).dropDuplicates(["cls"]), name)
+
+    def _verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that share prefix tokens under the other
+        orders, too, and whose sets are similar: (a, b)."""
+        pairs = staged(pairs, "join-pairs")
+        orders = self._reshingled(pairs, _other_prefixes(self.k, self.num, self.den), "cls long, second array<long>, third array<long>", "join-orders")
+        of = lambda c, t: t.select(*[F.col(x).alias(f"{c}_{x}" if x != "cls" else c) for x in t.columns])
+        filtered = pairs.join(of("a", orders), "a").join(of("b", orders), "b").where(
+            F.arrays_overlap("a_second", "b_second") & F.arrays_overlap("a_third", "b_third")).select("a", "b")
         filtered = staged(filtered, "join-filtered")
-        compared = filtered.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b")
+        sets = self._reshingled(filtered, _whole_sets(self.k), "cls long, n int, tokens array<long>", "join-sets")
+        compared = filtered.join(of("a", sets), "a").join(of("b", sets), "b")
         overlap = F.size(F.array_intersect("a_tokens", "b_tokens"))
-        return compared.where(overlap >= self._needed(F.col("a_n"), F.col("b_n"))).select("a", "b")
+        return staged(compared.where(overlap >= self._needed(F.col("a_n"), F.col("b_n"))).select("a", "b"), "join-verified")
 
     def links(self) -> DataFrame:
         """(a, b) of classes, verified; enough of all links to connect each
         component."""
         lists = self._lists()
-        sets = self._set_table(lists.select("cls").distinct())
         fits_hub = self._fits(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos"))
         best = lists.where((F.col("cls") != F.col("hub")) & fits_hub).groupBy("cls", "hub").agg(
             F.count(F.lit(1)).alias("times")).groupBy("cls").agg(F.max_by("hub", F.struct("times", "hub")).alias("hub"))
-        first = staged(self._verified(best.select(F.col("cls").alias("a"), F.col("hub").alias("b")), sets), "join-links")
+        first = self._verified(best.select(F.col("cls").alias("a"), F.col("hub").alias("b")))
         merged = components(first)
         of = lambda c: merged.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
         placed = lists.join(of("cls"), "cls", "left").join(of("hub"), "hub", "left").withColumns({
@@ -255,8 +273,8 @@ class JaccardJoin:
         crossing = others.join(placed, "token").where(
             (F.col("component") != F.col("o_component")) & (~F.col("outside") | (F.col("o_cls") < F.col("cls")))
             & self._fits(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")))
-        pairs = staged(crossing.select(F.least("cls", "o_cls").alias("a"), F.greatest("cls", "o_cls").alias("b")).distinct(), "join-pairs")
-        return first.unionByName(self._verified(pairs, sets))
+        pairs = crossing.select(F.least("cls", "o_cls").alias("a"), F.greatest("cls", "o_cls").alias("b")).distinct()
+        return first.unionByName(self._verified(pairs))
 
     def components(self) -> DataFrame:
         """doc_id, n_shingles, component_id for every row."""

@@ -19,6 +19,7 @@ table; other columns are ignored.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 from math import ceil
@@ -31,32 +32,87 @@ from pyspark.sql import functions as F
 from tripyard.llm._tables import ship, staged, text_column
 
 CAPACITY, END_ID, VOCABULARY = 2048, 0, "word_bpe_49k.json"
-SHARD_PIECES, CACHE_WORDS = 20_000, 300_000
+SHARD_PIECES, CACHE_WORDS, CACHE_STEMS = 20_000, 800_000, 500_000
 
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+#: Punctuation cut off a word's end (none that the special tokens end in).
+TAIL = b".,!?;:#%$*&)"
+
+
 class WordIds(dict):
-    """Token ids of white-space-free words as little-endian bytes, encoded on
-    first use; emptied when it holds CACHE_WORDS words."""
+    """Token ids of white-space-free words as little-endian bytes.
+
+    A new word is taken apart where the tokenizer's pattern does so anyway (a
+    run of punctuation behind a letter or digit). Stems of Latin letters alone
+    are lower-cased here and go straight to the merges; all others are encoded
+    whole. Words are kept up to CACHE_WORDS, stems up to twice CACHE_STEMS (the
+    older half goes first).
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.model = tokenizer.encode, tokenizer.model
+        self.stems: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        found = self[word] = np.array(ids, "<u4").tobytes()
+        core = word.rstrip(TAIL)
+        if len(core) < len(word) and core and b"<|" not in word and (core[-1:].isalnum() or _latin(core)):
+            found = self.stem(core) + self.stem(word[len(core):])
+        else:
+            found = self.stem(word)
+        self[word] = found
+        return found
+
+    def stem(self, word: bytes) -> bytes:
+        found = self.stems.get(word)
+        if found is None:
+            found = self.older.get(word)
+            if found is None:
+                latin = _latin(word)
+                ids = [t.id for t in self.model.tokenize(latin)] if latin else self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+                found = struct.pack(f"<{len(ids)}I", *ids)
+            self.stems[word] = found
         return found
 
     def text(self, text: bytes) -> bytes:
         if len(self) > CACHE_WORDS:
             self.clear()
+        if len(self.stems) > CACHE_STEMS:
+            self.older, self.stems = self.stems, {}
         return b"".join(map(self.__getitem__, text.split()))
 
 
+def _byte_letters() -> dict[int, str]:
+    """The characters that byte-level merges use for the bytes 0 to 255:
+    printable ones stand for themselves, the others follow from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def _latin(word: bytes) -> str | None:
+    """The word as byte letters, lower-cased, if it is made of composed Latin
+    letters alone (for these the tokenizer's steps before the merges come to
+    lower case and bytes); else None."""
+    if word.isalpha():  # ASCII letters
+        return word.lower().decode()
+    if word.isascii():
+        return None
+    text = word.decode("utf-8", "replace")
+    if text.isalpha() and max(text) < "\u0250" and "\u0130" not in text:
+        return text.lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
+    return None
+
+
 _coders: dict[str, WordIds] = {}  # a worker process serves many tasks
 
 

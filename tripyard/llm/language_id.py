@@ -115,16 +115,24 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def window_probabilities(net: ByteNet, tables: list[np.ndarray], flat: np.ndarray, windows: int) -> np.ndarray:
-    """(windows, languages) for the windows of a buffer of folded bytes of
-    windows * WINDOW + _AHEAD bytes. Positions run down the first axis, so the
-    maximum over them is taken on contiguous rows."""
+def _windows(flat: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of laid-out texts, and which of them end a text: what is
+    behind those belongs to another text."""
+    ends = np.zeros(first[-1], bool)
+    ends[first[1:] - 1] = True
+    return np.lib.stride_tricks.sliding_window_view(flat, WINDOW + _AHEAD)[::WINDOW], ends
+
+
+def window_probabilities(net: ByteNet, tables: list[np.ndarray], flat: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(windows, languages) of laid-out texts. Positions run down the first
+    axis, so the maximum over them is taken on contiguous rows."""
     two, three, third, four, fours = tables
-    view = np.lib.stride_tricks.sliding_window_view(flat, WINDOW + _AHEAD)[::WINDOW]
-    out = np.empty((windows, len(net.languages)), np.float32)
+    view, ends = _windows(flat, first)
+    out = np.empty((len(ends), len(net.languages)), np.float32)
     bias = np.concatenate(net.bias)
-    for lo in range(0, windows, 128):
+    for lo in range(0, len(ends), 128):
         x = view[lo:lo + 128].T.astype(np.intp)
+        x[WINDOW:, ends[lo:lo + 128]] = 0
         pair = x[:-1] * 256 + x[1:]
         head = pair[:WINDOW]
         c3 = three.take(head, axis=0)
@@ -137,10 +145,10 @@ def window_probabilities(net: ByteNet, tables: list[np.ndarray], flat: np.ndarra
 
 
 def _laid_out(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts at window starts, zero bytes between (at least _AHEAD, so no
-    filter reads two texts), and the first window of each text."""
+    """Texts at window starts, filled up with zero bytes, and the first window
+    of each text (and the number of all)."""
     sizes = np.diff(offsets)
-    first = np.concatenate([[0], np.cumsum(-(-(sizes + _AHEAD) // WINDOW))])
+    first = np.concatenate([[0], np.cumsum(np.maximum(1, -(-sizes // WINDOW)))])
     flat = np.zeros(first[-1] * WINDOW + _AHEAD, np.uint8)
     shift = np.repeat(first[:-1] * WINDOW - offsets[:-1], sizes)
     flat[np.arange(len(data)) + shift] = _FOLD[data]
@@ -158,11 +166,12 @@ def training_windows(labelled: DataFrame) -> DataFrame:
             where, found = [], []
             for first, data, offsets in _words.chunks(batch.column("text")):
                 flat, at = _laid_out(data, offsets)
+                view, ends = _windows(flat, at)
                 for i in range(len(offsets) - 1):
                     every = np.arange(at[i], at[i + 1])
                     for k in every[np.linspace(0, len(every) - 1, min(len(every), SAMPLE_WINDOWS)).astype(int)]:
                         where.append(first + i)
-                        found.append(flat[k * WINDOW:(k + 1) * WINDOW + _AHEAD].tobytes())
+                        found.append(view[k, :WINDOW].tobytes() + (bytes(_AHEAD) if ends[k] else view[k, WINDOW:].tobytes()))
             yield pa.RecordBatch.from_arrays([batch.column("lang").take(pa.array(where, pa.int64())), pa.array(found, pa.binary())], ["lang", "window"])
 
     return sample.select("lang", "text").mapInArrow(rows, "lang string, window binary")
@@ -198,7 +207,7 @@ def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text", out=("
             best, score = np.empty(len(batch), np.int64), np.empty(len(batch))
             for first, data, offsets in _words.chunks(batch.column(text)):
                 flat, at = _laid_out(data, offsets)
-                part = window_probabilities(own, tables, flat, int(at[-1]))
+                part = window_probabilities(own, tables, flat, at)
                 left = np.repeat(np.diff(offsets), np.diff(at)) - (np.arange(at[-1]) - np.repeat(at[:-1], np.diff(at))) * WINDOW
                 weight = np.clip(left, 0, WINDOW)[:, None]  # nothing for a window of padding
                 mean = np.add.reduceat(part * weight, at[:-1]) / np.maximum(np.add.reduceat(weight, at[:-1]), 1)

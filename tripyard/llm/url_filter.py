@@ -220,5 +220,5 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     score = 1 / (1 + F.exp(-model.margin()))
     return model.rated(rows).withColumn("score", score).select(
         "page_id", "host", "path", "rule",
-        F.coalesce("ruled", F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"),
+        F.coalesce("ruled", F.when(F.col("score") > 0.5, "block").otherwise("allow")).alias("verdict"),
         "score")

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import TESTDATA, trip
+from conftest import DEFAULT_TRIP, RAW_WITH_LINEAGE, TESTDATA, trip
 from tripyard.operators import clean as C
 from tripyard.operators import validate as V
 from tripyard.schema import SILVER_CLEAN_SCHEMA
@@ -178,6 +178,61 @@ def test_scan_zone_aware_timestamps_and_oversized_codes(spark):
         "VendorID bigint, tpep_pickup_datetime timestamp, passenger_count double",
     ).write.parquet(R.raw_file_path(root, 2024, 3))
     r = R.read_raw_trips(spark, [R.raw_file_path(root, 2024, 3)]).first()
-    assert r.VendorID is None  # does not fit INT: null, the job does not fail
-    assert r.tpep_pickup_datetime == dt.datetime(2024, 3, 9, 17, 30)  # wall clock in the session zone (UTC)
+    assert r.VendorID == -1  # present but does not fit INT: -1, not null
+    assert r.tpep_pickup_datetime == dt.datetime(2024, 3, 9, 17, 30)  # UTC wall clock
     assert r.reference_month == 3
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        again = R.read_raw_trips(spark, [R.raw_file_path(root, 2024, 3)]).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert again.tpep_pickup_datetime == r.tpep_pickup_datetime
+
+
+def test_parts_of_one_month_with_different_footers_keep_every_value(spark):
+    root = scratch_dir(spark, "parts")
+    month = R.raw_file_path(root, 2024, 1)
+    spark.createDataFrame([(1, 2)], "VendorID int, passenger_count bigint").coalesce(1).write.parquet(month)
+    spark.createDataFrame([(2, 1.75)], "VendorID int, Airport_fee double").coalesce(1).write.mode("append").parquet(month)
+    spark.createDataFrame([(3, 3.0, 2.5)], "VendorID int, passenger_count double, airport_fee double").coalesce(1).write.mode("append").parquet(month)
+    got = {r.VendorID: (r.passenger_count, r.Airport_fee, r.source_file) for r in R.read_raw_trips(spark, [month]).collect()}
+    name = "yellow_tripdata_2024-01.parquet"
+    assert got == {1: (2.0, None, name), 2: (None, 1.75, name), 3: (3.0, 2.5, name)}
+
+
+def test_present_codes_that_do_not_fit_break_their_rules(spark):
+    root = scratch_dir(spark, "codes")
+    good = dict(zip(DEFAULT_TRIP, (str(v) if k in ("RatecodeID", "payment_type") else v for k, v in DEFAULT_TRIP.items())))
+    kinds = {f.name: f.dataType.simpleString() for f in RAW_WITH_LINEAGE} | {"RatecodeID": "string", "payment_type": "string"}
+    names = [n for n in DEFAULT_TRIP if n not in ("source_file", "reference_year", "reference_month")]
+    rows = [good, good | {"RatecodeID": "abc"}, good | {"payment_type": "x"}, good | {"RatecodeID": None}]
+    spark.createDataFrame([tuple(r[n] for n in names) for r in rows], ", ".join(f"{n} {kinds[n]}" for n in names)).write.parquet(R.raw_file_path(root, 2024, 1))
+    flagged = V.flag_trips(C.clean_trips(R.read_raw_trips(spark, [R.raw_file_path(root, 2024, 1)])))
+    got = sorted((r.rate_code_id, r.payment_type, r.rejection_reason or "") for r in flagged.collect())
+    assert got == [(-1, 1, "invalid rate_code_id"), (1, -1, ""), (1, 1, ""), (1, 1, "")]
+
+
+def test_a_file_elsewhere_does_not_validate_a_month(spark):
+    root = scratch_dir(spark, "elsewhere")
+    spark.range(5).write.parquet(f"{root}/archive/yellow_tripdata_2024-01.parquet")
+    assert not R.file_inventory(spark, root, [(2024, 1)], 0).first().is_valid
+    spark.range(5).write.parquet(f"{root}/yellow_tripdata_2024-01.parquet")
+    own = R.file_inventory(spark, root, [(2024, 1)], 0).first()
+    assert own.is_valid
+    with pytest.raises(ValueError, match="2024-02"):
+        R.read_raw_trips(spark, [R.raw_file_path(root, 2024, m) for m in (1, 2)])
+
+
+def test_many_months_are_one_scan_per_layout(spark):
+    root = scratch_dir(spark, "layouts")
+    months = R.month_range((2010, 1), (2026, 8))  # 200 months, two layouts
+    y, m = F.year("d"), F.month("d")
+    days = spark.createDataFrame([(dt.date(a, b, 1),) for a, b in months], "d date").select(
+        F.concat(F.lit("yellow_tripdata_"), F.date_format("d", "yyyy-MM"), F.lit(".parquet")).alias("file"), y.alias("y"), m.alias("VendorID"))
+    for old, kind in ((True, "bigint"), (False, "double")):
+        part = days.where((F.col("y") < 2020) == F.lit(old)).withColumn("passenger_count", F.lit(2).cast(kind)).drop("y")
+        part.repartition(4, "file").write.mode("append").partitionBy("file").parquet(root)
+    raw = R.read_raw_trips(spark, [R.raw_file_path(root, a, b, R.SPARK_LAYOUT) for a, b in months])
+    assert raw._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    got = {(r.reference_year, r.reference_month, r.VendorID, r.passenger_count) for r in raw.collect()}
+    assert got == {(a, b, b, 2.0) for a, b in months}

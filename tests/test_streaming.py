@@ -1,5 +1,8 @@
 import datetime as dt
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from conftest import RAW_WITH_LINEAGE, TESTDATA, trip
 from tripyard.session import scratch_dir
 from tripyard.sinks.warehouse import Warehouse
@@ -47,3 +50,25 @@ def test_parts_of_one_month_across_batches_load_once(spark):
     wh = Warehouse(spark, f"{root}/wh", prefix="stp_")
     assert wh.read("silver_clean").count() == 817
     assert wh.read("silver_rejected").count() == 183
+
+
+def test_a_split_month_over_the_threshold_loads_and_an_undersized_one_raises(spark):
+    root = scratch_dir(spark, "stream-size")
+    month_dir = R.raw_file_path(f"{root}/landing", 2024, 1, R.SPARK_LAYOUT)
+    raw = fixture_raw_trips(spark, TESTDATA, "events")
+    raw.drop("source_file", "reference_year", "reference_month").repartition(3).write.parquet(month_dir)
+    sizes = [r.length for r in R.listed_files(spark, [month_dir]).collect()]
+    assert len(sizes) == 3
+    q = start_monthly_loads(spark, f"{root}/landing", f"{root}/wh", f"{root}/work", f"{root}/ckpt",
+                            min_file_bytes=max(sizes) + 1, max_files_per_trigger=1, prefix="sts_")
+    q.awaitTermination()
+    assert Warehouse(spark, f"{root}/wh", prefix="sts_").read("silver_clean").count() == 817
+    q = start_monthly_loads(spark, f"{root}/landing", f"{root}/wh2", f"{root}/work2", f"{root}/ckpt2",
+                            min_file_bytes=sum(sizes) + 1, prefix="stu_")
+    with pytest.raises(StreamingQueryException, match="invalid raw files"):
+        q.awaitTermination()
+
+
+def test_a_month_at_two_places_is_an_error():
+    with pytest.raises(ValueError, match="landed at"):
+        month_roots(["/l/a/yellow_tripdata_2024-01.parquet", "/l/b/yellow_tripdata_2024-01.parquet"])

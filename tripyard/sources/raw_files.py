@@ -8,8 +8,11 @@ import datetime as _dt
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
 from tripyard.functions.periods import file_name_from_path
 from tripyard.schema import (
@@ -19,6 +22,9 @@ from tripyard.schema import (
     RAW_FILE_NAME,
     RAW_FILE_PATTERN,
     RAW_SCHEMA,
+    RENAMES,
+    SHORT_COLUMNS,
+    UNREPRESENTABLE_CODE,
 )
 
 # Where a month's raw file lives under a landing root. The flat layout is the
@@ -89,32 +95,45 @@ def raw_file_path(root: str, year: int, month: int, layout: str = FLAT_LAYOUT) -
     return layout.format(root=root.rstrip("/"), year=year, month=month)
 
 
-def file_inventory(
-    spark: SparkSession,
-    root: str,
-    periods: list[tuple[int, int]],
-    min_bytes: int = MIN_RAW_FILE_BYTES,
-    layout: str = FLAT_LAYOUT,
-) -> DataFrame:
-    """S3: per requested period - expected path, size in MB (2 decimals) and
-    whether the file exists and is larger than ``min_bytes``.
+def listed_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, length) of the Parquet files at exactly these paths (a file, or a
+    directory of parts); paths that do not exist list nothing.
 
-    The listing is Spark's binaryFile source with only path and length
-    selected, so file contents are never read. A month written by Spark as a
-    directory of parts counts with the sum of its parts.
+    The listing is Spark's binaryFile source over one glob per parent folder,
+    with only path and length selected, so no content is read and nothing
+    else below the parent is listed.
     """
+    by_parent: dict[str, list[str]] = {}
+    for p in paths:
+        parent, _, name = p.rstrip("/").rpartition("/")
+        by_parent.setdefault(parent, []).append(name)
+    none = spark.createDataFrame([], "path string, length bigint")
+    out = none
+    for parent, names in sorted(by_parent.items()):
+        # the last choice never exists: a glob, so that a missing path is no error
+        glob = f"{parent}/{{{','.join(sorted(names))},none}}"
+        try:
+            found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(glob).select("path", "length")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        out = out.unionByName(found)
+    return out
+
+
+def inventory_of(spark: SparkSession, months: dict[tuple[int, int], str], min_bytes: int = MIN_RAW_FILE_BYTES) -> DataFrame:
+    """S3 for given paths: per month - expected path, size in MB (2 decimals)
+    and whether it exists and is larger than ``min_bytes``. A month written by
+    Spark as a directory of parts counts with the sum of its parts."""
     listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
+        listed_files(spark, list(months.values()))
         .select(file_name_from_path(F.col("path")).alias("file_name"), "length")
         .groupBy("file_name")
         .agg(F.sum("length").alias("size_bytes"))
     )
     expected = spark.createDataFrame(
-        [(y, m, raw_file_path(root, y, m, layout), RAW_FILE_NAME.format(year=y, month=m))
-         for y, m in periods],
+        [(y, m, path, RAW_FILE_NAME.format(year=y, month=m)) for (y, m), path in sorted(months.items())],
         "reference_year smallint, reference_month smallint, path string, file_name string",
     )
     size = F.coalesce(F.col("size_bytes"), F.lit(0))
@@ -127,6 +146,18 @@ def file_inventory(
     )
 
 
+def file_inventory(
+    spark: SparkSession,
+    root: str,
+    periods: list[tuple[int, int]],
+    min_bytes: int = MIN_RAW_FILE_BYTES,
+    layout: str = FLAT_LAYOUT,
+) -> DataFrame:
+    """S3: the inventory of the requested periods' expected paths. Files of
+    these names elsewhere below the root do not count."""
+    return inventory_of(spark, {(y, m): raw_file_path(root, y, m, layout) for y, m in periods}, min_bytes)
+
+
 def require_valid_files(inventory: DataFrame) -> None:
     """Stop the run when a requested month has no usable raw file (the
     inventory has one row per requested period, so it is small)."""
@@ -144,38 +175,96 @@ def period_of_path(path: str) -> tuple[str, int, int]:
     return found.group(0), int(found.group(1)), int(found.group(2))
 
 
-def _read_month(spark: SparkSession, path: str) -> DataFrame:
-    name, year, month = period_of_path(path)
-    df = spark.read.parquet(path)  # schema from this file's own footer
+def _raw_columns(df: DataFrame) -> list[Column]:
+    """The 19 raw columns of a scan, matched case-insensitively and cast to the
+    raw types; absent columns are null. A code that is present but does not
+    fit its type becomes -1 (which the range rules reject), never null: null
+    would take the default of a missing value. Zone-aware times are read as
+    UTC wall clock, whatever the session zone."""
     present = {c.lower(): c for c in df.columns}
-    cols = []
+    out = []
     for f in RAW_SCHEMA:
         found = present.get(f.name.lower())
-        col = F.col(found).try_cast(f.dataType) if found else F.lit(None).cast(f.dataType)
-        cols.append(col.alias(f.name))
+        if found is None:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        col = F.col(found)
+        if isinstance(df.schema[found].dataType, TimestampType) and isinstance(f.dataType, TimestampNTZType):
+            col = F.convert_timezone(F.current_timezone(), F.lit("UTC"), col.cast("timestamp_ntz"))
+        fitted = col.try_cast(f.dataType)
+        if RENAMES.get(f.name, f.name) in SHORT_COLUMNS:
+            fitted = F.when(col.isNotNull() & fitted.isNull(), F.lit(UNREPRESENTABLE_CODE).cast(f.dataType)).otherwise(fitted)
+        out.append(fitted.alias(f.name))
+    return out
+
+
+def _scan(spark: SparkSession, schema: StructType, files: list[str], months: list[str]) -> DataFrame:
+    """One scan of files that share a schema. The lineage of a single month is
+    constant (so month bounds reach the Parquet reader); of several months it
+    is parsed from each file's path."""
+    df = spark.read.schema(schema).parquet(*files)
+    if len(months) == 1:
+        name, year, month = period_of_path(months[0])
+        name, year, month = F.lit(name), F.lit(year), F.lit(month)
+    else:
+        name = F.regexp_extract("_metadata.file_path", RAW_FILE_PATTERN, 0)
+        year, month = (F.regexp_extract("_metadata.file_path", RAW_FILE_PATTERN, k) for k in (1, 2))
     return df.select(
-        *cols,
-        F.lit(name).alias("source_file"),
-        F.lit(year).cast("smallint").alias("reference_year"),
-        F.lit(month).cast("smallint").alias("reference_month"),
+        *_raw_columns(df),
+        name.alias("source_file"),
+        year.cast("smallint").alias("reference_year"),
+        month.cast("smallint").alias("reference_month"),
     )
 
 
+def _merged_schema(spark: SparkSession, files: list[str]) -> StructType | None:
+    """The schema that holds all columns of these files (their footers are read
+    by one Spark job), or None if a column's type differs between them."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(*files).schema
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE" not in str(e):
+            raise
+        return None
+
+
+def _schema_groups(spark: SparkSession, files: list[tuple[str, str]]) -> list[tuple[StructType, list[tuple[str, str]]]]:
+    """(schema, files) groups covering ``files`` (month path, file), which are
+    in order of month: the whole range if its footers fit together, else its
+    halves. Jobs grow with the number of schema changes, not of files."""
+    found = _merged_schema(spark, [f for _, f in files])
+    if found is not None:
+        return [(found, files)]
+    if len(files) == 1:
+        raise ValueError(f"unreadable footer: {files[0][1]}")
+    half = len(files) // 2
+    return _schema_groups(spark, files[:half]) + _schema_groups(spark, files[half:])
+
+
 def read_raw_trips(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Scan many monthly files under the fixed 19-column raw schema.
 
-    Monthly files differ in physical types (e.g. INT64 vs DOUBLE for a count),
-    in name case and in which columns exist; one explicit-schema read fails
-    on such a mix. Each month is therefore scanned under its own footer
-    schema (a metadata read per month), every column matched
-    case-insensitively and cast to the raw type (null when absent; a value
-    that does not fit becomes null instead of failing the job), with the
-    month's lineage as constant columns. The months are combined with
-    unionByName: one plan, every file split scanned in parallel.
+    Files differ in physical types (e.g. INT64 vs DOUBLE for a count), in name
+    case and in which columns exist, also between the parts of one month; one
+    explicit-schema read fails on such a mix. Files whose footers fit together
+    are one scan under the merged schema of their footers, so the plan grows
+    with the number of distinct layouts, not of months; the scans are combined
+    with unionByName, and every file split is scanned in parallel.
     """
     if not paths:
         raise ValueError("no raw files given")
-    frames = [_read_month(spark, p) for p in paths]
+    by_name = {period_of_path(p)[0]: p for p in paths}
+    if len(by_name) != len(paths):
+        raise ValueError("a month is given twice")
+    listed = sorted((period_of_path(r.path)[0], r.path) for r in listed_files(spark, paths).select("path").collect())
+    missing = sorted(set(by_name) - {name for name, _ in listed})
+    if missing:
+        raise ValueError(f"no raw files at {', '.join(by_name[m] for m in missing)}")
+    groups: dict[str, tuple[StructType, list[tuple[str, str]]]] = {}
+    for schema, files in _schema_groups(spark, listed):
+        key = ",".join(sorted(f"{f.name.lower()}:{f.dataType.simpleString()}" for f in schema))
+        groups.setdefault(key, (schema, []))[1].extend(files)
+    frames = [_scan(spark, schema, [f for _, f in files], sorted({n for n, _ in files})) for schema, files in groups.values()]
     return reduce(DataFrame.unionByName, frames)
 
 

@@ -12,8 +12,10 @@ order of tokens. Three orders are used:
    the table of the ``FREQUENT`` most frequent tokens bounds memory, not results.
    This order makes the candidates: classes that share a prefix token, whose
    sizes fit and whose positions of it leave room for the needed overlap.
-2. and 3. by two other hashes: a candidate pair must share a prefix token under
-   both, too, before its sets are compared.
+2. and 3. by two other hashes: a candidate pair must share prefix tokens under
+   both, too, before its sets are compared, and enough of them: up to the
+   smaller of the prefixes' ends both sets are fully known, and each token
+   there that the other set lacks lowers the overlap that is still possible.
 
 Only the texts of candidate classes are shingled again, first for the prefixes
 of orders 2 and 3, then for whole sets. Which rows those are, and which prefix
@@ -46,7 +48,7 @@ from tripyard.llm import _words
 from tripyard.llm._graph import components
 from tripyard.llm._tables import ship, staged, text_column
 
-RUN, LOCAL_LEAST, FREQUENT = 4_000_000, 2, 200_000
+RUN, LOCAL_LEAST, FREQUENT = 4_000_000, 2, 1 << 20
 ROW_BITS, TOKEN_BITS = 1 << 22, 1 << 24
 
 
@@ -144,7 +146,8 @@ def _prefixes(k: int, num: int, den: int, frequent):
 
 
 def _other_prefixes(k: int, num: int, den: int):
-    """Map function: the prefixes under the second and the third order."""
+    """Map function: the prefixes under the second and the third order, as the
+    hashes that give the order (equal for equal tokens, signed in order)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,10 +158,10 @@ def _other_prefixes(k: int, num: int, den: int):
                 for lo, hi in zip(starts[:-1], starts[1:], strict=True):
                     most = _prefix_size(hi - lo, num, den)
                     for kept, order in zip(firsts, orders, strict=True):
-                        chosen = np.argpartition(order[lo:hi], most - 1)[:most]
-                        kept.append(tokens[lo:hi][chosen].view(np.int64))
+                        chosen = np.partition(order[lo:hi], most - 1)[:most]
+                        kept.append((chosen ^ np.uint64(1 << 63)).view(np.int64))
                 lists = [pa.array(x, pa.list_(pa.int64())) for x in firsts]
-                yield pa.RecordBatch.from_arrays([pa.array(d1), *lists], ["cls", "second", "third"])
+                yield pa.RecordBatch.from_arrays([pa.array(d1), pa.array(np.diff(starts), pa.int32()), *lists], ["cls", "n", "second", "third"])
 
     return rows
 
@@ -233,6 +236,15 @@ class JaccardJoin:
         smallest = F.greatest("least", F.ceil(self.num * n / self.den))
         return staged(posted.join(shared, "token").where(n - p >= self._needed(n, smallest)), "join-lists")
 
+    def _possible(self, order: str):
+        """Whether the prefixes under an order leave room for the overlap."""
+        a, b = F.col(f"a_{order}"), F.col(f"b_{order}")
+        end = F.least(F.array_max(a), F.array_max(b))
+        shared = F.size(F.array_intersect(a, b))
+        missed = lambda own: F.size(F.filter(own, lambda v: v <= end)) - shared
+        left = F.least(F.col("a_n") - missed(a), F.col("b_n") - missed(b))
+        return (shared > 0) & (left >= self._needed(F.col("a_n"), F.col("b_n")))
+
     def _reshingled(self, pairs: DataFrame, function, schema: str, name: str) -> DataFrame:
         """A row for each class of ``pairs`` (and for a few others), from the
         text with the smallest id."""
@@ -245,10 +257,10 @@ class JaccardJoin:
         """The pairs (a, b) that share prefix tokens under the other
         orders, too, and whose sets are similar: (a, b)."""
         pairs = staged(pairs, "join-pairs")
-        orders = self._reshingled(pairs, _other_prefixes(self.k, self.num, self.den), "cls long, second array<long>, third array<long>", "join-orders")
+        orders = self._reshingled(pairs, _other_prefixes(self.k, self.num, self.den), "cls long, n int, second array<long>, third array<long>", "join-orders")
         of = lambda c, t: t.select(*[F.col(x).alias(f"{c}_{x}" if x != "cls" else c) for x in t.columns])
         filtered = pairs.join(of("a", orders), "a").join(of("b", orders), "b").where(
-            F.arrays_overlap("a_second", "b_second") & F.arrays_overlap("a_third", "b_third")).select("a", "b")
+            self._possible("second") & self._possible("third")).select("a", "b")
         filtered = staged(filtered, "join-filtered")
         sets = self._reshingled(filtered, _whole_sets(self.k), "cls long, n int, tokens array<long>", "join-sets")
         compared = filtered.join(of("a", sets), "a").join(of("b", sets), "b")

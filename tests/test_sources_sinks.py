@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import DEFAULT_TRIP, RAW_WITH_LINEAGE, TESTDATA, trip
 from tripyard.operators import clean as C
 from tripyard.operators import validate as V
-from tripyard.schema import SILVER_CLEAN_SCHEMA
+from tripyard.schema import GOLD_KEYS, SILVER_CLEAN_SCHEMA
 from tripyard.session import scratch_dir
 from tripyard.sinks.warehouse import Warehouse, read_staging, write_staging
 from tripyard.sources import raw_files as R
@@ -130,21 +130,89 @@ def test_refuses_to_load_a_table_without_dynamic_overwrite(spark, raw_frame):
         wh.replace_periods("silver_clean", silver, [(2024, 1)])
 
 
-def test_run_observes_constraint_violations_while_loading(spark, raw_frame):
+def test_rows_the_warehouse_would_not_take_stop_the_run_before_a_period_is_replaced(spark, raw_frame):
+    from tripyard.operators.quality import ConstraintViolation
     from tripyard.plans.job import run_frame
 
     root = scratch_dir(spark, "violations")
-    raw = raw_frame(trip(), trip(fare_amount=1e9), trip(PULocationID=0))
-    result = run_frame(spark, raw, [(2024, 1)], f"{root}/wh", f"{root}/work", prefix="t_viol_")
-    v = result.violations
-    assert v[("silver.yellow_taxi_clean", "not_null", "fare_amount")] == 1
-    assert v[("silver.yellow_taxi_clean", "numeric_10_2", "fare_amount")] == 1
-    assert v[("silver.rejected_records", "not_null", "rejection_reason")] == 0
-    assert v[("gold.hourly_demand", "hour_0_23", "hour_of_day")] == 0
-    assert v[("gold.trips_by_day", "unique", "reference_year,reference_month,trip_date")] == 0
-    others = {k: n for k, n in v.items() if k[2] != "fare_amount" and n}
-    assert others == {}
-    assert result.loaded["silver_clean"] == {(2024, 1): 2}
+    good = run_frame(spark, raw_frame(trip(), trip(PULocationID=0)), [(2024, 1)], f"{root}/wh", f"{root}/w1", prefix="t_viol_")
+    assert not any(good.violations.values())
+    assert ("gold.trips_by_day", "unique", "reference_year,reference_month,trip_date") in good.violations
+    assert ("gold.trips_by_day", "numeric_14_2", "total_revenue") in good.violations
+    wh = Warehouse(spark, f"{root}/wh", prefix="t_viol_")
+    bad = [trip(fare_amount=1e9), trip(source_file="x" * 300), trip(store_and_fwd_flag="YES")]
+    for i, row in enumerate(bad):
+        with pytest.raises(ConstraintViolation) as e:
+            run_frame(spark, raw_frame(trip(), trip(), row), [(2024, 1)], f"{root}/wh", f"{root}/b{i}", prefix="t_viol_")
+        assert all(n == 1 for n in e.value.found.values())
+        assert wh.read("silver_clean").count() == 1 and wh.read("silver_rejected").count() == 1
+        assert wh.read("trips_by_day").count() == 1
+
+
+def test_a_gold_total_beyond_its_column_stops_the_run(spark, raw_frame):
+    from tripyard.operators.quality import ConstraintViolation
+    from tripyard.plans.job import run_frame
+
+    root = scratch_dir(spark, "overflow")
+    raw = raw_frame(trip(total_amount=9e7)).select("*", F.explode(F.sequence(F.lit(1), F.lit(12000))).alias("i")).drop("i")
+    with pytest.raises(ConstraintViolation) as e:
+        run_frame(spark, raw, [(2024, 1)], f"{root}/wh", f"{root}/w", prefix="t_over_")
+    assert ("gold.trips_by_day", "numeric_14_2", "total_revenue") in e.value.found
+    assert Warehouse(spark, f"{root}/wh", prefix="t_over_").read("trips_by_day").count() == 0
+
+
+def test_broken_rows_are_counted_for_every_kind_of_constraint(spark):
+    from tripyard.plans.registry import queries
+
+    rows = queries()["constraint_violations"](spark, TESTDATA).collect()
+    kinds = {}
+    for r in rows:
+        kinds.setdefault(r.check_name, []).append(r.violations)
+    assert set(kinds) == {"not_null", "numeric_10_2", "numeric_14_2", "numeric_5_2", "max_length", "unique", "hour_0_23"}
+    assert all(n > 0 for found in kinds.values() for n in found)
+    assert {r.table_name for r in rows} == {"raw.yellow_taxi", "silver.yellow_taxi_clean", "silver.rejected_records", *(f"gold.{k}" for k in GOLD_KEYS)}
+
+
+class FakeSession:
+    """A session with the given settings and no checkpoint folder yet."""
+
+    def __init__(self, **settings):
+        self.conf = self.sparkContext = self
+        self.settings = {k.replace("_", "."): v for k, v in settings.items()}
+        self.folder = None
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_scratch_data_goes_to_shared_storage_only():
+    named = FakeSession(spark_checkpoint_dir="store://a", spark_sql_warehouse_dir="store://w")
+    assert scratch_dir(named, "x").startswith("store://a/")
+    assert scratch_dir(FakeSession(spark_sql_warehouse_dir="store://w/"), "x").startswith("store://w/_scratch/")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(FakeSession(), "x")
+
+
+def test_queries_leave_nothing_in_the_catalog(spark):
+    from tripyard.plans.registry import queries
+
+    before = {r.namespace for r in spark.sql("SHOW DATABASES").collect()}
+    assert queries()["empty_reload"](spark, TESTDATA).count() > 0
+    assert {r.namespace for r in spark.sql("SHOW DATABASES").collect()} == before
+
+
+def test_reasons_come_most_frequent_first(spark, raw_frame):
+    from tripyard.operators.stats import rejection_reasons
+
+    rows = [trip(PULocationID=0)] * 2 + [trip(passenger_count=0.0)] * 3 + [trip(DOLocationID=0)]
+    got = rejection_reasons(V.flag_trips(C.clean_trips(raw_frame(*rows)))).collect()
+    assert [r["count"] for r in got] == [3, 2, 1]
 
 
 def test_expected_counts_are_checked_against_the_write(spark, raw_frame):

@@ -20,12 +20,15 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tripyard.functions.numeric import money, rounded_mean, rounded_percent
 from tripyard.functions.periods import days_in_month
-from tripyard.schema import GOLD_KEYS, GOLD_SCHEMAS, PAYMENT_LABELS, PERCENT, PERIOD_COLUMNS, TOTAL
+from tripyard.schema import GOLD_KEYS, GOLD_SCHEMAS, PAYMENT_LABELS, PERCENT, PERIOD_COLUMNS
 
 PERIOD = PERIOD_COLUMNS
+# Holds every sum of NUMERIC(10,2) values a table can have.
+WIDE = DecimalType(28, 2)
 
 # Measures summed over decimals, with their non-null counts for the means.
 _SUMMED = {
@@ -59,11 +62,12 @@ def _partials() -> list[Column]:
 
 
 def _total(short: str) -> Column:
-    return money(F.round(F.col(f"{short}_sum"), 2), TOTAL)
+    """Wider than the table's column; _conform narrows it, the checks compare."""
+    return F.col(f"{short}_sum")
 
 
 def _mean(short: str) -> Column:
-    return rounded_mean(F.col(f"{short}_sum"), F.col(f"{short}_n"))
+    return rounded_mean(F.col(f"{short}_sum"), F.col(f"{short}_n"), WIDE)
 
 
 def _finish_day(p: DataFrame) -> DataFrame:
@@ -119,7 +123,7 @@ def _finish_hour(p: DataFrame) -> DataFrame:
         *PERIOD, "hour_of_day",
         F.col("n").alias("total_trips"),
         # mean over the calendar days of the month, not the days with trips
-        money(F.round(F.col("n") / days, 2)).alias("avg_trips_per_day"),
+        money(F.round(F.col("n") / days, 2), WIDE).alias("avg_trips_per_day"),
         _total("revenue").alias("total_revenue"),
         _mean("fare").alias("avg_fare_amount"),
     )
@@ -146,15 +150,20 @@ _FINISH = {
 }
 
 
-def _conform(name: str, df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in GOLD_SCHEMAS[name]])
+def conform(name: str, wide: DataFrame) -> DataFrame:
+    """A gold table's column types. A total that does not fit its NUMERIC is
+    null here; the run checks the wide rows before it replaces anything."""
+    return wide.select(*[
+        (money(F.col(f.name), f.dataType) if isinstance(f.dataType, DecimalType) else F.col(f.name).cast(f.dataType)).alias(f.name)
+        for f in GOLD_SCHEMAS[name]
+    ])
 
 
 def gold_table(silver: DataFrame, name: str) -> DataFrame:
     """One gold table: a single hash aggregate on (period, key)."""
     inp = gold_input(silver)
     partial = inp.groupBy(*PERIOD_COLUMNS, *GOLD_KEYS[name]).agg(*_partials())
-    return _conform(name, _FINISH[name](partial))
+    return conform(name, _FINISH[name](partial))
 
 
 def trips_by_day(silver: DataFrame) -> DataFrame:
@@ -199,16 +208,22 @@ def gold_partials(silver: DataFrame) -> DataFrame:
     )
 
 
-def gold_tables(partials: DataFrame) -> dict[str, DataFrame]:
+def wide_gold_tables(partials: DataFrame) -> dict[str, DataFrame]:
     """The five gold tables from :func:`gold_partials` (materialise it first
-    when several tables are written, so the trips are scanned once)."""
+    when several tables are written, so the trips are scanned once), sums and
+    means in types that hold any of them."""
     out = {}
     for name, keys in GOLD_KEYS.items():
         part = partials.filter(F.col("gid") == _grouping_id(PERIOD_COLUMNS + keys))
-        out[name] = _conform(name, _FINISH[name](part))
+        out[name] = _FINISH[name](part)
     return out
 
 
+def gold_tables(partials: DataFrame) -> dict[str, DataFrame]:
+    """The five gold tables in their column types."""
+    return {name: conform(name, wide) for name, wide in wide_gold_tables(partials).items()}
+
+
 def gold_row_counts(partials: DataFrame, periods: list[tuple[int, int]]) -> dict[str, dict]:
     """Rows per month of each gold table, from :func:`gold_partials` (one
     small job over the groupings; the zone tables share theirs)."""

@@ -7,20 +7,15 @@ result is long-form: (table_name, check_name, column_name, violations).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tripyard.functions.numeric import money
 from tripyard.operators.clean import add_lineage, cast_types, normalize_columns
-from tripyard.schema import (
-    GOLD_KEYS,
-    GOLD_SCHEMAS,
-    LENGTH_LIMITS,
-    PERIOD_COLUMNS,
-    SILVER_CLEAN_SCHEMA,
-    SILVER_MONEY_COLUMNS,
-    SILVER_REJECTED_SCHEMA,
-)
+from tripyard.schema import GOLD_KEYS, LENGTH_LIMITS, PERIOD_COLUMNS, TABLE_SCHEMAS, TABLES
 
 CHECK_COLUMNS = ["table_name", "check_name", "column_name", "violations"]
 
@@ -39,33 +34,32 @@ def _long(table: str, agg_source: DataFrame, checks: list[tuple[str, str, Column
     return wide.select(F.inline(entries)).select(F.lit(table).alias("table_name"), "*")
 
 
-def _length_checks(key: str) -> list[tuple[str, str, Column]]:
-    return [
-        ("max_length", col, F.count_if(F.length(col) > n))
-        for col, n in LENGTH_LIMITS.get(key, {}).items()
-    ]
+def _numeric_name(t: DecimalType) -> str:
+    return f"numeric_{t.precision}_{t.scale}"
+
 
+def check_exprs(key: str, when: Column | None = None) -> list[tuple[str, str, Column]]:
+    """C1, C3, C4, C5 of a warehouse table as aggregates over its rows *before*
+    they are cast to the table's types (all columns in one pass): NOT NULL as
+    stored, NUMERIC(p,s) range, text length, hour range. ``when`` limits the
+    rows that count."""
+    def count(condition: Column) -> Column:
+        return F.count_if(condition if when is None else when & condition)
 
-def silver_clean_check_exprs() -> list[tuple[str, str, Column]]:
-    """C1, C4, C5 of silver.yellow_taxi_clean as aggregates over the valid
-    trips before they are cast to the warehouse types."""
     checks = []
-    for f in SILVER_CLEAN_SCHEMA:
+    for f in TABLE_SCHEMAS[key]:
+        c = F.col(f.name)
+        numeric = isinstance(f.dataType, DecimalType)
+        stored = money(c, f.dataType) if numeric else c
         if not f.nullable:
-            stored = money(F.col(f.name)) if f.name in SILVER_MONEY_COLUMNS else F.col(f.name)
-            checks.append(("not_null", f.name, F.count_if(stored.isNull())))
-    for c in SILVER_MONEY_COLUMNS:
-        checks.append(("numeric_10_2", c, F.count_if(F.col(c).isNotNull() & money(F.col(c)).isNull())))
-    return checks + _length_checks("silver_clean")
-
-
-def silver_rejected_check_exprs() -> list[tuple[str, str, Column]]:
-    """C1 and C5 of silver.rejected_records as aggregates over its layout."""
-    checks = [
-        ("not_null", f.name, F.count_if(F.col(f.name).isNull()))
-        for f in SILVER_REJECTED_SCHEMA if not f.nullable
-    ]
-    return checks + _length_checks("silver_rejected")
+            checks.append(("not_null", f.name, count(stored.isNull())))
+        if numeric:
+            checks.append((_numeric_name(f.dataType), f.name, count(c.isNotNull() & stored.isNull())))
+    for col, n in LENGTH_LIMITS.get(key, {}).items():
+        checks.append(("max_length", col, count(F.length(col) > n)))
+    if key == "hourly_demand":
+        checks.append(("hour_0_23", "hour_of_day", count(~F.col("hour_of_day").between(0, 23))))
+    return checks
 
 
 def observe_checks(df: DataFrame, name: str, checks: list[tuple[str, str, Column]]):
@@ -82,37 +76,37 @@ def observe_checks(df: DataFrame, name: str, checks: list[tuple[str, str, Column
     return observed, result
 
 
-def silver_clean_checks(valid: DataFrame) -> DataFrame:
-    """C1, C4, C5 on the valid trips as they would be stored in silver."""
-    return _long("silver.yellow_taxi_clean", valid, silver_clean_check_exprs())
+def table_name(key: str) -> str:
+    return ".".join(TABLES[key])
 
 
-def silver_rejected_checks(rejected: DataFrame) -> DataFrame:
-    """C1 and C5 on the rejected layout."""
-    return _long("silver.rejected_records", rejected, silver_rejected_check_exprs())
+def table_checks(key: str, rows: DataFrame) -> DataFrame:
+    """All constraints of one table over the rows to be stored in it: one
+    aggregate, and for gold tables one grouping by key for C2 (unique)."""
+    out = _long(table_name(key), rows, check_exprs(key))
+    if key in GOLD_KEYS:
+        keys = PERIOD_COLUMNS + GOLD_KEYS[key]
+        per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        out = out.unionByName(_long(table_name(key), per_key, [("unique", ",".join(keys), F.count_if(F.col("n") > 1))]))
+    return out
 
 
-def gold_checks(name: str, table: DataFrame) -> DataFrame:
-    """C1, C2 (unique period + key), C3 (hour range) and C5 on one gold table."""
-    checks = [
-        ("not_null", f.name, F.count_if(F.col(f.name).isNull()))
-        for f in GOLD_SCHEMAS[name] if not f.nullable
-    ]
-    if name == "hourly_demand":
-        checks.append(("hour_0_23", "hour_of_day", F.count_if(~F.col("hour_of_day").between(0, 23))))
-    checks += _length_checks(name)
-    keys = PERIOD_COLUMNS + GOLD_KEYS[name]
-    per_key = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    unique = _long(f"gold.{name}", per_key, [("unique", ",".join(keys), F.count_if(F.col("n") > 1))])
-    return _long(f"gold.{name}", table, checks).unionByName(unique)
+def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """The checks of several tables, from the rows to be stored in them."""
+    return reduce(DataFrame.unionByName, [table_checks(key, rows) for key, rows in tables.items()])
 
 
-def constraint_violations(valid: DataFrame, rejected: DataFrame, gold: dict[str, DataFrame]) -> DataFrame:
-    """All constraint checks: valid trips (pre-silver), rejected layout, gold."""
-    out = silver_clean_checks(valid).unionByName(silver_rejected_checks(rejected))
-    for name, table in gold.items():
-        out = out.unionByName(gold_checks(name, table))
-    return out
+class ConstraintViolation(ValueError):
+    """Rows that a warehouse table would not take; nothing was replaced."""
+
+    def __init__(self, found: dict[tuple[str, str, str], int]):
+        self.found = {k: n for k, n in found.items() if n}
+        super().__init__("; ".join(f"{t}.{c}: {n} rows break {check}" for (t, check, c), n in sorted(self.found.items())))
+
+
+def require_none(found: dict[tuple[str, str, str], int]) -> None:
+    if any(found.values()):
+        raise ConstraintViolation(found)
 
 
 def documented_checks(raw: DataFrame, tolerance: float = 0.01) -> DataFrame:

@@ -17,26 +17,32 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 from dataclasses import dataclass, field
 from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripyard.functions.numeric import rounded_percent
 from tripyard.operators.clean import bronze_layout, clean_trips
-from tripyard.operators.gold import gold_partials, gold_row_counts, gold_tables
+from tripyard.operators.gold import conform, gold_partials, gold_row_counts, wide_gold_tables
 from tripyard.operators.quality import (
-    gold_checks,
+    check_exprs,
+    constraint_violations,
     observe_checks,
-    silver_clean_check_exprs,
-    silver_rejected_check_exprs,
+    require_none,
+    table_name,
 )
 from tripyard.operators.stats import rejection_reasons
 from tripyard.operators.validate import flag_trips, rejected_layout, silver_layout
-from tripyard.schema import FIRST_YEAR, GOLD_SCHEMAS, MIN_RAW_FILE_BYTES, PERIOD_COLUMNS
+from tripyard.schema import (
+    FIRST_YEAR,
+    GOLD_SCHEMAS,
+    MIN_RAW_FILE_BYTES,
+    PERIOD_COLUMNS,
+    REJECTED_SOURCE_COLUMNS,
+)
 from tripyard.sinks.warehouse import (
     Warehouse,
     in_periods,
@@ -60,7 +66,8 @@ class RunResult:
     summary: DataFrame
     loaded: dict[str, dict[tuple[int, int], int]] = field(default_factory=dict)
     staging_root: str = ""
-    # (table, check, column) -> rows breaking a warehouse constraint
+    # (table, check, column) -> rows breaking a warehouse constraint (C1-C5);
+    # a run with any such row raises ConstraintViolation instead
     violations: dict[tuple[str, str, str], int] = field(default_factory=dict)
     # A7 per month: (reference_year, reference_month, rejection_reason, count)
     reasons: DataFrame | None = None
@@ -75,12 +82,10 @@ def load_silver_and_gold(
     staged: dict[tuple[int, int], tuple[int, int]] | None = None,
 ) -> tuple[dict[str, dict[tuple[int, int], int]], dict[tuple[str, str, str], int]]:
     """S11-S13 for the given periods, reading the staging partitions.
-    Returns the loaded rows per table and period, and the constraint
-    violations (C1-C5) found while loading."""
+    Returns the loaded rows per table and period, and the gold constraint
+    checks (C1-C5)."""
     loaded = {}
     valid = read_staging(spark, staging_root, periods, valid=True, schema=schema)
-    # Warehouse constraints (C1, C4, C5) are observed on the loads themselves.
-    valid, silver_checks = observe_checks(valid, "silver_checks", silver_clean_check_exprs())
     # Rows per month are known from the staging counts (and from the small
     # gold groupings); each load only verifies them against what it wrote.
     valid_rows = {p: v for p, (_, v) in staged.items()} if staged else None
@@ -88,10 +93,7 @@ def load_silver_and_gold(
     loaded["silver_clean"] = warehouse.replace_periods(
         "silver_clean", silver_layout(valid), periods, expected=valid_rows
     )
-    rejected = read_staging(spark, staging_root, periods, valid=False, schema=schema)
-    rejected, rejected_checks = observe_checks(
-        rejected_layout(rejected), "rejected_checks", silver_rejected_check_exprs()
-    )
+    rejected = rejected_layout(read_staging(spark, staging_root, periods, valid=False, schema=schema))
     # The gold groupings are small (bounded by months x keys, not by trips).
     # Clustering them by period makes each month's rows one task, so every
     # gold table gets one file per month instead of one per task and month,
@@ -103,28 +105,41 @@ def load_silver_and_gold(
         .repartition(*PERIOD_COLUMNS)
         .checkpoint(eager=True)
     )
-    gold = gold_tables(partials)
+    wide = wide_gold_tables(partials)
+    # Gold constraints are checked on the small groupings before any gold
+    # period is replaced: a total beyond its column stops the run.
+    violations = {
+        (r.table_name, r.check_name, r.column_name): r.violations for r in constraint_violations(wide).collect()
+    }
+    require_none(violations)
     gold_rows = gold_row_counts(partials, periods)
-    writes = dict(gold)
+    writes = {name: conform(name, rows) for name, rows in wide.items()}
     writes["silver_rejected"] = rejected
     expected = {**gold_rows, "silver_rejected": rejected_rows}
-    # Gold checks read the small checkpointed groupings only (bounded rows).
-    gold_check_rows = reduce(DataFrame.unionByName, [gold_checks(n, t) for n, t in gold.items()])
     # Independent jobs run concurrently (the gold ones have few tasks).
-    with ThreadPoolExecutor(max_workers=len(writes) + 1) as pool:
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
         futures = {
             k: pool.submit(warehouse.replace_periods, k, df, periods, False, expected.get(k))
             for k, df in writes.items()
         }
-        checked = pool.submit(gold_check_rows.collect)
         loaded.update({k: f.result() for k, f in futures.items()})
-        gold_violations = checked.result()
-    violations = {("silver.yellow_taxi_clean", *k): n for k, n in silver_checks().items()}
-    violations.update({("silver.rejected_records", *k): n for k, n in rejected_checks().items()})
-    violations.update({(r.table_name, r.check_name, r.column_name): r.violations for r in gold_violations})
     return loaded, violations
 
 
+def _staging_checks() -> tuple[list[tuple[str, str, str]], list[tuple[str, str, Column]]]:
+    """The constraints of both silver tables over flagged trips: their names
+    (table, check, column) and the checks, each on the rows of its table."""
+    valid = F.col("rejection_reason").isNull()
+    names, checks = [], []
+    for key, when in (("silver_clean", valid), ("silver_rejected", ~valid)):
+        renamed = {f"raw_{n}" for n, _ in REJECTED_SOURCE_COLUMNS} if key == "silver_rejected" else set()
+        for check, col, expr in check_exprs(key, when):
+            if col not in renamed:  # those may be null and have no limits
+                names.append((table_name(key), check, col))
+                checks.append((check, col, expr))
+    return names, checks
+
+
 SUMMARY_SCHEMA = "reference_year smallint, reference_month smallint, metric string, value double"
 
 
@@ -229,12 +244,19 @@ def run_frame(
         )
     staging_root = f"{work_root.rstrip('/')}/staging-{uuid.uuid4().hex[:12]}"
     flagged = flag_trips(clean_trips(raw)).filter(in_periods(periods))
-    write_staging(flagged, staging_root, rebalance=rebalance)
+    # Silver constraints are observed on the staging write, so a row that the
+    # warehouse would not take stops the run before a period is replaced.
+    names, checks = _staging_checks()
+    observed, seen = observe_checks(flagged, "staging_checks", [(str(i), c, e) for i, (_, c, e) in enumerate(checks)])
+    write_staging(observed, staging_root, rebalance=rebalance)
+    violations = dict(zip(names, seen().values(), strict=True))
+    require_none(violations)
     staged = staged_counts(spark, staging_root, periods, staging_schema(flagged))
-    loads, violations = load_silver_and_gold(
+    loads, gold_violations = load_silver_and_gold(
         spark, staging_root, warehouse, periods, staging_schema(flagged), staged
     )
     loaded.update(loads)
+    violations.update(gold_violations)
     summary_loads = {k: v for k, v in loaded.items() if k != "bronze"}
     # A7 from the rejected staging partitions: only the reason column is read.
     reasons = rejection_reasons(

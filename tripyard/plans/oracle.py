@@ -375,7 +375,14 @@ FROM (SELECT *, row_number() OVER (PARTITION BY {PERIOD}, side ORDER BY total_tr
             FROM silver GROUP BY ALL) z) r
 WHERE rank <= 10"""
     if key == "bronze_trips":
-        return _with(source, "raw") + """SELECT source_file, reference_year, reference_month,
+        return _with(source, "raw") + stage_body(key)
+    raise KeyError(key)
+
+
+def stage_body(key: str) -> str:
+    """The last SELECT of a key, over the stages before it."""
+    if key == "bronze_trips":
+        return """SELECT source_file, reference_year, reference_month,
   VendorID AS vendor_id, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count,
   trip_distance, RatecodeID AS rate_code_id, store_and_fwd_flag, PULocationID AS pu_location_id,
   DOLocationID AS do_location_id, payment_type, fare_amount, extra, mta_tax, tip_amount,
@@ -424,6 +431,13 @@ def write_sql(key: str, source: str) -> str | None:
         return _load_counts_sql(source)
     if key == "raw_file_scan":
         return _with(source, "raw") + "SELECT * FROM raw"
+    if key == "empty_reload":
+        return _with(source, "silver") + f"SELECT {_silver_doubles(_SILVER_ORDER)} FROM silver WHERE reference_month % 2 = 1"
+    if key == "file_inventory":
+        return _with(source, "raw") + (
+            f"SELECT DISTINCT {PERIOD}, source_file AS file_name, reference_month % 3 = 2 AS is_valid FROM raw")
+    if key.startswith("loaded_"):
+        return stage_sql(key.removeprefix("loaded_"), source)
     return None
 
 
@@ -433,49 +447,53 @@ def _check_row(table: str, check: str, column: str, count_expr: str, source: str
 
 
 def _constraints_sql(source: str) -> str:
-    from tripyard.schema import (
-        GOLD_KEYS,
-        GOLD_SCHEMAS,
-        LENGTH_LIMITS,
-        SILVER_CLEAN_SCHEMA,
-        SILVER_MONEY_COLUMNS,
-        SILVER_REJECTED_SCHEMA,
-    )
+    from pyspark.sql.types import DecimalType, StringType
+
+    from tripyard.schema import GOLD_KEYS, LENGTH_LIMITS, TABLE_SCHEMAS, TABLES
 
-    rows = []
-    t = "silver.yellow_taxi_clean"
-    valid = "(SELECT * FROM flagged WHERE rejection_reason IS NULL) v"
-    for f in SILVER_CLEAN_SCHEMA:
-        if not f.nullable:
-            stored = _money(f.name) if f.name in SILVER_MONEY_COLUMNS else f.name
-            rows.append(_check_row(t, "not_null", f.name, f"count(*) FILTER (WHERE {stored} IS NULL)", valid))
-    for c in SILVER_MONEY_COLUMNS:
-        rows.append(_check_row(t, "numeric_10_2", c,
-                               f"count(*) FILTER (WHERE {c} IS NOT NULL AND {_money(c)} IS NULL)", valid))
-    for c, n in LENGTH_LIMITS["silver_clean"].items():
-        rows.append(_check_row(t, "max_length", c, f"count(*) FILTER (WHERE length({c}) > {n})", valid))
-    t = "silver.rejected_records"
-    for f in SILVER_REJECTED_SCHEMA:
-        if not f.nullable:
-            rows.append(_check_row(t, "not_null", f.name, f"count(*) FILTER (WHERE {f.name} IS NULL)", "rejected"))
-    for c, n in LENGTH_LIMITS["silver_rejected"].items():
-        rows.append(_check_row(t, "max_length", c, f"count(*) FILTER (WHERE length({c}) > {n})", "rejected"))
-    for name in GOLD_NAMES:
-        t = f"gold.{name}"
-        g = f"({_gold_sql(name)}) g"
-        for f in GOLD_SCHEMAS[name]:
+    froms = {
+        "bronze": f"({stage_body('bronze_trips')})",
+        "silver_clean": "(SELECT * FROM flagged WHERE rejection_reason IS NULL)",
+        "silver_rejected": "rejected",
+        **{name: f"({_gold_sql(name)})" for name in GOLD_NAMES},
+    }
+    ctes, rows = [], []
+    for key, schema in TABLE_SCHEMAS.items():
+        names = [f.name for f in schema]
+        numeric = {f.name for f in schema if isinstance(f.dataType, DecimalType)}
+        texts = {f.name for f in schema if isinstance(f.dataType, StringType)}
+        required = {f.name for f in schema if not f.nullable}
+        plain = ", ".join(f"CAST({n} AS DOUBLE) AS {n}" if n in numeric else n for n in names)
+
+        def copies(number, change):
+            return f"SELECT {', '.join(change(n) for n in names)} FROM p_{key} WHERE reference_month = {number}"
+
+        parts = [f"SELECT * FROM p_{key}", copies(1, lambda n: f"NULL AS {n}" if n in required else n)]
+        if numeric:
+            parts.append(copies(2, lambda n: f"1e13 AS {n}" if n in numeric else n))
+        parts.append(copies(3, lambda n: n))
+        if texts:
+            parts.append(copies(4, lambda n: f"{n} || repeat('x', 300) AS {n}" if n in texts else n))
+        if key == "hourly_demand":
+            parts.append(copies(5, lambda n: "24 AS hour_of_day" if n == "hour_of_day" else n))
+        ctes += [f"p_{key} AS (SELECT {plain} FROM {froms[key]} t)", f"b_{key} AS ({' UNION ALL '.join(parts)})"]
+        t, b = ".".join(TABLES[key]), f"b_{key}"
+        for f in schema:
+            stored = _money(f.name, f"DECIMAL({f.dataType.precision},{f.dataType.scale})") if f.name in numeric else f.name
             if not f.nullable:
-                rows.append(_check_row(t, "not_null", f.name, f"count(*) FILTER (WHERE {f.name} IS NULL)", g))
-        if name == "hourly_demand":
-            rows.append(_check_row(t, "hour_0_23", "hour_of_day",
-                                   "count(*) FILTER (WHERE hour_of_day NOT BETWEEN 0 AND 23)", g))
-        for c, n in LENGTH_LIMITS.get(name, {}).items():
-            rows.append(_check_row(t, "max_length", c, f"count(*) FILTER (WHERE length({c}) > {n})", g))
-        keys = ", ".join(["reference_year", "reference_month"] + GOLD_KEYS[name])
-        per_key = f"(SELECT {keys}, count(*) AS n FROM {g} GROUP BY {keys}) k"
-        rows.append(_check_row(t, "unique", keys.replace(", ", ","),
-                               "count(*) FILTER (WHERE n > 1)", per_key))
-    return _with(source, "rejected") + "\nUNION ALL\n".join(rows)
+                rows.append(_check_row(t, "not_null", f.name, f"count(*) FILTER (WHERE {stored} IS NULL)", b))
+            if f.name in numeric:
+                rows.append(_check_row(t, f"numeric_{f.dataType.precision}_{f.dataType.scale}", f.name,
+                                       f"count(*) FILTER (WHERE {f.name} IS NOT NULL AND {stored} IS NULL)", b))
+        for c, n in LENGTH_LIMITS.get(key, {}).items():
+            rows.append(_check_row(t, "max_length", c, f"count(*) FILTER (WHERE length({c}) > {n})", b))
+        if key == "hourly_demand":
+            rows.append(_check_row(t, "hour_0_23", "hour_of_day", "count(*) FILTER (WHERE hour_of_day NOT BETWEEN 0 AND 23)", b))
+        if key in GOLD_KEYS:
+            keys = ", ".join(["reference_year", "reference_month"] + GOLD_KEYS[key])
+            rows.append(_check_row(t, "unique", keys.replace(", ", ","), "count(*) FILTER (WHERE n > 1)",
+                                   f"(SELECT {keys}, count(*) AS n FROM {b} GROUP BY {keys}) k"))
+    return _with(source, "rejected").rstrip() + ",\n" + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(rows)
 
 
 def _documented_sql(source: str) -> str:

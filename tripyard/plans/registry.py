@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StringType
 
 from tripyard.operators import clean as C
 from tripyard.operators import gold as G
@@ -24,7 +24,7 @@ from tripyard.operators import stats as S
 from tripyard.operators import validate as V
 from tripyard.plans import oracle as O
 from tripyard.plans.writes import WRITE_QUERIES
-from tripyard.session import scratch_dir
+from tripyard.schema import LINEAGE_COLUMNS, TABLE_SCHEMAS
 from tripyard.sources.fixtures import fixture_raw_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,27 +44,46 @@ def _flagged(raw: DataFrame) -> DataFrame:
     return V.flag_trips(C.clean_trips(raw))
 
 
-def _staged(raw: DataFrame) -> DataFrame:
-    """Flagged trips written once as a Parquet table in the shared scratch
-    folder and read back, as the run does with its staging write. Without it
-    the valid/rejected filter is pushed below every projection and the rule
-    chain is evaluated twice, in the scan stage; read back, later steps scan
-    only the columns they use."""
-    flagged = _flagged(raw)
-    spark = flagged.sparkSession
-    path = scratch_dir(spark, "flagged")
-    flagged.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def _silver(raw: DataFrame) -> DataFrame:
-    return V.silver_layout(V.valid_trips(_staged(raw)))
+    return V.silver_layout(V.valid_trips(_flagged(raw)))
+
+
+def _broken(key: str, rows: DataFrame) -> DataFrame:
+    """Rows of a table, and copies of some that break its constraints: of
+    January with every NOT NULL column null, of February with every NUMERIC at
+    1e13, of March as they are (twice), of April with 300 letters behind every
+    text, of May with the hour 24."""
+    schema = TABLE_SCHEMAS[key]
+    plain = rows.select(*[
+        (F.col(f.name).cast("double") if isinstance(f.dataType, DecimalType) else F.col(f.name)).alias(f.name) for f in schema])
+    month = F.col("reference_month")
+
+    def copies(number: int, changed: dict) -> DataFrame:
+        return plain.where(month == number).withColumns(changed)
+
+    out = plain
+    required = {f.name: F.lit(None).cast(plain.schema[f.name].dataType) for f in schema if not f.nullable}
+    numerics = {f.name: F.lit(1e13) for f in schema if isinstance(f.dataType, DecimalType)}
+    texts = {f.name: F.concat(f.name, F.repeat(F.lit("x"), 300)) for f in schema if isinstance(f.dataType, StringType)}
+    hours = {"hour_of_day": F.lit(24).cast("smallint")} if key == "hourly_demand" else {}
+    for number, changed in ((1, required), (2, numerics), (3, {}), (4, texts), (5, hours)):
+        out = out.unionByName(copies(number, changed) if changed or number == 3 else plain.limit(0))
+    return out
 
 
 def _constraints(raw: DataFrame) -> DataFrame:
-    valid, rejected = V.split_valid_rejected(_staged(raw))
-    gold = G.gold_tables(G.gold_partials(V.silver_layout(valid)).checkpoint(eager=True))
-    return Q.constraint_violations(valid, V.rejected_layout(rejected), gold)
+    """C1-C5 over the rows of all eight tables with broken ones among them."""
+    flagged = _flagged(raw)
+    valid, rejected = V.split_valid_rejected(flagged)
+    gold = G.wide_gold_tables(G.gold_partials(V.silver_layout(valid)).checkpoint(eager=True))
+    tables = {"bronze": C.bronze_layout(raw), "silver_clean": valid, "silver_rejected": V.rejected_layout(rejected), **gold}
+    return Q.constraint_violations({key: _broken(key, rows) for key, rows in tables.items()})
+
+
+def _with_path(raw: DataFrame) -> DataFrame:
+    """Raw trips that know only the path of their file (P6 parses it)."""
+    path = F.concat(F.lit("store://landing/"), F.col("source_file"), F.lit("/part-00000.parquet"))
+    return raw.withColumn("source_path", path).drop(*LINEAGE_COLUMNS)
 
 
 # stage name -> function of the raw fixture frame
@@ -78,16 +97,16 @@ STAGES: dict[str, Callable[[DataFrame], DataFrame]] = {
         C.treat_nulls(C.cast_types(C.normalize_columns(raw)))
     ),
     "tagged_trips": lambda raw: C.add_lineage(
-        C.derive_fields(C.treat_nulls(C.cast_types(C.normalize_columns(raw))))
+        C.derive_fields(C.treat_nulls(C.cast_types(C.normalize_columns(_with_path(raw)))))
     ),
     "clean_trips": C.clean_trips,
     "flagged_trips": _flagged,
-    "valid_trips": lambda raw: V.valid_trips(_staged(raw)),
-    "rejected_trips": lambda raw: V.rejected_trips(_staged(raw)),
+    "valid_trips": lambda raw: V.valid_trips(_flagged(raw)),
+    "rejected_trips": lambda raw: V.rejected_trips(_flagged(raw)),
     "silver_clean": _silver,
-    "silver_rejected": lambda raw: V.rejected_layout(V.rejected_trips(_staged(raw))),
+    "silver_rejected": lambda raw: V.rejected_layout(V.rejected_trips(_flagged(raw))),
     "validation_stats": lambda raw: S.validation_stats(_flagged(raw)),
-    "rejection_reasons": lambda raw: S.rejection_reasons(_staged(raw)),
+    "rejection_reasons": lambda raw: S.rejection_reasons(_flagged(raw)),
     "trips_by_day": lambda raw: G.trips_by_day(_silver(raw)),
     "trips_by_zone": lambda raw: G.trips_by_zone(_silver(raw)),
     "payment_summary": lambda raw: G.payment_summary(_silver(raw)),

@@ -11,17 +11,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripyard.functions.periods import file_name_from_path
 from tripyard.operators.clean import bronze_layout, clean_trips
-from tripyard.operators.validate import flag_trips, silver_layout, valid_trips
-from tripyard.plans.job import run_frame
-from tripyard.schema import BRONZE_SCHEMA, SILVER_CLEAN_SCHEMA
+from tripyard.operators.validate import flag_trips, silver_layout
+from tripyard.plans.job import RunResult, run_frame
+from tripyard.schema import GOLD_SCHEMAS, TABLE_SCHEMAS
 from tripyard.session import scratch_dir
-from tripyard.sinks.warehouse import Warehouse, read_staging, write_staging
+from tripyard.sinks.warehouse import Warehouse, read_staging, staging_schema, write_staging
 from tripyard.sources.fixtures import fixture_periods, fixture_raw_trips
 from tripyard.sources.raw_files import (
     SPARK_LAYOUT,
     file_inventory,
     land_raw_files,
+    listed_files,
     raw_file_path,
     read_raw_trips,
 )
@@ -37,17 +39,42 @@ def staging_roundtrip(spark: SparkSession, sf_dir: str, source: str = "lineitem"
     return back.select(*flagged.columns)
 
 
+def _read_and_drop(wh: Warehouse, key: str) -> DataFrame:
+    """A loaded table by its files, the catalog entries of this query dropped."""
+    out = wh.files(key).select(*[f.name for f in TABLE_SCHEMAS[key]])
+    wh.drop_tables()
+    return out
+
+
+def _silver_from_staging(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    flagged = flag_trips(clean_trips(fixture_raw_trips(spark, sf_dir, source)))
+    root = scratch_dir(spark, "staging")
+    write_staging(flagged, root, rebalance=True)
+    return silver_layout(read_staging(spark, root, valid=True, schema=staging_schema(flagged)))
+
+
 def period_replace(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
     """Silver clean loaded, then reloaded for the same periods;
     the table must hold each trip once."""
-    raw = fixture_raw_trips(spark, sf_dir, source)
     periods = fixture_periods(spark, sf_dir, source)
     wh = Warehouse(spark, scratch_dir(spark, "warehouse"), prefix=_prefix("pr"))
     wh.create_tables()
-    silver = silver_layout(valid_trips(flag_trips(clean_trips(raw)).checkpoint(eager=True)))
-    wh.replace_periods("silver_clean", silver, periods, rebalance=True)
-    wh.replace_periods("silver_clean", silver, periods, rebalance=True)
-    return wh.read("silver_clean").select(*[F.col(f.name) for f in SILVER_CLEAN_SCHEMA])
+    silver = _silver_from_staging(spark, sf_dir, source)
+    wh.replace_periods("silver_clean", silver, periods)
+    wh.replace_periods("silver_clean", silver, periods)
+    return _read_and_drop(wh, "silver_clean")
+
+
+def empty_reload(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
+    """All periods loaded, then reloaded with rows for the odd months
+    only; the even months must be empty."""
+    periods = fixture_periods(spark, sf_dir, source)
+    wh = Warehouse(spark, scratch_dir(spark, "warehouse"), prefix=_prefix("er"))
+    wh.create_tables()
+    silver = _silver_from_staging(spark, sf_dir, source)
+    wh.replace_periods("silver_clean", silver, periods)
+    wh.replace_periods("silver_clean", silver.where("reference_month % 2 = 1"), periods)
+    return _read_and_drop(wh, "silver_clean")
 
 
 def bronze_table(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
@@ -58,35 +85,60 @@ def bronze_table(spark: SparkSession, sf_dir: str, source: str = "lineitem") ->
     wh = Warehouse(spark, scratch_dir(spark, "warehouse"), prefix=_prefix("bz"))
     wh.create_tables()
     wh.replace_periods("bronze", bronze_layout(raw), periods, rebalance=True)
-    return wh.read("bronze").select(*[f.name for f in BRONZE_SCHEMA])
+    return _read_and_drop(wh, "bronze")
 
 
-def load_counts(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
-    """The whole run; its summary (period, metric, value)."""
+def _loaded_run(spark: SparkSession, sf_dir: str, source: str) -> tuple[RunResult, Warehouse]:
     raw = fixture_raw_trips(spark, sf_dir, source)
     periods = fixture_periods(spark, sf_dir, source)
     work = scratch_dir(spark, "run")
-    result = run_frame(
-        spark, raw, periods, f"{work}/warehouse", f"{work}/work",
-        prefix=_prefix("run"), rebalance=True,
-    )
+    wh = Warehouse(spark, f"{work}/warehouse", _prefix("run"))
+    return run_frame(spark, raw, periods, wh.root, f"{work}/work", prefix=wh.prefix, rebalance=True), wh
+
+
+def load_counts(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
+    """The whole run; its summary (period, metric, value)."""
+    result, wh = _loaded_run(spark, sf_dir, source)
+    wh.drop_tables()
     return result.summary
 
 
+def _loaded_table(key: str):
+    """The whole run, then one of its loaded tables."""
+
+    def query(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
+        return _read_and_drop(_loaded_run(spark, sf_dir, source)[1], key)
+
+    return query
+
+
 def raw_file_scan(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
-    """Raw trips landed as monthly files, scanned back for all months."""
+    """Raw trips landed as monthly files, scanned back for all months.
+    Each month has two groups of parts with different footers: the files of
+    the second have the passenger count as a whole number."""
     root = scratch_dir(spark, "landing")
-    land_raw_files(fixture_raw_trips(spark, sf_dir, source), root)
+    raw = fixture_raw_trips(spark, sf_dir, source)
+    whole = F.pmod(F.hash("tpep_pickup_datetime", "fare_amount"), F.lit(2)) == 1
+    land_raw_files(raw.where(~whole), root)
+    land_raw_files(raw.where(whole).withColumn("passenger_count", F.col("passenger_count").cast("long")), root, mode="append")
     paths = [raw_file_path(root, y, m, SPARK_LAYOUT) for y, m in fixture_periods(spark, sf_dir, source)]
     return read_raw_trips(spark, paths)
 
 
 def raw_file_inventory(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
-    """S3: size check of the landed monthly files (threshold 0 bytes here)."""
+    """S3: the file check. Of the months, every third is not landed and every
+    third has one trip only; the threshold is the largest of the latter."""
     root = scratch_dir(spark, "landing")
-    land_raw_files(fixture_raw_trips(spark, sf_dir, source), root)
+    raw = fixture_raw_trips(spark, sf_dir, source)
     periods = fixture_periods(spark, sf_dir, source)
-    return file_inventory(spark, root, periods, min_bytes=0, layout=SPARK_LAYOUT)
+    kind = F.col("reference_month") % 3
+    land_raw_files(raw.where(kind == 2), root)
+    land_raw_files(raw.where(kind == 1).dropDuplicates(["source_file"]), root, mode="append")
+    small = {(y, m): raw_file_path(root, y, m, SPARK_LAYOUT) for y, m in periods if m % 3 == 1}
+    most = listed_files(spark, list(small.values())).agg(F.coalesce(F.max("length"), F.lit(0))).first()[0]
+    found = file_inventory(spark, root, periods, min_bytes=most, layout=SPARK_LAYOUT)
+    return found.select(
+        "reference_year", "reference_month", file_name_from_path(F.col("path")).alias("file_name"), "is_valid")
 
 
 def _prefix(tag: str) -> str:
@@ -100,4 +152,6 @@ WRITE_QUERIES = {
     "load_counts": load_counts,
     "raw_file_scan": raw_file_scan,
     "file_inventory": raw_file_inventory,
+    "empty_reload": empty_reload,
+    **{f"loaded_{key}": _loaded_table(key) for key in ("silver_rejected", *GOLD_SCHEMAS)},
 }

@@ -5,8 +5,11 @@ Every warehouse table is a Parquet table partitioned by
 (reference_year, reference_month). A reload replaces whole periods:
 
 * periods with rows are replaced in ONE job with dynamic partition
-  overwrite; the job commits atomically, so a failed load leaves the old
-  period in place (deleting first and appending after would leave it empty);
+  overwrite: all rows are written beside the table first, so a load that
+  fails while computing or writing leaves the old periods in place. The
+  commit then replaces the partition folders one after the other; a driver
+  lost in that short step can leave a period without its rows, and running
+  the load again mends it;
 * requested periods that produced no rows are cleared with a static
   ``INSERT OVERWRITE ... PARTITION`` of nothing - an empty reload empties the
   period, as a delete-then-append would;
@@ -156,7 +159,7 @@ class Warehouse:
         exactly that period."""
         for ns in sorted({ns for ns, _ in TABLES.values()}):
             self.spark.sql(
-                f"CREATE DATABASE IF NOT EXISTS {self.prefix}{ns} LOCATION '{self.root}/{ns}'"
+                f"CREATE DATABASE IF NOT EXISTS {self.prefix}{ns} LOCATION '{self.root}/_catalog/{ns}'"
             )
         for key, schema in TABLE_SCHEMAS.items():
             audit = AUDIT_COLUMNS.get(key, _GOLD_AUDIT)
@@ -174,6 +177,20 @@ class Warehouse:
         audit = AUDIT_COLUMNS.get(key, _GOLD_AUDIT)
         return self.spark.table(self.table(key)).filter(in_periods(periods)).drop(audit)
 
+    def files(self, key: str) -> DataFrame:
+        """A table's stored files without the audit column, read by path; it
+        stays readable when the catalog entry is dropped."""
+        ns, name = TABLES[key]
+        audit = AUDIT_COLUMNS.get(key, _GOLD_AUDIT)
+        schema = self.spark.table(self.table(key)).schema
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{ns}/{name}").drop(audit)
+
+    def drop_tables(self) -> None:
+        """Take the tables and namespaces out of the catalog. The tables' files
+        stay: they are not in the folders of the namespaces."""
+        for ns in sorted({ns for ns, _ in TABLES.values()}):
+            self.spark.sql(f"DROP DATABASE IF EXISTS {self.prefix}{ns} CASCADE")
+
     def replace_periods(
         self,
         key: str,

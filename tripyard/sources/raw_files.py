@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -32,6 +33,7 @@ from tripyard.schema import (
 # landed with partitionBy on the file name (used by tests).
 FLAT_LAYOUT = "{root}/" + RAW_FILE_NAME
 SPARK_LAYOUT = "{root}/file=" + RAW_FILE_NAME
+FOOTER_READERS = 16
 
 
 def check_period(year: int, month: int, first_year: int = FIRST_YEAR, last_year: int | None = None) -> None:
@@ -228,17 +230,20 @@ def _merged_schema(spark: SparkSession, files: list[str]) -> StructType | None:
         return None
 
 
-def _schema_groups(spark: SparkSession, files: list[tuple[str, str]]) -> list[tuple[StructType, list[tuple[str, str]]]]:
-    """(schema, files) groups covering ``files`` (month path, file), which are
-    in order of month: the whole range if its footers fit together, else its
-    halves. Jobs grow with the number of schema changes, not of files."""
-    found = _merged_schema(spark, [f for _, f in files])
+def _schema_groups(spark: SparkSession, files: list[str]) -> list[tuple[StructType, list[str]]]:
+    """(schema, files) groups covering ``files``: all together if their footers
+    fit, else one group for each distinct footer (each read by a small job,
+    FOOTER_READERS at a time, so the time grows with the files)."""
+    found = _merged_schema(spark, files)
     if found is not None:
         return [(found, files)]
-    if len(files) == 1:
-        raise ValueError(f"unreadable footer: {files[0][1]}")
-    half = len(files) // 2
-    return _schema_groups(spark, files[:half]) + _schema_groups(spark, files[half:])
+    with ThreadPoolExecutor(max_workers=FOOTER_READERS) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    for schema, file in zip(schemas, files, strict=True):
+        key = ",".join(sorted(f"{f.name.lower()}:{f.dataType.simpleString()}" for f in schema))
+        groups.setdefault(key, (schema, []))[1].append(file)
+    return list(groups.values())
 
 
 def read_raw_trips(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -260,15 +265,14 @@ def read_raw_trips(spark: SparkSession, paths: list[str]) -> DataFrame:
     missing = sorted(set(by_name) - {name for name, _ in listed})
     if missing:
         raise ValueError(f"no raw files at {', '.join(by_name[m] for m in missing)}")
-    groups: dict[str, tuple[StructType, list[tuple[str, str]]]] = {}
-    for schema, files in _schema_groups(spark, listed):
-        key = ",".join(sorted(f"{f.name.lower()}:{f.dataType.simpleString()}" for f in schema))
-        groups.setdefault(key, (schema, []))[1].extend(files)
-    frames = [_scan(spark, schema, [f for _, f in files], sorted({n for n, _ in files})) for schema, files in groups.values()]
+    frames = [
+        _scan(spark, schema, files, sorted({period_of_path(f)[0] for f in files}))
+        for schema, files in _schema_groups(spark, [f for _, f in listed])
+    ]
     return reduce(DataFrame.unionByName, frames)
 
 
-def land_raw_files(raw: DataFrame, root: str) -> None:
+def land_raw_files(raw: DataFrame, root: str, mode: str = "overwrite") -> None:
     """Write raw trips (with lineage) as monthly raw files under ``root`` in
     SPARK_LAYOUT, in one job; the files hold the 19 raw columns only. The
     rebalance hint lets AQE split a month holding most rows over many tasks."""
@@ -276,7 +280,7 @@ def land_raw_files(raw: DataFrame, root: str) -> None:
         raw.withColumn("file", F.col("source_file"))
         .drop(*LINEAGE_COLUMNS)
         .hint("rebalance", "file")
-        .write.mode("overwrite")
+        .write.mode(mode)
         .partitionBy("file")
         .parquet(root)
     )

@@ -58,3 +58,18 @@ def ascii_lower(col):
 def fold_of(id_col, folds: int):
     """crc32 of the id's decimal text, modulo ``folds``; null ids give null."""
     return F.crc32(id_col.cast("string").cast("binary")) % F.lit(folds)
+
+
+def most_frequent(counted: DataFrame, count_col: str, bound: int) -> DataFrame:
+    """The rows with the largest counts, at most ``bound``: those over a
+    threshold that a histogram of the counts (about eight steps for each
+    doubling, so a few hundred rows) gives. No rows are sorted or gathered."""
+    step = F.floor(F.log2(count_col) * 8)
+    sizes = counted.where(F.col(count_col) > 0).groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
+    least, held = None, 0
+    for r in sizes:
+        held += r["count"]
+        if held > bound:
+            break
+        least = r["step"]
+    return counted.where((F.col(count_col) > 0) & (step >= least)) if least is not None else counted.limit(0)

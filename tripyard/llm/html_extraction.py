@@ -349,9 +349,11 @@ def training_pages(pages: list[str], seed: int = 17) -> list:
 
 def train(pages: DataFrame, html_col: str = "html") -> BlockTagger | None:
     """A labeller from at most TRAIN_PAGES pages; None without any text."""
-    html = text_column(pages, html_col)
-    sample = pages.select(html.alias("html")).orderBy(F.xxhash64("html"), "html").limit(TRAIN_PAGES)
-    made = training_pages([r["html"] for r in sample.collect()])
+    rows = pages.select(text_column(pages, html_col).alias("html")).withColumn("h", F.xxhash64("html"))
+    least = [r["h"] for r in rows.select("h").distinct().orderBy("h").limit(TRAIN_PAGES).collect()]
+    # equal pages are one row of the sample, however many there are
+    sample = rows.where(F.col("h") <= max(least)).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect() if least else []
+    made = training_pages([r["html"] for r in sample])
     if not made:
         return None
     tagger = BlockTagger()

@@ -159,7 +159,10 @@ def training_windows(labelled: DataFrame) -> DataFrame:
     """(lang, window binary) from the sample of ``labelled`` (key, lang, text)."""
     languages = max(1, labelled.select("lang").distinct().count())
     order = Window.partitionBy("lang").orderBy("key", "h")
-    sample = labelled.withColumn("h", F.xxhash64("text")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= max(10, SAMPLE_DOCS // languages))
+    hashed = labelled.withColumn("h", F.xxhash64("text"))
+    first = hashed.select("lang", "key", "h").withColumn("n", F.row_number().over(order)).where(F.col("n") <= max(10, SAMPLE_DOCS // languages))
+    # keys alone are ranked; the texts of the few chosen ones are read after that
+    sample = hashed.join(F.broadcast(first.drop("n").distinct()), ["lang", "key", "h"], "left_semi").dropDuplicates(["lang", "key", "h"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

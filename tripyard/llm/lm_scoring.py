@@ -9,8 +9,8 @@ word's marginal (forward recursion in log space over the lattice of pieces) and
 the probability of the end of the text. Characters without a piece of their own
 are spelled in byte pieces.
 
-Words are counted with task-side combination and one shuffle. The ``HEAD`` most
-frequent words (a fixed bound) are broadcast with their counts and marginals
+Words are counted with task-side combination and one shuffle. The most frequent
+words, at most ``HEAD`` of them, are broadcast with their counts and marginals
 and scored where the texts are read; a text's other words are shuffled as
 (row, word, times) and joined with the full word table, so the table may be of
 any size and nothing is left out.
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripyard.llm import _words
-from tripyard.llm._tables import fold_of, ship, staged, text_column
+from tripyard.llm._tables import fold_of, most_frequent, ship, staged, text_column
 
 VOCABULARY, MARK = "piece_bpe_32k.model", "▁"
 HEAD, FLUSH = 1 << 19, 400_000
@@ -186,7 +186,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     lattice = Lattice(vocabulary, pieces, ends)
     table = staged(_with_marginals(words, spark.sparkContext.broadcast(lattice)), "lm-marginals")
 
-    top = table.orderBy(F.desc("c"), "h").limit(head).toArrow()
+    top = most_frequent(table, "c", head).toArrow()
     order = np.argsort(top.column("h").to_numpy())
     shared = spark.sparkContext.broadcast(tuple(top.column(c).to_numpy()[order] for c in ("h", "c", "marginal")))
     end_base = log10((ends + SMOOTH) / norm)

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from tripyard.llm import _words
 from tripyard.llm._graph import components
-from tripyard.llm._tables import ship, staged, text_column
+from tripyard.llm._tables import most_frequent, ship, staged, text_column
 
 RUN, LOCAL_LEAST, FREQUENT = 4_000_000, 2, 1 << 20
 ROW_BITS, TOKEN_BITS = 1 << 22, 1 << 24
@@ -216,11 +216,12 @@ class JaccardJoin:
 
     def _lists(self) -> DataFrame:
         """(token, cls, n, pos, hub, ...) of tokens in more than one prefix."""
-        top = self.counts.groupBy("token").agg(F.sum("n").alias("c")).where("c >= 4").orderBy(F.desc("c"), "token").limit(FREQUENT).toArrow()
+        counted = staged(self.counts.groupBy("token").agg(F.sum("n").alias("c")).where("c >= 4"), "join-counts")
+        top = most_frequent(counted, "c", FREQUENT).toArrow()
         tokens = top.column("token").to_numpy().view(np.uint64)
+        often = np.minimum(top.column("c").to_numpy(), (1 << 23) - 1)  # the most frequent comes last
         order = np.argsort(tokens)
-        rank = np.arange(len(tokens), 0, -1)  # the most frequent comes last
-        frequent = self.spark.sparkContext.broadcast((tokens[order], rank[order].astype(np.int64)))
+        frequent = self.spark.sparkContext.broadcast((tokens[order], often[order]))
         prefixes = self.source.select("text").mapInArrow(
             _prefixes(self.k, self.num, self.den, frequent), "cls long, n int, prefix array<long>")
         once = staged(prefixes.dropDuplicates(["cls"]), "join-prefixes")

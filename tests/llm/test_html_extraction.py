@@ -29,6 +29,33 @@ def test_odd_markup_does_not_fail(html):
     hx.blocks_of(html)
 
 
+@pytest.mark.parametrize("inner, want", [
+    ('<p>One<svg class="icon"/><p>Two', ["One", "Two"]),
+    ('<p>One<svg class=icon><path d="M0"/><p>Two <svg><circle/></svg>three', ["One", "Two three"]),
+    ('<p>One <svg><title>Icon</title><style>a{}</style><title/><text>A</text><text>B</text></svg>two', ["One A B two"]),
+    ("<p>One <svg><title>Icon<p>Two", ["One", "Two"]),
+    ("<p>One <svg><script><![CDATA[ if (a<b) x> ]]></script></svg>two<p>Three", ["One two", "Three"]),
+    ("<p>One <svg><foreignObject><div>in</div><script>x</script></foreignObject><path/></svg><p>Two", ["One", "in", "Two"]),
+    ("<p>One <math/>and <math><mi>x</mi><mo>=</mo><mn>2</mn></math>.<p>Two", ["One and x=2.", "Two"]),
+    ("<p>One <math><mi>x<p>Two", ["One x", "Two"]),
+    ('<p>One <object data="a">fallback <b>text</b></object> on<p>Two', ["One fallback text on", "Two"]),
+    ('<p>One <object data="a"><p>Two<object/><p>Three', ["One", "Two", "Three"]),
+    ("<p>One<xmp><p>a &amp; b</xmp>two<xmp/>three", ["One", "<p>a &amp; b", "two", "three"]),
+    ("<p>One<xmp><i>rest", ["One", "<i>rest"]),
+    ("<p>One<template>x<template>y</template>z</template> two<template/>!<template>three<p>Four", ["One two!three", "Four"]),
+    ("<p>One<template><script>'<template>'</script>x</template>", ["One"]),
+    ("<p>One<script>a<p>b</script><style>c</style><noscript>d</noscript><p>Two<script>e<p>f", ["One", "Two"]),
+])
+def test_only_raw_text_hides_text(inner, want):
+    found = hx.blocks_of(f"<article>{inner}")
+    assert [b[0] for b in found] == want and all(b[1][0] == "article" for b in found)
+
+
+def test_many_unclosed_elements_stay_linear():
+    for tag in ("template", "svg", "math", "object", "svg><title"):
+        assert " ".join(texts(f"<{tag}>" * 5000 + "<p>x")) == "x"
+
+
 def test_plain_text_and_long_pages():
     assert texts("just text") == ["just text"]
     assert len(texts("<p>x y" * 20_000)) == 20_000

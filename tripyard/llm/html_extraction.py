@@ -14,7 +14,9 @@ lacks are learned too.
 
 Defined results: null or empty html gives an empty text with 0 characters;
 markup that never closes is closed by the end of the page; an unknown reference
-stays as it is; repeated rows are extracted each on its own; an empty table
+stays as it is; scripts, styles, titles, form texts, closed templates and the
+content of ``noscript`` and frames are no text of the page, while ``svg``, ``math``
+and ``object`` are read like other markup and ``xmp`` as it stands; repeated rows are extracted each on its own; an empty table
 gives an empty table; other columns are ignored. White space inside a block
 becomes one blank, and ``<br>`` counts as white space.
 """
@@ -43,10 +45,16 @@ STEPS, BATCH, RATE, PAGE_BATCH = 160, 24, 0.02, 256
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search "
-    "section select summary table tbody td tfoot th thead title tr ul".split())
+    "section select summary table tbody td tfoot th thead title tr ul xmp".split())
 #: Elements without content, and those whose content is not markup.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg math object".split())
+RAW_TAGS = frozenset("script style textarea title noscript iframe noembed noframes".split())
+#: Elements of other vocabularies, those of their elements that hold HTML again,
+#: those whose text stands apart, and the start tags that end a drawing or formula.
+FOREIGN = frozenset("svg math".split())
+HTML_INSIDE = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
+FOREIGN_LINES = frozenset("text annotation annotation-xml".split())
+BREAKS_OUT = (BLOCK_TAGS - {"title"}) | frozenset("b big br code em embed i img listing meta nobr ruby s small span strong strike sub sup tt u var".split())
 #: A start tag ends an open element of these (no nesting without a container).
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
              "th": ("td", "th"), "option": ("option",), "optgroup": ("option", "optgroup")}
@@ -61,15 +69,17 @@ BOILERPLATE = frozenset(
 _MARKUP = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>|<[!?/][^>]*>", re.S)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[a-z]+|[0-9]+")
+_TEMPLATE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>]).*?(?:</\1(?=[\s/>])|\Z)|<(/?)template(?=[\s/>])[^>]*>", re.S | re.I)
 
 
 def blocks_of(html: str) -> list[tuple[str, tuple[str, ...], float]]:
     """(text, path names, share of linked characters) of the leaf blocks."""
-    found, open_tags = [], []  # of open_tags: (tag, names)
+    found, open_tags = [], []  # of open_tags: (tag, names, whether svg or math rules hold inside)
     parts: list[str] = []
     linked = total = 0
     names: tuple[str, ...] | None = None
     at, size = 0, len(html)
+    templates: dict[int, int] | None = None
 
     def flush() -> None:
         nonlocal parts, linked, total, names
@@ -79,16 +89,16 @@ def blocks_of(html: str) -> list[tuple[str, tuple[str, ...], float]]:
                 found.append((text, names or (), linked / max(1, total)))
         parts, linked, total, names = [], 0, 0, None
 
-    def add(raw: str) -> None:
+    def add(raw: str, literal: bool = False) -> None:
         nonlocal linked, total, names
-        if not raw:
+        if not raw or open_tags and open_tags[-1][0] in RAW_TAGS:  # open only inside svg and math
             return
-        text = html_lib.unescape(raw) if "&" in raw else raw
+        text = html_lib.unescape(raw) if "&" in raw and not literal else raw
         if names is None and not text.isspace():
-            names = tuple(n for _, own in open_tags for n in own)
+            names = tuple(n for _, own, _ in open_tags for n in own)
         parts.append(text)
         total += len(text)
-        if any(t == "a" for t, _ in open_tags):
+        if any(t == "a" for t, _, _ in open_tags):
             linked += len(text)
 
     while at < size:
@@ -98,33 +108,72 @@ def blocks_of(html: str) -> list[tuple[str, tuple[str, ...], float]]:
             break
         add(html[at:m.start()])
         at, tag = m.end(), (m[2] or "").lower()
+        foreign = bool(open_tags) and open_tags[-1][2]
         if not tag:
+            if foreign and html.startswith("<![CDATA[", m.start()) and (end := html.find("]]>", m.start())) >= 0:
+                add(html[m.start() + 9:end], literal=True)
+                at = end + 3
             continue
-        if tag == "br":
+        if foreign and not m[1] and tag in BREAKS_OUT:
+            while open_tags and open_tags[-1][2]:
+                open_tags.pop()
+            foreign = False
+        if tag == "br" or foreign and tag in FOREIGN_LINES:
             parts.append(" ")
+        if tag == "br":
             continue
-        block = tag in BLOCK_TAGS
+        block = tag in BLOCK_TAGS and not (foreign and tag == "title")
         if block:
             flush()
         if m[1]:
-            if tag == "p" or any(t == tag for t, _ in open_tags):
+            if tag == "p" or any(t == tag for t, _, _ in open_tags):
                 while open_tags and open_tags.pop()[0] != tag:
                     pass
             continue
-        if tag in RAW_TAGS:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
-            at = end.end() if end else size
+        if tag in RAW_TAGS and not foreign:
+            at = _end_of(tag, html, at)[1]
+            continue
+        empty = m[3].endswith("/")
+        if tag == "template" and not empty:
+            if templates is None:
+                templates = _template_ends(html)
+            at = templates.get(at, at)  # one that never closes hides nothing
             continue
         if block and tag not in ("html", "body"):
             _close(open_tags, ("p",))
         if tag in CLOSED_BY:
             _close(open_tags, CLOSED_BY[tag])
-        if tag not in VOID_TAGS and not m[3].endswith("/"):
-            open_tags.append((tag, (tag, *_own_names(m[3]))))
+        if tag not in VOID_TAGS and not empty:
+            open_tags.append((tag, (tag, *_own_names(m[3])), tag in FOREIGN or foreign and tag not in HTML_INSIDE))
+        if tag == "xmp" and not empty:
+            end, at = _end_of(tag, html, m.end())
+            add(html[m.end():end], literal=True)
+            flush()
+            open_tags.pop()
     flush()
     return found
 
 
+def _end_of(tag: str, html: str, at: int) -> tuple[int, int]:
+    """Start and end of the next end tag, or the end of the page twice."""
+    end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
+    return end.span() if end else (len(html), len(html))
+
+
+def _template_ends(html: str) -> dict[int, int]:
+    """End of a template's start tag -> end of its end tag, of those that close."""
+    found, begun = {}, []
+    for m in _TEMPLATE.finditer(html):
+        if m[2] is None:  # a comment or script
+            continue
+        if not m[2]:
+            if not m[0].endswith("/>"):
+                begun.append(m.end())
+        elif begun:
+            found[begun.pop()] = m.end()
+    return found
+
+
 def _close(open_tags: list, tags: tuple[str, ...]) -> None:
     """Ends the nearest of ``tags`` that no container shields."""
     for i in range(len(open_tags) - 1, -1, -1):

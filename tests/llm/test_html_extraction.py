@@ -51,6 +51,14 @@ def test_only_raw_text_hides_text(inner, want):
     assert [b[0] for b in found] == want and all(b[1][0] == "article" for b in found)
 
 
+def test_a_stray_end_of_a_paragraph_closes_nothing_else():
+    found = hx.blocks_of("<body><article><p>x</p>y</p>z</article><footer><p>a<ul><li>b</ul></p><p>c</p>d</footer></p><p>e")
+    assert [(b[0], b[1]) for b in found] == [
+        ("x", ("body", "article", "p")), ("y", ("body", "article")), ("z", ("body", "article")),
+        ("a", ("body", "footer", "p")), ("b", ("body", "footer", "ul", "li")), ("c", ("body", "footer", "p")),
+        ("d", ("body", "footer")), ("e", ("body", "p"))]
+
+
 def test_many_unclosed_elements_stay_linear():
     for tag in ("template", "svg", "math", "object", "svg><title"):
         assert " ".join(texts(f"<{tag}>" * 5000 + "<p>x")) == "x"

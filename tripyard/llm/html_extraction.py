@@ -126,7 +126,7 @@ def blocks_of(html: str) -> list[tuple[str, tuple[str, ...], float]]:
         if block:
             flush()
         if m[1]:
-            if tag == "p" or any(t == tag for t, _, _ in open_tags):
+            if any(t == tag for t, _, _ in open_tags):  # a stray </p> only ends the block
                 while open_tags and open_tags.pop()[0] != tag:
                     pass
             continue

@@ -101,6 +101,19 @@ def test_grouping_pages_changes_no_label():
     assert np.allclose(together, np.concatenate(alone), atol=1e-5)
 
 
+def test_unseen_names_share_no_vector_with_boilerplate():
+    buckets = hx.Buckets(hx.PATH_BUCKETS)
+    bad = {buckets[x] for n in hx.BOILERPLATE for x in (n, f"={n}")}
+    other = "page document article section intro =intro =single primary =primary richtext =richtext abbr cite".split()
+    assert not bad & {buckets[n] for n in other}
+    page = hx.training_pages(["<nav class=ads>a b</nav><article><p>c d<p>e f g</article><footer>h</footer>"] * 8)
+    tagger = hx.BlockTagger()
+    tagger.fit(page)
+    vectors = tagger.p["path"]
+    assert all((vectors[buckets[n]] == vectors[buckets[hx.UNSEEN]]).all() for n in ("page", "intro", "richtext", "abbr"))
+    assert (vectors[buckets["nav"]] != vectors[buckets[hx.UNSEEN]]).any()
+
+
 def expected(html):
     """Page text by the names on the paths."""
     return "\n".join(t for t, names, _ in hx.blocks_of(html or "") if hx.name_label(names))

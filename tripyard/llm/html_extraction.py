@@ -38,7 +38,9 @@ from tripyard.llm import _words
 from tripyard.llm._tables import ship, text_column
 
 TRAIN_PAGES, TRAIN_BLOCKS = 240, 120
-PATH_BUCKETS, WORD_BUCKETS, VECTOR, HIDDEN = 512, 1024, 16, 16
+PATH_BUCKETS, WORD_BUCKETS, VECTOR, HIDDEN = 1 << 15, 1024, 16, 16
+#: Stands in the training pages for the names that they lack.
+UNSEEN = "unseen"
 STEPS, BATCH, RATE, PAGE_BATCH = 160, 24, 0.02, 256
 
 #: Elements that start and end blocks of text (fixed values of the language).
@@ -192,7 +194,10 @@ def _own_names(attributes: str) -> list[str]:
 
 
 class Buckets(dict):
-    """Hash buckets of names, kept for reuse up to a bound."""
+    """Hash buckets of names, kept for reuse up to a bound; each boilerplate
+    name has one of its own."""
+
+    OWN = {x: i for i, x in enumerate(x for n in sorted(BOILERPLATE) for x in (n, f"={n}"))}
 
     def __init__(self, size: int):
         self.size = size
@@ -200,7 +205,11 @@ class Buckets(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > 200_000:
             self.clear()
-        found = self[word] = zlib.crc32(word.encode("utf-8", "replace")) % self.size
+        own = len(self.OWN)
+        found = self.OWN.get(word, -1)
+        if found < 0:
+            found = own + zlib.crc32(word.encode("utf-8", "replace")) % (self.size - own)
+        self[word] = found
         return found
 
 
@@ -349,6 +358,8 @@ class BlockTagger:
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 self.p[k] -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
+        # names that no page of the training has are told by nothing but that
+        self.p["path"][~state["path"][1].any(axis=1)] = self.p["path"][paths[UNSEEN]]
 
 
 def name_label(names: tuple[str, ...]) -> float:
@@ -377,19 +388,23 @@ def training_pages(pages: list[str], seed: int = 17) -> list:
         made.append(own)
         words = [w for (t, _, _), _ in own for w in t.split()]
         some = lambda k: " ".join(words[i] for i in rng.integers(0, len(words), k))
+
+        def plain() -> tuple[str, ...]:
+            return (("div", "section", "span", "p", UNSEEN)[rng.integers(5)], f"={UNSEEN}", UNSEEN) if rng.random() < 0.3 else ()
+
         for _ in range(2):
             article = _ARTICLE_NAMES[rng.integers(len(_ARTICLE_NAMES))]
             changed = []
             for (text, names, linked), label in own:
                 if label and rng.random() < 0.3:
-                    changed.append(((some(int(rng.integers(1, 60))), ("html", "body", *article, *_INSIDE[rng.integers(len(_INSIDE))]), float(rng.random() < 0.05)), 1.0))
+                    changed.append(((some(int(rng.integers(1, 60))), ("html", "body", *article, *plain(), *_INSIDE[rng.integers(len(_INSIDE))], *plain()), float(rng.random() < 0.05)), 1.0))
                 if rng.random() < 0.35:
                     name = bad[rng.integers(len(bad))]
                     lead = (name,) if name in tags else (("div", "section", "p", "ul")[rng.integers(4)], f"={name}", name)
                     outer = ("html", "body", *(article if rng.random() < 0.4 else ()))
                     inner = _INSIDE[rng.integers(len(_INSIDE))] if rng.random() < 0.6 else ()
                     for _ in range(int(rng.integers(1, 4))):
-                        changed.append(((some(int(rng.integers(1, 40))), (*outer, *lead, *inner), float(rng.random() < 0.4)), 0.0))
+                        changed.append(((some(int(rng.integers(1, 40))), (*outer, *plain(), *lead, *inner), float(rng.random() < 0.4)), 0.0))
                 new = tuple(x for n in names for x in (article if n == "article" else (n,)))
                 changed.append(((text, new, linked), label))
             made.append(changed)

@@ -101,6 +101,36 @@ def test_grouping_pages_changes_no_label():
     assert np.allclose(together, np.concatenate(alone), atol=1e-5)
 
 
+BODY = "".join(f"<p>Sentence number {i} of the text, with some words." for i in range(4))
+LINES = [f"Sentence number {i} of the text, with some words." for i in range(4)]
+#: Pages and the lines of their main text, labelled by hand.
+BY_HAND = [
+    (f"<html class=nav-fixed><body class='no-sidebar search'><nav>Home</nav><article class=long-form>{BODY}</article><footer>End of site</footer>", LINES),
+    (f"<body><main><section id=discussion><h2 id=search>Discussion of it</h2>{BODY}</section></main><div class=site-footer>End of site</div>",
+     ["Discussion of it", *LINES]),
+    (f"<body><div class='page has-sidebar'><article><p class=byline>By A. Writer</p>{BODY}<p class=legal>Terms of the text apply.</p></article></div>"
+     "<div class=comment-list><p>I like this.</p></div>", ["By A. Writer", *LINES, "Terms of the text apply."]),
+    (f"<body><article>{BODY}<p><span class=label>Update:</span> and a last paragraph.</p></article><aside>Read next</aside>",
+     [*LINES, "Update: and a last paragraph."]),
+    (f"<body><article>{BODY}<p><span class=ad>Buy now</span> One more paragraph of text.</p><p>The end <a class=share href=/s>Share</a></p></article>",
+     [*LINES, "One more paragraph of text.", "The end"]),
+    (f"<body><form id=whole><div class=menu>Home</div><article>{BODY}</article></form>", LINES),
+    (f"<body><article>{BODY}<pre><span class=hljs-comment># one</span> x = 2</pre></article>", [*LINES, "# one x = 2"]),
+]
+
+
+@pytest.mark.parametrize("html, want", BY_HAND)
+def test_names_label_as_by_hand(html, want):
+    assert [t for t, names, _ in hx.blocks_of(html) if hx.name_label(names)] == want
+
+
+def test_pages_labelled_by_hand(spark):
+    tagger = hx.train(spark.read.parquet(DATA))
+    df = spark.createDataFrame([(i, "u", h) for i, (h, _) in enumerate(BY_HAND)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"].split("\n") for r in hx.extract(df, tagger=tagger).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(BY_HAND)}
+
+
 def test_unseen_names_share_no_vector_with_boilerplate():
     buckets = hx.Buckets(hx.PATH_BUCKETS)
     bad = {buckets[x] for n in hx.BOILERPLATE for x in (n, f"={n}")}

@@ -18,7 +18,8 @@ stays as it is; scripts, styles, titles, form texts, closed templates and the
 content of ``noscript`` and frames are no text of the page, while ``svg``, ``math``
 and ``object`` are read like other markup and ``xmp`` as it stands; repeated rows are extracted each on its own; an empty table
 gives an empty table; other columns are ignored. White space inside a block
-becomes one blank, and ``<br>`` counts as white space.
+becomes one blank, and ``<br>`` counts as white space. Text of an inline
+element with a boilerplate name is a block of its own.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -65,8 +67,16 @@ CONTAINERS = frozenset("ul ol menu dl table select body html article section div
 #: Names on a path whose blocks are not the article.
 BOILERPLATE = frozenset(
     "nav menu header footer aside sidebar ad ads advert advertisement sponsor promo banner notice cookie consent form button "
-    "label select option input comment comments reply discussion breadcrumb share social related recommended subscribe newsletter "
-    "login signup search pagination copyright legal popup modal toolbar widget topbar masthead navbar tags byline".split())
+    "select option input comment comments reply breadcrumb share social recommended subscribe newsletter "
+    "login signup search pagination copyright modal toolbar widget topbar masthead navbar".split())
+#: Elements whose classes and ids say nothing of the text (page states, kinds of
+#: article, anchors), and elements inside which names are those of code.
+UNNAMED = frozenset("html body main h1 h2 h3 h4 h5 h6".split())
+CODE = frozenset("pre code samp kbd".split())
+#: First parts of a name that make it a state of something else, and last parts that only say box.
+STATES = frozenset("no not non has have with without is hide hidden toggle".split())
+BOXES = frozenset("area bar block bottom box container group holder inner item items left link links list outer panel right section slot top "
+                  "unit wrap wrapper".split())
 
 _MARKUP = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>|<[!?/][^>]*>", re.S)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -76,10 +86,11 @@ _TEMPLATE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>]).*?(?:</\1(?
 
 def blocks_of(html: str) -> list[tuple[str, tuple[str, ...], float]]:
     """(text, path names, share of linked characters) of the leaf blocks."""
-    found, open_tags = [], []  # of open_tags: (tag, names, whether svg or math rules hold inside)
+    found, open_tags = [], []  # of open_tags: (tag, names, whether svg or math rules hold inside, whether inline and boilerplate)
     parts: list[str] = []
     linked = total = 0
     names: tuple[str, ...] | None = None
+    apart = False
     at, size = 0, len(html)
     templates: dict[int, int] | None = None
 
@@ -92,15 +103,19 @@ def blocks_of(html: str) -> list[tuple[str, tuple[str, ...], float]]:
         parts, linked, total, names = [], 0, 0, None
 
     def add(raw: str, literal: bool = False) -> None:
-        nonlocal linked, total, names
+        nonlocal linked, total, names, apart
         if not raw or open_tags and open_tags[-1][0] in RAW_TAGS:  # open only inside svg and math
             return
         text = html_lib.unescape(raw) if "&" in raw and not literal else raw
-        if names is None and not text.isspace():
-            names = tuple(n for _, own, _ in open_tags for n in own)
+        if not text.isspace():
+            inside = bool(open_tags) and open_tags[-1][3]
+            if names is not None and inside != apart:
+                flush()
+            if names is None:
+                names, apart = tuple(n for _, own, _, _ in open_tags for n in own), inside
         parts.append(text)
         total += len(text)
-        if any(t == "a" for t, _, _ in open_tags):
+        if any(t == "a" for t, *_ in open_tags):
             linked += len(text)
 
     while at < size:
@@ -128,7 +143,7 @@ def blocks_of(html: str) -> list[tuple[str, tuple[str, ...], float]]:
         if block:
             flush()
         if m[1]:
-            if any(t == tag for t, _, _ in open_tags):  # a stray </p> only ends the block
+            if any(t == tag for t, *_ in open_tags):  # a stray </p> only ends the block
                 while open_tags and open_tags.pop()[0] != tag:
                     pass
             continue
@@ -146,7 +161,10 @@ def blocks_of(html: str) -> list[tuple[str, tuple[str, ...], float]]:
         if tag in CLOSED_BY:
             _close(open_tags, CLOSED_BY[tag])
         if tag not in VOID_TAGS and not empty:
-            open_tags.append((tag, (tag, *_own_names(m[3])), tag in FOREIGN or foreign and tag not in HTML_INSIDE))
+            own = (tag, *_own_names(m[3]))
+            inline = tag not in BLOCK_TAGS and (bool(open_tags) and open_tags[-1][3] or len(own) > 1 and not name_label(own)
+                                                and CODE.isdisjoint(t for t, *_ in open_tags))
+            open_tags.append((tag, own, tag in FOREIGN or foreign and tag not in HTML_INSIDE, inline))
         if tag == "xmp" and not empty:
             end, at = _end_of(tag, html, m.end())
             add(html[m.end():end], literal=True)
@@ -193,6 +211,45 @@ def _own_names(attributes: str) -> list[str]:
             for part in (f"={value}", *_PART.findall(value))]
 
 
+@lru_cache(65_536)
+def _meaning(name: str) -> str:
+    """What one class, id or role names: its last part that is more than a box, or ''."""
+    parts = [p for p in _PART.findall(name) if not p.isdigit()]
+    if not parts or parts[0] in STATES:
+        return ""
+    while len(parts) > 1 and parts[-1] in BOXES:
+        parts.pop()
+    last = parts[-1]
+    return last[:-1] if last not in BOILERPLATE and last[:-1] in BOILERPLATE and last[-1] == "s" else last
+
+
+@lru_cache(65_536)
+def path_names(names: tuple[str, ...]) -> tuple[str, ...]:
+    """The names on a path that say what its text is: the tags, and the meaning
+    of each class, id and role. What is around ``main`` says nothing of it, nor
+    does a form around an article; the names of the outermost article are its kind."""
+    found: list[str] = []
+    at, tag, told, in_article = 0, "", True, False
+    while at < len(names):
+        name = names[at]
+        at += 1
+        if name[:1] != "=":
+            tag = name
+            if tag == "main":
+                found.clear()
+            if tag == "article" and not in_article:
+                found = [n for n in found if n != "form"]
+                in_article, told = True, False
+            else:
+                told = tag not in UNNAMED
+            found.append(tag)
+            continue
+        at += len(_PART.findall(name))  # the parts of the value follow it
+        if told and not CODE.intersection(found):
+            found += [x for n in map(_meaning, name[1:].split()) if n for x in (f"={n}", n)]
+    return tuple(found)
+
+
 class Buckets(dict):
     """Hash buckets of names, kept for reuse up to a bound; each boilerplate
     name has one of its own."""
@@ -231,7 +288,7 @@ class Sequences:
         for blocks in pages:
             for text, names, share in blocks:
                 path_at.append(len(path))
-                path += map(paths.__getitem__, names or ("",))
+                path += map(paths.__getitem__, path_names(names) or ("",))
                 texts.append(text)
                 linked.append(share)
             sizes.append(len(texts))
@@ -364,11 +421,12 @@ class BlockTagger:
 
 def name_label(names: tuple[str, ...]) -> float:
     """1 for a block with no boilerplate name on its path."""
-    return float(not any(n in BOILERPLATE for n in names))
+    return float(BOILERPLATE.isdisjoint(path_names(names)))
 
 
 _ARTICLE_NAMES = [("main",), ("div", "=content", "content"), ("section", "=post", "post"), ("div", "=main", "main"),
                   ("td",), ("div", "=entry", "entry"), ("div", "=article", "article", "=body", "body"), ("div",)]
+_INLINE = [("p", "span"), ("p", "a"), ("li", "span")]
 _INSIDE = [("p",), ("h2",), ("h3",), ("blockquote",), ("ul", "li"), ("ol", "li"), ("pre",), ("table", "tr", "td"), ("figure", "figcaption"),
            ("dl", "dd"), ("div",), ("p", "b"), ("p", "em"), ("p", "a"), ("section", "p"), ("div", "p")]
 
@@ -377,7 +435,7 @@ def training_pages(pages: list[str], seed: int = 17) -> list:
     """Labelled block sequences: the sampled pages and changed copies."""
     rng = np.random.default_rng(seed)
     bad = sorted(BOILERPLATE)
-    tags = {"nav", "header", "footer", "aside", "form", "button", "label", "select", "option", "menu", "search"}
+    tags = {"nav", "header", "footer", "aside", "form", "button", "select", "option", "menu", "search"}
     made = []
     for page in pages:
         blocks = blocks_of(page)
@@ -400,9 +458,11 @@ def training_pages(pages: list[str], seed: int = 17) -> list:
                     changed.append(((some(int(rng.integers(1, 60))), ("html", "body", *article, *plain(), *_INSIDE[rng.integers(len(_INSIDE))], *plain()), float(rng.random() < 0.05)), 1.0))
                 if rng.random() < 0.35:
                     name = bad[rng.integers(len(bad))]
-                    lead = (name,) if name in tags else (("div", "section", "p", "ul")[rng.integers(4)], f"={name}", name)
-                    outer = ("html", "body", *(article if rng.random() < 0.4 else ()))
-                    inner = _INSIDE[rng.integers(len(_INSIDE))] if rng.random() < 0.6 else ()
+                    inline = rng.random() < 0.3  # inside a paragraph
+                    around = _INLINE[rng.integers(len(_INLINE))] if inline else (("div", "section", "p", "ul")[rng.integers(4)],)
+                    lead = (name,) if name in tags and not inline else (*around, f"={name}", name)
+                    outer = ("html", "body", *(article if rng.random() < (0.8 if inline else 0.4) else ()))
+                    inner = _INSIDE[rng.integers(len(_INSIDE))] if rng.random() < 0.6 and not inline else ()
                     for _ in range(int(rng.integers(1, 4))):
                         changed.append(((some(int(rng.integers(1, 40))), (*outer, *plain(), *lead, *inner), float(rng.random() < 0.4)), 0.0))
                 new = tuple(x for n in names for x in (article if n == "article" else (n,)))

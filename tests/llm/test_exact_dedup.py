@@ -49,3 +49,12 @@ def test_dropping_keeps_columns_and_one_row_a_group(spark):
     assert left.columns == docs.columns
     texts = [(r["text"] or "").translate(SPACE) for r in left.collect()]
     assert len(texts) == len(set(texts)) == len({(t or "").translate(SPACE) for _, t in rows})
+
+
+def test_the_longest_row_stays_where_ids_are_null_or_repeat(spark):
+    rows = [(None, "a b"), (None, " a  b "), (None, "a  b"), (7, "xy"), (7, "x   y"), (7, "x y"),
+            (3, "p q"), (3, "p  q"), (2, "p  q"), (None, "p  q"), (7, "other"), (None, None), (None, "  ")]
+    for parts in (1, 3):
+        left = exact_dedup.drop_exact_copies(frame(spark, rows, parts))
+        assert Counter((r["doc_id"], r["text"]) for r in left.collect()) == Counter(
+            [(None, " a  b "), (7, "x   y"), (2, "p  q"), (7, "other"), (None, "  ")])

@@ -79,15 +79,18 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``docs`` with one row of each group of equal texts, all columns kept.
 
     The rows that go are found by id; a row repeated under one id (same id,
-    same text) is reduced to one by a null-safe distinct on its group's rows.
+    same text) is reduced to the one with the most code points.
     """
     found = exact_groups(docs, id_col, text_col)
     keys = found.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
     sha = F.sha2(F.translate(text_column(docs, text_col), WHITE_SPACE, "").cast("binary"), 256)
     joined = docs.withColumn("_sha_own", sha).withColumn("_cp", F.length(text_column(docs, text_col)))
     kept = joined.join(keys, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_sha_own") == F.col("_sha")), "left_semi")
-    first = kept.dropDuplicates([id_col, "_sha_own"]) if _ids_repeat(docs, id_col) else kept
-    return first.select(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if not _ids_repeat(docs, id_col):
+        return kept.select(*columns)
+    longest = F.max_by(F.struct(*columns), F.col("_cp")).alias("_row")
+    return kept.groupBy(id_col, "_sha_own").agg(longest).select("_row.*")
 
 
 def _ids_repeat(docs: DataFrame, id_col: str) -> bool:

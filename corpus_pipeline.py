@@ -35,9 +35,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = language_id.train(language_id.labelled_rows(docs))
+    if net is None:  # without any labelled row no language was learned, but a text without letters is none of any
+        return docs.where(F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False)))
     judged = language_id.predict(docs, net, out=("_lang_pred", "_lang_score"))
-    # without any labelled row nothing was learned and nothing is rejected
-    return judged.where(F.col("_lang_pred") != language_id.UNKNOWN).drop("_lang_pred", "_lang_score") if net else docs
+    return judged.where(F.col("_lang_pred") != language_id.UNKNOWN).drop("_lang_pred", "_lang_score")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

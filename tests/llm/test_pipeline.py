@@ -73,3 +73,9 @@ def test_empty_tables_pass_through(spark, tables):
 def test_stages_are_those_of_the_contract():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "ngram_join", "decontamination", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None and exact_dedup.HEAVY <= 256
+
+
+def test_letterless_texts_go_without_any_labelled_row(spark):
+    docs = frame(spark, [(1, "words"), (2, "1 2 3 !"), (3, None), (4, ""), (5, "\u00e9")])
+    out = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, "")
+    assert sorted(rows_of(out)) == [(1, "words"), (5, "\u00e9")] and out.columns == docs.columns

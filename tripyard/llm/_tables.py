@@ -73,3 +73,15 @@ def most_frequent(counted: DataFrame, count_col: str, bound: int) -> DataFrame:
             break
         least = r["step"]
     return counted.where((F.col(count_col) > 0) & (step >= least)) if least is not None else counted.limit(0)
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of a text's UTF-8 bytes, bit by bit."""
+    byte = "CAST(strpos('0123456789ABCDEF', {x}[{i}:{i}]) - 1 AS BIGINT)"
+    value = f"16 * {byte.format(x='hx', i='2 * i - 1')} + {byte.format(x='hx', i='2 * i')}"
+    step = "xor(c >> 1, 3988292384 * (c & 1))"
+    rounds = "xor(acc, x)"
+    for _ in range(8):
+        rounds = f"list_transform([{rounds}], lambda c: {step})[1]"
+    return (f"list_transform([hex(encode({text}))], lambda hx: xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, "
+            f"list_transform(range(1, length(hx) // 2 + 1), lambda i: {value})), lambda acc, x: {rounds})))[1]")

@@ -20,6 +20,9 @@ from tripyard.llm import (
     lm_scoring,
     ngram_join,
     packing,
+    periodic_runs,
+    spelling_variants,
+    topk_search,
     url_filter,
 )
 
@@ -70,8 +73,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.contamination(documents, benchmark))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), control=True))
+
+
 QUERIES = (op1_ngram_jaccard_join, op2_line_dedup, op3_language_id, op4_url_filter, op5_best_fit_packing,
-           op6_chat_format, op7_exact_dedup, op8_html_extraction, op9_lm_scoring, op10_decontamination)
+           op6_chat_format, op7_exact_dedup, op8_html_extraction, op9_lm_scoring, op10_decontamination,
+           op11_spelling_variants, op12_exact_topk_search, op13_periodic_runs)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -87,4 +103,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_chat_format": chat_format.oracle_sql(),
         "op7_exact_dedup": exact_dedup.oracle_sql(),
         "op10_decontamination": decontamination.oracle_sql(),
+        "op11_spelling_variants": spelling_variants.oracle_sql(),
+        "op12_exact_topk_search": topk_search.oracle_sql(),
+        "op13_periodic_runs": periodic_runs.oracle_sql(),
     }

@@ -71,3 +71,12 @@ def test_valid_read_from_raw_pushes_month_bounds_to_parquet(spark, capsys):
     assert "GreaterThanOrEqual(tpep_pickup_datetime,2024-01-01T00:00)" in pushed
     assert "LessThan(tpep_pickup_datetime,2024-02-01T00:00)" in pushed
     assert valid.count() == 817
+
+
+def test_cleaning_and_rules_stay_below_the_size_that_is_compiled(spark):
+    """HotSpot interprets methods of more than 8000 bytes."""
+    flagged = V.flag_trips(C.clean_trips(fixture_raw_trips(spark, TESTDATA)))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    text = flagged._jdf.queryExecution().explainString(mode)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000

@@ -304,3 +304,95 @@ def test_many_months_are_one_scan_per_layout(spark):
     assert raw._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
     got = {(r.reference_year, r.reference_month, r.VendorID, r.passenger_count) for r in raw.collect()}
     assert got == {(a, b, b, 2.0) for a, b in months}
+
+
+def _silver(frame):
+    return V.silver_layout(V.valid_trips(V.flag_trips(C.clean_trips(frame))))
+
+
+def test_a_load_lost_before_its_switch_leaves_the_old_rows(spark, raw_frame):
+    wh = Warehouse(spark, scratch_dir(spark, "lost"), prefix="t_lost_")
+    wh.create_tables()
+    wh.replace_periods("silver_clean", _silver(raw_frame(trip(fare_amount=1.0))), [(2024, 1)])
+    load = wh.prepare("silver_clean", _silver(raw_frame(trip(fare_amount=2.0), trip(fare_amount=2.0))), [(2024, 1)])
+    assert load.rows == {(2024, 1): 2}  # written, then the driver is lost
+    assert [float(r.fare_amount) for r in wh.read("silver_clean").collect()] == [1.0]
+    Warehouse(spark, wh.root, "t_lost_").create_tables()
+    assert wh.read("silver_clean").count() == 1
+    assert wh.remove_old_versions() == 1 and wh.read("silver_clean").count() == 1
+    assert wh.remove_old_versions() == 0
+
+
+def test_a_switch_that_was_logged_but_not_ended_is_carried_out(spark, raw_frame, monkeypatch):
+    wh = Warehouse(spark, scratch_dir(spark, "cut"), prefix="t_cut_")
+    wh.create_tables()
+    wh.replace_periods("silver_clean", _silver(raw_frame(trip(fare_amount=1.0))), [(2024, 1), (2024, 2)])
+    loads = [wh.prepare("silver_clean", _silver(raw_frame(trip(fare_amount=2.0))), [(2024, 1), (2024, 2)]),
+             wh.prepare("bronze", C.bronze_layout(raw_frame(trip())), [(2024, 1)])]
+    point = Warehouse._point
+
+    def lost(self, key, versions):
+        if key == "bronze":
+            raise RuntimeError("the driver is lost")
+        point(self, key, versions)
+
+    monkeypatch.setattr(Warehouse, "_point", lost)
+    with pytest.raises(RuntimeError):
+        wh.switch(loads)
+    monkeypatch.undo()
+    assert wh.read("bronze").count() == 0
+    Warehouse(spark, wh.root, "t_cut_").create_tables()
+    assert wh.read("bronze").count() == 1
+    assert [float(r.fare_amount) for r in wh.read("silver_clean").collect()] == [2.0]
+    assert not wh._logged(unended_only=True)
+
+
+def test_a_fresh_catalog_finds_the_periods_again(spark, raw_frame):
+    wh = Warehouse(spark, scratch_dir(spark, "fresh"), prefix="t_fresh_")
+    wh.create_tables()
+    wh.replace_periods("silver_clean", _silver(raw_frame(trip(), trip())), [(2024, 1)])
+    wh.drop_tables()
+    wh.create_tables()
+    assert wh.read("silver_clean", [(2024, 1)]).count() == 2
+    assert wh.files("silver_clean").count() == 2
+
+
+def test_a_gold_overflow_leaves_the_old_silver_and_gold(spark, raw_frame):
+    from tripyard.operators.quality import ConstraintViolation
+    from tripyard.plans.job import run_frame
+
+    root = scratch_dir(spark, "old")
+    run_frame(spark, raw_frame(trip(), trip(PULocationID=0)), [(2024, 1)], f"{root}/wh", f"{root}/w1", prefix="t_old_", load_bronze=True)
+    wh = Warehouse(spark, f"{root}/wh", prefix="t_old_")
+    tables = ("bronze", "silver_clean", "silver_rejected", "trips_by_day", "payment_summary")
+    before = {k: sorted(map(str, wh.read(k).collect())) for k in tables}
+    many = raw_frame(trip(total_amount=9e7)).select("*", F.explode(F.sequence(F.lit(1), F.lit(12000))).alias("i")).drop("i")
+    with pytest.raises(ConstraintViolation):
+        run_frame(spark, many, [(2024, 1)], f"{root}/wh", f"{root}/w2", prefix="t_old_", load_bronze=True)
+    assert {k: sorted(map(str, wh.read(k).collect())) for k in tables} == before
+
+
+def test_observed_counts_of_many_periods_are_exact(spark):
+    from pyspark.sql import Observation
+    from tripyard.sinks.warehouse import counts_seen, group_counts
+
+    rows = spark.range(60_000, numPartitions=37).select((F.col("id") * 7919 % 61 * 100 + 1).alias("k"))
+    obs = Observation("periods")
+    rows.observe(obs, group_counts(F.col("k"), 61).alias("n")).write.format("noop").mode("overwrite").save()
+    want = {r.k: r["count"] for r in rows.groupBy("k").count().collect()}
+    assert counts_seen(obs.get["n"]) == want and len(want) == 61
+
+
+def test_rows_appended_beside_the_loader_are_found(spark, raw_frame):
+    from tripyard.operators.quality import stored_violations
+    from tripyard.plans.job import run_frame
+
+    root = scratch_dir(spark, "beside")
+    run_frame(spark, raw_frame(trip(), trip(PULocationID=0)), [(2024, 1)], f"{root}/wh", f"{root}/w", prefix="t_beside_")
+    wh = Warehouse(spark, f"{root}/wh", prefix="t_beside_")
+    assert not any(r.violations for r in stored_violations(wh, [(2024, 1)]).collect())
+    stored = spark.table(wh.table("hourly_demand"))
+    spark.createDataFrame(stored.collect(), stored.schema).write.insertInto(wh.table("hourly_demand"))
+    broken = [tuple(r) for r in stored_violations(wh, [(2024, 1)]).collect() if r.violations]
+    assert broken == [("gold.hourly_demand", "unique", "reference_year,reference_month,hour_of_day", 1)]
+    assert not any(r.violations for r in stored_violations(wh, [(2024, 2)]).collect())

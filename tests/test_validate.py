@@ -109,3 +109,16 @@ def test_split_and_layouts(raw_frame):
     assert [(f.name, f.dataType) for f in rej.schema] == [(f.name, f.dataType) for f in SILVER_REJECTED_SCHEMA]
     r = rej.collect()[0]
     assert r.rejection_reason == "invalid pu_location_id" and r.raw_pu_location_id == 0
+
+
+def test_all_broken_rules_are_kept_and_the_first_is_the_reason(raw_frame):
+    rows = [trip(), trip(tip_amount=-1.0), trip(PULocationID=0, tip_amount=-1.0, RatecodeID=9.0),
+            trip(tpep_pickup_datetime=None, tpep_dropoff_datetime=None, passenger_count=None, trip_distance=None,
+                 PULocationID=None, DOLocationID=None, fare_amount=None, tip_amount=None, RatecodeID=None)]
+    flagged = V.flag_all_rules(C.clean_trips(raw_frame(*rows)))
+    got = flagged.select("broken_rules", "rejection_reason", V.reasons_of(flagged["broken_rules"]).alias("all")).collect()
+    names = [reason for reason, _ in V.rules()]
+    assert got[0]["broken_rules"] == 0 and got[0]["rejection_reason"] is None and got[0]["all"] == []
+    assert got[1]["all"] == [names[9]]
+    assert got[2]["all"] == [names[6], names[9], names[10]] and got[2]["rejection_reason"] == names[6]
+    assert got[3]["all"] == [names[0], names[1], names[2], *names[4:9]] and got[3]["rejection_reason"] == names[0]

@@ -20,15 +20,13 @@ from tripyard.schema import GOLD_KEYS, LENGTH_LIMITS, PERIOD_COLUMNS, TABLE_SCHE
 CHECK_COLUMNS = ["table_name", "check_name", "column_name", "violations"]
 
 
-def _long(table: str, agg_source: DataFrame, checks: list[tuple[str, str, Column]]) -> DataFrame:
-    """One aggregate computing every check, unpivoted to one row per check."""
-    names = [f"c{i}" for i in range(len(checks))]
-    wide = agg_source.agg(*[F.coalesce(expr, F.lit(0)).alias(n) for n, (_, _, expr) in zip(names, checks)])
+def _long(table: str, wide: DataFrame, checks: list[tuple[str, str]]) -> DataFrame:
+    """The one row of counts c0, c1, ... as one row per check."""
     entries = F.array(
         *[
             F.struct(F.lit(check).alias("check_name"), F.lit(col).alias("column_name"),
-                     F.col(n).cast("bigint").alias("violations"))
-            for n, (check, col, _) in zip(names, checks)
+                     F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("bigint").alias("violations"))
+            for i, (check, col) in enumerate(checks)
         ]
     )
     return wide.select(F.inline(entries)).select(F.lit(table).alias("table_name"), "*")
@@ -81,14 +79,25 @@ def table_name(key: str) -> str:
 
 
 def table_checks(key: str, rows: DataFrame) -> DataFrame:
-    """All constraints of one table over the rows to be stored in it: one
-    aggregate, and for gold tables one grouping by key for C2 (unique)."""
-    out = _long(table_name(key), rows, check_exprs(key))
+    """All constraints of one table over its rows, in one scan: for C2 (unique)
+    gold rows are first grouped by key, with their other checks counted in the
+    same grouping."""
+    checks = [(check, col) for check, col, _ in check_exprs(key)]
+    counts = [expr.alias(f"c{i}") for i, (_, _, expr) in enumerate(check_exprs(key))]
     if key in GOLD_KEYS:
         keys = PERIOD_COLUMNS + GOLD_KEYS[key]
-        per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        out = out.unionByName(_long(table_name(key), per_key, [("unique", ",".join(keys), F.count_if(F.col("n") > 1))]))
-    return out
+        per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *counts)
+        counts = [F.sum(f"c{i}").alias(f"c{i}") for i in range(len(checks))]
+        counts.append(F.count_if(F.col("n") > 1).alias(f"c{len(checks)}"))
+        return _long(table_name(key), per_key.agg(*counts), [*checks, ("unique", ",".join(keys))])
+    return _long(table_name(key), rows.agg(*counts), checks)
+
+
+def stored_violations(warehouse, periods: list[tuple[int, int]] | None = None, keys: list[str] | None = None) -> DataFrame:
+    """C1-C5 over what tables hold (of the given periods: those that changed;
+    partitions of other periods are not read). Finds what came in beside the
+    loads, such as rows appended twice."""
+    return constraint_violations({key: warehouse.read(key, periods) for key in keys or TABLE_SCHEMAS})
 
 
 def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:

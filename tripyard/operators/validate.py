@@ -32,41 +32,72 @@ from tripyard.schema import (
 )
 
 
-def _outside(c: Column, low, high) -> Column:
-    return c.isNull() | (c < low) | (c > high)
-
-
-def rejection_reason() -> Column:
-    """The first broken rule, as text; null when the trip is valid.
+def rules() -> list[tuple[str, Column]]:
+    """V1-V11 in order: (reason, whether a trip breaks the rule; never null).
 
     Deviations from a literal reading, decided once: a missing period counts
     as out of period (so a bad file name cannot let rows through), and a NaN
     fare is an invalid fare (NaN < 0 is false, and it would poison every sum).
     """
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
+    # Missing values take one that breaks (or keeps) the rule: comparisons of
+    # values that are never null are much less generated code.
+    known = lambda name, missing: F.coalesce(F.col(name), F.lit(missing))
+    passengers, distance = known("passenger_count", 0), known("trip_distance", 0.0)
+    pu, do = known("pu_location_id", LOCATION_ID_MIN - 1), known("do_location_id", LOCATION_ID_MIN - 1)
+    fare, tip, rate = known("fare_amount", -1.0), known("tip_amount", 0.0), known("rate_code_id", RATE_CODE_MIN)
     year, month = F.col("reference_year"), F.col("reference_month")
-    passengers, distance = F.col("passenger_count"), F.col("trip_distance")
-    fare, rate = F.col("fare_amount"), F.col("rate_code_id")
-    out_of_period = F.coalesce(
-        (pickup < period_start(year, month)) | (pickup >= period_end(year, month)),
-        F.lit(True),
-    )
-    return (
-        F.when(pickup.isNull(), REASON_PICKUP_NULL)
-        .when(dropoff.isNull(), REASON_DROPOFF_NULL)
-        .when(out_of_period, REASON_OUT_OF_PERIOD)
-        .when(dropoff <= pickup, REASON_DROPOFF_BEFORE)
-        .when(passengers.isNull() | (passengers <= 0) | (passengers > MAX_PASSENGERS),
-              REASON_PASSENGERS)
-        .when(distance.isNull() | (distance <= 0) | (distance > MAX_TRIP_DISTANCE),
-              REASON_DISTANCE)
-        .when(_outside(F.col("pu_location_id"), LOCATION_ID_MIN, LOCATION_ID_MAX), REASON_PU)
-        .when(_outside(F.col("do_location_id"), LOCATION_ID_MIN, LOCATION_ID_MAX), REASON_DO)
-        .when(fare.isNull() | F.isnan(fare) | (fare < 0), REASON_FARE)
-        .when(F.col("tip_amount") < 0, REASON_TIP)
-        .when(rate.isNotNull() & ((rate < RATE_CODE_MIN) | (rate > RATE_CODE_MAX)), REASON_RATE)
-        .otherwise(F.lit(None).cast("string"))
-    )
+    in_period = (pickup >= period_start(year, month)) & (pickup < period_end(year, month))
+    return [
+        (REASON_PICKUP_NULL, pickup.isNull()),
+        (REASON_DROPOFF_NULL, dropoff.isNull()),
+        (REASON_OUT_OF_PERIOD, ~F.coalesce(in_period, F.lit(False))),
+        (REASON_DROPOFF_BEFORE, F.coalesce(dropoff <= pickup, F.lit(False))),
+        (REASON_PASSENGERS, (passengers <= 0) | (passengers > MAX_PASSENGERS)),
+        (REASON_DISTANCE, (distance <= 0) | (distance > MAX_TRIP_DISTANCE)),
+        (REASON_PU, (pu < LOCATION_ID_MIN) | (pu > LOCATION_ID_MAX)),
+        (REASON_DO, (do < LOCATION_ID_MIN) | (do > LOCATION_ID_MAX)),
+        (REASON_FARE, F.isnan(fare) | (fare < 0)),
+        (REASON_TIP, tip < 0),
+        (REASON_RATE, (rate < RATE_CODE_MIN) | (rate > RATE_CODE_MAX)),
+    ]
+
+
+def broken_rules() -> Column:
+    """All broken rules of a trip as an INT: bit i is the rule i of ``rules``."""
+    mask = F.lit(0)
+    for bit, (_, broken) in enumerate(rules()):
+        mask = mask.bitwiseOR(F.shiftleft(broken.cast("int"), bit))
+    return mask
+
+
+def reasons_of(mask: Column) -> Column:
+    """The reasons of all broken rules, in order of the rules."""
+    return F.array_compact(F.array(*[
+        F.when(mask.bitwiseAND(F.lit(1 << bit)) != 0, F.lit(reason)) for bit, (reason, _) in enumerate(rules())]))
+
+
+def first_reason(mask: Column) -> Column:
+    """The reason of the first broken rule (the lowest bit); null for none: the
+    lowest bit of 0 is counted past the last reason.
+
+    The mask occurs twice, in no branch, so that code generation makes it a
+    method of its own; the fused method of cleaning and rules then stays below
+    the 8000 bytes beyond which HotSpot does not compile a method.
+    """
+    reasons = F.array(*[F.lit(reason) for reason, _ in rules()])
+    return F.get(reasons, F.bit_count(mask.bitwiseAND(-mask) - 1).cast("int"))
+
+
+def rejection_reason() -> Column:
+    """The first broken rule, as text; null when the trip is valid."""
+    return first_reason(broken_rules())
+
+
+def flag_all_rules(clean: DataFrame) -> DataFrame:
+    """V1-V11 with every broken rule kept: ``broken_rules`` (see there) and
+    ``rejection_reason``, the first of them."""
+    return clean.withColumn("broken_rules", broken_rules()).withColumn("rejection_reason", first_reason(F.col("broken_rules")))
 
 
 def flag_trips(clean: DataFrame) -> DataFrame:

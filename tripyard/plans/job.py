@@ -5,8 +5,9 @@ validity) --> silver clean (valid partitions) and silver rejected (rejected
 partitions) --> gold: one GROUPING SETS pass over silver clean, clustered by
 month and checkpointed (it is small: days + zones + payment codes + hours per
 month), then five tables from it. The rejected load and the five gold writes
-run as concurrent jobs. The run summary comes from row counts of the written
-partitions (partition values and Parquet row counts, no data columns).
+run as concurrent jobs. The run summary comes from rows counted on the writes.
+All tables are written beside what is stored and checked; only then their
+periods change over, in one logged step, with one audit time for the run.
 
 Compared with one job per month that re-counts at every step, the raw data
 is read once, the valid trips twice (silver write, gold read) and the
@@ -15,12 +16,13 @@ rejected trips once, whatever the number of months.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -44,10 +46,12 @@ from tripyard.schema import (
     REJECTED_SOURCE_COLUMNS,
 )
 from tripyard.sinks.warehouse import (
+    PreparedLoad,
     Warehouse,
     in_periods,
     read_staging,
-    staged_counts,
+    staged_counts_seen,
+    staging_counts_exprs,
     staging_schema,
     write_staging,
 )
@@ -73,26 +77,24 @@ class RunResult:
     reasons: DataFrame | None = None
 
 
-def load_silver_and_gold(
+def prepare_silver_and_gold(
     spark: SparkSession,
     staging_root: str,
     warehouse: Warehouse,
     periods: list[tuple[int, int]],
     schema: StructType | None = None,
     staged: dict[tuple[int, int], tuple[int, int]] | None = None,
-) -> tuple[dict[str, dict[tuple[int, int], int]], dict[tuple[str, str, str], int]]:
-    """S11-S13 for the given periods, reading the staging partitions.
-    Returns the loaded rows per table and period, and the gold constraint
-    checks (C1-C5)."""
-    loaded = {}
+    loaded_at: dt.datetime | None = None,
+) -> tuple[list[PreparedLoad], dict[tuple[str, str, str], int]]:
+    """S11-S13 for the given periods, reading the staging partitions: the
+    prepared loads of both silver and all gold tables, nothing of which is
+    stored yet, and the gold constraint checks (C1-C5)."""
     valid = read_staging(spark, staging_root, periods, valid=True, schema=schema)
     # Rows per month are known from the staging counts (and from the small
     # gold groupings); each load only verifies them against what it wrote.
     valid_rows = {p: v for p, (_, v) in staged.items()} if staged else None
     rejected_rows = {p: t - v for p, (t, v) in staged.items()} if staged else None
-    loaded["silver_clean"] = warehouse.replace_periods(
-        "silver_clean", silver_layout(valid), periods, expected=valid_rows
-    )
+    silver = warehouse.prepare("silver_clean", silver_layout(valid), periods, expected=valid_rows, loaded_at=loaded_at)
     rejected = rejected_layout(read_staging(spark, staging_root, periods, valid=False, schema=schema))
     # The gold groupings are small (bounded by months x keys, not by trips).
     # Clustering them by period makes each month's rows one task, so every
@@ -101,13 +103,13 @@ def load_silver_and_gold(
     # checkpoint (shared folder) then cuts the lineage: the five table writes
     # reuse it without re-reading silver, and it survives executor loss.
     partials = (
-        gold_partials(warehouse.read("silver_clean", periods))
+        gold_partials(warehouse.prepared_rows(silver))
         .repartition(*PERIOD_COLUMNS)
         .checkpoint(eager=True)
     )
     wide = wide_gold_tables(partials)
-    # Gold constraints are checked on the small groupings before any gold
-    # period is replaced: a total beyond its column stops the run.
+    # Gold constraints are checked on the small groupings: a total beyond its
+    # column stops the run before any period of any table is replaced.
     violations = {
         (r.table_name, r.check_name, r.column_name): r.violations for r in constraint_violations(wide).collect()
     }
@@ -118,12 +120,11 @@ def load_silver_and_gold(
     expected = {**gold_rows, "silver_rejected": rejected_rows}
     # Independent jobs run concurrently (the gold ones have few tasks).
     with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        futures = {
-            k: pool.submit(warehouse.replace_periods, k, df, periods, False, expected.get(k))
+        futures = [
+            pool.submit(warehouse.prepare, k, df, periods, False, expected.get(k), loaded_at)
             for k, df in writes.items()
-        }
-        loaded.update({k: f.result() for k, f in futures.items()})
-    return loaded, violations
+        ]
+        return [silver, *(f.result() for f in futures)], violations
 
 
 def _staging_checks() -> tuple[list[tuple[str, str, str]], list[tuple[str, str, Column]]]:
@@ -235,28 +236,30 @@ def run_frame(
 
     ``rebalance`` is for inputs whose tasks mix months (see write_staging).
     """
+    started = dt.datetime.now(dt.timezone.utc)  # the audit time of all tables
     warehouse = Warehouse(spark, warehouse_root, prefix)
     warehouse.create_tables()
-    loaded = {}
-    if load_bronze:
-        loaded["bronze"] = warehouse.replace_periods(
-            "bronze", bronze_layout(raw), periods, rebalance=rebalance
-        )
     staging_root = f"{work_root.rstrip('/')}/staging-{uuid.uuid4().hex[:12]}"
     flagged = flag_trips(clean_trips(raw)).filter(in_periods(periods))
     # Silver constraints are observed on the staging write, so a row that the
     # warehouse would not take stops the run before a period is replaced.
     names, checks = _staging_checks()
+    # Rows per month and validity are counted on that write, too.
     observed, seen = observe_checks(flagged, "staging_checks", [(str(i), c, e) for i, (_, c, e) in enumerate(checks)])
-    write_staging(observed, staging_root, rebalance=rebalance)
+    counting = Observation("staging_counts")
+    write_staging(observed.observe(counting, *staging_counts_exprs(periods)), staging_root, rebalance=rebalance)
     violations = dict(zip(names, seen().values(), strict=True))
     require_none(violations)
-    staged = staged_counts(spark, staging_root, periods, staging_schema(flagged))
-    loads, gold_violations = load_silver_and_gold(
-        spark, staging_root, warehouse, periods, staging_schema(flagged), staged
+    staged = staged_counts_seen(counting.get, periods)
+    loads, gold_violations = prepare_silver_and_gold(
+        spark, staging_root, warehouse, periods, staging_schema(flagged), staged, started
     )
-    loaded.update(loads)
     violations.update(gold_violations)
+    if load_bronze:
+        loads.append(warehouse.prepare("bronze", bronze_layout(raw), periods, rebalance, loaded_at=started))
+    # Everything is written and checked: all tables change over together.
+    warehouse.switch(loads, started)
+    loaded = {load.key: load.rows for load in loads}
     summary_loads = {k: v for k, v in loaded.items() if k != "bronze"}
     # A7 from the rejected staging partitions: only the reason column is read.
     reasons = rejection_reasons(

@@ -32,6 +32,7 @@ from tripyard.schema import (
     REASON_PU,
     REASON_RATE,
     REASON_TIP,
+    TABLES,
 )
 
 PERIOD = "reference_year, reference_month"
@@ -202,28 +203,23 @@ CLEAN_COLS = (
 _START = "CAST(make_date(reference_year, reference_month, 1) AS TIMESTAMP)"
 _END = "CAST(make_date(reference_year, reference_month, 1) + INTERVAL '1' MONTH AS TIMESTAMP)"
 
+_RULES = [
+    (REASON_PICKUP_NULL, "pickup_datetime IS NULL"),
+    (REASON_DROPOFF_NULL, "dropoff_datetime IS NULL"),
+    (REASON_OUT_OF_PERIOD, f"coalesce(pickup_datetime < {_START} OR pickup_datetime >= {_END}, true)"),
+    (REASON_DROPOFF_BEFORE, "dropoff_datetime <= pickup_datetime"),
+    (REASON_PASSENGERS, f"passenger_count IS NULL OR passenger_count <= 0 OR passenger_count > {MAX_PASSENGERS}"),
+    (REASON_DISTANCE, f"trip_distance IS NULL OR trip_distance <= 0 OR trip_distance > {_dbl(MAX_TRIP_DISTANCE)}"),
+    (REASON_PU, f"pu_location_id IS NULL OR pu_location_id < {LOCATION_ID_MIN} OR pu_location_id > {LOCATION_ID_MAX}"),
+    (REASON_DO, f"do_location_id IS NULL OR do_location_id < {LOCATION_ID_MIN} OR do_location_id > {LOCATION_ID_MAX}"),
+    (REASON_FARE, "fare_amount IS NULL OR isnan(fare_amount) OR fare_amount < 0"),
+    (REASON_TIP, "tip_amount < 0"),
+    (REASON_RATE, f"rate_code_id IS NOT NULL AND (rate_code_id < {RATE_CODE_MIN} OR rate_code_id > {RATE_CODE_MAX})"),
+]
+
 _FLAGGED = f"""
-  SELECT *,
-    CASE
-      WHEN pickup_datetime IS NULL THEN '{REASON_PICKUP_NULL}'
-      WHEN dropoff_datetime IS NULL THEN '{REASON_DROPOFF_NULL}'
-      WHEN coalesce(pickup_datetime < {_START} OR pickup_datetime >= {_END}, true)
-        THEN '{REASON_OUT_OF_PERIOD}'
-      WHEN dropoff_datetime <= pickup_datetime THEN '{REASON_DROPOFF_BEFORE}'
-      WHEN passenger_count IS NULL OR passenger_count <= 0 OR passenger_count > {MAX_PASSENGERS}
-        THEN '{REASON_PASSENGERS}'
-      WHEN trip_distance IS NULL OR trip_distance <= 0 OR trip_distance > {_dbl(MAX_TRIP_DISTANCE)}
-        THEN '{REASON_DISTANCE}'
-      WHEN pu_location_id IS NULL OR pu_location_id < {LOCATION_ID_MIN} OR pu_location_id > {LOCATION_ID_MAX}
-        THEN '{REASON_PU}'
-      WHEN do_location_id IS NULL OR do_location_id < {LOCATION_ID_MIN} OR do_location_id > {LOCATION_ID_MAX}
-        THEN '{REASON_DO}'
-      WHEN fare_amount IS NULL OR isnan(fare_amount) OR fare_amount < 0 THEN '{REASON_FARE}'
-      WHEN tip_amount < 0 THEN '{REASON_TIP}'
-      WHEN rate_code_id IS NOT NULL AND (rate_code_id < {RATE_CODE_MIN} OR rate_code_id > {RATE_CODE_MAX})
-        THEN '{REASON_RATE}'
-      ELSE CAST(NULL AS VARCHAR)
-    END AS rejection_reason
+  SELECT *, CASE {' '.join(f"WHEN {broken} THEN '{reason}'" for reason, broken in _RULES)}
+    ELSE CAST(NULL AS VARCHAR) END AS rejection_reason
   FROM clean"""
 
 _MONEY_COLS = [
@@ -346,6 +342,10 @@ def stage_sql(key: str, source: str) -> str:
         return _with(source, "clean") + "SELECT * FROM clean"
     if key == "flagged_trips":
         return _with(source, "flagged") + "SELECT * FROM flagged"
+    if key == "broken_rules_per_trip":
+        bits = " + ".join(f"CASE WHEN {broken} THEN {1 << i} ELSE 0 END" for i, (_, broken) in enumerate(_RULES))
+        texts = ", ".join(f"CASE WHEN {broken} THEN '{reason}' END" for reason, broken in _RULES)
+        return _with(source, "flagged") + f"SELECT *, CAST({bits} AS INTEGER) AS broken_rules, concat_ws(', ', {texts}) AS reasons FROM flagged"
     if key == "valid_trips":
         return _with(source, "flagged") + "SELECT * EXCLUDE (rejection_reason) FROM flagged WHERE rejection_reason IS NULL"
     if key == "rejected_trips":
@@ -429,6 +429,14 @@ def write_sql(key: str, source: str) -> str | None:
         return stage_sql("bronze_trips", source)
     if key == "load_counts":
         return _load_counts_sql(source)
+    if key == "failed_reload":
+        return f"SELECT * FROM ({_load_counts_sql(source)}) t WHERE ends_with(metric, '_rows')"
+    if key == "audit_times":
+        tables = ", ".join(f"('{k}_rows', '{'.'.join(TABLES[k])}')" for k in TABLES)
+        return (f"SELECT t.table_name, {PERIOD}, true AS filled, true AS same_run, reference_month % 2 = 1 AS reloaded "
+                f"FROM ({_load_counts_sql(source)}) c JOIN (VALUES {tables}) t(metric, table_name) USING (metric)")
+    if key == "stored_checks":
+        return _stored_checks_sql(source)
     if key == "raw_file_scan":
         return _with(source, "raw") + "SELECT * FROM raw"
     if key == "empty_reload":
@@ -449,7 +457,7 @@ def _check_row(table: str, check: str, column: str, count_expr: str, source: str
 def _constraints_sql(source: str) -> str:
     from pyspark.sql.types import DecimalType, StringType
 
-    from tripyard.schema import GOLD_KEYS, LENGTH_LIMITS, TABLE_SCHEMAS, TABLES
+    from tripyard.schema import GOLD_KEYS, LENGTH_LIMITS, TABLE_SCHEMAS
 
     froms = {
         "bronze": f"({stage_body('bronze_trips')})",
@@ -496,6 +504,27 @@ def _constraints_sql(source: str) -> str:
     return _with(source, "rejected").rstrip() + ",\n" + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(rows)
 
 
+def _stored_checks_sql(source: str) -> str:
+    """No stored row breaks a constraint but the gold keys of March, each twice."""
+    from pyspark.sql.types import DecimalType
+
+    from tripyard.schema import GOLD_KEYS, LENGTH_LIMITS, TABLE_SCHEMAS
+
+    rows = []
+    for key in ("silver_clean", "silver_rejected", *GOLD_NAMES):
+        t = ".".join(TABLES[key])
+        names = [("not_null", f.name) for f in TABLE_SCHEMAS[key] if not f.nullable]
+        names += [(f"numeric_{f.dataType.precision}_{f.dataType.scale}", f.name)
+                  for f in TABLE_SCHEMAS[key] if isinstance(f.dataType, DecimalType)]
+        names += [("max_length", c) for c in LENGTH_LIMITS.get(key, {})]
+        names += [("hour_0_23", "hour_of_day")] if key == "hourly_demand" else []
+        rows += [_check_row(t, check, col, "0", "(SELECT 1) one") for check, col in names]
+        if key in GOLD_KEYS:
+            keys = ",".join(["reference_year", "reference_month"] + GOLD_KEYS[key])
+            rows.append(_check_row(t, "unique", keys, "count(*)", f"({_gold_sql(key)}) g WHERE reference_month = 3"))
+    return _with(source, "silver") + "\nUNION ALL\n".join(rows)
+
+
 def _documented_sql(source: str) -> str:
     parts = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
              "improvement_surcharge", "congestion_surcharge", "airport_fee"]

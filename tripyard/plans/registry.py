@@ -56,19 +56,20 @@ def _broken(key: str, rows: DataFrame) -> DataFrame:
     schema = TABLE_SCHEMAS[key]
     plain = rows.select(*[
         (F.col(f.name).cast("double") if isinstance(f.dataType, DecimalType) else F.col(f.name)).alias(f.name) for f in schema])
-    month = F.col("reference_month")
-
-    def copies(number: int, changed: dict) -> DataFrame:
-        return plain.where(month == number).withColumns(changed)
-
-    out = plain
     required = {f.name: F.lit(None).cast(plain.schema[f.name].dataType) for f in schema if not f.nullable}
     numerics = {f.name: F.lit(1e13) for f in schema if isinstance(f.dataType, DecimalType)}
     texts = {f.name: F.concat(f.name, F.repeat(F.lit("x"), 300)) for f in schema if isinstance(f.dataType, StringType)}
     hours = {"hour_of_day": F.lit(24).cast("smallint")} if key == "hourly_demand" else {}
-    for number, changed in ((1, required), (2, numerics), (3, {}), (4, texts), (5, hours)):
-        out = out.unionByName(copies(number, changed) if changed or number == 3 else plain.limit(0))
-    return out
+
+    def row(changed: dict):
+        return F.struct(*[changed.get(n, F.col(n)).alias(n) for n in plain.columns])
+
+    copy = F.when(F.col("reference_month") == 3, row({}))
+    for number, changed in ((1, required), (2, numerics), (4, texts), (5, hours)):
+        if changed:
+            copy = copy.when(F.col("reference_month") == number, row(changed))
+    both = F.filter(F.array(row({}), copy), lambda r: r.isNotNull())
+    return plain.select(F.inline(both))
 
 
 def _constraints(raw: DataFrame) -> DataFrame:
@@ -80,6 +81,12 @@ def _constraints(raw: DataFrame) -> DataFrame:
     return Q.constraint_violations({key: _broken(key, rows) for key, rows in tables.items()})
 
 
+def _all_rules(raw: DataFrame) -> DataFrame:
+    """Every trip with all rules it breaks, as bits and as text."""
+    flagged = V.flag_all_rules(C.clean_trips(raw))
+    return flagged.withColumn("reasons", F.concat_ws(", ", V.reasons_of(F.col("broken_rules"))))
+
+
 def _with_path(raw: DataFrame) -> DataFrame:
     """Raw trips that know only the path of their file (P6 parses it)."""
     path = F.concat(F.lit("store://landing/"), F.col("source_file"), F.lit("/part-00000.parquet"))
@@ -101,6 +108,7 @@ STAGES: dict[str, Callable[[DataFrame], DataFrame]] = {
     ),
     "clean_trips": C.clean_trips,
     "flagged_trips": _flagged,
+    "broken_rules_per_trip": _all_rules,
     "valid_trips": lambda raw: V.valid_trips(_flagged(raw)),
     "rejected_trips": lambda raw: V.rejected_trips(_flagged(raw)),
     "silver_clean": _silver,

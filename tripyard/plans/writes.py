@@ -7,17 +7,19 @@ directory, then returns the read-back result as a DataFrame.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripyard.functions.periods import file_name_from_path
 from tripyard.operators.clean import bronze_layout, clean_trips
+from tripyard.operators.quality import ConstraintViolation, stored_violations, table_name
 from tripyard.operators.validate import flag_trips, silver_layout
 from tripyard.plans.job import RunResult, run_frame
-from tripyard.schema import GOLD_SCHEMAS, TABLE_SCHEMAS
+from tripyard.schema import GOLD_SCHEMAS, PERIOD_COLUMNS, TABLE_SCHEMAS
 from tripyard.session import scratch_dir
-from tripyard.sinks.warehouse import Warehouse, read_staging, staging_schema, write_staging
+from tripyard.sinks.warehouse import Warehouse, in_periods, read_staging, staging_schema, write_staging
 from tripyard.sources.fixtures import fixture_periods, fixture_raw_trips
 from tripyard.sources.raw_files import (
     SPARK_LAYOUT,
@@ -112,6 +114,72 @@ def _loaded_table(key: str):
     return query
 
 
+def failed_reload(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
+    """S9, S11-S13 all or nothing: the whole run, then a run over the same
+    months whose first month has a day with more revenue than its gold column
+    takes. The run fails after silver is written; every table must hold the
+    rows of the first run: (period, metric, value)."""
+    result, wh = _loaded_run(spark, sf_dir, source)
+    raw = fixture_raw_trips(spark, sf_dir, source)
+    periods = fixture_periods(spark, sf_dir, source)
+    start = F.make_timestamp_ntz("reference_year", "reference_month", F.lit(1), F.lit(8), F.lit(0), F.lit(0))
+    usual = {"passenger_count": 1, "trip_distance": 1, "RatecodeID": 1, "PULocationID": 1, "DOLocationID": 1, "fare_amount": 1, "tip_amount": 0}
+    trip = raw.where((F.col("reference_year") == periods[0][0]) & (F.col("reference_month") == periods[0][1])).limit(1).withColumns({
+        **{c: F.lit(v).cast(raw.schema[c].dataType) for c, v in usual.items()}, "total_amount": F.lit(9e7),
+        "tpep_pickup_datetime": start, "tpep_dropoff_datetime": start + F.expr("INTERVAL 10 MINUTES")})
+    many = trip.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(12_000)))).drop("copy")
+    try:
+        run_frame(spark, raw.unionByName(many), periods, wh.root, scratch_dir(spark, "failed"), prefix=wh.prefix, rebalance=True)
+    except ConstraintViolation:
+        pass
+    else:
+        raise AssertionError("a total beyond its column was loaded")
+    counts = [
+        wh.files(key).groupBy(*PERIOD_COLUMNS).agg(F.count(F.lit(1)).cast("double").alias("value"))
+        .select(*PERIOD_COLUMNS, F.lit(f"{key}_rows").alias("metric"), "value")
+        for key in ("silver_clean", "silver_rejected", *GOLD_SCHEMAS)
+    ]
+    wh.drop_tables()
+    return reduce(DataFrame.unionByName, counts)
+
+
+def audit_times(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
+    """The whole run, then a run of the odd months. For each table and
+    period: whether every row has its load time, whether that is the time of
+    the period's other tables, and whether it is later than the first run's."""
+    _, wh = _loaded_run(spark, sf_dir, source)
+    raw = fixture_raw_trips(spark, sf_dir, source).where("reference_month % 2 = 1")
+    odd = [p for p in fixture_periods(spark, sf_dir, source) if p[1] % 2]
+    run_frame(spark, raw, odd, wh.root, scratch_dir(spark, "again"), prefix=wh.prefix, rebalance=True)
+    found = reduce(DataFrame.unionByName, [
+        wh.files(key).groupBy(*PERIOD_COLUMNS).agg(
+            (F.count("loaded_at") == F.count(F.lit(1))).alias("filled"), F.min("loaded_at").alias("first"), F.max("loaded_at").alias("last"))
+        .withColumn("table_name", F.lit(table_name(key)))
+        for key in ("silver_clean", "silver_rejected", *GOLD_SCHEMAS)
+    ]).checkpoint(eager=True)  # periods x tables
+    wh.drop_tables()
+    own = found.where(F.col("table_name") == table_name("silver_clean")).select(*PERIOD_COLUMNS, F.col("first").alias("stamp"))
+    start = found.agg(F.min("first").alias("start"))  # one row
+    return found.join(own, PERIOD_COLUMNS).join(F.broadcast(start)).select(
+        "table_name", *PERIOD_COLUMNS, "filled",
+        ((F.col("first") == F.col("stamp")) & (F.col("last") == F.col("stamp"))).alias("same_run"),
+        (F.col("first") > F.col("start")).alias("reloaded"))
+
+
+def stored_checks(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
+    """C1-C5 on stored tables: the whole run, then March's rows of the gold
+    tables appended once more beside the loader; the checks of all loaded
+    tables over March."""
+    _, wh = _loaded_run(spark, sf_dir, source)
+    march = [p for p in fixture_periods(spark, sf_dir, source) if p[1] == 3]
+    for key in GOLD_SCHEMAS:
+        stored = spark.table(wh.table(key)).where(in_periods(march))
+        stored.checkpoint(eager=True).write.insertInto(wh.table(key))
+    found = stored_violations(wh, march, ["silver_clean", "silver_rejected", *GOLD_SCHEMAS]).checkpoint(eager=True)
+    wh.drop_tables()
+    return found
+
+
 def raw_file_scan(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
     """Raw trips landed as monthly files, scanned back for all months.
     Each month has two groups of parts with different footers: the files of
@@ -153,5 +221,8 @@ WRITE_QUERIES = {
     "raw_file_scan": raw_file_scan,
     "file_inventory": raw_file_inventory,
     "empty_reload": empty_reload,
+    "failed_reload": failed_reload,
+    "audit_times": audit_times,
+    "stored_checks": stored_checks,
     **{f"loaded_{key}": _loaded_table(key) for key in ("silver_rejected", *GOLD_SCHEMAS)},
 }

@@ -57,3 +57,14 @@ def frame(spark, rows, partitions=3):
 
 def found(df):
     return [tuple(r) for r in df.collect()]
+
+
+def mirrored(size):
+    """Two words of ``size`` letters (a power of two): the Thue-Morse word over
+    a and b, and the one with its letters exchanged. Polynomial hashes modulo
+    2^64 give both the same value from 1,024 letters on."""
+    bits = [bin(i).count("1") & 1 for i in range(size)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+LONG_PAIRS = [mirrored(size) for size in (1024, 2048, 4096)]

@@ -2,8 +2,11 @@
 
 A chunk of texts is one byte buffer. Words are maximal runs of bytes that are
 not separators; every separator is ASCII, so UTF-8 bytes can be scanned
-directly. A word's 64-bit hash is a polynomial over random byte codes, taken
-from one prefix sum of the buffer, so the cost does not depend on word counts.
+directly. A word's 64-bit hash is multilinear: the sum of its bytes' random
+codes, each times a random number of its place in the word, taken from one
+prefix sum of the words' bytes, so the cost does not depend on word counts.
+(Powers of one number in place of the random numbers would give words that
+mirror each other in blocks the same hash modulo 2^64, whatever the number.)
 """
 
 from __future__ import annotations
@@ -18,8 +21,6 @@ _MASK = (1 << 64) - 1
 _rng = np.random.default_rng(20240229)
 _CODES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _CODES[65:91] = _CODES[97:123]  # A-Z as a-z
-_R = int(_rng.integers(1, 1 << 62)) * 2 + 1
-_R_INV = pow(_R, -1, 1 << 64)
 _GRAM = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
 #: Bytes that separate words: ASCII white space.
@@ -32,17 +33,7 @@ NON_ALNUM[:128] = True
 for _a, _b in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B)):
     NON_ALNUM[_a:_b] = False
 
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power_tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, _CHUNK_BYTES + 1)
-        for k, r in enumerate((_R, _R_INV)):
-            steps = np.full(size, np.uint64(r), dtype=np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps)
-    return _powers
+PLACES = 1 << 12
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -53,6 +44,16 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_places = mix(np.arange(PLACES, dtype=np.uint64), 77)
+
+
+def _place_numbers(at: np.ndarray) -> np.ndarray:
+    """The random numbers of places in words."""
+    if not len(at) or int(at.max()) < PLACES:
+        return _places[at]
+    return mix(at.astype(np.uint64), 77)
+
+
 def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets of the rows) for runs of rows of about 2 MB;
     a longer text is a chunk of its own. Nulls are empty texts."""
@@ -89,19 +90,20 @@ class Words:
         at = np.flatnonzero(edge)
         if len(cuts):
             at = np.sort(np.concatenate([at, cuts, cuts]))
-        self.data, self.start, self.end = data, at[0::2], at[1::2]
+        self.data, self.start, self.end, self.inside = data, at[0::2], at[1::2], inside[:-1]
         self.first = np.searchsorted(self.start, offsets)
 
     def hashes(self) -> np.ndarray:
         """One 64-bit hash a word, A-Z taken as a-z."""
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        up, down = _power_tables(len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        codes = _CODES[self.data]
-        codes *= up[:len(self.data)]
+        sizes = self.end - self.start
+        cut = np.concatenate([[0], np.cumsum(sizes)])
+        codes = _CODES[self.data[self.inside]]
+        codes *= _place_numbers(np.arange(len(codes)) - np.repeat(cut[:-1], sizes))
+        total = np.zeros(len(codes) + 1, np.uint64)
         np.cumsum(codes, out=total[1:])
-        return mix((total[self.end] - total[self.start]) * down[self.start])
+        return mix(total[cut[1:]] - total[cut[:-1]])
 
 
 def grams(h: np.ndarray, k: int) -> np.ndarray:

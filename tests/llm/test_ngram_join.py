@@ -5,7 +5,7 @@ import pytest
 
 from tripyard.llm import _graph, ngram_join
 
-from .texts import SPACE_WORD, corpus, frame, lower, prose, vocabulary
+from .texts import LONG_PAIRS, SPACE_WORD, corpus, frame, lower, prose, vocabulary
 
 
 def shingles(text, k):
@@ -89,3 +89,38 @@ def test_components_of_random_graphs(spark):
             parent[max(root(a), root(b))] = min(root(a), root(b))
     got = {r["node"]: r["component"] for r in _graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: root(x) for x in parent}
+
+
+def test_long_words_that_mirror_each_other_are_different(spark):
+    rows = [(10 * i + j, f"{word} x y z") for i, pair in enumerate(LONG_PAIRS) for j, word in enumerate(pair)]
+    got = ngram_join.jaccard_components(frame(spark, rows), 3, 9, 10)
+    assert Counter(tuple(r) for r in got.collect()) == brute(rows, 3, 9, 10) and len(brute(rows, 3, 9, 10)) == 6
+
+
+def test_a_large_family_below_the_threshold_makes_few_pairs(spark):
+    """Copies of one text that share most words, but not enough of them: each
+    is similar to hardly any other, though all share prefix tokens."""
+    rng, words = random.Random(8), vocabulary(8)
+    base = prose(rng, words, 110).split()
+    rows = []
+    for i in range(250):
+        own = list(base)
+        for at in rng.sample(range(110), 6):
+            own[at] = f"own{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(0, 250, 10)]
+    join = ngram_join.JaccardJoin(frame(spark, rows), 3, 9, 10)
+    pairs = []
+    verified = join._verified
+    join._verified = lambda p: pairs.append(p.count()) or verified(p)
+    assert Counter(tuple(r) for r in join.components().collect()) == brute(rows, 3, 9, 10)
+    assert sum(pairs) < 4 * len(rows)
+
+
+def test_parity_bits_differ_in_no_more_places_than_the_sets(spark):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        both, a, b = (rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in rng.integers(0, 200, 3))
+        one, two = (ngram_join._parities(np.concatenate([both, own])) for own in (a, b))
+        assert sum(int(x).bit_count() for x in (one ^ two).view(np.uint64)) <= len(a) + len(b)

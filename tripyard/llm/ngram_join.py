@@ -11,7 +11,11 @@ order of tokens. Three orders are used:
    ``RUN`` tokens, summed); the order only needs to be the same everywhere, so
    the table of the ``FREQUENT`` most frequent tokens bounds memory, not results.
    This order makes the candidates: classes that share a prefix token, whose
-   sizes fit and whose positions of it leave room for the needed overlap.
+   sizes fit and whose positions of it leave room for the needed overlap. A
+   candidate pair must also pass a bitmap: each class carries ``MAP_BITS``
+   parity bits of its tokens, and similar sets differ in few of them. Families
+   of texts that share prefix tokens but are not similar end here, inside the
+   join, and are not written as pairs.
 2. and 3. by two other hashes: a candidate pair must share prefix tokens under
    both, too, before its sets are compared, and enough of them: up to the
    smaller of the prefixes' ends both sets are fully known, and each token
@@ -50,6 +54,8 @@ from tripyard.llm._tables import most_frequent, ship, staged, text_column
 
 RUN, LOCAL_LEAST, FREQUENT = 4_000_000, 2, 1 << 20
 ROW_BITS, TOKEN_BITS = 1 << 22, 1 << 24
+MAP_BITS = 256
+MAPS = [f"map{i}" for i in range(MAP_BITS // 64)]
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -73,14 +79,24 @@ def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[np.ndarray, np.ndarra
         yield out()
 
 
-def _digests(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    one, two = (np.add.reduceat(_words.mix(tokens, salt), starts[:-1]) for salt in (101, 102))
-    return _words.mix(one, 103).view(np.int64), _words.mix(two, 104).view(np.int64)
+def _digests(tokens: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The 128-bit digests of the sets, which name their classes."""
+    halves = [_words.mix(np.add.reduceat(_words.mix(tokens, salt), starts[:-1]), salt + 2) for salt in (101, 102)]
+    ends = np.arange(0, 16 * len(starts) - 15, 16, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.stack(halves, axis=1).tobytes())])
+
+
+def _parities(tokens: np.ndarray) -> np.ndarray:
+    """64-bit words of ``MAP_BITS`` bits, each the parity of the tokens that
+    hash to it: two sets' bits differ in at most as many places as the sets
+    have tokens that are not in both."""
+    odd = np.bincount((_words.mix(tokens, 4) % np.uint64(MAP_BITS)).astype(np.int64), minlength=MAP_BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _profiles(k: int):
     """Map function: a row for each text, and counts of its run's tokens."""
-    names = ["doc_id", "n", "d1", "d2", "is_token"]
+    names = ["doc_id", "n", "cls", "token"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -90,21 +106,22 @@ def _profiles(k: int):
             often = n >= LOCAL_LEAST
             m = int(often.sum())
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(m, pa.int64()), pa.array(n[often].astype(np.int64)), pa.array(token[often].view(np.int64)),
-                 pa.array(np.zeros(m, np.int64)), pa.array(np.ones(m, bool))], names)
+                [pa.nulls(m, pa.int64()), pa.array(n[often].astype(np.int64)), pa.nulls(m, pa.binary()),
+                 pa.array(token[often].view(np.int64))], names)
 
         for batch in batches:
-            n, d1, d2 = (np.zeros(len(batch), np.int64) for _ in range(3))
+            n, at, classes = np.zeros(len(batch), np.int64), np.full(len(batch), -1), [pa.nulls(0, pa.binary())]
             for own, tokens, starts in _sets(batch, k):
                 n[own] = np.diff(starts)
-                d1[own], d2[own] = _digests(tokens, starts)
+                at[own] = sum(map(len, classes)) + np.arange(len(own))
+                classes.append(_digests(tokens, starts))
                 held.append(tokens)
                 size += len(tokens)
                 if size > RUN:
                     yield counts()
                     held, size = [], 0
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(d1), pa.array(d2), pa.array(np.zeros(len(batch), bool))], names)
+            cls = pa.concat_arrays(classes).take(pa.array(at, pa.int64(), mask=at < 0))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), cls, pa.nulls(len(batch), pa.int64())], names)
         if held:
             yield counts()
 
@@ -120,17 +137,17 @@ def _prefixes(k: int, num: int, den: int, frequent):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, often = frequent.value
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for batch in batches:
             for _, tokens, starts in _sets(batch, k):
-                d1, _ = _digests(tokens, starts)
+                names = _digests(tokens, starts)
                 key = _words.mix(tokens, 1) >> np.uint64(24)
                 if len(known):
                     at = np.searchsorted(known, tokens)
                     at[at == len(known)] = 0
                     key |= np.where(known[at] == tokens, often[at], 0).astype(np.uint64) << np.uint64(40)
-                classes, sizes, prefixes = [], [], []
-                for i, c in enumerate(d1.tolist()):
+                classes, sizes, prefixes, maps = [], [], [], []
+                for i, c in enumerate(names.to_pylist()):
                     if c in seen:
                         continue
                     seen.add(c)
@@ -139,8 +156,11 @@ def _prefixes(k: int, num: int, den: int, frequent):
                     classes.append(c)
                     sizes.append(hi - lo)
                     prefixes.append(tokens[lo:hi][order[:_prefix_size(hi - lo, num, den)]].view(np.int64))
+                    maps.append(_parities(tokens[lo:hi]))
+                columns = np.array(maps, np.int64).reshape(-1, len(MAPS))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], ["cls", "n", "prefix"])
+                    [pa.array(classes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())),
+                     *(pa.array(columns[:, i].copy()) for i in range(len(MAPS)))], ["cls", "n", "prefix", *MAPS])
 
     return rows
 
@@ -152,7 +172,7 @@ def _other_prefixes(k: int, num: int, den: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, tokens, starts in _sets(batch, k):
-                d1, _ = _digests(tokens, starts)
+                names = _digests(tokens, starts)
                 orders = [_words.mix(tokens, salt) for salt in (2, 3)]
                 firsts: list[list] = [[], []]
                 for lo, hi in zip(starts[:-1], starts[1:], strict=True):
@@ -161,7 +181,7 @@ def _other_prefixes(k: int, num: int, den: int):
                         chosen = np.partition(order[lo:hi], most - 1)[:most]
                         kept.append((chosen ^ np.uint64(1 << 63)).view(np.int64))
                 lists = [pa.array(x, pa.list_(pa.int64())) for x in firsts]
-                yield pa.RecordBatch.from_arrays([pa.array(d1), pa.array(np.diff(starts), pa.int32()), *lists], ["cls", "n", "second", "third"])
+                yield pa.RecordBatch.from_arrays([names, pa.array(np.diff(starts), pa.int32()), *lists], ["cls", "n", "second", "third"])
 
     return rows
 
@@ -172,9 +192,8 @@ def _whole_sets(k: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, tokens, starts in _sets(batch, k):
-                d1, _ = _digests(tokens, starts)
                 lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(tokens.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(d1), pa.array(np.diff(starts), pa.int32()), lists], ["cls", "n", "tokens"])
+                yield pa.RecordBatch.from_arrays([_digests(tokens, starts), pa.array(np.diff(starts), pa.int32()), lists], ["cls", "n", "tokens"])
 
     return rows
 
@@ -202,9 +221,9 @@ class JaccardJoin:
         self.spark = docs.sparkSession
         ship(self.spark)
         self.source = docs.select(docs[id_col].cast("long").alias("doc_id"), text_column(docs, text_col).alias("text"))
-        found = staged(self.source.mapInArrow(_profiles(k), "doc_id long, n long, d1 long, d2 long, is_token boolean"), "join-profiles")
-        self.profiles = found.where("NOT is_token").drop("is_token")
-        self.counts = found.where("is_token").select(F.col("d1").alias("token"), "n")
+        found = staged(self.source.mapInArrow(_profiles(k), "doc_id long, n long, cls binary, token long"), "join-profiles")
+        self.profiles = found.where("token IS NULL").drop("token")
+        self.counts = found.where("token IS NOT NULL").select("token", "n")
 
     def _needed(self, n1, n2):
         """Least overlap of sets of these sizes."""
@@ -214,8 +233,14 @@ class JaccardJoin:
         small, large = F.least(n1, n2), F.greatest(n1, n2)
         return (self.den * small >= self.num * large) & (F.least(n1 - p1, n2 - p2) >= self._needed(n1, n2))
 
+    def _near(self, n1, maps1, n2, maps2):
+        """Whether the sets can be similar: their parity bits differ in no more
+        places than similar sets have tokens that are not in both."""
+        differ = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip(maps1, maps2, strict=True)), F.lit(0))
+        return differ <= n1 + n2 - 2 * self._needed(n1, n2)
+
     def _lists(self) -> DataFrame:
-        """(token, cls, n, pos, hub, ...) of tokens in more than one prefix."""
+        """(token, cls, n, pos, bits, hub, ...) of tokens in more than one prefix."""
         counted = staged(self.counts.groupBy("token").agg(F.sum("n").alias("c")).where("c >= 4"), "join-counts")
         top = most_frequent(counted, "c", FREQUENT).toArrow()
         tokens = top.column("token").to_numpy().view(np.uint64)
@@ -223,19 +248,20 @@ class JaccardJoin:
         order = np.argsort(tokens)
         frequent = self.spark.sparkContext.broadcast((tokens[order], often[order]))
         prefixes = self.source.select("text").mapInArrow(
-            _prefixes(self.k, self.num, self.den, frequent), "cls long, n int, prefix array<long>")
+            _prefixes(self.k, self.num, self.den, frequent),
+            "cls binary, n int, prefix array<long>, " + ", ".join(f"{m} long" for m in MAPS))
         once = staged(prefixes.dropDuplicates(["cls"]), "join-prefixes")
         twice = once.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token")
-        posted = once.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
+        posted = once.select("cls", "n", *MAPS, F.posexplode("prefix").alias("pos", "token"))
         posted = staged(_maybe_in(posted, "token", twice, TOKEN_BITS), "join-postings")
-        key = F.col("pos") * F.lit(1 << 32) + F.pmod("cls", F.lit(1 << 32))
-        shared = posted.groupBy("token").agg(
-            F.count(F.lit(1)).alias("members"), F.min("n").alias("least"), F.min(key).alias("hub_key"),
-            F.min_by("cls", key).alias("hub"), F.min_by("n", key).alias("hub_n")).where("members > 1")
-        shared = shared.withColumn("hub_pos", F.shiftright("hub_key", 32).cast("int")).drop("hub_key", "members")
+        hub = F.min(F.struct("pos", F.xxhash64("cls").alias("h"), "cls", "n", *MAPS)).alias("h")
+        shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("least"), hub).where("members > 1")
         n, p = F.col("n"), F.col("pos")
         smallest = F.greatest("least", F.ceil(self.num * n / self.den))
-        return staged(posted.join(shared, "token").where(n - p >= self._needed(n, smallest)), "join-lists")
+        near = self._near(n, [F.col(m) for m in MAPS], F.col("h.n"), [F.col(f"h.{m}") for m in MAPS])
+        return staged(posted.join(shared, "token").where(n - p >= self._needed(n, smallest)).select(
+            "token", "cls", "n", "pos", *MAPS, F.col("h.cls").alias("hub"), F.col("h.n").alias("hub_n"),
+            F.col("h.pos").alias("hub_pos"), near.alias("hub_near")), "join-lists")
 
     def _possible(self, order: str):
         """Whether the prefixes under an order leave room for the overlap."""
@@ -250,7 +276,7 @@ class JaccardJoin:
         """A row for each class of ``pairs`` (and for a few others), from the
         text with the smallest id."""
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        ids = self.profiles.where("n > 0").groupBy(F.col("d1").alias("cls")).agg(F.min("doc_id").alias("doc_id")).join(wanted, "cls", "left_semi")
+        ids = self.profiles.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(wanted, "cls", "left_semi")
         texts = _maybe_in(self.source, "doc_id", ids.select("doc_id"), ROW_BITS)
         return staged(texts.select("text").mapInArrow(function, schema).dropDuplicates(["cls"]), name)
 
@@ -258,12 +284,12 @@ class JaccardJoin:
         """The pairs (a, b) that share prefix tokens under the other
         orders, too, and whose sets are similar: (a, b)."""
         pairs = staged(pairs, "join-pairs")
-        orders = self._reshingled(pairs, _other_prefixes(self.k, self.num, self.den), "cls long, n int, second array<long>, third array<long>", "join-orders")
+        orders = self._reshingled(pairs, _other_prefixes(self.k, self.num, self.den), "cls binary, n int, second array<long>, third array<long>", "join-orders")
         of = lambda c, t: t.select(*[F.col(x).alias(f"{c}_{x}" if x != "cls" else c) for x in t.columns])
         filtered = pairs.join(of("a", orders), "a").join(of("b", orders), "b").where(
             self._possible("second") & self._possible("third")).select("a", "b")
         filtered = staged(filtered, "join-filtered")
-        sets = self._reshingled(filtered, _whole_sets(self.k), "cls long, n int, tokens array<long>", "join-sets")
+        sets = self._reshingled(filtered, _whole_sets(self.k), "cls binary, n int, tokens array<long>", "join-sets")
         compared = filtered.join(of("a", sets), "a").join(of("b", sets), "b")
         overlap = F.size(F.array_intersect("a_tokens", "b_tokens"))
         return staged(compared.where(overlap >= self._needed(F.col("a_n"), F.col("b_n"))).select("a", "b"), "join-verified")
@@ -273,7 +299,7 @@ class JaccardJoin:
         component."""
         lists = self._lists()
         fits_hub = self._fits(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos"))
-        best = lists.where((F.col("cls") != F.col("hub")) & fits_hub).groupBy("cls", "hub").agg(
+        best = lists.where((F.col("cls") != F.col("hub")) & fits_hub & F.col("hub_near")).groupBy("cls", "hub").agg(
             F.count(F.lit(1)).alias("times")).groupBy("cls").agg(F.max_by("hub", F.struct("times", "hub")).alias("hub"))
         first = self._verified(best.select(F.col("cls").alias("a"), F.col("hub").alias("b")))
         merged = components(first)
@@ -281,22 +307,23 @@ class JaccardJoin:
         placed = lists.join(of("cls"), "cls", "left").join(of("hub"), "hub", "left").withColumns({
             "cls_component": F.coalesce("cls_component", "cls"), "hub_component": F.coalesce("hub_component", "hub")})
         placed = staged(placed.withColumn("outside", F.col("cls_component") != F.col("hub_component")).select(
-            "token", "cls", "n", "pos", F.col("cls_component").alias("component"), "outside"), "join-placed")
-        others = placed.where("outside").select("token", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "pos", "component")])
+            "token", "cls", "n", "pos", *MAPS, F.col("cls_component").alias("component"), "outside"), "join-placed")
+        others = placed.where("outside").select("token", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "pos", *MAPS, "component")])
         crossing = others.join(placed, "token").where(
             (F.col("component") != F.col("o_component")) & (~F.col("outside") | (F.col("o_cls") < F.col("cls")))
-            & self._fits(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos")))
+            & self._fits(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos"))
+            & self._near(F.col("n"), [F.col(m) for m in MAPS], F.col("o_n"), [F.col(f"o_{m}") for m in MAPS]))
         pairs = crossing.select(F.least("cls", "o_cls").alias("a"), F.greatest("cls", "o_cls").alias("b")).distinct()
         return first.unionByName(self._verified(pairs))
 
     def components(self) -> DataFrame:
         """doc_id, n_shingles, component_id for every row."""
-        merged = components(self.links()).select(F.col("node").alias("d1"), "component")
-        classes = self.profiles.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
-        labelled = staged(classes.join(merged, "d1", "left").withColumn("component", F.coalesce("component", "d1")), "join-classes")
+        merged = components(self.links()).select(F.col("node").alias("cls"), "component")
+        classes = self.profiles.where("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+        labelled = staged(classes.join(merged, "cls", "left").withColumn("component", F.coalesce("component", "cls")), "join-classes")
         smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-        known = labelled.join(smallest, "component").select("d1", "d2", "n", "component_id")
-        return self.profiles.join(known, ["d1", "d2", "n"], "left").select(
+        known = labelled.join(smallest, "component").select("cls", "n", "component_id")
+        return self.profiles.join(known, ["cls", "n"], "left").select(
             "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 

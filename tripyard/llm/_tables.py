@@ -45,6 +45,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def ids_repeat(df: DataFrame, id_col: str) -> bool:
+    """Whether an id is null or held by more than one row."""
+    return not df.groupBy(id_col).count().where(f"count > 1 OR `{id_col}` IS NULL").isEmpty()
+
+
 def text_column(df: DataFrame, name: str):
     """A text column with null as the empty text."""
     return F.coalesce(df[name].cast("string"), F.lit(""))

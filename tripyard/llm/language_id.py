@@ -27,10 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tripyard.llm import _words
-from tripyard.llm._tables import fold_of, ship, staged, text_column
+from tripyard.llm._tables import fold_of, free_name, ship, staged, text_column
 
 UNKNOWN = "und"
 WINDOW, WIDTHS, FILTERS = 192, (2, 3, 4), 8
@@ -157,10 +156,14 @@ def _laid_out(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def training_windows(labelled: DataFrame) -> DataFrame:
     """(lang, window binary) from the sample of ``labelled`` (key, lang, text)."""
-    languages = max(1, labelled.select("lang").distinct().count())
+    counts = staged(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("held")), "lang-counts")
+    each = max(10, SAMPLE_DOCS // max(1, counts.count()))
     order = Window.partitionBy("lang").orderBy("key", "h")
     hashed = labelled.withColumn("h", F.xxhash64("text"))
-    first = hashed.select("lang", "key", "h").withColumn("n", F.row_number().over(order)).where(F.col("n") <= max(10, SAMPLE_DOCS // languages))
+    # keys are spread evenly: about twice the rows wanted lie below this one, and only those are ranked
+    below = F.least(F.lit(1.0), F.lit(2.0 * each + 200) / F.col("held")) * 2.0**64 - 2.0**63
+    low = hashed.select("lang", "key", "h").join(F.broadcast(counts), "lang").where(F.col("key").cast("double") <= below)
+    first = low.select("lang", "key", "h").withColumn("n", F.row_number().over(order)).where(F.col("n") <= each)
     # keys alone are ranked; the texts of the few chosen ones are read after that
     sample = hashed.join(F.broadcast(first.drop("n").distinct()), ["lang", "key", "h"], "left_semi").dropDuplicates(["lang", "key", "h"])
 
@@ -194,21 +197,22 @@ def train(labelled: DataFrame) -> ByteNet | None:
 
 
 def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text", out=("lang_pred", "score")) -> DataFrame:
-    """``docs`` with the columns ``out`` (language, score); all others are kept."""
+    """``docs`` with the columns ``out`` (language, score) in place of any of
+    these names; all others are kept. Only texts go to Python."""
     spark = docs.sparkSession
     ship(spark)
+    clean = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c not in out])
     if net is None:
-        return docs.withColumns({out[0]: F.lit(UNKNOWN), out[1]: F.lit(0.0)})
+        return clean.withColumns({out[0]: F.lit(UNKNOWN), out[1]: F.lit(0.0)})
     shared = spark.sparkContext.broadcast(net)
-    clean = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in out])
-    text = clean.schema.names.index(text_col)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<lang: string, score: double>")
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
-        tables, names = own.pairs(), np.array([*own.languages, UNKNOWN], dtype=object)
-        for batch in batches:
-            best, score = np.empty(len(batch), np.int64), np.empty(len(batch))
-            for first, data, offsets in _words.chunks(batch.column(text)):
+        tables, names = own.pairs(), np.array(own.languages, dtype=object)
+        for texts in batches:
+            best, score = np.empty(len(texts), np.int64), np.empty(len(texts))
+            for first, data, offsets in _words.chunks(texts):
                 flat, at = _laid_out(data, offsets)
                 part = window_probabilities(own, tables, flat, at)
                 left = np.repeat(np.diff(offsets), np.diff(at)) - (np.arange(at[-1]) - np.repeat(at[:-1], np.diff(at))) * WINDOW
@@ -216,14 +220,16 @@ def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text", out=("
                 mean = np.add.reduceat(part * weight, at[:-1]) / np.maximum(np.add.reduceat(weight, at[:-1]), 1)
                 best[first:first + len(mean)] = mean.argmax(axis=1)
                 score[first:first + len(mean)] = np.clip(mean.max(axis=1), 0, 1)
-            none = ~batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
-            best[none], score[none] = len(own.languages), 0.0
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names[best].tolist(), pa.string()), pa.array(score)],
-                                             [*batch.schema.names[:-1], *out])
-
-    has_letter = F.coalesce(clean[text_col].rlike(r"\p{L}"), F.lit(False)).alias("_has_letter")
-    schema = StructType([*clean.schema.fields, StructField(out[0], StringType()), StructField(out[1], DoubleType())])
-    return clean.select(*[F.col(f"`{c}`") for c in clean.columns], has_letter).mapInArrow(rows, schema)
+            yield pa.StructArray.from_arrays([pa.array(names[best].tolist(), pa.string()), pa.array(score)], ["lang", "score"])
+
+    # not to be evaluated a second time where a filter on its result is pushed down
+    text, judged = clean[f"`{text_col}`"].cast("string"), judged.asNondeterministic()
+    has_letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    held = free_name(clean, "judged")
+    found = clean.withColumn(held, judged(text))
+    return found.withColumns({
+        out[0]: F.when(has_letter, F.col(f"{held}.lang")).otherwise(F.lit(UNKNOWN)),
+        out[1]: F.when(has_letter, F.col(f"{held}.score")).otherwise(F.lit(0.0))}).drop(held)
 
 
 def labelled_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -34,8 +34,7 @@ def test_words_give_the_ids_of_whole_texts():
 
 
 def test_eviction_changes_nothing(monkeypatch):
-    monkeypatch.setattr(packing, "CACHE_WORDS", 20)
-    monkeypatch.setattr(packing, "CACHE_STEMS", 10)
+    monkeypatch.setattr(packing, "CACHE_BYTES", 4000)
     coder = packing.WordIds(public_tokenizers.path(packing.VOCABULARY))
     for _, text in corpus(2, 20):
         assert coder.text((text or "").encode()) == ids_of(text)[:-1].tobytes()

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tripyard.llm._tables import ship, staged, text_column
 
 CAPACITY, END_ID, VOCABULARY = 2048, 0, "word_bpe_49k.json"
-SHARD_PIECES, CACHE_WORDS, CACHE_STEMS = 20_000, 800_000, 500_000
+SHARD_PIECES, CACHE_BYTES, ENTRY_BYTES = 20_000, 48 << 20, 200
 
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -47,8 +47,8 @@ class WordIds(dict):
     A new word is taken apart where the tokenizer's pattern does so anyway (a
     run of punctuation behind a letter or digit). Stems of Latin letters alone
     are lower-cased here and go straight to the merges; all others are encoded
-    whole. Words are kept up to CACHE_WORDS, stems up to twice CACHE_STEMS (the
-    older half goes first).
+    whole. Words and stems are kept up to CACHE_BYTES each (of stems the older
+    half goes first), and until their task ends.
     """
 
     def __init__(self, path: str):
@@ -59,6 +59,12 @@ class WordIds(dict):
         self.encode, self.model = tokenizer.encode, tokenizer.model
         self.stems: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.held = self.held_stems = 0
+
+    def forget(self) -> None:
+        self.clear()
+        self.stems, self.older = {}, {}
+        self.held = self.held_stems = 0
 
     def __missing__(self, word: bytes) -> bytes:
         core = word.rstrip(TAIL)
@@ -66,6 +72,7 @@ class WordIds(dict):
             found = self.stem(core) + self.stem(word[len(core):])
         else:
             found = self.stem(word)
+        self.held += ENTRY_BYTES + len(word) + len(found)
         self[word] = found
         return found
 
@@ -77,14 +84,17 @@ class WordIds(dict):
                 latin = _latin(word)
                 ids = [t.id for t in self.model.tokenize(latin)] if latin else self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
                 found = struct.pack(f"<{len(ids)}I", *ids)
+            self.held_stems += ENTRY_BYTES + len(word) + len(found)
             self.stems[word] = found
         return found
 
     def text(self, text: bytes) -> bytes:
-        if len(self) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self.clear()
-        if len(self.stems) > CACHE_STEMS:
+            self.held = 0
+        if self.held_stems > CACHE_BYTES // 2:
             self.older, self.stems = self.stems, {}
+            self.held_stems = 0
         return b"".join(map(self.__getitem__, text.split()))
 
 
@@ -161,6 +171,7 @@ def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", v
                     columns.append(pa.array(kept, pa.binary()))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
+        coder.forget()  # the worker process goes on to other work
 
     source = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").alias("doc_id"),
                          text_column(docs, text_col).alias("text"))

@@ -3,7 +3,7 @@ from collections import Counter
 
 from tripyard.llm import decontamination as dc
 
-from .texts import ALNUM_WORD, corpus, frame, lower, prose, vocabulary
+from .texts import ALNUM_WORD, LONG_PAIRS, corpus, frame, lower, prose, vocabulary
 
 
 def words(text):
@@ -72,3 +72,10 @@ def test_proximity(spark):
     index = dc.PositionalIndex(dc.indexed(docs, queries.selectExpr("explode(terms) AS term", "1 AS need")))
     found = index.proximity(queries, 5).join(index.documents, "row")
     assert {r["doc_id"]: r["starts"] for r in found.collect()} == {1: [0], 2: [0], 5: [0, 1, 2]}
+
+
+def test_long_words_that_mirror_each_other_are_different(spark):
+    items = [(i, pair[0]) for i, pair in enumerate(LONG_PAIRS)]
+    rows = [(10 * i + j, f"see {word} there") for i, pair in enumerate(LONG_PAIRS) for j, word in enumerate(pair)]
+    found = dc.contamination(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert as_found(found) == brute(rows, items) and sum(n for (_, _, hit, _), n in brute(rows, items).items() if hit) == 3

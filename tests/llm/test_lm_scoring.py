@@ -7,7 +7,7 @@ import pytest
 
 from tripyard.llm import lm_scoring as lm
 
-from .texts import SPACE_WORD, corpus, frame, lower
+from .texts import LONG_PAIRS, SPACE_WORD, corpus, frame, lower
 
 
 def tokens(text):
@@ -86,3 +86,11 @@ def test_probabilities_are_a_distribution():
 
 def test_empty_table(spark):
     assert lm.scores(frame(spark, [])).collect() == []
+
+
+def test_long_words_that_mirror_each_other_are_different(spark):
+    training, held = (next(i for i in range(1000) if (zlib.crc32(str(i).encode()) % 10 == 0) == own) for own in (False, True))
+    rows = [(training, " ".join(pair[0] for pair in LONG_PAIRS) + " x"), (held, " ".join(pair[1] for pair in LONG_PAIRS) + " x")]
+    got = lm.scores(frame(spark, rows)).collect()
+    same(got, brute(rows))
+    assert {r["doc_id"]: r["n_known"] for r in got} == {training: 5, held: 2}

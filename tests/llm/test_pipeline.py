@@ -79,3 +79,34 @@ def test_letterless_texts_go_without_any_labelled_row(spark):
     docs = frame(spark, [(1, "words"), (2, "1 2 3 !"), (3, None), (4, ""), (5, "\u00e9")])
     out = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, "")
     assert sorted(rows_of(out)) == [(1, "words"), (5, "\u00e9")] and out.columns == docs.columns
+
+
+def test_the_first_stage_keeps_what_its_network_tells_from_a_guess(spark, tables, monkeypatch):
+    import numpy as np
+    from tripyard.llm import language_id
+
+    rows = [(i, "the cat sat on the mat and " * 3) for i in range(6)] + [(10 + i, "el gato come en la casa de ") for i in range(6)]
+    data = [(i, t, "en" if i < 6 else "es", None, 0, *EXTRA) for i, t in rows]
+    docs = spark.createDataFrame(data, SCHEMA)
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    assert sorted(rows_of(stage(spark, docs, tables[0]))) == sorted(rows)
+    net = language_id.ByteNet.fresh(["en", "es"])
+    for p in net.parameters():
+        p[:] = 0  # every language the same
+    monkeypatch.setattr(language_id, "train", lambda labelled: net)
+    assert rows_of(stage(spark, docs, tables[0])) == []
+    net.last[:] = np.array([3.0, 0.0])
+    assert len(rows_of(stage(spark, docs, tables[0]))) == 12
+
+
+def test_columns_named_like_internal_ones_survive_every_stage(spark, tables):
+    folder, _ = tables
+    names = ["row_key", "_row_key", "judged", "judged_lang", "judged_score", "_lang_pred", "_sha", "_sha_own", "_id", "_cp",
+             "own_sha", "own_size", "own_row", "kept_id", "kept_sha", "cls", "h", "first"]
+    docs = spark.createDataFrame([(1, "one two three four five six seven", "en", *names), (2, "uno dos tres cuatro", "es", *names)],
+                                 "doc_id long, text string, lang string, " + ", ".join(f"`{n}` string" for n in names))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        got = docs.collect()
+        assert docs.columns == ["doc_id", "text", "lang", *names]
+        assert sorted(r.doc_id for r in got) == [1, 2] and all([r[n] for n in names] == names for r in got)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripyard.llm._tables import staged, text_column
+from tripyard.llm._tables import free_name, ids_repeat, staged, text_column
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 #: Most frequent digests looked at, and counters of the summary: a digest with
@@ -82,19 +82,17 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     same text) is reduced to the one with the most code points.
     """
     found = exact_groups(docs, id_col, text_col)
-    keys = found.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    own, size, row = (free_name(docs, c) for c in ("own_sha", "own_size", "own_row"))
     sha = F.sha2(F.translate(text_column(docs, text_col), WHITE_SPACE, "").cast("binary"), 256)
-    joined = docs.withColumn("_sha_own", sha).withColumn("_cp", F.length(text_column(docs, text_col)))
-    kept = joined.join(keys, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_sha_own") == F.col("_sha")), "left_semi")
+    joined = docs.withColumns({own: sha, size: F.length(text_column(docs, text_col))})
+    keys = found.where("kept").select(F.col("doc_id").alias(free_name(joined, "kept_id")), F.col("text_sha256").alias(free_name(joined, "kept_sha"))).distinct()
+    same = [F.col(f"`{x}`").eqNullSafe(F.col(f"`{y}`")) for x, y in zip((id_col, own), keys.columns, strict=True)]
+    kept = joined.join(keys, same[0] & same[1], "left_semi")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    if not _ids_repeat(docs, id_col):
+    if not ids_repeat(docs, id_col):
         return kept.select(*columns)
-    longest = F.max_by(F.struct(*columns), F.col("_cp")).alias("_row")
-    return kept.groupBy(id_col, "_sha_own").agg(longest).select("_row.*")
-
-
-def _ids_repeat(docs: DataFrame, id_col: str) -> bool:
-    return not docs.groupBy(id_col).count().where("count > 1").isEmpty()
+    longest = F.max_by(F.struct(*columns), F.col(size)).alias(row)
+    return kept.groupBy(id_col, own).agg(longest).select(f"{row}.*")
 
 
 def oracle_sql() -> str:

@@ -197,6 +197,12 @@ def test_scratch_data_goes_to_shared_storage_only():
     assert scratch_dir(FakeSession(spark_sql_warehouse_dir="store://w/"), "x").startswith("store://w/_scratch/")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(FakeSession(), "x")
+    on_a_machine = FakeSession(spark_sql_warehouse_dir="file:/home/me/warehouse")
+    on_a_machine.master = "local[4]"
+    assert scratch_dir(on_a_machine, "x").startswith("file:/home/me/warehouse/_scratch/")
+    on_a_machine.folder, on_a_machine.master = None, "yarn"
+    with pytest.raises(ValueError, match="of this machine"):
+        scratch_dir(on_a_machine, "x")
 
 
 def test_queries_leave_nothing_in_the_catalog(spark):

@@ -4,8 +4,8 @@ On a cluster the session is given; nothing here changes its settings. The
 only folder the engine writes to on its own is under the shared checkpoint
 directory the cluster names (``spark.checkpoint.dir``). Where that setting is
 absent, the session's own table storage (``spark.sql.warehouse.dir``) holds
-it: both are storage that the driver and every executor reach. No temporary
-folder of a machine is used.
+it, unless that is a folder of the machine and the session is not local: then
+it is an error. No temporary folder of a machine is used.
 """
 
 from __future__ import annotations
@@ -27,6 +27,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
         if not warehouse:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not getattr(sc, "master", "local").startswith("local") and warehouse.startswith(("file:", "/")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share; "
+                             f"{warehouse} is a folder of this machine")
         configured = f"{warehouse.rstrip('/')}/_scratch"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -50,10 +53,8 @@ def local_session(cores: int | str = 8, app: str = "tripyard") -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        # The cleaning and rule chain fuse into one whole-stage-codegen method
-        # larger than HotSpot's 8 KB JIT limit; without this flag it runs
-        # interpreted (about 3x slower). Clusters set the same flag in
-        # spark.executor.extraJavaOptions.
+        # Cleaning and rules stay below HotSpot's limit for compiled methods
+        # (tests/test_plans.py); plans that fuse more need not.
         .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )

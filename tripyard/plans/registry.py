@@ -64,11 +64,10 @@ def _broken(key: str, rows: DataFrame) -> DataFrame:
     def row(changed: dict):
         return F.struct(*[changed.get(n, F.col(n)).alias(n) for n in plain.columns])
 
-    copy = F.when(F.col("reference_month") == 3, row({}))
-    for number, changed in ((1, required), (2, numerics), (4, texts), (5, hours)):
-        if changed:
-            copy = copy.when(F.col("reference_month") == number, row(changed))
-    both = F.filter(F.array(row({}), copy), lambda r: r.isNotNull())
+    months = {3: {}, **{n: c for n, c in ((1, required), (2, numerics), (4, texts), (5, hours)) if c}}
+    both = F.array(row({}))
+    for number, changed in months.items():
+        both = F.when(F.col("reference_month") == number, F.array(row({}), row(changed))).otherwise(both)
     return plain.select(F.inline(both))
 
 

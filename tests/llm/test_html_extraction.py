@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 import numpy as np
@@ -176,3 +177,36 @@ def test_other_templates_and_odd_rows(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert hx.extract(empty).collect() == []
+
+
+@pytest.mark.parametrize("html, blocks", [
+    ("<div>x" * 60_000, 60_000), ("<a " * 100_000, 1), ("<a " * 100_000 + '"x>', 1), ('<a "' * 100_000, 1), ("<a" * 100_000 + ' ">', 1),
+    ("<div>" * 60_000 + "</b>" * 60_000, 0), ("<span>" * 60_000 + "<p>x" * 60_000, 60_000), ("</ " * 100_000, 1),
+    ("<svg>" + "<![CDATA[ >" * 60_000, 0), ("<template>" + "<template " * 60_000, 1), ("<b><li>x" * 60_000, 60_000),
+    ("<form>x" * 60_000 + "<article>y" * 60_000, 120_000)])
+def test_nested_and_unclosed_tags_take_linear_time(html, blocks):
+    begun = time.process_time()
+    found = hx.linked_blocks(html)
+    table = np.ones((hx.PATH_BUCKETS, hx.VECTOR), np.float32)
+    s = hx.Sequences.of([found], hx.Buckets(hx.PATH_BUCKETS), table) if found else None
+    assert time.process_time() - begun < 20  # quadratic work would take minutes
+    assert len(found) == blocks
+    assert s is None or np.allclose(s.path_mean, 1)
+
+
+@pytest.mark.parametrize("html", [
+    "<form>a<main class=x>b<form>c<article id=form>d<article class='form nav'>e", "x<p>y<div class='code nav'>z<span id=ad>w",
+    "<article class=nav>a<pre class=menu>b<i class=ad>c</pre><section role='site-footer menus'>d<form>e<main>f<article>g"])
+def test_linked_paths_have_the_mean_vector_of_their_names(html):
+    paths = hx.Buckets(hx.PATH_BUCKETS)
+    table = np.random.default_rng(1).normal(size=(hx.PATH_BUCKETS, hx.VECTOR)).astype(np.float32)
+    found = hx.linked_blocks(html)
+    linked = hx.Sequences.of([found], paths, table).path_mean
+    plain = [table[[paths[n] for n in hx.path_names(names) or ("",)]].mean(axis=0) for _, names, _ in hx.blocks_of(html)]
+    assert np.allclose(linked, plain, atol=1e-5)
+
+
+def test_a_tag_that_never_ends_is_text():
+    assert texts('<p>a <b title="x>c</p>') == ['a <b title="x>c']
+    assert texts("<p>a</p><p class=x") == ["a", "<p class=x"]
+    assert texts("<p>1 < 2 <3 </p>") == ["1 < 2 <3"]

@@ -13,7 +13,8 @@ other names for the article's element, so that templates which the sample
 lacks are learned too.
 
 Defined results: null or empty html gives an empty text with 0 characters;
-markup that never closes is closed by the end of the page; an unknown reference
+markup that never closes is closed by the end of the page, a tag without its end or
+with a quote that never closes is text; an unknown reference
 stays as it is; scripts, styles, titles, form texts, closed templates and the
 content of ``noscript`` and frames are no text of the page, while ``svg``, ``math``
 and ``object`` are read like other markup and ``xmp`` as it stands; repeated rows are extracted each on its own; an empty table
@@ -27,6 +28,8 @@ from __future__ import annotations
 import html as html_lib
 import re
 import zlib
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -62,6 +65,7 @@ BREAKS_OUT = (BLOCK_TAGS - {"title"}) | frozenset("b big br code em embed i img
 #: A start tag ends an open element of these (no nesting without a container).
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
              "th": ("td", "th"), "option": ("option",), "optgroup": ("option", "optgroup")}
+CLOSABLE = frozenset(("p", *(t for tags in CLOSED_BY.values() for t in tags)))
 CONTAINERS = frozenset("ul ol menu dl table select body html article section div".split())
 
 #: Names on a path whose blocks are not the article.
@@ -78,62 +82,200 @@ STATES = frozenset("no not non has have with without is hide hidden toggle".spli
 BOXES = frozenset("area bar block bottom box container group holder inner item items left link links list outer panel right section slot top "
                   "unit wrap wrapper".split())
 
-_MARKUP = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>|<[!?/][^>]*>", re.S)
+_COMMENT = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))", re.S)
+_ATTRIBUTES = re.compile(r"(?:[^\"'>]+|\"[^\"]*\"|'[^']*')*+>")
+_NAME_END, _DELIMITER = re.compile(r"[\s/>]"), re.compile(r"[\"'>]")
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[a-z]+|[0-9]+")
 _TEMPLATE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>]).*?(?:</\1(?=[\s/>])|\Z)|<(/?)template(?=[\s/>])[^>]*>", re.S | re.I)
 
 
+class Path:
+    """An open element with a link to the one around it, so that deep pages share
+    their paths. ``near``: places in the stack of the outermost open elements that
+    no container shields. ``adds``, ``forms``: what it adds to ``path_names``, and
+    how often "form" is among them; ``fresh``: names around it do not count;
+    ``unformed``: the "form" entries around it that it takes away."""
+
+    __slots__ = ("parent", "tag", "own", "foreign", "inline", "near", "adds", "fresh", "unformed", "forms", "in_article", "code", "total")
+
+    def __init__(self, parent: Path | None, tag: str, own: tuple[str, ...], foreign: bool, inline: bool, place: int):
+        self.parent, self.tag, self.own, self.foreign, self.inline = parent, tag, own, foreign, inline
+        around = parent.near if parent else {}
+        self.near = {} if tag in CONTAINERS else {**around, tag: place} if tag in CLOSABLE and tag not in around else around
+        self.total: tuple[np.ndarray, int] | None = None
+        self.fresh = parent is None or tag == "main"
+        forms, code = (0, False) if self.fresh else (parent.forms, parent.code)
+        self.in_article = parent is not None and parent.in_article
+        self.unformed, told = 0, tag not in UNNAMED
+        if tag == "article" and not self.in_article:
+            self.unformed, forms, self.in_article, told = forms, 0, True, False
+        self.adds = [tag]
+        code = code or tag in CODE
+        for name in own[1:]:
+            if name[:1] == "=" and told and not code:
+                self.adds += [x for n in map(_meaning, name[1:].split()) if n for x in (f"={n}", n)]
+                code = not CODE.isdisjoint(self.adds)
+        self.forms, self.code = forms + self.adds.count("form"), code
+
+    def names(self) -> tuple[str, ...]:
+        """Tags, classes, ids and roles from the outermost element on."""
+        chain, node = [], self
+        while node is not None:
+            chain.append(node.own)
+            node = node.parent
+        return tuple(n for own in reversed(chain) for n in own)
+
+    def vector(self, table: np.ndarray, paths: Buckets) -> np.ndarray:
+        """Mean of the vectors of ``path_names``, each element's sum kept for those inside it."""
+        chain, node = [], self
+        while node is not None and node.total is None:
+            chain.append(node)
+            node = None if node.fresh else node.parent
+        for node in reversed(chain):
+            total, n = (0.0, 0) if node.fresh else node.parent.total
+            if node.unformed:
+                total, n = total - node.unformed * table[paths["form"]].astype(np.float64), n - node.unformed
+            index = [paths[x] for x in node.adds]
+            node.total = total + table[index].sum(axis=0, dtype=np.float64), n + len(index)
+        total, n = self.total
+        return total / n
+
+
+class _Tags:
+    """Ends of tags, each in time that adds up to the length of the page: where
+    a quote or tag that never ends was met, no later tag runs through it again."""
+
+    def __init__(self, html: str):
+        self.html, self.last = html, html.rfind(">")
+        self.delimiters: list[int] | None = None
+        self.dead: set[int] = set()  # delimiters after which no tag ends
+        self.name_end = -1
+
+    def _end(self, at: int) -> int:
+        """Place after the ``>`` that ends attributes begun at ``at``, or -1."""
+        if self.delimiters is None:
+            m = _ATTRIBUTES.match(self.html, at)
+            if m:
+                return m.end()
+            self.delimiters = [m.start() for m in _DELIMITER.finditer(self.html)]
+        met = []
+        while (i := bisect_left(self.delimiters, at)) < len(self.delimiters):
+            place = self.delimiters[i]
+            if place in self.dead:
+                break
+            if self.html[place] == ">":
+                return place + 1
+            met.append(place)
+            at = self.html.find(self.html[place], place + 1) + 1
+            if not at:
+                break
+        self.dead.update(met)
+        return -1
+
+    def tag(self, at: int, begin: int) -> tuple[str, str, int] | None:
+        """(name, attributes, end) of the tag whose name begins at ``begin``; None if it never ends."""
+        if begin > self.last:
+            return None
+        if self.name_end < begin:
+            self.name_end = _NAME_END.search(self.html, begin).start()
+        name_end = self.name_end
+        end = self._end(name_end)
+        if end < 0:  # a quote in the name: it begins the attributes
+            quote = self.delimiters[bisect_left(self.delimiters, begin)]
+            if quote >= name_end or (end := self._end(quote)) < 0:
+                return None
+            name_end = quote
+        return self.html[begin:name_end].lower(), self.html[name_end:end - 1], end
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(start, end, whether an end tag, name, attributes) of the next markup;
+        comments and the like have no name."""
+        html = self.html
+        while (at := html.find("<", at)) >= 0:
+            if html.startswith("<!--", at):
+                return at, _COMMENT.match(html, at).end(), False, "", ""
+            after = html[at + 1:at + 2]
+            begin = at + 2 if after == "/" else at + 1
+            first = html[begin:begin + 1]
+            if first.isascii() and first.isalpha() and (found := self.tag(at, begin)):
+                return at, found[2], begin > at + 1, found[0], found[1]
+            if after in ("!", "?", "/") and after and at < self.last:
+                return at, html.find(">", at) + 1, False, "", ""
+            at += 1
+        return None
+
+
 def blocks_of(html: str) -> list[tuple[str, tuple[str, ...], float]]:
     """(text, path names, share of linked characters) of the leaf blocks."""
-    found, open_tags = [], []  # of open_tags: (tag, names, whether svg or math rules hold inside, whether inline and boilerplate)
+    return [(text, path.names() if path else (), share) for text, path, share in linked_blocks(html)]
+
+
+def linked_blocks(html: str) -> list[tuple[str, Path | None, float]]:
+    """(text, path, share of linked characters) of the leaf blocks."""
+    found: list[tuple[str, Path | None, float]] = []
+    open_tags: list[Path] = []
+    held: Counter[str] = Counter()  # open elements by tag
     parts: list[str] = []
     linked = total = 0
-    names: tuple[str, ...] | None = None
-    apart = False
-    at, size = 0, len(html)
+    path: Path | None = None
+    begun = apart = False
+    at, tags = 0, _Tags(html)
     templates: dict[int, int] | None = None
+    data_ends = True
 
     def flush() -> None:
-        nonlocal parts, linked, total, names
+        nonlocal parts, linked, total, path, begun
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                found.append((text, names or (), linked / max(1, total)))
-        parts, linked, total, names = [], 0, 0, None
+                found.append((text, path, linked / max(1, total)))
+        parts, linked, total, path, begun = [], 0, 0, None, False
 
     def add(raw: str, literal: bool = False) -> None:
-        nonlocal linked, total, names, apart
-        if not raw or open_tags and open_tags[-1][0] in RAW_TAGS:  # open only inside svg and math
+        nonlocal linked, total, path, begun, apart
+        if not raw or open_tags and open_tags[-1].tag in RAW_TAGS:  # open only inside svg and math
             return
         text = html_lib.unescape(raw) if "&" in raw and not literal else raw
         if not text.isspace():
-            inside = bool(open_tags) and open_tags[-1][3]
-            if names is not None and inside != apart:
+            inside = bool(open_tags) and open_tags[-1].inline
+            if begun and inside != apart:
                 flush()
-            if names is None:
-                names, apart = tuple(n for _, own, _, _ in open_tags for n in own), inside
+            if not begun:
+                path, begun, apart = open_tags[-1] if open_tags else None, True, inside
         parts.append(text)
         total += len(text)
-        if any(t == "a" for t, *_ in open_tags):
+        if held["a"]:
             linked += len(text)
 
-    while at < size:
-        m = _MARKUP.search(html, at)
+    def cut(place: int) -> None:
+        while len(open_tags) > place:
+            held[open_tags.pop().tag] -= 1
+
+    def close(kinds: tuple[str, ...]) -> None:
+        """Ends the open elements of ``kinds`` that no container shields."""
+        near = open_tags[-1].near if open_tags else {}
+        cut(min((near[k] for k in kinds if k in near), default=len(open_tags)))
+
+    while at < len(html):
+        m = tags.next(at)
         if not m:
             add(html[at:])
             break
-        add(html[at:m.start()])
-        at, tag = m.end(), (m[2] or "").lower()
-        foreign = bool(open_tags) and open_tags[-1][2]
+        start, end, ends, tag, attributes = m
+        add(html[at:start])
+        at = end
+        foreign = bool(open_tags) and open_tags[-1].foreign
         if not tag:
-            if foreign and html.startswith("<![CDATA[", m.start()) and (end := html.find("]]>", m.start())) >= 0:
-                add(html[m.start() + 9:end], literal=True)
-                at = end + 3
+            if foreign and data_ends and html.startswith("<![CDATA[", start):
+                if (end := html.find("]]>", start)) >= 0:
+                    add(html[start + 9:end], literal=True)
+                    at = end + 3
+                data_ends = end >= 0
             continue
-        if foreign and not m[1] and tag in BREAKS_OUT:
-            while open_tags and open_tags[-1][2]:
-                open_tags.pop()
+        if foreign and not ends and tag in BREAKS_OUT:
+            while open_tags and open_tags[-1].foreign:
+                cut(len(open_tags) - 1)
             foreign = False
         if tag == "br" or foreign and tag in FOREIGN_LINES:
             parts.append(" ")
@@ -142,34 +284,36 @@ def blocks_of(html: str) -> list[tuple[str, tuple[str, ...], float]]:
         block = tag in BLOCK_TAGS and not (foreign and tag == "title")
         if block:
             flush()
-        if m[1]:
-            if any(t == tag for t, *_ in open_tags):  # a stray </p> only ends the block
-                while open_tags and open_tags.pop()[0] != tag:
-                    pass
+        if ends:
+            if held[tag]:  # a stray </p> only ends the block
+                while open_tags[-1].tag != tag:
+                    cut(len(open_tags) - 1)
+                cut(len(open_tags) - 1)
             continue
         if tag in RAW_TAGS and not foreign:
             at = _end_of(tag, html, at)[1]
             continue
-        empty = m[3].endswith("/")
+        empty = attributes.endswith("/")
         if tag == "template" and not empty:
             if templates is None:
-                templates = _template_ends(html)
+                templates = _template_ends(html, tags.last + 1)
             at = templates.get(at, at)  # one that never closes hides nothing
             continue
         if block and tag not in ("html", "body"):
-            _close(open_tags, ("p",))
+            close(("p",))
         if tag in CLOSED_BY:
-            _close(open_tags, CLOSED_BY[tag])
+            close(CLOSED_BY[tag])
         if tag not in VOID_TAGS and not empty:
-            own = (tag, *_own_names(m[3]))
-            inline = tag not in BLOCK_TAGS and (bool(open_tags) and open_tags[-1][3] or len(own) > 1 and not name_label(own)
-                                                and CODE.isdisjoint(t for t, *_ in open_tags))
-            open_tags.append((tag, own, tag in FOREIGN or foreign and tag not in HTML_INSIDE, inline))
+            own = (tag, *_own_names(attributes))
+            inline = tag not in BLOCK_TAGS and (bool(open_tags) and open_tags[-1].inline or len(own) > 1 and not name_label(own)
+                                                and not any(held[t] for t in CODE))
+            open_tags.append(Path(open_tags[-1] if open_tags else None, tag, own, tag in FOREIGN or foreign and tag not in HTML_INSIDE, inline, len(open_tags)))
+            held[tag] += 1
         if tag == "xmp" and not empty:
-            end, at = _end_of(tag, html, m.end())
-            add(html[m.end():end], literal=True)
+            stop, at = _end_of(tag, html, at)
+            add(html[end:stop], literal=True)
             flush()
-            open_tags.pop()
+            cut(len(open_tags) - 1)
     flush()
     return found
 
@@ -180,10 +324,11 @@ def _end_of(tag: str, html: str, at: int) -> tuple[int, int]:
     return end.span() if end else (len(html), len(html))
 
 
-def _template_ends(html: str) -> dict[int, int]:
-    """End of a template's start tag -> end of its end tag, of those that close."""
+def _template_ends(html: str, size: int) -> dict[int, int]:
+    """End of a template's start tag -> end of its end tag, of those that close
+    before ``size``, the end of the last tag."""
     found, begun = {}, []
-    for m in _TEMPLATE.finditer(html):
+    for m in _TEMPLATE.finditer(html, 0, size):
         if m[2] is None:  # a comment or script
             continue
         if not m[2]:
@@ -194,16 +339,6 @@ def _template_ends(html: str) -> dict[int, int]:
     return found
 
 
-def _close(open_tags: list, tags: tuple[str, ...]) -> None:
-    """Ends the nearest of ``tags`` that no container shields."""
-    for i in range(len(open_tags) - 1, -1, -1):
-        tag = open_tags[i][0]
-        if tag in tags:
-            del open_tags[i:]
-        elif tag in CONTAINERS:
-            return
-
-
 def _own_names(attributes: str) -> list[str]:
     if "=" not in attributes:
         return []
@@ -281,14 +416,19 @@ class Sequences:
     word_at: np.ndarray
     extra: np.ndarray
     page_at: np.ndarray
+    path_mean: np.ndarray | None = None
 
     @classmethod
-    def of(cls, pages: list, paths: Buckets) -> Sequences:
-        path, path_at, texts, linked, sizes = [], [], [], [], [0]
+    def of(cls, pages: list, paths: Buckets, table: np.ndarray | None = None) -> Sequences:
+        """Of blocks with path names or, where ``table`` has the vectors, with a Path."""
+        path, path_at, texts, linked, sizes, means = [], [], [], [], [0], []
         for blocks in pages:
             for text, names, share in blocks:
                 path_at.append(len(path))
-                path += map(paths.__getitem__, path_names(names) or ("",))
+                if table is None:
+                    path += map(paths.__getitem__, path_names(names) or ("",))
+                else:
+                    means.append(names.vector(table, paths) if names else table[paths[""]])
                 texts.append(text)
                 linked.append(share)
             sizes.append(len(texts))
@@ -298,7 +438,8 @@ class Sequences:
         extra = np.stack([np.array(linked, np.float32), np.log1p(np.diff(words.first)) / 5, np.log1p(np.diff(offsets)) / 8,
                           np.array([t[-1] in ".!?\u2026" for t in texts], np.float32)], axis=1).astype(np.float32)
         buckets = (words.hashes() % np.uint64(WORD_BUCKETS)).astype(np.int64)
-        return cls(np.array(path, np.int64), np.array(path_at, np.int64), buckets, words.first[:-1], extra, np.array(sizes, np.int64))
+        return cls(np.array(path, np.int64), np.array(path_at, np.int64), buckets, words.first[:-1], extra, np.array(sizes, np.int64),
+                   None if table is None else np.array(means, np.float32).reshape(len(texts), VECTOR))
 
 
 def _means(table: np.ndarray, index: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -327,7 +468,7 @@ class BlockTagger:
             self.p[f"{side}0"] = gate
 
     def _inputs(self, s: Sequences) -> tuple[np.ndarray, list]:
-        path, n_path = _means(self.p["path"], s.path, s.path_at)
+        path, n_path = _means(self.p["path"], s.path, s.path_at) if s.path_mean is None else (s.path_mean, None)
         word, n_word = _means(self.p["word"], s.word, s.word_at)
         return np.concatenate([path, word, s.extra], axis=1), [n_path, n_word]
 
@@ -438,9 +579,9 @@ def training_pages(pages: list[str], seed: int = 17) -> list:
     tags = {"nav", "header", "footer", "aside", "form", "button", "select", "option", "menu", "search"}
     made = []
     for page in pages:
-        blocks = blocks_of(page)
+        blocks = linked_blocks(page)
         lo = int(rng.integers(0, max(1, len(blocks) - TRAIN_BLOCKS + 1)))  # a long page gives a stretch of it
-        own = [((t, n, a), name_label(n)) for t, n, a in blocks[lo:lo + TRAIN_BLOCKS]]
+        own = [((t, n, a), name_label(n)) for t, p, a in blocks[lo:lo + TRAIN_BLOCKS] for n in [p.names() if p else ()]]
         if not own:
             continue
         made.append(own)
@@ -498,7 +639,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             texts: list[str] = []
             for lo in range(0, len(batch), PAGE_BATCH):
                 html = batch.column("html").slice(lo, PAGE_BATCH).to_pylist()
-                blocks = [blocks_of(h) for h in html]
+                blocks = [linked_blocks(h) for h in html]
                 texts += _main_texts(own, blocks, paths)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
@@ -515,7 +656,7 @@ def _main_texts(tagger: BlockTagger, pages: list, paths: Buckets) -> list[str]:
     while order:
         most = max(1, 40_000 // max(1, len(pages[order[-1]])))  # blocks of a group, padded
         group, order = order[-most:], order[:-most]
-        chance = tagger.probabilities(s := Sequences.of([pages[i] for i in group], paths))
+        chance = tagger.probabilities(s := Sequences.of([pages[i] for i in group], paths, tagger.p["path"]))
         for k, i in enumerate(group):
             keep = chance[s.page_at[k]:s.page_at[k + 1]] >= 0.5
             out[i] = "\n".join(b[0] for b, on in zip(pages[i], keep, strict=True) if on)

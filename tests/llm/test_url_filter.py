@@ -113,3 +113,15 @@ def test_nothing_labelled_and_empty_table(spark):
 def test_main_path_is_built_in_functions_only(spark):
     plan = uf.judge(pages(spark, URLS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_the_sample_is_bounded_and_a_hot_url_counts_once(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(uf, "SAMPLE", 40)
+    monkeypatch.setattr(uf, "staged", lambda df, name: asked.append((name, df.count())) or df)
+    urls = ["http://hot.org/a"] * 400 + [f"http://x{i}.com/{'de' if i % 2 else 'fr'}/{i}" for i in range(300)]
+    uf.fit(uf.with_features(pages(spark, urls)))
+    assert dict(asked)["url-sample"] == 40
+    asked.clear()
+    uf.fit(uf.with_features(pages(spark, ["http://hot.org/a"] * 30 + ["http://x.com/de/1"] * 2)))
+    assert dict(asked)["url-sample"] == 2

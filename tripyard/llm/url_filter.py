@@ -2,8 +2,8 @@
 
 Everything is built-in expressions and aggregates. Rules are CASE branches,
 longest first. URLs that a rule decides are the labelled rows; from a bounded,
-id-free sample of them (``SAMPLE`` rows in hash order) the trees are grown by
-histograms: features are binned at quantiles, equal rows are folded into
+id-free sample of them (at most ``SAMPLE`` different URLs in hash order, each
+once however often it repeats) the trees are grown by histograms: features are binned at quantiles, equal rows are folded into
 weighted cells, and each tree level is one aggregate over (node, feature, bin).
 The fitted trees become CASE expressions, so scoring is one map-side pass.
 
@@ -116,9 +116,12 @@ def _rates(sample: DataFrame, kind: str, prior: float) -> dict[str, float]:
 def fit(rows: DataFrame) -> UrlModel:
     """Boosted trees on logistic loss from the rows that a rule decides."""
     picked = rows.where("ruled IS NOT NULL").withColumn("y", (F.col("ruled") == "block").cast("double"))
-    order = [F.xxhash64("_url"), "_url"]
-    sample = staged(picked.select("_url", "y", "suffix", "domain", *[f for f in FEATURES if f not in ("f_suffix", "f_domain")])
-                    .orderBy(*order).limit(SAMPLE), "url-sample")
+    held, order = picked.count(), F.xxhash64("_url")
+    # hashes are spread evenly: about twice the URLs wanted lie below this one, and only those are gathered
+    below = min(2**64 - 1, (2 * SAMPLE + 1000) * 2**64 // max(1, held)) - 2**63
+    columns = ["y", "suffix", "domain", *[f for f in FEATURES if f not in ("f_suffix", "f_domain")]]
+    sample = staged(picked.where(order <= F.lit(below)).groupBy("_url").agg(*[F.first(c).alias(c) for c in columns])
+                    .orderBy(order, "_url").limit(SAMPLE), "url-sample")
     n, blocked = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0.0))).first()
     model = UrlModel()
     if not n:

@@ -402,3 +402,13 @@ def test_rows_appended_beside_the_loader_are_found(spark, raw_frame):
     broken = [tuple(r) for r in stored_violations(wh, [(2024, 1)]).collect() if r.violations]
     assert broken == [("gold.hourly_demand", "unique", "reference_year,reference_month,hour_of_day", 1)]
     assert not any(r.violations for r in stored_violations(wh, [(2024, 2)]).collect())
+
+
+def test_period_calendar_shows_gaps_and_refused_years(spark):
+    rows = [(2023, 11), (2023, 11), (2024, 2), (2025, 1), (None, 3), (2024, None), (2024, 13)]
+    observed = spark.createDataFrame(rows, "reference_year int, reference_month int")
+    got = [tuple(r) for r in R.period_calendar(observed, 2024, 2024).orderBy("reference_year", "reference_month").collect()]
+    months = R.month_range((2023, 11), (2025, 1))
+    count = {(2023, 11): 2, (2024, 2): 1, (2025, 1): 1}
+    assert got == [(y, m, count.get((y, m), 0), (y, m) in count, y == 2024) for y, m in months]
+    assert R.period_calendar(observed.where("reference_year > 3000")).count() == 0

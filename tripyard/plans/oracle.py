@@ -538,4 +538,14 @@ def _documented_sql(source: str) -> str:
   LATERAL (VALUES ('total_amount_mismatch', tm), ('payment_type_invalid', pi)) m(check_name, violations)"""
 
 
-_EXTRA_STAGE_SQL = {"constraint_violations": _constraints_sql, "documented_checks": _documented_sql}
+def _period_calendar_sql(source: str) -> str:
+    return _with(source, "raw") + (
+        "SELECT CAST(year(m) AS SMALLINT) AS reference_year, CAST(month(m) AS SMALLINT) AS reference_month, "
+        "coalesce(n, 0) AS n_rows, n IS NOT NULL AS is_held, year(m) BETWEEN 1993 AND 2024 AS is_valid_period "
+        "FROM (SELECT unnest(generate_series(min(make_date(reference_year, reference_month, 1)), "
+        "max(make_date(reference_year, reference_month, 1)), INTERVAL 1 MONTH)) AS m FROM raw) c "
+        "LEFT JOIN (SELECT make_date(reference_year, reference_month, 1) AS held, count(*) AS n FROM raw GROUP BY 1) r ON c.m = r.held")
+
+
+_EXTRA_STAGE_SQL = {
+    "constraint_violations": _constraints_sql, "documented_checks": _documented_sql, "period_calendar": _period_calendar_sql}

@@ -26,6 +26,7 @@ from tripyard.plans import oracle as O
 from tripyard.plans.writes import WRITE_QUERIES
 from tripyard.schema import LINEAGE_COLUMNS, TABLE_SCHEMAS
 from tripyard.sources.fixtures import fixture_raw_trips
+from tripyard.sources.raw_files import period_calendar
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,6 +123,7 @@ STAGES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "top_zones": lambda raw: G.top_zones(_silver(raw), 10),
     "constraint_violations": _constraints,
     "documented_checks": Q.documented_checks,
+    "period_calendar": lambda raw: period_calendar(raw, 1993, 2024),
 }
 
 SOURCES = {"": "lineitem", "_events": "events"}

@@ -92,6 +92,28 @@ def period_range_frame(spark: SparkSession, start: tuple[int, int], end: tuple[i
     )
 
 
+def period_calendar(observed: DataFrame, first_year: int = FIRST_YEAR, last_year: int | None = None) -> DataFrame:
+    """S4/S5 as a relation: every month from the first to the last of ``observed``
+    (reference_year, reference_month, one row or many a month), with its rows,
+    whether it is held at all (a gap otherwise) and whether S4 takes its year.
+
+    Only months reach the join: rows are counted before it. Null or impossible
+    months are left out; without any month the calendar is empty."""
+    last_year = _dt.date.today().year if last_year is None else last_year
+    year, month = F.col("reference_year").cast("int"), F.col("reference_month").cast("int")
+    counted = observed.where(month.between(1, 12) & year.isNotNull()).groupBy((year * 12 + month - 1).alias("month_no")).agg(F.count(F.lit(1)).alias("n_rows"))
+    ends = counted.agg(F.min("month_no").alias("lo"), F.max("month_no").alias("hi")).where("lo IS NOT NULL")
+    months = ends.select(F.explode(F.sequence("lo", "hi")).alias("month_no"))
+    held_year = F.floor(F.col("month_no") / 12)
+    return months.join(counted, "month_no", "left").select(
+        held_year.cast("smallint").alias("reference_year"),
+        (F.col("month_no") - held_year * 12 + 1).cast("smallint").alias("reference_month"),
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        F.col("n_rows").isNotNull().alias("is_held"),
+        held_year.between(first_year, last_year).alias("is_valid_period"),
+    )
+
+
 def raw_file_path(root: str, year: int, month: int, layout: str = FLAT_LAYOUT) -> str:
     """The path of a month's raw file."""
     return layout.format(root=root.rstrip("/"), year=year, month=month)

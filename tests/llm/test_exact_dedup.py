@@ -38,6 +38,15 @@ def test_one_hot_group(spark):
     assert got == 1001
 
 
+@pytest.mark.parametrize("fan_in", [1, 2, 64])
+def test_sketches_merged_in_a_tree_find_what_one_sketch_must(spark, fan_in):
+    """A digest with more than rows / tracked members is among the candidates."""
+    rows = [(i, f"hot {i % 5}" if i % 2 else f"text {i}") for i in range(4000)]
+    found = exact_dedup.frequent_digests(exact_dedup.digests(frame(spark, rows, 11)), heavy=16, tracked=64, fan_in=fan_in)
+    got = {r.text_sha256 for r in found.collect()}
+    assert {hashlib.sha256(f"hot{k}".encode()).hexdigest() for k in range(5)} <= got and len(got) <= 16
+
+
 def test_empty_table(spark):
     assert exact_dedup.exact_groups(frame(spark, [])).collect() == []
 

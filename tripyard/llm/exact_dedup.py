@@ -24,6 +24,8 @@ WHITE_SPACE = " \t\n\x0b\x0c\r"
 #: Most frequent digests looked at, and counters of the summary: a digest with
 #: more than rows / TRACKED members is always among the summary's items.
 HEAVY, TRACKED = 256, 8192
+#: Sketches that one task merges.
+FAN_IN = 64
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -49,9 +51,19 @@ def winners(rows: DataFrame) -> DataFrame:
         F.bitwise_not("best.r_id").alias("keep_id"), F.bitwise_not("best.r_row").alias("keep_row"))
 
 
-def frequent_digests(rows: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
-    """At most ``heavy`` candidate digests from the Misra-Gries summary."""
-    top = rows.agg(F.expr(f"approx_top_k(text_sha256, {heavy}, {max(heavy, tracked)})").alias("top"))
+def frequent_digests(rows: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED, fan_in: int = FAN_IN) -> DataFrame:
+    """At most ``heavy`` candidate digests from the Misra-Gries summary.
+
+    Every task makes one sketch; ``fan_in`` of them meet in one task, then
+    ``fan_in`` of these, before the last one sees what is left. Merged sketches
+    keep the guarantee of one sketch over all rows. Without rows there is no
+    sketch and no candidate."""
+    tracked = max(heavy, tracked)
+    leaves = rows.select("text_sha256", F.floor(F.spark_partition_id() / fan_in).alias("node"))
+    sketches = leaves.groupBy("node").agg(F.expr(f"approx_top_k_accumulate(text_sha256, {tracked})").alias("sketch"))
+    merge = F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")
+    inner = sketches.groupBy(F.floor(F.col("node") / fan_in).alias("node")).agg(merge)
+    top = inner.groupBy(F.lit("all")).agg(merge).select(F.expr(f"approx_top_k_estimate(sketch, {heavy})").alias("top"))
     return top.select(F.explode("top").alias("t")).where("t.count > 1").select(F.col("t.item").alias("text_sha256"))
 
 

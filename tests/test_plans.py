@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import TESTDATA
 from tripyard.operators import clean as C
@@ -73,6 +74,36 @@ def test_valid_read_from_raw_pushes_month_bounds_to_parquet(spark, capsys):
     assert valid.count() == 817
 
 
+def test_month_runs_join_over_the_narrowest_gaps():
+    months = [(2023, 12), (2024, 1), (2024, 3), (2024, 9), (2024, 1)]
+    assert V.month_runs(months) == [((2023, 12), (2024, 1)), ((2024, 3), (2024, 3)), ((2024, 9), (2024, 9))]
+    assert V.month_runs(months, most=2) == [((2023, 12), (2024, 3)), ((2024, 9), (2024, 9))]
+    assert V.month_runs(months, most=1) == [((2023, 12), (2024, 9))]
+    assert V.month_runs([]) == []
+
+
+def test_valid_read_of_several_months_pushes_their_bounds(spark, capsys):
+    """Three months, one of them apart: the same rows with and without bounds,
+    and none of a month that is scanned but not asked for."""
+    root = scratch_dir(spark, "pushmonths")
+    R.land_raw_files(fixture_raw_trips(spark, TESTDATA, "lineitem"), root)
+    asked = [(1995, 11), (1995, 12), (1996, 3)]
+    scanned = [*asked, (1997, 7)]
+    flagged = V.flag_trips(C.clean_trips(R.read_raw_trips(spark, [R.raw_file_path(root, y, m, R.SPARK_LAYOUT) for y, m in scanned])))
+    bounded = V.valid_trips(flagged, asked)
+    pushed = re.search(r"PushedFilters: \[(.*)\]", plan(bounded, capsys)).group(1)
+    for bound in ("GreaterThanOrEqual(tpep_pickup_datetime,1995-11-01T00:00)", "LessThan(tpep_pickup_datetime,1996-01-01T00:00)",
+                  "GreaterThanOrEqual(tpep_pickup_datetime,1996-03-01T00:00)", "LessThan(tpep_pickup_datetime,1996-04-01T00:00)"):
+        assert bound in pushed
+    keys = [y * 100 + m for y, m in asked]
+    in_asked = (F.col("reference_year").cast("int") * 100 + F.col("reference_month")).isin(keys)
+    plain = V.valid_trips(flagged).filter(in_asked)
+    assert bounded.count() > 0
+    assert bounded.exceptAll(plain).count() == 0 and plain.exceptAll(bounded).count() == 0
+    assert V.valid_trips(flagged, []).count() == 0
+    assert V.rejected_trips(flagged, asked).count() == V.rejected_trips(flagged).filter(in_asked).count()
+
+
 def test_cleaning_and_rules_stay_below_the_size_that_is_compiled(spark):
     """HotSpot interprets methods of more than 8000 bytes."""
     flagged = V.flag_trips(C.clean_trips(fixture_raw_trips(spark, TESTDATA)))

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +54,67 @@ def test_scan_months_with_different_footers(spark):
         R.require_valid_files(R.file_inventory(spark, root, [(2024, 3)], 0))
 
 
+def test_layouts_of_many_mixed_months_take_a_constant_number_of_jobs(spark, monkeypatch):
+    """200 months, whole and decimal counts in turn: the jobs follow the two
+    layouts; without readable footers the rows are the same."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    root = scratch_dir(spark, "layouts")
+    local = root.removeprefix("file:")
+    months = R.month_range((2008, 1), (2024, 8))
+    assert len(months) == 200
+    for y, m in months:
+        folder = os.path.join(local, R.raw_file_path("", y, m).lstrip("/"))
+        os.makedirs(folder)
+        count = pa.array([m], pa.int64()) if m % 2 else pa.array([m + 0.5], pa.float64())
+        when = pa.array([dt.datetime(y, m, 2)], pa.timestamp("us"))
+        pq.write_table(pa.table({"passenger_count": count, "tpep_pickup_datetime": when}), f"{folder}/part-0.parquet")
+
+    def jobs_and_rows(paths, tag):
+        spark.sparkContext.setJobGroup(tag, tag)
+        try:
+            raw = R.read_raw_trips(spark, paths)
+            jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(tag))
+            return jobs, sorted((r.source_file, r.passenger_count, r.reference_month) for r in raw.collect())
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    paths = [R.raw_file_path(root, y, m) for y, m in months]
+    few, _ = jobs_and_rows(paths[:80], "layouts-80")  # over 32 paths a layout Spark lists them by a job
+    many, rows = jobs_and_rows(paths, "layouts-200")
+    assert many <= few < 12
+    assert rows == sorted((f"yellow_tripdata_{y}-{m:02d}.parquet", float(m) if m % 2 else m + 0.5, m) for y, m in months)
+    files = [r.path for r in R.listed_files(spark, paths[:6]).collect()]
+    layouts = {r.path: r.layout for r in R.footer_layouts(spark, [*files, f"nostore://{root}/x.parquet"]).collect()}
+    assert layouts.pop(f"nostore://{root}/x.parquet") is None
+    assert len(set(layouts.values())) == 2 and None not in layouts.values()
+    unknown = lambda s, f: s.createDataFrame([(x, None) for x in f], "path string, layout string")
+    monkeypatch.setattr(R, "footer_layouts", unknown)
+    assert jobs_and_rows(paths[:6], "layouts-none")[1] == [r for r in rows if r[0] < "yellow_tripdata_2008-07"]
+
+
+def test_a_skewed_month_is_many_files_and_its_few_rejected_trips_one(spark, raw_frame):
+    root = scratch_dir(spark, "skewed")
+    late = dict(period=(2024, 2), tpep_pickup_datetime=dt.datetime(2024, 2, 3), tpep_dropoff_datetime=dt.datetime(2024, 2, 3, 1))
+    few = raw_frame(*[trip(PULocationID=0)] * 50, trip(**late), trip(PULocationID=0, **late))
+    most = raw_frame(trip()).join(spark.range(200_000).withColumn("fare", F.rand(7) * 100), how="cross")
+    raw = few.unionByName(most.withColumn("fare_amount", F.col("fare")).select(*few.columns)).repartition(16)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "512KB")
+    try:
+        write_staging(V.flag_trips(C.clean_trips(raw)), root, rebalance=True)
+    finally:
+        spark.conf.set(size, before)
+    back = read_staging(spark, root).select("reference_month", F.col("is_valid").cast("boolean"), F.input_file_name().alias("file"))
+    found = {(r.reference_month, r.is_valid): (r.n, r.files) for r in back.groupBy("reference_month", "is_valid").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("file").alias("files")).collect()}
+    assert {k: n for k, (n, _) in found.items()} == {(1, True): 200_000, (1, False): 50, (2, True): 1, (2, False): 1}
+    assert found[1, True][1] > 3
+    assert found[1, False][1] == found[2, True][1] == found[2, False][1] == 1
+
+
 def test_staging_partitions_by_validity(spark, raw_frame):
     flagged = V.flag_trips(C.clean_trips(raw_frame(trip(), trip(PULocationID=0))))
     root = scratch_dir(spark, "staging")

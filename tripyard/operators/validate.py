@@ -31,6 +31,9 @@ from tripyard.schema import (
     SILVER_MONEY_COLUMNS,
 )
 
+# Month runs stated one by one in a pushed filter.
+MAX_PUSHED_RUNS = 12
+
 
 def rules() -> list[tuple[str, Column]]:
     """V1-V11 in order: (reason, whether a trip breaks the rule; never null).
@@ -105,13 +108,46 @@ def flag_trips(clean: DataFrame) -> DataFrame:
     return clean.withColumn("rejection_reason", rejection_reason())
 
 
-def split_valid_rejected(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+def month_runs(periods: list[tuple[int, int]], most: int = MAX_PUSHED_RUNS) -> list[tuple[tuple[int, int], tuple[int, int]]]:
+    """The requested months as (first, last) of runs without a gap, in order;
+    more than ``most`` runs are joined over the narrowest gaps."""
+    numbers = sorted({y * 12 + m - 1 for y, m in periods})
+    runs = [[n, n] for n in numbers[:1]]
+    for n in numbers[1:]:
+        if n == runs[-1][1] + 1:
+            runs[-1][1] = n
+        else:
+            runs.append([n, n])
+    gaps = sorted(range(1, len(runs)), key=lambda i: runs[i][0] - runs[i - 1][1], reverse=True)
+    cuts = sorted(gaps[:most - 1])
+    edges = zip([0, *cuts], [*cuts, len(runs)], strict=True) if runs else ()
+    month = lambda n: (n // 12, n % 12 + 1)
+    return [(month(runs[a][0]), month(runs[b - 1][1])) for a, b in edges]
+
+
+def pickup_in_months(periods: list[tuple[int, int]]) -> Column:
+    """Whether the pickup lies in one of these months (or between two of them
+    where ``month_runs`` joins runs): comparisons with literals only."""
+    pickup = F.col("pickup_datetime")
+    inside = F.lit(False)
+    for (y0, m0), (y1, m1) in month_runs(periods):
+        inside = inside | (
+            (pickup >= period_start(F.lit(y0), F.lit(m0))) & (pickup < period_end(F.lit(y1), F.lit(m1))))
+    return inside
+
+
+def split_valid_rejected(
+    flagged: DataFrame, periods: list[tuple[int, int]] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Valid rows without the reason column; rejected rows with it.
+    With ``periods`` both hold these months' rows only.
 
     The valid filter also states what every valid row satisfies anyway (both
-    times present, pickup inside its month) as plain conjuncts: over a raw
-    month scan the bounds are literals, so they reach the Parquet reader as
-    pushed filters and row groups outside the month are skipped.
+    times present, pickup inside its month) as plain conjuncts. Over a raw scan
+    of one month its bounds are literals, so they reach the Parquet reader as
+    pushed filters and row groups outside the month are skipped. In a scan of
+    several months a row's month comes from its path; the bounds of ``periods``
+    are literals there, too, and are pushed in the same way.
     """
     reason = F.col("rejection_reason")
     pickup = F.col("pickup_datetime")
@@ -122,16 +158,20 @@ def split_valid_rejected(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
         & (pickup >= period_start(year, month))
         & (pickup < period_end(year, month))
     )
+    if periods is not None:
+        keys = sorted({y * 100 + m for y, m in periods})
+        flagged = flagged.filter((year.cast("int") * 100 + month).isin(keys))
+        implied = implied & pickup_in_months(periods)
     valid = flagged.filter(reason.isNull() & implied).drop("rejection_reason")
     return valid, flagged.filter(reason.isNotNull())
 
 
-def valid_trips(flagged: DataFrame) -> DataFrame:
-    return split_valid_rejected(flagged)[0]
+def valid_trips(flagged: DataFrame, periods: list[tuple[int, int]] | None = None) -> DataFrame:
+    return split_valid_rejected(flagged, periods)[0]
 
 
-def rejected_trips(flagged: DataFrame) -> DataFrame:
-    return split_valid_rejected(flagged)[1]
+def rejected_trips(flagged: DataFrame, periods: list[tuple[int, int]] | None = None) -> DataFrame:
+    return split_valid_rejected(flagged, periods)[1]
 
 
 def rejected_layout(rejected: DataFrame) -> DataFrame:

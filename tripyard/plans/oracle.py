@@ -348,6 +348,9 @@ def stage_sql(key: str, source: str) -> str:
         return _with(source, "flagged") + f"SELECT *, CAST({bits} AS INTEGER) AS broken_rules, concat_ws(', ', {texts}) AS reasons FROM flagged"
     if key == "valid_trips":
         return _with(source, "flagged") + "SELECT * EXCLUDE (rejection_reason) FROM flagged WHERE rejection_reason IS NULL"
+    if key == "valid_trips_scan":
+        return _with(source, "flagged") + ("SELECT * EXCLUDE (rejection_reason) FROM flagged "
+                                           "WHERE rejection_reason IS NULL AND reference_month <> 6")
     if key == "rejected_trips":
         return _with(source, "flagged") + "SELECT * FROM flagged WHERE rejection_reason IS NOT NULL"
     if key in ("silver_clean", "period_replace"):

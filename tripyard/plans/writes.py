@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tripyard.functions.periods import file_name_from_path
 from tripyard.operators.clean import bronze_layout, clean_trips
 from tripyard.operators.quality import ConstraintViolation, stored_violations, table_name
-from tripyard.operators.validate import flag_trips, silver_layout
+from tripyard.operators.validate import flag_trips, silver_layout, valid_trips
 from tripyard.plans.job import RunResult, run_frame
 from tripyard.schema import GOLD_SCHEMAS, PERIOD_COLUMNS, TABLE_SCHEMAS
 from tripyard.session import scratch_dir
@@ -193,6 +193,17 @@ def raw_file_scan(spark: SparkSession, sf_dir: str, source: str = "lineitem") ->
     return read_raw_trips(spark, paths)
 
 
+def valid_trips_scan(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
+    """The valid trips of all months but the Junes, straight from the
+    landed files: one scan of several months, whose literal month bounds reach
+    the Parquet reader."""
+    root = scratch_dir(spark, "landing")
+    land_raw_files(fixture_raw_trips(spark, sf_dir, source), root)
+    periods = [p for p in fixture_periods(spark, sf_dir, source) if p[1] != 6]
+    raw = read_raw_trips(spark, [raw_file_path(root, y, m, SPARK_LAYOUT) for y, m in periods])
+    return valid_trips(flag_trips(clean_trips(raw)), periods)
+
+
 def raw_file_inventory(spark: SparkSession, sf_dir: str, source: str = "lineitem") -> DataFrame:
     """S3: the file check. Of the months, every third is not landed and every
     third has one trip only; the threshold is the largest of the latter."""
@@ -219,6 +230,7 @@ WRITE_QUERIES = {
     "bronze_table": bronze_table,
     "load_counts": load_counts,
     "raw_file_scan": raw_file_scan,
+    "valid_trips_scan": valid_trips_scan,
     "file_inventory": raw_file_inventory,
     "empty_reload": empty_reload,
     "failed_reload": failed_reload,

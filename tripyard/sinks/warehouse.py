@@ -94,12 +94,14 @@ def write_staging(flagged: DataFrame, root: str, rebalance: bool = False) -> Non
 
     Without ``rebalance`` rows go straight to the writer: when the input is
     monthly files every task holds one month, so no shuffle is needed. With
-    it, AQE rebalances by period (splitting a month that holds most rows)
-    for inputs whose tasks mix months.
+    it, AQE rebalances by period and validity, for inputs whose tasks mix
+    months: from the counted bytes of each it splits a month that holds most
+    rows over many tasks, while its few rejected rows stay one file instead of
+    a piece in each of these tasks. Files follow the advisory partition size.
     """
     out = flagged.withColumn("is_valid", F.col("rejection_reason").isNull())
     if rebalance:
-        out = out.hint("rebalance", *PERIOD_COLUMNS)
+        out = out.hint("rebalance", *PERIOD_COLUMNS, "is_valid")
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

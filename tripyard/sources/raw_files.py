@@ -34,6 +34,9 @@ from tripyard.schema import (
 FLAT_LAYOUT = "{root}/" + RAW_FILE_NAME
 SPARK_LAYOUT = "{root}/file=" + RAW_FILE_NAME
 FOOTER_READERS = 16
+FOOTER_TASKS_PER_CORE = 4
+# Where Spark keeps a row's schema in a footer (fixed value of the format).
+SPARK_FOOTER_KEY = b"org.apache.spark.sql.parquet.row.metadata"
 
 
 def check_period(year: int, month: int, first_year: int = FIRST_YEAR, last_year: int | None = None) -> None:
@@ -252,19 +255,63 @@ def _merged_schema(spark: SparkSession, files: list[str]) -> StructType | None:
         return None
 
 
+def footer_layouts(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(path, layout) of Parquet files, in one job that reads footers only: the
+    paths are spread over tasks, each opens its files by itself. A layout is the
+    columns' names and types and Spark's own row schema as text, so files of
+    equal layout have equal schemas. A file that a task cannot open (a store
+    or credentials that only Hadoop knows) has a null layout."""
+    row_schema_key = SPARK_FOOTER_KEY
+
+    # Nested, so that tasks get the code itself and need not import this package.
+    def layout_of(path: str) -> str | None:
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        try:
+            if path.startswith("file:"):
+                store, inner = pafs.LocalFileSystem(), re.sub("^file:/+", "/", path)
+            else:  # Hadoop has other names for the same store
+                store, inner = pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
+            with store.open_input_file(inner) as handle:
+                footer = pq.read_metadata(handle)
+        except (pa.ArrowException, OSError, ValueError):
+            return None
+        columns = (footer.schema.column(i) for i in range(footer.num_columns))
+        fields = sorted(f"{c.path.lower()}:{c.physical_type}:{c.logical_type}" for c in columns)
+        row_schema = (footer.metadata or {}).get(row_schema_key, b"").decode()
+        return ",".join(fields) + "|" + row_schema.lower()
+
+    def layouts(batches):
+        for batch in batches:
+            yield batch.assign(layout=[layout_of(path) for path in batch["path"]])
+
+    paths = spark.createDataFrame([(f,) for f in files], "path string")
+    tasks = max(1, min(len(files), spark.sparkContext.defaultParallelism * FOOTER_TASKS_PER_CORE))
+    return paths.repartition(tasks).mapInPandas(layouts, "path string, layout string")
+
+
 def _schema_groups(spark: SparkSession, files: list[str]) -> list[tuple[StructType, list[str]]]:
     """(schema, files) groups covering ``files``: all together if their footers
-    fit, else one group for each distinct footer (each read by a small job,
-    FOOTER_READERS at a time, so the time grows with the files)."""
+    fit, else one group for each distinct layout. The layouts are found by one
+    job and Spark reads one file of each, so the jobs follow the layouts, not
+    the files. Files whose footers the tasks could not open are read by Spark,
+    each by a small job (FOOTER_READERS at a time)."""
     found = _merged_schema(spark, files)
     if found is not None:
         return [(found, files)]
+    by_layout: dict[str | None, list[str]] = {}
+    for r in footer_layouts(spark, files).collect():
+        by_layout.setdefault(r.layout, []).append(r.path)
+    unread = by_layout.pop(None, [])
+    alike = [sorted(group) for group in by_layout.values()] + [[f] for f in unread]
     with ThreadPoolExecutor(max_workers=FOOTER_READERS) as pool:
-        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
+        schemas = list(pool.map(lambda group: spark.read.parquet(group[0]).schema, alike))
     groups: dict[str, tuple[StructType, list[str]]] = {}
-    for schema, file in zip(schemas, files, strict=True):
+    for schema, group in zip(schemas, alike, strict=True):
         key = ",".join(sorted(f"{f.name.lower()}:{f.dataType.simpleString()}" for f in schema))
-        groups.setdefault(key, (schema, []))[1].append(file)
+        groups.setdefault(key, (schema, []))[1].extend(group)
     return list(groups.values())
 
 

@@ -111,3 +111,16 @@ def test_cleaning_and_rules_stay_below_the_size_that_is_compiled(spark):
     text = flagged._jdf.queryExecution().explainString(mode)
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
     assert sizes and max(sizes) < 8000
+
+
+@pytest.mark.parametrize("layout", ["valid", "silver", "rejected"])
+def test_a_filter_on_the_reason_does_not_evaluate_the_rules_again(spark, layout):
+    """The rules copied into the filter were one method of more than 10,000 bytes."""
+    valid, rejected = V.split_valid_rejected(V.flag_trips(C.clean_trips(fixture_raw_trips(spark, TESTDATA))))
+    rows = {"valid": valid, "silver": V.silver_layout(valid), "rejected": V.rejected_layout(rejected)}[layout]
+    execution = rows._jdf.queryExecution()
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", execution.explainString(mode))]
+    assert sizes and max(sizes) < 8000
+    conditions = re.findall(r"Filter (.*)", execution.optimizedPlan().toString())
+    assert conditions and not any("passenger_count" in c for c in conditions)

@@ -82,30 +82,28 @@ def reasons_of(mask: Column) -> Column:
 
 def first_reason(mask: Column) -> Column:
     """The reason of the first broken rule (the lowest bit); null for none: the
-    lowest bit of 0 is counted past the last reason.
-
-    The mask occurs twice, in no branch, so that code generation makes it a
-    method of its own; the fused method of cleaning and rules then stays below
-    the 8000 bytes beyond which HotSpot does not compile a method.
-    """
+    lowest bit of 0 is counted past the last reason."""
     reasons = F.array(*[F.lit(reason) for reason, _ in rules()])
     return F.get(reasons, F.bit_count(mask.bitwiseAND(-mask) - 1).cast("int"))
 
 
-def rejection_reason() -> Column:
-    """The first broken rule, as text; null when the trip is valid."""
-    return first_reason(broken_rules())
-
-
 def flag_all_rules(clean: DataFrame) -> DataFrame:
     """V1-V11 with every broken rule kept: ``broken_rules`` (see there) and
-    ``rejection_reason``, the first of them."""
-    return clean.withColumn("broken_rules", broken_rules()).withColumn("rejection_reason", first_reason(F.col("broken_rules")))
+    ``rejection_reason``, the first of them.
+
+    The mask is made by a one-row generator: a filter on the reason (valid,
+    rejected) then reads it. Out of a projection Catalyst would copy all rules
+    with the cleaning under them into the filter, which evaluates every copy
+    and is more than the 8000 bytes beyond which HotSpot does not compile a
+    method. Filters on other columns still pass through to the scan.
+    """
+    masked = clean.select("*", F.inline(F.array(F.struct(broken_rules().alias("broken_rules")))))
+    return masked.withColumn("rejection_reason", first_reason(F.col("broken_rules")))
 
 
 def flag_trips(clean: DataFrame) -> DataFrame:
     """Add ``rejection_reason``."""
-    return clean.withColumn("rejection_reason", rejection_reason())
+    return flag_all_rules(clean).drop("broken_rules")
 
 
 def month_runs(periods: list[tuple[int, int]], most: int = MAX_PUSHED_RUNS) -> list[tuple[tuple[int, int], tuple[int, int]]]:

@@ -9,6 +9,8 @@ from conftest import TESTDATA
 from tripyard.operators import clean as C
 from tripyard.operators import gold as G
 from tripyard.operators import validate as V
+from tripyard.operators.quality import observe_checks
+from tripyard.plans.job import _staging_checks
 from tripyard.session import scratch_dir
 from tripyard.sinks.warehouse import Warehouse, read_staging, write_staging
 from tripyard.sources import raw_files as R
@@ -123,4 +125,23 @@ def test_a_filter_on_the_reason_does_not_evaluate_the_rules_again(spark, layout)
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", execution.explainString(mode))]
     assert sizes and max(sizes) < 8000
     conditions = re.findall(r"Filter (.*)", execution.optimizedPlan().toString())
-    assert conditions and not any("passenger_count" in c for c in conditions)
+    assert conditions and not any("passenger_count#" in c for c in conditions)
+
+
+def test_observed_checks_are_bits_made_by_generators(spark):
+    """The metrics only read the bits; no projection of the plan holds the checks."""
+    flagged = V.flag_trips(C.clean_trips(fixture_raw_trips(spark, TESTDATA)))
+    _, checks = _staging_checks()
+    observed, _ = observe_checks(flagged, "plan_checks", checks)
+    assert observed.columns == flagged.columns
+    lines = observed._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    casts = [line for line in lines if "as decimal(10,2))" in line]
+    assert casts and all("Generate inline" in line for line in casts)
+
+
+def test_a_period_filter_spares_the_mapping_of_other_months(spark):
+    """It is below the generators of all other columns."""
+    march = fixture_raw_trips(spark, TESTDATA).where("reference_month = 3")
+    lines = march._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    filtered = next(i for i, line in enumerate(lines) if "Filter" in line and "reference_month" in line)
+    assert filtered > max(i for i, line in enumerate(lines) if "fare_amount" in line and "Generate" in line)

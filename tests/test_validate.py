@@ -1,11 +1,15 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types
 
 from conftest import trip
+from tripyard.functions.numeric import money
 from tripyard.operators import clean as C
 from tripyard.operators import validate as V
-from tripyard.schema import SILVER_CLEAN_SCHEMA, SILVER_REJECTED_SCHEMA
+from tripyard.operators.quality import check_conditions, observe_checks, table_checks
+from tripyard.schema import SILVER_CLEAN_SCHEMA, SILVER_REJECTED_SCHEMA, TABLE_SCHEMAS
 
 T = dt.datetime
 
@@ -122,3 +126,25 @@ def test_all_broken_rules_are_kept_and_the_first_is_the_reason(raw_frame):
     assert got[1]["all"] == [names[9]]
     assert got[2]["all"] == [names[6], names[9], names[10]] and got[2]["rejection_reason"] == names[6]
     assert got[3]["all"] == [names[0], names[1], names[2], *names[4:9]] and got[3]["rejection_reason"] == names[0]
+
+
+def test_observed_and_aggregated_checks_count_the_rows_that_are_not_stored(spark):
+    """NUMERIC(10,2) around its bounds, as the cast to it decides."""
+    nan, inf = float("nan"), float("inf")
+    values = [None, 0.0, 99999998.99, 99999999.0, 99999999.99, 99999999.994, 99999999.995, 1e8, nan, inf,
+              -99999999.0, -99999999.994, -99999999.995, -inf]
+    schema = types.StructType([types.StructField(f.name, types.DoubleType() if isinstance(f.dataType, types.DecimalType) else f.dataType)
+                           for f in TABLE_SCHEMAS["silver_clean"]])
+    fixed = {"reference_year": 2024, "store_and_fwd_flag": "YN"}
+    rows = spark.createDataFrame(
+        [tuple(v if isinstance(f.dataType, types.DoubleType) else fixed.get(f.name) for f in schema) for v in values], schema)
+    found = {(r.check_name, r.column_name): r.violations for r in table_checks("silver_clean", rows).collect()}
+    observed, seen = observe_checks(rows, "bounds", check_conditions("silver_clean"))
+    assert len(observed.collect()) == len(values)
+    assert seen() == found
+    stored = [r[0] for r in rows.select(money(F.col("fare_amount"))).collect()]
+    lost = sum(s is None for s in stored)
+    assert lost == 7
+    assert found["not_null", "fare_amount"] == lost and found["numeric_10_2", "fare_amount"] == lost - 1
+    assert found["not_null", "reference_month"] == len(values) and found["not_null", "reference_year"] == 0
+    assert found["max_length", "store_and_fwd_flag"] == len(values) and found["max_length", "source_file"] == 0

@@ -17,6 +17,8 @@ from tripyard.functions.numeric import money
 from tripyard.operators.clean import add_lineage, cast_types, normalize_columns
 from tripyard.schema import GOLD_KEYS, LENGTH_LIMITS, PERIOD_COLUMNS, TABLE_SCHEMAS, TABLES
 
+# Checks in one generated mask: its code stays small enough to be compiled.
+CHECKS_A_MASK = 13
 CHECK_COLUMNS = ["table_name", "check_name", "column_name", "violations"]
 
 
@@ -36,42 +38,70 @@ def _numeric_name(t: DecimalType) -> str:
     return f"numeric_{t.precision}_{t.scale}"
 
 
-def check_exprs(key: str, when: Column | None = None) -> list[tuple[str, str, Column]]:
-    """C1, C3, C4, C5 of a warehouse table as aggregates over its rows *before*
-    they are cast to the table's types (all columns in one pass): NOT NULL as
-    stored, NUMERIC(p,s) range, text length, hour range. ``when`` limits the
-    rows that count."""
-    def count(condition: Column) -> Column:
-        return F.count_if(condition if when is None else when & condition)
+def _lost(c: Column, dtype: DecimalType) -> Column:
+    """Whether a value is null once it is stored as NUMERIC. Values within one
+    of the largest whole number fit for certain; only others (and NaN, null)
+    take the cast, which goes through decimal text."""
+    whole = float(10 ** min(dtype.precision - dtype.scale, 15) - 1)
+    return F.when(c.between(-whole, whole), F.lit(False)).otherwise(money(c, dtype).isNull())
+
+
+def check_conditions(key: str, when: Column | None = None) -> list[tuple[str, str, Column]]:
+    """C1, C3, C4, C5 of a warehouse table as conditions that a row breaking
+    them meets, over its rows *before* they are cast to the table's types: NOT
+    NULL as stored, NUMERIC(p,s) range, text length, hour range. ``when``
+    limits the rows that count."""
+    def counted(condition: Column) -> Column:
+        return condition if when is None else when & condition
 
     checks = []
     for f in TABLE_SCHEMAS[key]:
         c = F.col(f.name)
         numeric = isinstance(f.dataType, DecimalType)
-        stored = money(c, f.dataType) if numeric else c
+        lost = _lost(c, f.dataType) if numeric else c.isNull()
         if not f.nullable:
-            checks.append(("not_null", f.name, count(stored.isNull())))
+            checks.append(("not_null", f.name, counted(lost)))
         if numeric:
-            checks.append((_numeric_name(f.dataType), f.name, count(c.isNotNull() & stored.isNull())))
+            checks.append((_numeric_name(f.dataType), f.name, counted(c.isNotNull() & lost)))
     for col, n in LENGTH_LIMITS.get(key, {}).items():
-        checks.append(("max_length", col, count(F.length(col) > n)))
+        checks.append(("max_length", col, counted(F.length(col) > n)))
     if key == "hourly_demand":
-        checks.append(("hour_0_23", "hour_of_day", count(~F.col("hour_of_day").between(0, 23))))
+        checks.append(("hour_0_23", "hour_of_day", counted(~F.col("hour_of_day").between(0, 23))))
     return checks
 
 
+def check_exprs(key: str, when: Column | None = None) -> list[tuple[str, str, Column]]:
+    """``check_conditions`` as aggregates (all columns in one pass)."""
+    return [(check, col, F.count_if(condition)) for check, col, condition in check_conditions(key, when)]
+
+
 def observe_checks(df: DataFrame, name: str, checks: list[tuple[str, str, Column]]):
-    """Attach checks to ``df`` as observed metrics: they are computed by
-    whatever action runs on ``df`` (e.g. its load), with no pass of their own.
-    Returns (observed frame, function giving {(check, column): count})."""
+    """Attach checks (conditions) to ``df`` as observed metrics: they are
+    computed by whatever action runs on ``df`` (e.g. its load), with no pass of
+    their own. Returns (observed frame, function giving {(check, column): count}).
+
+    Observed metrics are updated row by row outside the fused code of the plan,
+    so the conditions become bits of a few INTs inside it, made by a one-row
+    generator each, and only these bits are counted.
+    """
     obs = Observation(name)
-    observed = df.observe(obs, *[expr.alias(f"c{i}") for i, (_, _, expr) in enumerate(checks)])
+    masked = df
+    for first in range(0, len(checks), CHECKS_A_MASK):
+        mask = F.lit(0)
+        for bit, (_, _, broken) in enumerate(checks[first:first + CHECKS_A_MASK]):
+            mask = mask.bitwiseOR(F.when(broken, F.lit(1 << bit)).otherwise(F.lit(0)))
+        masked = masked.select("*", F.inline(F.array(F.struct(mask.alias(f"_checks{first}")))))
+
+    def bit(i: int) -> Column:
+        return F.col(f"_checks{i - i % CHECKS_A_MASK}").bitwiseAND(F.lit(1 << i % CHECKS_A_MASK))
+
+    observed = masked.observe(obs, *[F.count_if(bit(i) != 0).alias(f"c{i}") for i in range(len(checks))])
 
     def result() -> dict[tuple[str, str], int]:
         seen = obs.get
         return {(check, col): int(seen[f"c{i}"]) for i, (check, col, _) in enumerate(checks)}
 
-    return observed, result
+    return observed.select(*df.columns), result
 
 
 def table_name(key: str) -> str:

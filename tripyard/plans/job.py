@@ -30,7 +30,7 @@ from tripyard.functions.numeric import rounded_percent
 from tripyard.operators.clean import bronze_layout, clean_trips
 from tripyard.operators.gold import conform, gold_partials, gold_row_counts, wide_gold_tables
 from tripyard.operators.quality import (
-    check_exprs,
+    check_conditions,
     constraint_violations,
     observe_checks,
     require_none,
@@ -129,15 +129,15 @@ def prepare_silver_and_gold(
 
 def _staging_checks() -> tuple[list[tuple[str, str, str]], list[tuple[str, str, Column]]]:
     """The constraints of both silver tables over flagged trips: their names
-    (table, check, column) and the checks, each on the rows of its table."""
+    (table, check, column) and the conditions, each on the rows of its table."""
     valid = F.col("rejection_reason").isNull()
     names, checks = [], []
     for key, when in (("silver_clean", valid), ("silver_rejected", ~valid)):
         renamed = {f"raw_{n}" for n, _ in REJECTED_SOURCE_COLUMNS} if key == "silver_rejected" else set()
-        for check, col, expr in check_exprs(key, when):
+        for check, col, broken in check_conditions(key, when):
             if col not in renamed:  # those may be null and have no limits
                 names.append((table_name(key), check, col))
-                checks.append((check, col, expr))
+                checks.append((check, col, broken))
     return names, checks
 
 

@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from conftest import TESTDATA
 
 KEYS = sorted(E.oracle_sql())
-TABLES = ("events", "lineitem", "documents", "pages", "benchmark", "conversations")
+TABLES = ("events", "lineitem", "documents", "pages", "benchmark", "conversations", "embeddings")
 
 
 def norm(v):

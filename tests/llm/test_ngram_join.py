@@ -1,6 +1,9 @@
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tripyard.llm import _graph, ngram_join
@@ -124,3 +127,61 @@ def test_parity_bits_differ_in_no_more_places_than_the_sets(spark):
         both, a, b = (rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in rng.integers(0, 200, 3))
         one, two = (ngram_join._parities(np.concatenate([both, own])) for own in (a, b))
         assert sum(int(x).bit_count() for x in (one ^ two).view(np.uint64)) <= len(a) + len(b)
+
+
+def test_counts_of_a_run_take_no_copies_of_it(monkeypatch):
+    run = 1 << 20
+    monkeypatch.setattr(ngram_join, "RUN", run)
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 1 << 40, 1 << 16).astype(np.uint64) for _ in range(31)] + [rng.integers(0, 9, 1 << 16).astype(np.uint64)]
+    want = Counter()
+    for lo in (0, 16):  # the runs
+        seen = Counter(np.concatenate(sets[lo:lo + 16]).tolist())
+        want.update({t: n for t, n in seen.items() if n >= ngram_join.LOCAL_LEAST})
+    monkeypatch.setattr(ngram_join, "_sets", lambda batch, k: iter([(np.array([0]), sets[batch.column("at")[0].as_py()].copy(), np.array([0, 1 << 16]))]))
+    batches = (pa.RecordBatch.from_pydict({"doc_id": pa.array([i]), "at": pa.array([i])}) for i in range(32))
+    got = Counter()
+    tracemalloc.start()
+    try:
+        for out in ngram_join._profiles(3)(batches):
+            for token, n in zip(out.column("token").to_pylist(), out.column("n").to_pylist(), strict=True):
+                if token is not None:
+                    got[token] += n
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got == want and got[0] > 1000
+    assert peak < 2 * 8 * run  # the run itself takes 8 bytes a token
+
+
+def test_a_run_is_no_longer_than_its_bound(monkeypatch):
+    monkeypatch.setattr(ngram_join, "RUN", 5)
+    texts = ["a b c a b c d", "a b", "x", "a b c", "q r s t u v w x y z a b", "a b", "a b", ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    rows = [r for out in ngram_join._profiles(2)(iter([batch] * 3)) for r in out.to_pylist()]
+    assert [r["n"] for r in rows if r["token"] is None] == [len(shingles(t, 2)) for t in texts] * 3
+
+
+def test_repeated_tokens():
+    for n in range(1, 40):
+        tokens = np.random.default_rng(n).integers(0, 12, n).astype(np.uint64)
+        want = {t: c for t, c in Counter(tokens.tolist()).items() if c >= ngram_join.LOCAL_LEAST}
+        token, count = ngram_join._repeated(tokens)
+        assert dict(zip(token.tolist(), count.tolist(), strict=True)) == want and len(token) == len(want)
+
+
+@pytest.mark.parametrize("links", [0, 12])
+def test_only_rows_of_linked_classes_are_joined(spark, monkeypatch, links):
+    monkeypatch.setattr(ngram_join, "ROW_BITS", 128)  # some classes only seem linked
+    rng = random.Random(links)
+    classes = [bytes([i]) * 16 for i in range(60)]
+    lists = [(rng.randrange(20), rng.choice(classes), 5, 1, *[0] * len(ngram_join.MAPS), rng.choice(classes)) for _ in range(300)]
+    merged = [(c, classes[i % 3]) for i, c in enumerate(classes[:links])]
+    schema = "token long, cls binary, n int, pos int, " + ", ".join(f"{m} long" for m in ngram_join.MAPS) + ", hub binary"
+    placed = ngram_join._placed(spark.createDataFrame(lists, schema), spark.createDataFrame(merged, "node binary, component binary"))
+    of = dict(merged)
+    want = Counter((t, c, of.get(c, c), of.get(c, c) != of.get(h, h)) for t, c, *_, h in lists)
+    assert Counter((r.token, bytes(r.cls), bytes(r.component), r.outside) for r in placed.collect()) == want
+    marked = ngram_join._maybe_in(spark.createDataFrame(lists, schema), "cls", spark.createDataFrame(merged, "node binary, component binary").select("node"), 128, "linked")
+    linked = {bytes(r.cls) for r in marked.where("linked").collect()}
+    assert {c for _, c, *_ in lists if c in of} <= linked and (links or not linked) and len(linked) < 30

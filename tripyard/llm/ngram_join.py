@@ -94,20 +94,29 @@ def _parities(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def _repeated(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens that occur ``LOCAL_LEAST`` times or more, and how often.
+    Sorts ``tokens`` in place: a run is long, so it is not copied."""
+    tokens.sort()
+    reach = len(tokens) - LOCAL_LEAST + 1
+    often = tokens[:max(0, reach)]
+    often = often[often == tokens[LOCAL_LEAST - 1:]]
+    often = often[np.concatenate([[True], often[1:] != often[:-1]])] if len(often) else often
+    return often, np.searchsorted(tokens, often, "right") - np.searchsorted(tokens, often)
+
+
 def _profiles(k: int):
     """Map function: a row for each text, and counts of its run's tokens."""
     names = ["doc_id", "n", "cls", "token"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size = np.empty(RUN, np.uint64), 0
 
-        def counts():
-            token, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n >= LOCAL_LEAST
-            m = int(often.sum())
+        def counts(run: np.ndarray):
+            token, n = _repeated(run)
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(m, pa.int64()), pa.array(n[often].astype(np.int64)), pa.nulls(m, pa.binary()),
-                 pa.array(token[often].view(np.int64))], names)
+                [pa.nulls(len(n), pa.int64()), pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.binary()),
+                 pa.array(token.view(np.int64))], names)
 
         for batch in batches:
             n, at, classes = np.zeros(len(batch), np.int64), np.full(len(batch), -1), [pa.nulls(0, pa.binary())]
@@ -115,15 +124,18 @@ def _profiles(k: int):
                 n[own] = np.diff(starts)
                 at[own] = sum(map(len, classes)) + np.arange(len(own))
                 classes.append(_digests(tokens, starts))
-                held.append(tokens)
-                size += len(tokens)
-                if size > RUN:
-                    yield counts()
-                    held, size = [], 0
+                if size + len(tokens) > RUN:
+                    yield counts(held[:size])
+                    size = 0
+                if len(tokens) > RUN:
+                    yield counts(tokens)
+                else:
+                    held[size:size + len(tokens)] = tokens
+                    size += len(tokens)
             cls = pa.concat_arrays(classes).take(pa.array(at, pa.int64(), mask=at < 0))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), cls, pa.nulls(len(batch), pa.int64())], names)
-        if held:
-            yield counts()
+        if size:
+            yield counts(held[:size])
 
     return rows
 
@@ -202,17 +214,34 @@ def _place(column, bits: int):
     return F.pmod(F.xxhash64(column), F.lit(bits))
 
 
-def _maybe_in(rows: DataFrame, column: str, keys: DataFrame, bits: int) -> DataFrame:
+def _maybe_in(rows: DataFrame, column: str, keys: DataFrame, bits: int, mark: str | None = None) -> DataFrame:
     """``rows`` whose ``column`` may be among ``keys`` (one column): those with
-    their bit set in a table of ``bits`` bits, at most bits / 64 rows."""
+    their bit set in a table of ``bits`` bits, at most bits / 64 rows. With
+    ``mark``: all rows, and whether they are such in a column of that name."""
     word, bit = F.floor(F.col("_place") / 64), (F.col("_place") % 64).cast("int")
     table = keys.select(_place(F.col(keys.columns[0]), bits).alias("_place")).groupBy(word.alias("_word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
     marked = rows.withColumn("_place", _place(F.col(column), bits)).withColumn("_word", word)
     on = F.call_function("shiftright", F.col("_bits"), bit).bitwiseAND(F.lit(1)) == 1
+    if mark:
+        return marked.join(F.broadcast(table), "_word", "left").withColumn(mark, F.coalesce(on, F.lit(False))).drop("_place", "_word", "_bits")
     return marked.join(F.broadcast(table), "_word").where(on).drop("_place", "_word", "_bits")
 
 
+def _placed(lists: DataFrame, merged: DataFrame) -> DataFrame:
+    """The rows of ``lists`` with the component of their class, and whether it
+    is outside their hub's. A class without links is a component of its own and
+    outside every hub but itself, so those rows, most of all, need no join."""
+    of = lambda c: merged.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
+    rows = _maybe_in(lists, "cls", merged.select("node"), ROW_BITS, "linked")
+    out = ["token", "cls", "n", "pos", *MAPS]
+    alone = rows.where("NOT linked").select(*out, F.col("cls").alias("component"), (F.col("cls") != F.col("hub")).alias("outside"))
+    joined = rows.where("linked").join(of("cls"), "cls", "left").join(of("hub"), "hub", "left").withColumns({
+        "cls_component": F.coalesce("cls_component", "cls"), "hub_component": F.coalesce("hub_component", "hub")})
+    return alone.unionByName(joined.select(
+        *out, F.col("cls_component").alias("component"), (F.col("cls_component") != F.col("hub_component")).alias("outside")))
+
+
 class JaccardJoin:
     """Sets, candidates and links of one table of texts."""
 
@@ -251,6 +280,7 @@ class JaccardJoin:
             _prefixes(self.k, self.num, self.den, frequent),
             "cls binary, n int, prefix array<long>, " + ", ".join(f"{m} long" for m in MAPS))
         once = staged(prefixes.dropDuplicates(["cls"]), "join-prefixes")
+        frequent.destroy()  # written, so no task needs it again; the workers let it go
         twice = once.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token")
         posted = once.select("cls", "n", *MAPS, F.posexplode("prefix").alias("pos", "token"))
         posted = staged(_maybe_in(posted, "token", twice, TOKEN_BITS), "join-postings")
@@ -302,12 +332,7 @@ class JaccardJoin:
         best = lists.where((F.col("cls") != F.col("hub")) & fits_hub & F.col("hub_near")).groupBy("cls", "hub").agg(
             F.count(F.lit(1)).alias("times")).groupBy("cls").agg(F.max_by("hub", F.struct("times", "hub")).alias("hub"))
         first = self._verified(best.select(F.col("cls").alias("a"), F.col("hub").alias("b")))
-        merged = components(first)
-        of = lambda c: merged.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
-        placed = lists.join(of("cls"), "cls", "left").join(of("hub"), "hub", "left").withColumns({
-            "cls_component": F.coalesce("cls_component", "cls"), "hub_component": F.coalesce("hub_component", "hub")})
-        placed = staged(placed.withColumn("outside", F.col("cls_component") != F.col("hub_component")).select(
-            "token", "cls", "n", "pos", *MAPS, F.col("cls_component").alias("component"), "outside"), "join-placed")
+        placed = staged(_placed(lists, components(first)), "join-placed")
         others = placed.where("outside").select("token", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "pos", *MAPS, "component")])
         crossing = others.join(placed, "token").where(
             (F.col("component") != F.col("o_component")) & (~F.col("outside") | (F.col("o_cls") < F.col("cls")))

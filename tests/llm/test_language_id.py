@@ -103,3 +103,16 @@ def test_nothing_labelled_and_empty_table(spark):
     assert {(r["lang_pred"], r["score"]) for r in li.identify(docs).collect()} == {("und", 0.0)}
     assert li.identify(frame(spark, [])).collect() == []
     assert li.training_windows(li.labelled_rows(docs)).agg(F.count("*")).first()[0] == 0
+
+
+def test_training_writes_no_sample_and_sorts_it(spark, monkeypatch):
+    written, seen = [], {}
+    monkeypatch.setattr(li, "staged", lambda df, name: written.append(name) or df)
+    monkeypatch.setattr(li.ByteNet, "fit", lambda self, windows, labels: seen.update(windows=windows, labels=labels, languages=self.languages))
+    rows = [(i, f"{'Wort é' if i % 3 else 'palabra'} {i} " * (i % 50), "dé"[: 1 + i % 2] if i % 3 else "es") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7)
+    li.train(li.labelled_rows(docs))
+    assert written == ["lang-counts"]
+    assert seen["languages"] == ["d", "dé", "es"]
+    got = [(int(y), w.tobytes()) for y, w in zip(seen["labels"], seen["windows"], strict=True)]
+    assert got == sorted(got) and len({y for y, _ in got}) == 3

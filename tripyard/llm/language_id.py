@@ -186,7 +186,8 @@ def training_windows(labelled: DataFrame) -> DataFrame:
 def train(labelled: DataFrame) -> ByteNet | None:
     """A network from ``labelled`` (key, lang, text); None without rows."""
     ship(labelled.sparkSession)
-    found = staged(training_windows(labelled), "lang-windows").orderBy("lang", "window").toArrow()
+    # a bounded sample, needed here only: sorted here, without a written table and its files
+    found = training_windows(labelled).toArrow().sort_by([("lang", "ascending"), ("window", "ascending")])
     if not len(found):
         return None
     languages, labels = np.unique(found.column("lang").to_numpy(), return_inverse=True)

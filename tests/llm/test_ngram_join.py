@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tripyard.llm import _graph, ngram_join
+from tripyard.llm import _graph, _tables, ngram_join
 
 from .texts import LONG_PAIRS, SPACE_WORD, corpus, frame, lower, prose, vocabulary
 
@@ -185,3 +185,36 @@ def test_only_rows_of_linked_classes_are_joined(spark, monkeypatch, links):
     marked = ngram_join._maybe_in(spark.createDataFrame(lists, schema), "cls", spark.createDataFrame(merged, "node binary, component binary").select("node"), 128, "linked")
     linked = {bytes(r.cls) for r in marked.where("linked").collect()}
     assert {c for _, c, *_ in lists if c in of} <= linked and (links or not linked) and len(linked) < 30
+
+
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    """Whole partitions of texts in a batch fill an executor's memory beside the heap."""
+    def sizes(k):
+        def rows(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_pylist([{"doc_id": None, "n": b.nbytes, "cls": None, "token": None}], pa.schema(
+                    [("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("token", pa.int64())]))
+        return rows
+
+    monkeypatch.setattr(ngram_join, "_profiles", sizes)
+    docs = spark.range(0, 40, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 100000) AS text")
+    before = spark.conf.get(_tables.BATCH_BOUND, None)
+    try:
+        spark.conf.unset(_tables.BATCH_BOUND)
+        seen = [r["n"] for r in ngram_join.JaccardJoin(docs, 3, 9, 10).profiles.collect()]
+        assert sum(seen) >= 40 * 500_000 and max(seen) <= _tables.BATCH_BYTES + 600_000
+        spark.conf.set(_tables.BATCH_BOUND, "4MB")  # the session's own bound stays
+        seen = [r["n"] for r in ngram_join.JaccardJoin(docs, 3, 9, 10).profiles.collect()]
+        assert max(seen) > _tables.BATCH_BYTES + 600_000 and spark.conf.get(_tables.BATCH_BOUND) == "4MB"
+    finally:
+        spark.conf.unset(_tables.BATCH_BOUND)
+        if before is not None:
+            spark.conf.set(_tables.BATCH_BOUND, before)
+
+
+def test_counts_of_a_run_leave_in_small_batches(monkeypatch):
+    texts = [" ".join(f"w{i}" for i in range(200_000))] * 2
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2]), "text": pa.array(texts)})
+    out = list(ngram_join._profiles(1)(iter([batch])))
+    assert max(map(len, out)) <= 1 << 16
+    assert Counter(r["n"] for b in out for r in b.to_pylist() if r["token"] is not None) == {2: 200_000}

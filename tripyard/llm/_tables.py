@@ -13,6 +13,8 @@ from tripyard.session import scratch_dir
 
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _shipped: set[str] = set()
+#: Spark's bound on the bytes of an Arrow batch for Python, and the one for whole texts.
+BATCH_BOUND, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 21
 
 
 def ship(spark: SparkSession) -> None:
@@ -45,6 +47,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let texts go to Python in Arrow batches of about ``BATCH_BYTES``, from
+    here on in this session, unless the session names a bound itself. Without
+    one a batch is up to 64 MB (10,000 rows), which an executor holds several
+    times outside its heap for each task, and keeps for later ones."""
+    if spark.conf.get(BATCH_BOUND, None) is None:
+        spark.conf.set(BATCH_BOUND, str(BATCH_BYTES))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have yet."""
     taken = {c.lower() for c in df.columns}

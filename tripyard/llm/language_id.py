@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripyard.llm import _words
-from tripyard.llm._tables import fold_of, free_name, ship, staged, text_column
+from tripyard.llm._tables import fold_of, free_name, ship, small_batches, staged, text_column
 
 UNKNOWN = "und"
 WINDOW, WIDTHS, FILTERS = 192, (2, 3, 4), 8
@@ -186,6 +186,7 @@ def training_windows(labelled: DataFrame) -> DataFrame:
 def train(labelled: DataFrame) -> ByteNet | None:
     """A network from ``labelled`` (key, lang, text); None without rows."""
     ship(labelled.sparkSession)
+    small_batches(labelled.sparkSession)
     # a bounded sample, needed here only: sorted here, without a written table and its files
     found = training_windows(labelled).toArrow().sort_by([("lang", "ascending"), ("window", "ascending")])
     if not len(found):
@@ -202,6 +203,7 @@ def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text", out=("
     these names; all others are kept. Only texts go to Python."""
     spark = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     clean = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c not in out])
     if net is None:
         return clean.withColumns({out[0]: F.lit(UNKNOWN), out[1]: F.lit(0.0)})

@@ -50,9 +50,10 @@ from pyspark.sql import functions as F
 
 from tripyard.llm import _words
 from tripyard.llm._graph import components
-from tripyard.llm._tables import most_frequent, ship, staged, text_column
+from tripyard.llm._tables import most_frequent, ship, small_batches, staged, text_column
 
 RUN, LOCAL_LEAST, FREQUENT = 4_000_000, 2, 1 << 20
+COUNT_ROWS = 1 << 16
 ROW_BITS, TOKEN_BITS = 1 << 22, 1 << 24
 MAP_BITS = 256
 MAPS = [f"map{i}" for i in range(MAP_BITS // 64)]
@@ -112,11 +113,13 @@ def _profiles(k: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = np.empty(RUN, np.uint64), 0
 
-        def counts(run: np.ndarray):
-            token, n = _repeated(run)
-            return pa.RecordBatch.from_arrays(
-                [pa.nulls(len(n), pa.int64()), pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.binary()),
-                 pa.array(token.view(np.int64))], names)
+        def counts(run: np.ndarray) -> Iterator[pa.RecordBatch]:
+            tokens, times = _repeated(run)
+            for lo in range(0, len(tokens), COUNT_ROWS):
+                token, n = tokens[lo:lo + COUNT_ROWS], times[lo:lo + COUNT_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(n), pa.int64()), pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.binary()),
+                     pa.array(token.view(np.int64))], names)
 
         for batch in batches:
             n, at, classes = np.zeros(len(batch), np.int64), np.full(len(batch), -1), [pa.nulls(0, pa.binary())]
@@ -125,17 +128,17 @@ def _profiles(k: int):
                 at[own] = sum(map(len, classes)) + np.arange(len(own))
                 classes.append(_digests(tokens, starts))
                 if size + len(tokens) > RUN:
-                    yield counts(held[:size])
+                    yield from counts(held[:size])
                     size = 0
                 if len(tokens) > RUN:
-                    yield counts(tokens)
+                    yield from counts(tokens)
                 else:
                     held[size:size + len(tokens)] = tokens
                     size += len(tokens)
             cls = pa.concat_arrays(classes).take(pa.array(at, pa.int64(), mask=at < 0))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), cls, pa.nulls(len(batch), pa.int64())], names)
         if size:
-            yield counts(held[:size])
+            yield from counts(held[:size])
 
     return rows
 
@@ -249,6 +252,7 @@ class JaccardJoin:
         self.k, self.num, self.den = k, num, den
         self.spark = docs.sparkSession
         ship(self.spark)
+        small_batches(self.spark)
         self.source = docs.select(docs[id_col].cast("long").alias("doc_id"), text_column(docs, text_col).alias("text"))
         found = staged(self.source.mapInArrow(_profiles(k), "doc_id long, n long, cls binary, token long"), "join-profiles")
         self.profiles = found.where("token IS NULL").drop("token")

@@ -116,3 +116,12 @@ def test_training_writes_no_sample_and_sorts_it(spark, monkeypatch):
     assert seen["languages"] == ["d", "dé", "es"]
     got = [(int(y), w.tobytes()) for y, w in zip(seen["labels"], seen["windows"], strict=True)]
     assert got == sorted(got) and len({y for y, _ in got}) == 3
+
+
+def test_results_leave_in_few_files(spark, tmp_path):
+    rows = [(i, f"{'the thing' if i % 2 else 'que el'} {i} " * 9, "en" if i % 2 else "es") for i in range(300)] + [(7, None, None), (None, "12", "es")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(40)
+    li.identify(docs).write.parquet(str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("part-*"))) <= 2
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(str(r["doc_id"]) for r in got.collect()) == sorted(str(r[0]) for r in rows)

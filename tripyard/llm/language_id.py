@@ -36,6 +36,8 @@ WINDOW, WIDTHS, FILTERS = 192, (2, 3, 4), 8
 SAMPLE_DOCS, SAMPLE_WINDOWS = 1600, 12
 EPOCHS, BATCH, RATE = 4, 128, 0.02
 FOLDS, HELD_OUT_FOLD = 3, 1
+#: Partitions that results are dealt to before Spark merges or splits them by size.
+DEALT = 12
 _AHEAD = max(WIDTHS) - 1
 
 #: A-Z as a-z, all digits alike.
@@ -243,8 +245,10 @@ def labelled_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every row."""
+    """doc_id, held_out, lang_pred, score for every row. These rows are far
+    smaller than the texts: they are rebalanced (with adaptive execution), so
+    that not every split of the texts writes a small file of its own."""
     net = train(labelled_rows(docs, id_col, text_col, lang_col))
     held = F.coalesce(fold_of(docs[id_col], FOLDS) == HELD_OUT_FOLD, F.lit(False))
     rows = docs.select(docs[id_col].alias("doc_id"), held.alias("held_out"), docs[text_col].alias("text"))
-    return predict(rows, net).select("doc_id", "held_out", "lang_pred", "score")
+    return predict(rows, net).select("doc_id", "held_out", "lang_pred", "score").hint("rebalance", DEALT)
